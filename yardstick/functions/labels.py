@@ -62,7 +62,7 @@ def label_answer_or_null(label: Column | str) -> Column:
 
 def label_lenient(label: Column | str) -> Column:
     """LBL-4: ``accepted`` when the label is accept/accepted, else ``rejected`` (NULL too)."""
-    n = F.lower(F.trim(F.coalesce(col_of(label), F.lit(""))))
+    n = F.lower(ustrip(F.coalesce(col_of(label), F.lit(""))))
     return F.when(n.isin(*ACCEPT_LABELS), F.lit("accepted")).otherwise(F.lit("rejected"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["evaluation"]
+_MODULES = ["evaluation", "parts", "labelling", "sampling"]
 
 
 def _load():
