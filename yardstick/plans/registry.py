@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["evaluation", "parts", "labelling", "sampling"]
+_MODULES = ["evaluation", "parts", "labelling", "sampling", "payloads"]
 
 
 def _load():
