@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["evaluation", "parts", "labelling", "sampling", "payloads", "chat"]
+_MODULES = ["evaluation", "parts", "labelling", "sampling", "payloads", "chat", "scoring"]
 
 
 def _load():
