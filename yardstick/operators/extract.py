@@ -21,7 +21,7 @@ def non_blank(value: str = "value"):
     return F.regexp_like(col_of(value), F.lit(r"(?U)[^\s\x{1c}-\x{1f}]"))
 
 
-def parse_raw_lines(lines: DataFrame, mode: str = "contains", input_prefix: str | None = None) -> DataFrame:
+def parse_raw_lines(lines: DataFrame, mode: str = "contains", input_prefix: str | None = None, carry: list[str] = ()) -> DataFrame:
     """Parse every non-blank line.  Output keeps dropped lines with a ``drop_reason``
     (NULL for lines that yield a prediction), so accounting and filtering share one scan.
 
@@ -30,7 +30,7 @@ def parse_raw_lines(lines: DataFrame, mode: str = "contains", input_prefix: str
     ``prediction``, ``drop_reason``, ``source_file``, order keys, and, when an input
     prefix is given, ``batch_path``/``dataset``/``model`` derived from the file path.
     """
-    keep = [c for c in ORDER_COLS if c in lines.columns]
+    keep = [*carry, *[c for c in ORDER_COLS if c in lines.columns]]
     parsed = lines.filter(non_blank("value")).select(*keep, records.parse_line("value").alias("_v"))
     v = F.col("_v")
     step = parsed.select(
