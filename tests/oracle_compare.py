@@ -17,7 +17,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+import __spark_entry__ as entry  # noqa: E402,F401
 from yardstick.sources.derived import TABLES  # noqa: E402
 
 

@@ -137,3 +137,56 @@ __all__ = [
     "parse_mapping",
     "non_blank",
 ]
+
+
+def existing_paths(spark: SparkSession, paths: list[str]) -> tuple[list[str], int]:
+    """SRC-7 helper: keep the shard paths that exist (a metadata check through the
+    Hadoop file system, no data read) and report how many were skipped."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    kept = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        if hp.getFileSystem(conf).exists(hp):
+            kept.append(p)
+    return kept, len(paths) - len(kept)
+
+
+def robust_dataset(spark: SparkSession, shard_paths: list[str]) -> tuple[DataFrame, int]:
+    """SRC-7: load a dataset from its shard list while skipping missing shards; raise
+    when none is left.  Files that vanish between listing and reading are skipped
+    by ``ignoreMissingFiles``.  Returns the DataFrame and the number skipped."""
+    kept, skipped = existing_paths(spark, shard_paths)
+    if not kept:
+        raise FileNotFoundError(f"all {len(shard_paths)} shards are missing")
+    return spark.read.option("ignoreMissingFiles", "true").parquet(*kept), skipped
+
+
+def cached_or_build(spark: SparkSession, path: str, build, force: bool = False) -> DataFrame:
+    """SRC-8: reuse a stored table unless ``force``; otherwise build, write and read it back."""
+    if not force and existing_paths(spark, [path])[0]:
+        return spark.read.parquet(path)
+    build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def resolve_images(df: DataFrame, image_col: str, files: DataFrame | None = None) -> DataFrame:
+    """SRC-10/JON-10: an image cell ``struct<bytes, path>`` -> bytes: the stored bytes,
+    else the content of the file at ``path`` (a left join to a ``binaryFile`` scan),
+    else an error message in ``<image_col>_error``."""
+    img = F.col(image_col)
+    out = df.withColumn("_img_path", img["path"])
+    if files is not None:
+        f = files.select(F.col("path").alias("_file_path"), F.col("content").alias("_file_bytes"))
+        norm = F.regexp_replace("_file_path", "^file:", "")
+        f = f.withColumn("_file_path", norm)
+        need = out.filter(F.col(image_col)["bytes"].isNull() & F.col("_img_path").isNotNull())
+        have = out.filter(~(F.col(image_col)["bytes"].isNull() & F.col("_img_path").isNotNull()))
+        need = need.join(f, F.regexp_replace("_img_path", "^file:", "") == F.col("_file_path"), "left").drop("_file_path")
+        have = have.withColumn("_file_bytes", F.lit(None).cast("binary"))
+        out = have.unionByName(need)
+    else:
+        out = out.withColumn("_file_bytes", F.lit(None).cast("binary"))
+    resolved = F.coalesce(F.col(image_col)["bytes"], F.col("_file_bytes"))
+    err = F.when(resolved.isNull(), F.concat(F.lit("Cannot resolve image: "), F.coalesce(F.col("_img_path"), F.lit("no bytes and no path"))))
+    return out.withColumn(f"{image_col}_bytes", resolved).withColumn(f"{image_col}_error", err).drop("_img_path", "_file_bytes")
