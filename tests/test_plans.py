@@ -31,3 +31,20 @@ def test_rules_lookup_is_broadcast(spark, sf_small):
 def test_dedup_aggregates_partially(spark, sf_small):
     p = _plan(evaluation.q_eval_metrics(spark, sf_small))
     assert "partial_max_by" in p or "partial_" in p
+
+
+def test_nested_and_flat_image_order_agree(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from yardstick.functions import chat as C
+    from yardstick.operators import chat as CH
+    from yardstick.sources import derived
+
+    conv = derived.read_table(spark, sf_small, "conversations")
+    nested = CH.conversations_to_messages(conv).select(
+        "conv_id", F.posexplode(C.message_images("messages")).alias("pos", "image")
+    )
+    flat = CH.conversation_images(conv).select("conv_id", "pos", "image")
+    a = sorted((r.conv_id, r.pos, bytes(r.image)) for r in nested.collect())
+    b = sorted((r.conv_id, r.pos, bytes(r.image)) for r in flat.collect())
+    assert a == b and len(a) > 0

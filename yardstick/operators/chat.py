@@ -56,6 +56,27 @@ def conversations_to_messages(conv: DataFrame) -> DataFrame:
     return grouped.select("conv_id", F.transform("_t", lambda x: x["m"]).alias("messages"))
 
 
+def turn_items(conv: DataFrame) -> DataFrame:
+    """Flat content items of conversation turns (conv_id, turn, item_pos, type, text, image):
+    every third turn carries an image item (the bytes of its text)."""
+    item_text = F.struct(F.lit("text").alias("type"), F.col("text").alias("text"), F.lit(None).cast("binary").alias("image"))
+    item_img = F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"), F.encode("text", "UTF-8").alias("image"))
+    content = F.when(F.col("turn") % 3 == 2, F.array(item_text, item_img)).otherwise(F.array(item_text))
+    return conv.select("conv_id", "turn", F.posexplode(content).alias("item_pos", "item")).select(
+        "conv_id", "turn", "item_pos", "item.*"
+    )
+
+
+def conversation_images(conv: DataFrame) -> DataFrame:
+    """CHT-6 over flat turns: the images of each conversation in (turn, item) order with
+    their position.  The per-conversation position comes from the distributed grouped
+    index, so a very long conversation is never gathered into one task or one row."""
+    from .indexing import dense_index
+
+    imgs = turn_items(conv).filter(F.col("type") == "image").select("conv_id", "turn", "item_pos", "image")
+    return dense_index(imgs, ["turn", "item_pos"], ["conv_id"], out="pos")
+
+
 def columns_to_lists(df: DataFrame, batch_col: str, cols: list[str]) -> DataFrame:
     """CHT-7 (rows -> columns of lists) per batch; batches are bounded by the batch size."""
     z = F.sort_array(F.collect_list(F.struct(*cols)))

@@ -59,8 +59,7 @@ def q_reasoning_text(spark, sf):
 
 def q_chat_flatten(spark, sf):
     conv = derived.read_table(spark, sf, "conversations")
-    msgs = CH.conversations_to_messages(conv)
-    return msgs.select("conv_id", F.posexplode(C.message_images("messages")).alias("pos", "image")).select(
+    return CH.conversation_images(conv).select(
         "conv_id", F.col("pos").cast("bigint").alias("pos"), F.decode("image", "UTF-8").alias("image_text")
     )
 
