@@ -100,25 +100,44 @@ def with_answers(scored: DataFrame, mode: str = "first_tag") -> DataFrame:
     )
 
 
+def json_answer(i: int) -> str:
+    """The JSON-style stub answer for id ``i`` (four shapes by ``i % 4``)."""
+    k = i % 4
+    if k == 0:
+        return '```json\n{"verdict": "looks right %d", "recommendation": "acceptable"}\n```' % i
+    if k == 1:
+        return '{"verdict": "bent frame %d", "recommendation": "geometry_artifacts"}' % i
+    if k == 2:
+        return '{"verdict": "odd %d", "recommendation": "blurry"}' % i
+    return "no JSON here for %d" % i
+
+
 class StubScorer:
     """Deterministic stand-in for a model endpoint, a pure function of the id:
     it raises on the first ``id % 3`` attempts for each row and always for
     ``id % 17 == 0``; it answers Yes for even ids and No for odd ones."""
 
-    def __init__(self, id_col: str = "sample_id"):
+    def __init__(self, id_col: str = "sample_id", style: str = "reasoning"):
         self.id_col = id_col
+        self.style = style
 
     def __call__(self):
-        seen: dict[int, int] = {}
+        # attempts of the row being retried (retries of one row are consecutive),
+        # so the state stays constant-size however large the partition is
+        state = {"id": None, "n": 0}
         id_col = self.id_col
+        style = self.style
 
         def score(row: dict) -> str:
             i = int(row[id_col])
-            seen[i] = seen.get(i, 0) + 1
+            state["n"] = state["n"] + 1 if state["id"] == i else 1
+            state["id"] = i
             if i % 17 == 0:
                 raise RuntimeError(f"endpoint unavailable for {i}")
-            if seen[i] <= i % 3:
-                raise TimeoutError(f"timeout on attempt {seen[i]}")
+            if state["n"] <= i % 3:
+                raise TimeoutError(f"timeout on attempt {state['n']}")
+            if style == "json":
+                return json_answer(i)
             return f"<reasoning>sample {i}</reasoning> {'Yes' if i % 2 == 0 else 'No'}"
 
         return score
