@@ -117,3 +117,18 @@ def coverage_gaps(preds: DataFrame, gt: DataFrame) -> DataFrame:
         (F.col("_ng") - F.col("_m")).cast("bigint").alias("gt_without_prediction"),
         (F.col("_np") - F.col("_m")).cast("bigint").alias("prediction_without_gt"),
     )
+
+
+def flat_merge(preds: DataFrame, order_cols=("source_file", "line_pos"), key: str = "sample_id") -> DataFrame:
+    """SET-3 (legacy flat mode): predictions of all datasets merged on the id alone; a
+    dataset seen later (by its first row in file/line order) overwrites earlier ones,
+    and within a dataset the last row wins.  The dataset ranking is a tiny aggregate
+    (one row per dataset), broadcast behind its size check; the merge is one partial
+    ``max_by`` over (dataset rank, file, line)."""
+    from pyspark.sql import Window
+
+    first = preds.groupBy("dataset").agg(F.min(F.struct(*order_cols)).alias("_first"))
+    ranked = bounded_side(first.select("dataset", F.row_number().over(Window.orderBy("_first")).alias("_rank")))
+    j = preds.join(ranked, "dataset")
+    w = F.max_by(F.struct("prediction", "dataset"), F.struct("_rank", *order_cols)).alias("_w")
+    return j.groupBy(key).agg(w).select(key, "_w.prediction", "_w.dataset")

@@ -56,7 +56,12 @@ def q_merge_precedence(spark, sf):
     return align.merge_precedence(primary, raw_preds(spark, sf))
 
 
+def q_flat_merge(spark, sf):
+    return align.flat_merge(parts_preds(spark, sf))
+
+
 QUERIES = {
+    "flat_merge": q_flat_merge,
     "path_fields": q_path_fields,
     "parts_filter": q_parts_filter,
     "reindex_auto": q_reindex_auto,
@@ -77,6 +82,14 @@ d AS (SELECT dataset, model, sample AS sample_id, prediction, arrival FROM (
 """
 
 ORACLE = {
+    "flat_merge": _F + """,
+fr AS (SELECT dataset, source_file, line_pos FROM (
+         SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY source_file, line_pos) AS rn FROM f) WHERE rn = 1),
+rk AS (SELECT dataset, row_number() OVER (ORDER BY source_file, line_pos) AS r FROM fr),
+w AS (SELECT f.*, rk.r, row_number() OVER (PARTITION BY sample ORDER BY rk.r DESC, source_file DESC, line_pos DESC) AS rn
+      FROM f JOIN rk ON f.dataset = rk.dataset)
+SELECT sample AS sample_id, prediction, dataset FROM w WHERE rn = 1
+""",
     "path_fields": with_ctes(S_CTE) + """
 SELECT CAST(sample AS BIGINT) AS sample, arrival, line_pos,
        split_part(batch_path, '/', 2) AS dataset, split_part(batch_path, '/', 3) AS model,
