@@ -1,0 +1,60 @@
+"""Job-level entry points on small files written into pytest's temporary folder."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from yardstick.operators.scoring import StubScorer
+from yardstick.plans import jobs
+
+
+def _write(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_evaluate_outputs(spark, tmp_path):
+    d = str(tmp_path / "outputs")
+    parts = [json.dumps({"sample": i, "prediction": p, "batch_path": "o/ds1/mA/x", "source_file": "s3://b/p/o/ds1/mA/batch_0/f"})
+             for i, p in [(0, "yes"), (1, "no"), (2, "Yes "), (3, "maybe")]]
+    parts.append(json.dumps({"sample": 1, "prediction": "yes", "batch_path": "o/ds1/mA/x", "source_file": "s3://b/p/o/ds1/mA/batch_0/f"}))
+    _write(f"{d}/part-00000.json", parts)
+    _write(f"{d}/metrics.json", [json.dumps({"sample": 9, "prediction": "yes", "batch_path": "o/ds1/mA/x"})])
+    raw = [json.dumps({"recordId": f"sample_{i}", "modelOutput": {"content": [{"type": "text", "text": t}]}})
+           for i, t in [(0, "<reasoning>r</reasoning>No"), (5, "<reasoning>r</reasoning>yes")]]
+    _write(f"{d}/x.jsonl.out", raw)
+    gt = spark.createDataFrame([(0, "accept", ""), (1, "reject", "Wrong Orientation"), (2, "reject", None), (5, "accepted", "")],
+                               "sample_id bigint, label string, rejection_reason string")
+    out = jobs.evaluate_outputs(spark, d, {"ds1": gt, "outputs": gt})
+    m = {(r.dataset, r.model): r for r in out["metrics"].collect()}
+    a = m[("ds1", "mA")]
+    # ids 0 yes (gt +), 1 yes (last line wins; gt -), 2 yes (gt -); 3 dropped; metrics.json ignored
+    assert (a.true_positives, a.false_positives, a.total_predictions) == (1, 2, 3)
+    b = m[("outputs", "unknown")]
+    assert (b.true_negatives, b.false_negatives, b.true_positives) == (0, 1, 1)
+    reasons = {(r.dataset, r.reason): r["count"] for r in out["by_reason"].collect()}
+    assert reasons[("ds1", "rejected (no reason)")] == 1 and reasons[("ds1", "Wrong Orientation")] == 1
+
+
+def test_extract_job(spark, tmp_path):
+    d = str(tmp_path / "in" / "folder")
+    _write(f"{d}/ds/m/batch_0/a.jsonl.out", [json.dumps({"recordId": "sample_3", "modelOutput": {"content": [{"type": "text", "text": "<reasoning>r</reasoning> Yes"}]}}), "{bad"])
+    res = jobs.extract_job(spark, d, str(tmp_path / "parts"))
+    rows = res["rows"].collect()
+    assert [(r.sample, r.prediction) for r in rows] == [(3, "yes")]
+    assert rows[0].batch_path.startswith("folder/ds/m/batch_0/")
+    assert spark.read.json(str(tmp_path / "parts")).count() == 1
+
+
+def test_prepare_batches_and_score(spark, tmp_path):
+    df = spark.range(0, 25).select(F.col("id").alias("sample_id"), F.encode(F.col("id").cast("string"), "UTF-8").alias("a"),
+                                   F.encode(F.lit("b"), "UTF-8").alias("b"), (F.col("id") % 2 == 0).alias("is_generation_successful"))
+    b = jobs.prepare_batches(df, [("source_image_main", "a"), ("generated_image", "b")], "Same?", "meta.llama", batch_size=10,
+                             seed=7, output_path=str(tmp_path / "batches"))
+    assert sorted(r[0] for r in b.groupBy("batch_idx").count().select("count").collect()) == [5, 10, 10]
+    assert spark.read.text(str(tmp_path / "batches")).count() == 25
+    res = jobs.score_dataset(df, StubScorer(), ["sample_id"], retry_delay=0.0)
+    m = res["metrics"].first()
+    assert m.tp + m.fp + m.fn + m.tn == 25 and m.fp == 0

@@ -63,7 +63,8 @@ def resolve_indices(preds: DataFrame, mode: str = "never", group=("dataset", "mo
     todo = flagged.filter(F.col("needs_reindex")).drop("needs_reindex").withColumn(
         "_batch", records.batch_number("source_file")
     )
-    order = ["_batch", "raw_sample_id", *[c for c in ("source_file", "file_block_start", "line_pos") if c in todo.columns]]
+    ties = ("file_path", "source_file", "file_block_start", "line_pos")  # physical file order first when known
+    order = ["_batch", "raw_sample_id", *[c for c in ties if c in todo.columns]]
     renum = dense_index(todo, order, list(group), out="_idx").withColumn("sample_id", F.col("_idx")).drop("_idx", "_batch")
     return keep.unionByName(renum)
 

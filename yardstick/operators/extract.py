@@ -80,7 +80,7 @@ def parts_predictions(parts: DataFrame) -> DataFrame:
 
     Rows with a NULL sample or a prediction other than yes/no (after lower+strip)
     are dropped, as the reference counts them as parse errors."""
-    keep = [c for c in ("file_block_start", "line_pos", "arrival") if c in parts.columns]
+    keep = [c for c in ("file_path", "file_block_start", "line_pos", "arrival") if c in parts.columns]
     pred = records.normalized_prediction("prediction")
     return parts.select(
         records.dataset_name("batch_path").alias("dataset"),
