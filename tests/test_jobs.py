@@ -58,3 +58,21 @@ def test_prepare_batches_and_score(spark, tmp_path):
     res = jobs.score_dataset(df, StubScorer(), ["sample_id"], retry_delay=0.0)
     m = res["metrics"].first()
     assert m.tp + m.fp + m.fn + m.tn == 25 and m.fp == 0
+
+
+def test_sample_and_holdout_sinks(spark, tmp_path):
+    from yardstick.sinks import writers
+
+    r = spark.createDataFrame([(i, "accept" if i % 2 else "reject", "accepted" if i % 2 else "Wrong Orientation") for i in range(20)],
+                              "sample_id bigint, label string, rejection_reason string")
+    s = spark.createDataFrame([(i, "accept" if i % 3 else "reject", "" if i % 3 else "wrong_orientation") for i in range(15)],
+                              "sample_id bigint, label string, rejection_reason string")
+    res = jobs.sample_for_finetune({"r": r, "s": s}, ["r"], n_per_category=2, seed=1)
+    assert res["sample"].count() == 8
+    p = str(tmp_path / "sample")
+    writers.write_sample(res["sample"], res["manifest_doc"], p)
+    back = spark.read.json(f"{p}/train_indices")
+    assert sorted(len(x.all_indices) for x in back.collect()) == [4, 4]
+    summary = spark.createDataFrame([(3, 4)], "correct bigint, total bigint").withColumn("accuracy", F.col("correct") / F.col("total"))
+    writers.write_holdout_results(summary, res["sample"], str(tmp_path / "holdout"), elapsed_s=1.234)
+    assert spark.read.json(str(tmp_path / "holdout" / "summary")).first().elapsed_s == 1.2

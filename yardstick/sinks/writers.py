@@ -78,3 +78,18 @@ def write_log_series(series: DataFrame, path: str) -> None:
 def display_metrics(metrics: DataFrame) -> DataFrame:
     """Metric columns renamed to the reference's display keys for JSON output."""
     return metrics.select(*[F.col(c).alias(DISPLAY_NAMES.get(c, c)) for c in metrics.columns])
+
+
+def write_sample(sample: DataFrame, manifest_doc: DataFrame, path: str) -> None:
+    """SNK-7: the sampled rows as Parquet and the index manifest (one JSON line per
+    split: categories -> ids, all_indices) next to them."""
+    sample.write.mode("overwrite").parquet(f"{path}/data")
+    manifest_doc.write.mode("overwrite").json(f"{path}/train_indices")
+
+
+def write_holdout_results(summary: DataFrame, predictions: DataFrame, path: str, elapsed_s: float | None = None) -> None:
+    """SNK-8: hold-out summary (accuracy, correct, total, elapsed) and the per-row
+    predictions, as JSON folders."""
+    s = summary if elapsed_s is None else summary.withColumn("elapsed_s", F.lit(round(elapsed_s, 1)))
+    s.write.mode("overwrite").json(f"{path}/summary")
+    predictions.write.mode("overwrite").json(f"{path}/predictions")
