@@ -26,9 +26,11 @@ def _raw_files(spark, sf, name):
         F.regexp_extract("source_file", r"outputs/[^/]+/([^/]+)/", 1).alias("model"),
         "line_pos",
     )
-    lines.repartition("dataset", "model").sortWithinPartitions("line_pos").drop("line_pos").write.partitionBy(
-        "dataset", "model"
-    ).text(path)
+    # range partitioning keeps each file's lines in order and splits a large (dataset, model)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines.repartitionByRange(n, "dataset", "model", "line_pos").sortWithinPartitions("dataset", "model", "line_pos").drop(
+        "line_pos"
+    ).write.partitionBy("dataset", "model").text(path)
     return path
 
 

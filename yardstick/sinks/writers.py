@@ -70,9 +70,18 @@ def summary_lines(metrics: DataFrame, title_cols: list[str]) -> DataFrame:
     return metrics.select(*title_cols, F.concat(head, body).alias("value"))
 
 
-def write_log_series(series: DataFrame, path: str) -> None:
-    """SNK-9: one folder per metric holding its (step, epoch, value) series."""
-    series.repartition("metric").sortWithinPartitions("metric", "step").write.mode("overwrite").partitionBy("metric").json(path)
+def write_log_series(series: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """SNK-9: one folder per metric holding its (step, epoch, value) series.  Range
+    partitioning on (metric, step) splits a long series over several tasks, each
+    writing one contiguous, ordered step range."""
+    n = num_partitions or int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        series.repartitionByRange(n, "metric", "step")
+        .sortWithinPartitions("metric", "step")
+        .write.mode("overwrite")
+        .partitionBy("metric")
+        .json(path)
+    )
 
 
 def display_metrics(metrics: DataFrame) -> DataFrame:
