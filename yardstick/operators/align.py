@@ -69,13 +69,26 @@ def resolve_indices(preds: DataFrame, mode: str = "never", group=("dataset", "mo
     return keep.unionByName(renum)
 
 
-def merge_precedence(primary: DataFrame, secondary: DataFrame, keys=PRED_KEYS, values=("prediction",)) -> DataFrame:
-    """JON-4: primary rows win; secondary rows fill keys the primary lacks.
-    One shuffle: a tagged union reduced by ``max_by`` on the tag (partial aggregation)."""
-    cols = [*keys, *values]
-    tagged = primary.select(*cols, F.lit(1).alias("_prio")).unionByName(secondary.select(*cols, F.lit(0).alias("_prio")))
-    w = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("_prio")).alias("_w")
-    return tagged.groupBy(*keys).agg(w, F.max("_prio").alias("_best")).select(
+def merge_precedence(
+    primary: DataFrame,
+    secondary: DataFrame,
+    keys=PRED_KEYS,
+    values=("prediction",),
+    order_cols: tuple[str, ...] = (),
+) -> DataFrame:
+    """JON-4: primary rows win; secondary rows fill keys the primary lacks; within one
+    source the last row in ``order_cols`` order wins (WIN-2).
+
+    Dedup and precedence are one aggregation: a tagged union reduced by ``max_by`` on
+    (source priority, order), with partial aggregation before the shuffle.  Inputs may
+    already be deduplicated (``order_cols`` empty)."""
+    def side(df: DataFrame, prio: int) -> DataFrame:
+        order = [F.col(c) if c in df.columns else F.lit(None).cast("string") for c in order_cols]
+        return df.select(*keys, *values, F.struct(F.lit(prio).alias("_p"), *[o.alias(f"_o{i}") for i, o in enumerate(order)]).alias("_ord"))
+
+    tagged = side(primary, 1).unionByName(side(secondary, 0))
+    w = F.max_by(F.struct(*[F.col(v) for v in values]), F.col("_ord")).alias("_w")
+    return tagged.groupBy(*keys).agg(w, F.max("_ord._p").alias("_best")).select(
         *keys, *[F.col(f"_w.{v}").alias(v) for v in values], (F.col("_best") == 0).alias("from_secondary")
     )
 

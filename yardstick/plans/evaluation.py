@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import answers, labels as L, records
 from ..operators import align, extract, metrics
-from ..sources import derived
+from ..session import checkpoint
+from ..sources import derived, scans
 from .oracle_common import ANSWERS_CTE, G_CTE, GT_CTE, P_CTE, R_CTE, with_ctes
 
 D = 6  # doubles are rounded to 6 places on both sides of the oracle compare
@@ -99,9 +100,7 @@ def q_datasets_without_truth(spark, sf):
     mapping of one entry); datasets with predictions but no mapping are reported."""
     g = derived.ground_truth(spark, sf)
     mapping = {"pairs-r": g.filter(F.col("dataset") == "pairs-r").drop("dataset")}
-    gt = align.ground_truth_table(
-        _union_mapping(mapping)
-    )
+    gt = align.ground_truth_table(scans.ground_truth_from_mapping(mapping))
     preds = raw_preds(spark, sf)
     known = gt.select("dataset").distinct()
     skipped = preds.join(known, "dataset", "left_anti")
@@ -111,12 +110,6 @@ def q_datasets_without_truth(spark, sf):
     )
 
 
-def _union_mapping(mapping: dict[str, DataFrame]) -> DataFrame:
-    from ..sources.scans import ground_truth_from_mapping
-
-    return ground_truth_from_mapping(mapping)
-
-
 def q_prediction_distribution(spark, sf):
     return metrics.value_counts(raw_preds(spark, sf), "dataset", "model", "prediction")
 
@@ -127,7 +120,8 @@ def q_reason_counts(spark, sf):
 
 
 def q_nested_metrics(spark, sf):
-    preds, gt = raw_preds(spark, sf), gt_table(spark, sf)
+    # both metric tables read the same deduplicated predictions: materialise them once
+    preds, gt = checkpoint(raw_preds(spark, sf)), gt_table(spark, sf)
     doc = metrics.nested_metrics(metrics.eval_metrics(preds, gt), metrics.metrics_by_reason(preds, gt))
     schema = "map<string, struct<accuracy: double, total_evaluated: bigint, per_rejection_reason: map<string, struct<count: bigint>>>>"
     parsed = doc.select("dataset", F.explode(F.from_json("metrics_json", schema)).alias("model", "m"))

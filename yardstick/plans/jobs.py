@@ -14,6 +14,7 @@ from ..functions import labels as L
 from ..functions import payloads as P
 from ..functions import records
 from ..operators import align, batching, chat, extract, metrics, sampling, scoring
+from ..session import checkpoint
 from ..sinks import writers
 from ..sources import scans
 
@@ -22,8 +23,6 @@ def extract_job(spark: SparkSession, input_prefix: str, output_path: str | None
     """L2: raw ``*.jsonl.out`` under a prefix -> parts-json rows (written when a path is
     given) plus the prediction and dataset distributions.  The parsed rows are
     checkpointed once, so the write and the counts read the same rows."""
-    from ..session import checkpoint
-
     lines = scans.raw_output_text(spark, input_prefix, glob)
     rows = checkpoint(extract.extracted_predictions(lines, input_prefix))
     if output_path:
@@ -52,8 +51,7 @@ def evaluate_outputs(
     a ``sample_id`` column; datasets without an entry are reported, not evaluated."""
     parts = scans.parts_json(spark, output_dir)
     parts = parts.filter(~F.col("malformed") & (F.element_at(F.split("file_path", "/"), -1) != "metrics.json"))
-    resolved = align.resolve_indices(extract.parts_predictions(parts), mode=reindex)
-    parts_preds = align.last_write_wins(resolved, order_cols=("file_path", "file_block_start", "line_pos"))
+    parts_preds = align.resolve_indices(extract.parts_predictions(parts), mode=reindex)
 
     lines = scans.discover_raw_lines(spark, output_dir)
     if raw_dataset_from == "dir":
@@ -62,9 +60,12 @@ def evaluate_outputs(
         )
     else:
         parsed = extract.parse_raw_lines(lines, mode, input_prefix=output_dir)
-    raw_preds = align.last_write_wins(parsed.filter(F.col("drop_reason").isNull()))
+    raw_preds = parsed.filter(F.col("drop_reason").isNull()).withColumn("file_path", F.col("source_file"))
 
-    preds = align.merge_precedence(parts_preds, raw_preds)
+    # dedup within each source and parts-over-raw precedence in one aggregation; the
+    # result feeds several outputs, so it is materialised once (reliable checkpoint)
+    order = ("file_path", "file_block_start", "line_pos")
+    preds = checkpoint(align.merge_precedence(parts_preds, raw_preds, order_cols=order))
     gt = align.ground_truth_table(scans.ground_truth_from_mapping(ground_truth))
     by_reason = metrics.metrics_by_reason(preds, gt)
     m = metrics.eval_metrics(preds, gt)

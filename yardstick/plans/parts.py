@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import records
 from ..operators import align, extract
 from ..sources import derived
-from .evaluation import raw_preds
 from .oracle_common import P_CTE, R_CTE, S_CTE, with_ctes
 
 
@@ -52,8 +51,11 @@ def q_last_write_wins(spark, sf):
 
 
 def q_merge_precedence(spark, sf):
-    primary = align.last_write_wins(parts_preds(spark, sf), order_cols=("source_file", "line_pos"))
-    return align.merge_precedence(primary, raw_preds(spark, sf))
+    """Parts rows (primary) over raw rows (secondary), each deduplicated by file/line
+    order, in one aggregation."""
+    primary = parts_preds(spark, sf)
+    secondary = extract.raw_predictions(derived.raw_output_lines(spark, sf), derived.RAW_PREFIX)
+    return align.merge_precedence(primary, secondary, order_cols=("source_file", "line_pos"))
 
 
 def q_flat_merge(spark, sf):
