@@ -46,6 +46,7 @@ def test_extract_job(spark, tmp_path):
     assert [(r.sample, r.prediction) for r in rows] == [(3, "yes")]
     assert rows[0].batch_path.startswith("folder/ds/m/batch_0/")
     assert spark.read.json(str(tmp_path / "parts")).count() == 1
+    assert res["parse_counts"]["lines"] == 2 and res["parse_counts"]["malformed"] == 1
 
 
 def test_prepare_batches_and_score(spark, tmp_path):

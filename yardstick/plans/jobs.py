@@ -21,14 +21,31 @@ from ..sources import scans
 
 def extract_job(spark: SparkSession, input_prefix: str, output_path: str | None = None, glob: str = "*.jsonl.out") -> dict:
     """L2: raw ``*.jsonl.out`` under a prefix -> parts-json rows (written when a path is
-    given) plus the prediction and dataset distributions.  The parsed rows are
-    checkpointed once, so the write and the counts read the same rows."""
+    given), the prediction and dataset distributions, and the parse-error counts.
+
+    The counts are collected with ``observe()`` during the one job that materialises
+    the rows (a reliable checkpoint), so the raw text is read once."""
+    from pyspark.sql import Observation
+
     lines = scans.raw_output_text(spark, input_prefix, glob)
-    rows = checkpoint(extract.extracted_predictions(lines, input_prefix))
+    parsed = extract.parse_raw_lines(lines, "raw_tail", input_prefix)
+    obs = Observation("parse")
+    reasons = [records.DROP_MALFORMED, records.DROP_NO_ID, records.DROP_ERROR, records.DROP_NO_CONTENT]
+    parsed = parsed.observe(
+        obs,
+        F.count(F.lit(1)).alias("lines"),
+        *[F.count_if(F.col("drop_reason") == r).alias(r) for r in reasons],
+    )
+    rows = checkpoint(
+        parsed.filter(F.col("sample_id").isNotNull() & F.col("prediction").isNotNull()).select(
+            F.col("sample_id").alias("sample"), "prediction", "batch_path", "source_file"
+        )
+    )
     if output_path:
         writers.write_predictions(rows, output_path)
     return {
         "rows": rows,
+        "parse_counts": obs.get,
         "by_prediction": metrics.value_counts(rows, "prediction"),
         "by_dataset": metrics.value_counts(rows.withColumn("dataset_name", F.get(F.split("batch_path", "/"), 1)), "dataset_name"),
     }
