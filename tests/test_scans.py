@@ -101,3 +101,12 @@ def test_manifest_roundtrip(spark, tmp_path):
 
 def test_mapping_parse():
     assert scans.parse_mapping(["a=/x=y", " b = /z "]) == {"a": "/x=y", "b": "/z"}
+
+
+def test_discovery_skips_unselected_large_inputs(spark, tmp_path):
+    d = str(tmp_path / "out2")
+    _write(f"{d}/batch_0.jsonl", ["{\"recordId\": \"sample_1\", \"payload\": \"" + "A" * 1000 + "\"}"])
+    _write(f"{d}/batch_0.jsonl.out", [_line(1)])
+    lines = scans.discover_raw_lines(spark, d)
+    files = {r.source_file.rsplit("/", 1)[-1] for r in lines.select("source_file").distinct().collect()}
+    assert files == {"batch_0.jsonl.out"}

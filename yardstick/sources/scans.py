@@ -40,30 +40,42 @@ def raw_output_text(spark: SparkSession, prefix: str, glob: str = "*.jsonl.out")
     return _with_file_order(df).select("value", "source_file", "file_block_start", "line_pos")
 
 
-# Discovery classes in the reference's fallback order (SRC-2).
+# Discovery classes in the reference's fallback order (SRC-2):
+# (class, file-name glob, recursive).  The first class with any file wins.
 _RAW_CLASSES = [
-    (0, r"^[^/]*\.jsonl\.out$", False),
-    (1, r"^[^/]*\.jsonl\.out\.[^/]*$", False),
-    (2, r"^[^/]*\.jsonl$", False),
-    (3, r"\.jsonl\.out$", True),
-    (4, r"\.jsonl\.out\.[^/]*$", True),
-    (5, r"\.jsonl$", True),
+    (0, "*.jsonl.out", False),
+    (1, "*.jsonl.out.*", False),
+    (2, "*.jsonl", False),
+    (3, "*.jsonl.out", True),
+    (4, "*.jsonl.out.*", True),
+    (5, "*.jsonl", True),
 ]
+_CLASS_NAME_RE = {"*.jsonl.out": r"\.jsonl\.out$", "*.jsonl.out.*": r"\.jsonl\.out\.[^/]*$", "*.jsonl": r"\.jsonl$"}
 
 
 def discover_raw_lines(spark: SparkSession, output_dir: str) -> DataFrame:
-    """SRC-2 (raw side): one recursive text scan; each file is ranked by the first
-    fallback pattern it matches (flat before recursive), and only files of the best
-    non-empty class are kept.  The best class is a one-row aggregate joined back."""
+    """SRC-2 (raw side).  Files are ranked from a ``binaryFile`` listing that reads paths
+    only (no content), the best class is one tiny aggregate, and only files of that
+    class are then scanned as text: large input files lying next to the outputs are
+    never read when output files exist."""
     base = output_dir.rstrip("/") + "/"
-    lines = raw_output_text(spark, output_dir, glob="*")
-    rel = F.regexp_replace(F.col("source_file"), r"^.*?" + _quote_path(base), "")
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output_dir).select("path")
+    )
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
     rank = F.lit(None).cast("int")
-    for cls, pattern, _recursive in reversed(_RAW_CLASSES):
-        rank = F.when(rel.rlike(pattern), F.lit(cls)).otherwise(rank)
-    ranked = lines.withColumn("_class", rank).filter(F.col("_class").isNotNull())
-    best = ranked.agg(F.min("_class").alias("_class"))
-    return ranked.join(F.broadcast(best), "_class").drop("_class")
+    for cls, glob, recursive in reversed(_RAW_CLASSES):
+        name_ok = rel.rlike(_CLASS_NAME_RE[glob])
+        depth_ok = F.lit(True) if recursive else ~rel.contains("/")
+        rank = F.when(name_ok & depth_ok, F.lit(cls)).otherwise(rank)
+    best = listing.agg(F.min(rank)).first()[0]  # one integer: the chosen class
+    if best is None:
+        return spark.createDataFrame([], "value string, source_file string, file_block_start bigint, line_pos bigint")
+    _, glob, recursive = _RAW_CLASSES[best]
+    lines = raw_output_text(spark, output_dir, glob=glob)
+    if not recursive:
+        lines = lines.filter(~F.regexp_replace("source_file", r"^.*?" + _quote_path(base), "").contains("/"))
+    return lines
 
 
 def _quote_path(p: str) -> str:
