@@ -110,3 +110,13 @@ def test_discovery_skips_unselected_large_inputs(spark, tmp_path):
     lines = scans.discover_raw_lines(spark, d)
     files = {r.source_file.rsplit("/", 1)[-1] for r in lines.select("source_file").distinct().collect()}
     assert files == {"batch_0.jsonl.out"}
+
+
+def test_discover_parts(spark, tmp_path):
+    d = str(tmp_path / "p")
+    rec = lambda i: json.dumps({"sample": i, "prediction": "yes", "batch_path": "o/ds/m/x"})
+    _write(f"{d}/run/part-00000.json", [rec(1)])
+    _write(f"{d}/metrics.json", [rec(9)])
+    assert sorted(r.sample for r in scans.discover_parts(spark, d).collect()) == [1]
+    _write(f"{d}/flat.json", [rec(2)])
+    assert sorted(r.sample for r in scans.discover_parts(spark, d).collect()) == [2]

@@ -66,8 +66,7 @@ def evaluate_outputs(
     reference) or the path below the directory (``'path'``).  Parts rows win over raw
     ones for the same key.  ``ground_truth`` maps dataset names to labelled tables with
     a ``sample_id`` column; datasets without an entry are reported, not evaluated."""
-    parts = scans.parts_json(spark, output_dir)
-    parts = parts.filter(~F.col("malformed") & (F.element_at(F.split("file_path", "/"), -1) != "metrics.json"))
+    parts = scans.discover_parts(spark, output_dir).filter(~F.col("malformed"))
     parts_preds = align.resolve_indices(extract.parts_predictions(parts), mode=reindex)
 
     lines = scans.discover_raw_lines(spark, output_dir)

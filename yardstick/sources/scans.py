@@ -106,6 +106,31 @@ def parts_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def discover_parts(spark: SparkSession, output_dir: str) -> DataFrame:
+    """SRC-2 (parts side): flat ``*.json`` files if any, else ``part-*.json`` at any
+    depth; ``metrics.json`` is never read.  Ranked from a content-free listing, then
+    only the chosen files are scanned tolerantly (SRC-4)."""
+    base = output_dir.rstrip("/") + "/"
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output_dir).select("path")
+    rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
+    name = F.element_at(F.split(rel, "/"), -1)
+    usable = rel.endswith(".json") & (name != "metrics.json")
+    cls = F.when(usable & ~rel.contains("/"), F.lit(0)).when(usable & name.startswith("part-"), F.lit(1))
+    best = listing.agg(F.min(cls)).first()[0]
+    if best is None:
+        return spark.createDataFrame([], parts_json_schema())
+    df = parts_json(spark, output_dir)
+    frel = F.regexp_replace(F.col("file_path"), r"^.*?" + _quote_path(base), "")
+    fname = F.element_at(F.split(frel, "/"), -1)
+    keep = (~frel.contains("/")) if best == 0 else fname.startswith("part-")
+    return df.filter(keep & (fname != "metrics.json"))
+
+
+def parts_json_schema() -> str:
+    return ("sample bigint, prediction string, batch_path string, source_file string, file_path string, "
+            "file_block_start bigint, line_pos bigint, malformed boolean")
+
+
 def is_parts_record(value: str = "value"):
     """SRC-3 per row: a JSON object holding both ``sample`` and ``prediction``."""
     v = F.try_parse_json(F.col(value))
