@@ -13,16 +13,22 @@ A scorer factory is a picklable zero-argument callable returning
 
 from __future__ import annotations
 
+import sys as _sys
 import time
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import answers
 
+# Code from this module runs inside Python workers; pickle it by value so the
+# workers need not have this package on their path (no --py-files needed).
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 RESULT_FIELDS = [
     T.StructField("model_response", T.StringType()),
     T.StructField("attempts", T.IntegerType()),

@@ -226,7 +226,7 @@ SELECT sample_id, 'sample_' || CAST(sample_id AS VARCHAR) AS record_id, CAST(200
 """,
     "payload_nova": _PG + """
 SELECT sample_id, 'sample_' || CAST(sample_id AS VARCHAR) AS record_id, CAST(5 AS BIGINT) AS n_blocks,
-       '[Source Image Main]' AS label0, NULL AS type0, 'jpeg' AS format, md5(b1) AS img1_md5, md5(b2) AS img2_md5 FROM pg
+       '[Source Image Main]' AS label0, CAST(NULL AS VARCHAR) AS type0, 'jpeg' AS format, md5(b1) AS img1_md5, md5(b2) AS img2_md5 FROM pg
 """,
     "payload_llama": _PG + f"""
 SELECT sample_id, 'sample_' || CAST(sample_id AS VARCHAR) AS record_id, CAST(20000 AS BIGINT) AS max_gen_len,

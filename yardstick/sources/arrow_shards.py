@@ -17,12 +17,18 @@ from __future__ import annotations
 
 import json
 import os
+import sys as _sys
 from dataclasses import dataclass
 
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 NAME = "arrow_shards"
 
+# Code from this module runs inside Python workers; pickle it by value so the
+# workers need not have this package on their path (no --py-files needed).
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 
 def shard_listing(path: str) -> tuple[list[str], int]:
     """(existing shard files, number of listed shards that are missing)."""
