@@ -45,6 +45,14 @@ def _digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:16]
 
 
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "BooleanType": "BOOLEAN", "BinaryType": "BLOB", "FloatType": "FLOAT", "ShortType": "SMALLINT"}
+
+
+def _types(sdf):
+    return {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in sdf.schema.fields}
+
+
 def compare(spark, con, sf_dir, key, fn, sql):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -59,7 +67,9 @@ def compare(spark, con, sf_dir, key, fn, sql):
     ok_cols = sorted(scols) == sorted(dcols)
     ok_n = len(srows) == len(drows)
     ok_h = ok_cols and _digest(scols, srows) == _digest(dcols, drows)
-    return dict(key=key, rows=len(srows), oracle_rows=len(drows), cols=ok_cols, count=ok_n, hash=ok_h,
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    ok_t = all(t == dtypes.get(c) for c, t in _types(sdf).items())
+    return dict(key=key, rows=len(srows), oracle_rows=len(drows), cols=ok_cols, count=ok_n, hash=ok_h, types=ok_t,
                 sec=round(dt, 2), scols=None if ok_cols else scols, dcols=None if ok_cols else dcols)
 
 

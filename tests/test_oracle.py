@@ -27,6 +27,7 @@ def test_query_matches_oracle(spark, con, sf_small, key):
     assert r["cols"], r
     assert r["count"], r
     assert r["hash"], r
+    assert r["types"], r
 
 
 def test_every_query_has_an_oracle():
