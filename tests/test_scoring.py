@@ -24,3 +24,19 @@ def test_too_few_retries_exhaust(spark):
     out = scoring.score(df, scoring.StubScorer(), ["sample_id"], max_retries=1, retry_delay=0.0)
     failed = {r.sample_id for r in out.filter("failed").collect()}
     assert failed == {i for i in range(10) if i % 3 != 0 or i % 17 == 0}
+
+
+def test_drop_input_columns(spark):
+    df = spark.range(0, 6).select(F.col("id").alias("sample_id"), F.lit(b"big").alias("image"))
+    out = scoring.score(df, scoring.StubScorer(), ["sample_id"], retry_delay=0.0, keep_input=False)
+    assert out.columns == ["sample_id", "model_response", "attempts", "failed"]
+
+
+def test_seeded_head(spark):
+    from yardstick.operators.batching import seeded_head
+
+    df = spark.range(0, 500).select(F.col("id").alias("sample_id"))
+    a = {r.sample_id for r in seeded_head(df, 30, seed=5).collect()}
+    b = {r.sample_id for r in seeded_head(df, 30, seed=5).collect()}
+    assert len(a) == 30 and a == b
+    assert seeded_head(df, 1000).count() == 500

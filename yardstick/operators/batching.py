@@ -77,3 +77,9 @@ def batch_manifest(
         F.concat(F.lit(f"s3://{bucket}/{out_prefix}/batch_"), b, F.lit("/")).alias("output_uri"),
         F.concat(F.lit(f"{job_prefix}-batch-"), b, F.lit(f"-{timestamp}")).alias("job_name"),
     )
+
+
+def seeded_head(df: DataFrame, n: int, seed: int = 42, id_col: str = "sample_id") -> DataFrame:
+    """BAT-5: the first ``n`` rows of a seeded shuffle (all rows when fewer exist), by
+    position from the distributed index rather than a single-task ``orderBy().limit(n)``."""
+    return positions(df, seed, id_col).filter(F.col("pos") < n)

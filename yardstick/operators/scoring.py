@@ -74,11 +74,16 @@ def score(
     max_retries: int = 3,
     retry_delay: float = 2.0,
     concurrency: int | None = None,
+    keep_input: bool = True,
 ) -> DataFrame:
     """UDF-3/UDF-4: every row scored, with up to ``max_retries`` attempts and a linear
     backoff ``retry_delay * attempt`` (none after the last); an exhausted row gets
     ``model_response = 'ERROR: ...'`` and ``failed = true``.  ``concurrency`` repartitions
-    to bound the number of scorers running at once."""
+    to bound the number of scorers running at once; ``keep_input=False`` drops the input
+    columns other than ``input_cols`` before scoring (the reference's ``remove_columns``),
+    so wide columns such as images never cross into Python needlessly."""
+    if not keep_input:
+        df = df.select(*input_cols)
     if concurrency:
         df = df.repartition(concurrency)
     schema = T.StructType(df.schema.fields + RESULT_FIELDS)
