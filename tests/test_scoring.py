@@ -40,3 +40,13 @@ def test_seeded_head(spark):
     b = {r.sample_id for r in seeded_head(df, 30, seed=5).collect()}
     assert len(a) == 30 and a == b
     assert seeded_head(df, 1000).count() == 500
+
+
+def test_seeded_head_paths_agree(spark, monkeypatch):
+    from yardstick.operators import batching
+
+    df = spark.range(0, 400).select(F.col("id").alias("sample_id"))
+    small = sorted((r.sample_id, r.pos) for r in batching.seeded_head(df, 50, seed=3).collect())
+    monkeypatch.setattr(batching, "TOPK_ROWS", 10)
+    large = sorted((r.sample_id, r.pos) for r in batching.seeded_head(df, 50, seed=3).collect())
+    assert small == large and len(small) == 50

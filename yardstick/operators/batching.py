@@ -79,7 +79,17 @@ def batch_manifest(
     )
 
 
+TOPK_ROWS = 100_000  # up to this n a top-k merge (n rows per partition) is cheaper than a full index
+
+
 def seeded_head(df: DataFrame, n: int, seed: int = 42, id_col: str = "sample_id") -> DataFrame:
-    """BAT-5: the first ``n`` rows of a seeded shuffle (all rows when fewer exist), by
-    position from the distributed index rather than a single-task ``orderBy().limit(n)``."""
+    """BAT-5: the first ``n`` rows of a seeded shuffle (all rows when fewer exist) with
+    their position.  For a bounded ``n`` this is a top-k (each partition keeps n rows,
+    the merge sees at most n x partitions); beyond ``TOPK_ROWS`` the positions come from
+    the distributed index, since the subset then grows with the data."""
+    if n <= TOPK_ROWS:
+        from pyspark.sql import Window
+
+        top = df.withColumn("_h", seeded_hash(seed, id_col)).orderBy("_h", id_col).limit(n)
+        return top.withColumn("pos", (F.row_number().over(Window.orderBy("_h", id_col)) - 1).cast("bigint")).drop("_h")
     return positions(df, seed, id_col).filter(F.col("pos") < n)
