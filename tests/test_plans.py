@@ -48,3 +48,13 @@ def test_nested_and_flat_image_order_agree(spark, sf_small):
     a = sorted((r.conv_id, r.pos, bytes(r.image)) for r in nested.collect())
     b = sorted((r.conv_id, r.pos, bytes(r.image)) for r in flat.collect())
     assert a == b and len(a) > 0
+
+
+def test_filters_do_not_repeat_the_parse(spark, sf_small):
+    from yardstick.operators import extract
+    from yardstick.sources import derived
+
+    rp = extract.raw_predictions(derived.raw_output_lines(spark, sf_small), derived.RAW_PREFIX)
+    plan = rp._jdf.queryExecution().optimizedPlan().toString()
+    filters = [ln for ln in plan.splitlines() if ln.strip().startswith(("Filter", "+- Filter", ":- Filter"))]
+    assert filters and not any("try_variant_get" in ln or "parse_json" in ln for ln in filters)

@@ -55,7 +55,16 @@ def parse_raw_lines(lines: DataFrame, mode: str = "contains", input_prefix: str
             records.dataset_name(bp).alias("dataset"),
             records.model_name(bp).alias("model"),
         ]
-    return step.select(*out_cols)
+    return pin_columns(step.select(*out_cols))
+
+
+def pin_columns(df: DataFrame) -> DataFrame:
+    """A 1:1 ``inline`` of a one-element array.  Catalyst pushes a filter through any
+    deterministic projection by inlining the projected expressions, which would run the
+    whole parse a second time inside the caller's ``drop_reason``/``prediction``
+    predicate.  Predicates on generator output cannot move below a Generate, so the
+    caller's filter reads the computed columns."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def extracted_predictions(lines: DataFrame, input_prefix: str) -> DataFrame:
