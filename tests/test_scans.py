@@ -116,7 +116,38 @@ def test_discover_parts(spark, tmp_path):
     d = str(tmp_path / "p")
     rec = lambda i: json.dumps({"sample": i, "prediction": "yes", "batch_path": "o/ds/m/x"})
     _write(f"{d}/run/part-00000.json", [rec(1)])
-    _write(f"{d}/metrics.json", [rec(9)])
+    _write(f"{d}/run/metrics.json", [rec(8)])
     assert sorted(r.sample for r in scans.discover_parts(spark, d).collect()) == [1]
     _write(f"{d}/flat.json", [rec(2)])
     assert sorted(r.sample for r in scans.discover_parts(spark, d).collect()) == [2]
+
+
+def test_flat_metrics_json_stops_the_recursive_search(spark, tmp_path):
+    # as in the reference: any flat *.json selects the flat class, metrics.json is then
+    # skipped, and part files in sub-folders are not searched
+    d = str(tmp_path / "p")
+    rec = lambda i: json.dumps({"sample": i, "prediction": "yes", "batch_path": "o/ds/m/x"})
+    _write(f"{d}/run/part-00000.json", [rec(1)])
+    _write(f"{d}/metrics.json", [json.dumps({"accuracy": 1.0})])
+    assert scans.discover_parts(spark, d).count() == 0
+
+
+def test_parts_sniff_uses_first_line(spark, tmp_path):
+    d = str(tmp_path / "p")
+    rec = lambda i: json.dumps({"sample": i, "prediction": "no", "batch_path": "o/ds/m/x"})
+    _write(f"{d}/a/part-00000.json", [rec(1), rec(2)])
+    _write(f"{d}/b/part-00000.json", [json.dumps({"note": "x"}), rec(3)])  # first line is not a parts record
+    _write(f"{d}/c/part-00000.json", ["", rec(4)])  # blank first line: not a parts file either
+    _write(f"{d}/e/part-00000.json", [json.dumps({"sample": None, "prediction": "no"}), rec(5)])  # keys present
+    assert sorted(r.sample for r in scans.discover_parts(spark, d).collect() if r.sample is not None) == [1, 2, 5]
+    assert sorted(r.sample for r in scans.discover_parts(spark, d, sniff=False).collect() if r.sample is not None) == [1, 2, 3, 4, 5]
+
+
+def test_name_data_files(spark, tmp_path):
+    from yardstick.sinks import writers
+
+    d = str(tmp_path / "named")
+    spark.createDataFrame([("a",), ("b",)], "value string").repartition(2).write.text(d)
+    assert writers.name_data_files(spark, d, ".jsonl.out") == len(scans.data_files(spark, d))
+    assert all(p.endswith(".jsonl.out") for p in scans.data_files(spark, d))
+    assert sorted(r.value for r in scans.raw_output_text(spark, d).collect()) == ["a", "b"]

@@ -51,21 +51,20 @@ def extract_job(spark: SparkSession, input_prefix: str, output_path: str | None
     }
 
 
-def evaluate_outputs(
+def discovered_predictions(
     spark: SparkSession,
     output_dir: str,
-    ground_truth: dict[str, DataFrame],
     reindex: str = "never",
     mode: str = "contains",
     raw_dataset_from: str = "dir",
-) -> dict:
-    """L3: parts-json and raw lines found under ``output_dir`` -> metrics per (dataset, model).
+) -> tuple[DataFrame, DataFrame]:
+    """L3 input side: parts-json and raw lines found under ``output_dir`` (SRC-2/3) ->
+    (merged predictions, parsed raw lines for the drop counts).
 
     Parts rows take dataset/model from ``batch_path``; raw lines take the output
     directory's name and model ``unknown`` (``raw_dataset_from='dir'``, as the
     reference) or the path below the directory (``'path'``).  Parts rows win over raw
-    ones for the same key.  ``ground_truth`` maps dataset names to labelled tables with
-    a ``sample_id`` column; datasets without an entry are reported, not evaluated."""
+    ones for the same (dataset, model, sample_id); within a source the last line wins."""
     parts = scans.discover_parts(spark, output_dir).filter(~F.col("malformed"))
     parts_preds = align.resolve_indices(extract.parts_predictions(parts), mode=reindex)
 
@@ -78,10 +77,26 @@ def evaluate_outputs(
         parsed = extract.parse_raw_lines(lines, mode, input_prefix=output_dir)
     raw_preds = parsed.filter(F.col("drop_reason").isNull()).withColumn("file_path", F.col("source_file"))
 
-    # dedup within each source and parts-over-raw precedence in one aggregation; the
-    # result feeds several outputs, so it is materialised once (reliable checkpoint)
+    # dedup within each source and parts-over-raw precedence in one aggregation
     order = ("file_path", "file_block_start", "line_pos")
-    preds = checkpoint(align.merge_precedence(parts_preds, raw_preds, order_cols=order))
+    return align.merge_precedence(parts_preds, raw_preds, order_cols=order), parsed
+
+
+def evaluate_outputs(
+    spark: SparkSession,
+    output_dir: str,
+    ground_truth: dict[str, DataFrame],
+    reindex: str = "never",
+    mode: str = "contains",
+    raw_dataset_from: str = "dir",
+) -> dict:
+    """L3: parts-json and raw lines found under ``output_dir`` -> metrics per (dataset, model).
+
+    ``ground_truth`` maps dataset names to labelled tables with a ``sample_id`` column;
+    datasets without an entry are reported, not evaluated."""
+    merged, parsed = discovered_predictions(spark, output_dir, reindex, mode, raw_dataset_from)
+    # the merged predictions feed several outputs, so they are materialised once
+    preds = checkpoint(merged)
     gt = align.ground_truth_table(scans.ground_truth_from_mapping(ground_truth))
     by_reason = metrics.metrics_by_reason(preds, gt)
     m = metrics.eval_metrics(preds, gt)

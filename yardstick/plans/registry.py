@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["evaluation", "parts", "labelling", "sampling", "payloads", "chat", "scoring", "reports", "io", "json_answers"]
+_MODULES = ["evaluation", "parts", "labelling", "sampling", "payloads", "chat", "scoring", "reports", "io", "json_answers", "files"]
 
 
 def _load():

@@ -102,3 +102,26 @@ def write_holdout_results(summary: DataFrame, predictions: DataFrame, path: str,
     s = summary if elapsed_s is None else summary.withColumn("elapsed_s", F.lit(round(elapsed_s, 1)))
     s.write.mode("overwrite").json(f"{path}/summary")
     predictions.write.mode("overwrite").json(f"{path}/predictions")
+
+
+def name_data_files(spark, path: str, suffix: str) -> int:
+    """Give the data files Spark wrote below ``path`` (``part-*``) the file-name suffix a
+    consumer selects on, e.g. ``.jsonl.out`` for raw batch outputs (Spark's text writer
+    always ends names in ``.txt``).  Metadata only: one rename per written file through
+    the Hadoop file system (any shared store), never a read of the rows; the number of
+    files is the number of write tasks.  Returns the number of files renamed."""
+    import re
+
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listFiles(root, True)
+    todo = []
+    while found.hasNext():
+        p = found.next().getPath()
+        if p.getName().startswith("part-"):
+            todo.append(p)
+    for p in todo:
+        base = re.sub(r"(\.c\d{3})?\.(txt|json)$", "", p.getName())
+        fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), base + suffix))
+    return len(todo)

@@ -106,24 +106,49 @@ def parts_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def discover_parts(spark: SparkSession, output_dir: str) -> DataFrame:
-    """SRC-2 (parts side): flat ``*.json`` files if any, else ``part-*.json`` at any
-    depth; ``metrics.json`` is never read.  Ranked from a content-free listing, then
-    only the chosen files are scanned tolerantly (SRC-4)."""
+def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) -> DataFrame:
+    """SRC-2 (parts side) and SRC-3, in the reference's fallback order.
+
+    Any flat ``*.json`` file (``metrics.json`` included) selects the flat class, and
+    then the recursive ``part-*.json`` search is not made; ``metrics.json`` itself is
+    never read.  With ``sniff`` a chosen file is kept only when its first line is a
+    JSON object holding ``sample`` and ``prediction``.  Files are ranked from a
+    content-free listing, then only the chosen class is scanned tolerantly (SRC-4)."""
     base = output_dir.rstrip("/") + "/"
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output_dir).select("path")
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
     name = F.element_at(F.split(rel, "/"), -1)
-    usable = rel.endswith(".json") & (name != "metrics.json")
-    cls = F.when(usable & ~rel.contains("/"), F.lit(0)).when(usable & name.startswith("part-"), F.lit(1))
-    best = listing.agg(F.min(cls)).first()[0]
+    is_json = rel.endswith(".json")
+    cls = F.when(is_json & ~rel.contains("/"), F.lit(0)).when(is_json & name.startswith("part-"), F.lit(1))
+    best = listing.agg(F.min(cls)).first()[0]  # one integer: the chosen class
     if best is None:
         return spark.createDataFrame([], parts_json_schema())
     df = parts_json(spark, output_dir)
-    frel = F.regexp_replace(F.col("file_path"), r"^.*?" + _quote_path(base), "")
+    keep = _parts_class_filter("file_path", base, best)
+    df = df.filter(keep)
+    if not sniff:
+        return df
+    # SRC-3: the first line of each chosen file.  Only rows of a file's first split
+    # qualify; min_by keeps one candidate per file and task before the shuffle, so
+    # the per-file table has one row per file and AQE broadcasts it when it is small.
+    text = _with_file_order(
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(output_dir)
+    ).select("value", F.col("source_file").alias("file_path"), "file_block_start", "line_pos")
+    first = (
+        text.filter((F.col("file_block_start") == 0) & _parts_class_filter("file_path", base, best))
+        .groupBy("file_path")
+        .agg(F.min_by("value", "line_pos").alias("_first"))
+        .filter(is_parts_record("_first"))
+        .select("file_path")
+    )
+    return df.join(first, "file_path", "left_semi")
+
+
+def _parts_class_filter(path_col: str, base: str, best: int):
+    frel = F.regexp_replace(F.col(path_col), r"^.*?" + _quote_path(base), "")
     fname = F.element_at(F.split(frel, "/"), -1)
-    keep = (~frel.contains("/")) if best == 0 else fname.startswith("part-")
-    return df.filter(keep & (fname != "metrics.json"))
+    chosen = (~frel.contains("/")) if best == 0 else fname.startswith("part-")
+    return chosen & (fname != "metrics.json")
 
 
 def parts_json_schema() -> str:
@@ -189,6 +214,20 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> tuple[list[str], in
     return kept, len(paths) - len(kept)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files (``part-*``) Spark wrote below ``path``: a metadata listing through
+    the Hadoop file system, one entry per written file (not per row)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    out = []
+    while found.hasNext():
+        p = found.next().getPath()
+        if p.getName().startswith("part-"):
+            out.append(p.toString())
+    return sorted(out)
+
+
 def robust_dataset(spark: SparkSession, shard_paths: list[str]) -> tuple[DataFrame, int]:
     """SRC-7: load a dataset from its shard list while skipping missing shards; raise
     when none is left.  Files that vanish between listing and reading are skipped
