@@ -32,3 +32,27 @@ def test_read_shards(spark, tmp_path):
     assert len(rows) == 10
     assert sorted(int(bytes(r.xsource_image.bytes)) for r in rows) == list(range(10))
     assert shard_listing(str(d))[1] == 1
+
+
+def test_read_shards_by_uri(spark, tmp_path):
+    d = tmp_path / "uri"
+    d.mkdir()
+    _shard(d / "data-00000-of-00001.arrow", range(0, 4))
+    register(spark)
+    df = spark.read.format("arrow_shards").load(f"file://{d}")
+    assert sorted(r.label for r in df.collect()) == ["accept", "accept", "reject", "reject"]
+    assert shard_listing(f"file://{d}") == ([f"file://{d}/data-00000-of-00001.arrow"], 0)
+
+
+def test_write_then_read_shards(spark, tmp_path):
+    from yardstick.sources.arrow_shards import write_arrow_shards
+
+    d = str(tmp_path / "written")
+    src = spark.range(0, 50, numPartitions=4).selectExpr("id AS sample_id", "CAST(id % 3 AS STRING) AS label")
+    names = write_arrow_shards(src, d)
+    assert names == [f"data-{i:05d}-of-00004.arrow" for i in range(4)]
+    register(spark)
+    back = spark.read.format("arrow_shards").load(d)
+    assert back.rdd.getNumPartitions() == 4
+    assert sorted(r.sample_id for r in back.collect()) == list(range(50))
+    assert shard_listing(d)[1] == 0

@@ -20,17 +20,21 @@ from .jobs import discovered_predictions
 from .oracle_common import ANSWERS_CTE, G_CTE, R_CTE, S_CTE, with_ctes
 
 
+# Records per output file in the written trees: the reference's default batch size.
+BATCH_SIZE = 500
+
+
 def _n(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _model_lines(spark, sf) -> DataFrame:
-    """R lines with their dataset, model and batch (taken from the derived path)."""
+    """R lines with their dataset, model and output batch of ``BATCH_SIZE`` ids."""
     return derived.raw_output_lines(spark, sf).select(
         "value",
         F.regexp_extract("source_file", r"outputs/([^/]+)/", 1).alias("dataset"),
         F.regexp_extract("source_file", r"outputs/[^/]+/([^/]+)/", 1).alias("model"),
-        F.regexp_extract("source_file", r"batch_(\d+)", 1).cast("bigint").alias("batch"),
+        F.expr(f"line_pos div {BATCH_SIZE}").alias("batch"),
         "source_file",
         "file_block_start",
         "line_pos",
@@ -55,39 +59,43 @@ def _write_text(df: DataFrame, path: str, suffix: str, partition_cols=(), order=
 def q_scan_discovery(spark, sf):
     """SRC-2/SRC-3 + JON-4 on an output folder named after its dataset (``pairs-r``):
 
-    * ``raw/batch=<k>/*.jsonl.out``: model-a's raw lines (recursive ``*.jsonl.out``, chosen);
-    * ``stale/*.jsonl``: model-b's raw lines (recursive ``*.jsonl``, a later fallback: not read);
+    * ``kind=raw/batch=<k>/*.jsonl.out``: model-a's raw lines (recursive ``*.jsonl.out``, chosen);
+    * ``kind=stale/batch=<k>/*.jsonl``: model-b's raw lines (recursive ``*.jsonl``, a later
+      fallback: not read);
     * ``extract/part-*.json``: the extraction job's parts rows of model-b's lines (chosen);
-    * ``extract-old/batch=<k>/part-*.json``: parts rows that all say ``yes`` under a first
-      line that is not a parts record (the sniff drops the whole file).
+    * ``kind=old/batch=<k>/part-*.json``: parts rows that all say ``yes`` under a first line
+      that is not a parts record (the sniff drops the whole file).
 
     Result: the merged predictions (parts rows by batch_path; raw rows as dataset
     ``pairs-r``, model ``unknown``)."""
-    root = scratch_path(spark, "discovery")
-    out = f"{root}/pairs-r"
+    out = f"{scratch_path(spark, 'discovery')}/pairs-r"
     lines = _model_lines(spark, sf)
-    a, b = lines.filter(F.col("model") == "model-a"), lines.filter(F.col("model") == "model-b")
-    _write_text(a, f"{out}/raw", ".jsonl.out", partition_cols=("batch",))
-    _write_text(b, f"{out}/stale", ".jsonl")
+    b = lines.filter(F.col("model") == "model-b")
     parts = extract.extracted_predictions(b, derived.RAW_PREFIX)
-    writers.write_predictions(parts, f"{out}/extract")
-    # one file per batch of 50 ids (hash partitioned on the batch, so no file is split
-    # and each starts with its note line); the files are bounded, their number grows
-    batch = F.regexp_extract("source_file", r"batch_(\d+)", 1).cast("bigint")
+    kind = F.when(F.col("model") == "model-a", F.lit("raw")).otherwise(F.lit("stale"))
+    raw = lines.select(kind.alias("kind"), "batch", "line_pos", "value")
     old = parts.select(
-        batch.alias("batch"),
+        F.lit("old").alias("kind"),
+        F.expr(f"sample div {BATCH_SIZE}").alias("batch"),
         F.col("sample").alias("line_pos"),
         F.to_json(F.struct("sample", F.lit("yes").alias("prediction"), "batch_path", "source_file")).alias("value"),
     )
-    note = old.select("batch").distinct().select(
-        "batch", F.lit(-1).cast("bigint").alias("line_pos"), F.to_json(F.struct(F.lit("superseded run").alias("note"))).alias("value")
+    note = old.select("kind", "batch").distinct().select(
+        "kind", "batch", F.lit(-1).cast("bigint").alias("line_pos"),
+        F.to_json(F.struct(F.lit("superseded run").alias("note"))).alias("value"),
     )
-    old_path = f"{out}/extract-old"
+    # One write for the three text trees.  Hash partitioning on (kind, batch) keeps each
+    # file whole (so every old file starts with its note line); a (kind, batch) group
+    # holds at most BATCH_SIZE lines, so no task gets a group that grows with the data.
     (
-        note.unionByName(old).repartition(_n(spark), "batch").sortWithinPartitions("batch", "line_pos")
-        .select("batch", "value").write.mode("overwrite").partitionBy("batch").text(old_path)
+        raw.unionByName(old).unionByName(note)
+        .repartition(_n(spark), "kind", "batch")
+        .sortWithinPartitions("kind", "batch", "line_pos")
+        .select("kind", "batch", "value")
+        .write.mode("overwrite").partitionBy("kind", "batch").text(out)
     )
-    writers.name_data_files(spark, old_path, ".json")
+    writers.name_data_files(spark, out, {"kind=raw": ".jsonl.out", "kind=stale": ".jsonl", "kind=old": ".json"})
+    writers.write_predictions(parts, f"{out}/extract")  # after the tree: its overwrite clears the folder
     merged, _ = discovered_predictions(spark, out)
     return merged.select("dataset", "model", "sample_id", "prediction")
 
@@ -146,6 +154,22 @@ def q_scan_missing_files(spark, sf):
     return df.withColumn("skipped_shards", F.lit(skipped).cast("bigint"))
 
 
+def q_arrow_shards(spark, sf):
+    """SRC-6/SRC-7 in the Arrow-shard layout: the labelled dataset written as one shard
+    per task plus ``state.json``, which then also lists a shard that does not exist; the
+    Python data source reads one partition per existing shard and the missing one is
+    skipped and counted."""
+    from ..sources import arrow_shards as AS
+
+    path = scratch_path(spark, "arrow-dataset")
+    g = derived.ground_truth(spark, sf).repartitionByRange(_n(spark), "sample_id")
+    names = AS.write_arrow_shards(g, path, state=False)
+    AS.write_state(path, names + [f"data-{len(names):05d}-of-{len(names):05d}.arrow"])
+    AS.register(spark)
+    skipped = AS.shard_listing(path)[1]
+    return spark.read.format(AS.NAME).load(path).withColumn("skipped_shards", F.lit(skipped).cast("bigint"))
+
+
 def q_image_resolve(spark, sf):
     """SRC-10/JON-10: image cells ``struct<bytes, path>`` over ``pages``: a third carry the
     bytes, a third only a path to a file written from the page, a third a path to a
@@ -174,6 +198,7 @@ QUERIES = {
     "scan_tolerant": q_scan_tolerant,
     "scan_tolerant_raw": q_scan_tolerant_raw,
     "scan_missing_files": q_scan_missing_files,
+    "arrow_shards": q_arrow_shards,
     "image_resolve": q_image_resolve,
 }
 
@@ -191,6 +216,7 @@ SELECT NULL, NULL, NULL, '', true FROM s WHERE line_pos % 11 = 0
 """,
     "scan_tolerant_raw": ev.ORACLE["parse_drops"],
     "scan_missing_files": with_ctes(G_CTE) + "SELECT *, CAST(2 AS BIGINT) AS skipped_shards FROM g",
+    "arrow_shards": with_ctes(G_CTE) + "SELECT *, CAST(1 AS BIGINT) AS skipped_shards FROM g",
     "image_resolve": """
 SELECT page_id,
        CASE page_id % 3 WHEN 0 THEN md5(html) WHEN 1 THEN md5(html || chr(10)) END AS image_md5,

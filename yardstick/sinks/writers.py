@@ -104,24 +104,35 @@ def write_holdout_results(summary: DataFrame, predictions: DataFrame, path: str,
     predictions.write.mode("overwrite").json(f"{path}/predictions")
 
 
-def name_data_files(spark, path: str, suffix: str) -> int:
+def name_data_files(spark, path: str, suffix: str | dict[str, str]) -> int:
     """Give the data files Spark wrote below ``path`` (``part-*``) the file-name suffix a
     consumer selects on, e.g. ``.jsonl.out`` for raw batch outputs (Spark's text writer
     always ends names in ``.txt``).  Metadata only: one rename per written file through
     the Hadoop file system (any shared store), never a read of the rows; the number of
-    files is the number of write tasks.  Returns the number of files renamed."""
+    files is the number of write tasks.  ``suffix`` may map a folder name below ``path``
+    (e.g. ``kind=raw``) to its suffix; files in other folders keep their names.
+    Returns the number of files renamed."""
     import re
 
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # resolved once, not per file
+    root = Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = fs.listFiles(root, True)
     todo = []
     while found.hasNext():
-        p = found.next().getPath()
-        if p.getName().startswith("part-"):
+        p = found.next().getPath().toString()
+        if p.rsplit("/", 1)[-1].startswith("part-"):
             todo.append(p)
+    base = str(root.toUri().getPath()).rstrip("/") + "/"
+    done = 0
     for p in todo:
-        base = re.sub(r"(\.c\d{3})?\.(txt|json)$", "", p.getName())
-        fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), base + suffix))
-    return len(todo)
+        if isinstance(suffix, dict):
+            top = p.split(base, 1)[-1].split("/", 1)[0]
+            if top not in suffix:
+                continue
+            end = suffix[top]
+        else:
+            end = suffix
+        fs.rename(Path(p), Path(re.sub(r"(\.c\d{3})?\.(txt|json)$", "", p) + end))
+        done += 1
+    return done

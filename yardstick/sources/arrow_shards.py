@@ -5,8 +5,8 @@ Python Data Source (SRC-6, SRC-7).
 One input partition per shard; each task opens its shard and yields Arrow record
 batches, so nothing passes through the driver but the shard list and one schema.
 Shards listed in ``state.json`` but missing on disk are skipped (their number is
-reported by ``shard_listing``); reading fails when none is left.  Paths are local
-or mounted paths, as the format's own loader expects.
+reported by ``shard_listing``); reading fails when none is left.  Paths are URIs of
+any file system pyarrow reaches (``s3://``, ``hdfs://``, ``gs://``) or local paths.
 
     from yardstick.sources.arrow_shards import register
     register(spark)
@@ -30,28 +30,50 @@ NAME = "arrow_shards"
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 
+def _filesystem(path: str):
+    """(pyarrow file system, path inside it) for a URI (``s3://``, ``hdfs://``, ``gs://``,
+    ``file:``) or a plain local path; local files are memory-mapped."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        filesystem, inner = fs.FileSystem.from_uri(path)
+        if isinstance(filesystem, fs.LocalFileSystem):
+            filesystem = fs.LocalFileSystem(use_mmap=True)
+        return filesystem, inner
+    return fs.LocalFileSystem(use_mmap=True), os.path.abspath(path)
+
+
 def shard_listing(path: str) -> tuple[list[str], int]:
-    """(existing shard files, number of listed shards that are missing)."""
-    state = os.path.join(path, "state.json")
-    if os.path.exists(state):
-        with open(state) as f:
-            listed = [os.path.join(path, d["filename"]) for d in json.load(f).get("_data_files", [])]
+    """(existing shard files, number of listed shards that are missing).  A metadata
+    pass on the driver: ``state.json`` (or a folder listing) and one existence check
+    per listed shard; no shard is read."""
+    from pyarrow import fs
+
+    filesystem, inner = _filesystem(path)
+    base, inner = path.rstrip("/"), inner.rstrip("/")
+    state = f"{inner}/state.json"
+    if filesystem.get_file_info(state).type != fs.FileType.NotFound:
+        with filesystem.open_input_stream(state) as f:
+            names = [d["filename"] for d in json.loads(f.read().decode("utf-8")).get("_data_files", [])]
     else:
-        listed = sorted(os.path.join(path, n) for n in os.listdir(path) if n.endswith(".arrow"))
-    kept = [p for p in listed if os.path.exists(p)]
+        found = filesystem.get_file_info(fs.FileSelector(inner))
+        names = sorted(i.base_name for i in found if i.base_name.endswith(".arrow"))
+    infos = filesystem.get_file_info([f"{inner}/{n}" for n in names])
+    kept = [f"{base}/{n}" for n, i in zip(names, infos) if i.type != fs.FileType.NotFound]
     if not kept:
-        raise FileNotFoundError(f"no shard of {path} exists ({len(listed)} listed)")
-    return kept, len(listed) - len(kept)
+        raise FileNotFoundError(f"no shard of {path} exists ({len(names)} listed)")
+    return kept, len(names) - len(kept)
 
 
 def _open(path: str):
     import pyarrow as pa
 
-    source = pa.memory_map(path, "r")
+    filesystem, inner = _filesystem(path)
+    source = filesystem.open_input_file(inner)
     try:
         return pa.ipc.open_stream(source)
     except pa.ArrowInvalid:
-        return pa.ipc.open_file(source)
+        return pa.ipc.open_file(filesystem.open_input_file(inner))
 
 
 @dataclass
@@ -94,3 +116,47 @@ class ArrowShardSource(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(ArrowShardSource)
+
+
+def write_state(path: str, filenames: list[str]) -> None:
+    """``state.json`` naming the shards in order (the part of the format the reader uses)."""
+    filesystem, inner = _filesystem(path)
+    filesystem.create_dir(inner.rstrip("/"), recursive=True)
+    with filesystem.open_output_stream(f"{inner.rstrip('/')}/state.json") as f:
+        f.write(json.dumps({"_data_files": [{"filename": n} for n in filenames]}, indent=2).encode("utf-8"))
+
+
+def write_arrow_shards(df, path: str, state: bool = True) -> list[str]:
+    """Write ``df`` in the Arrow-shard layout: each task streams its partition's Arrow
+    batches into one shard ``data-<k>-of-<n>.arrow`` (written under a per-attempt name,
+    then moved into place, so a retried or speculative task never leaves a partial
+    shard), and the driver writes ``state.json`` from the one row per shard the tasks
+    return.  Returns the shard names in partition order."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    n = df.rdd.getNumPartitions()
+    arrow_schema = to_arrow_schema(df.schema)
+    base = path.rstrip("/")
+
+    def write(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        ctx = TaskContext.get()
+        name = f"data-{ctx.partitionId():05d}-of-{n:05d}.arrow"
+        filesystem, inner = _filesystem(f"{base}/{name}")
+        tmp = f"{inner}.attempt-{ctx.attemptNumber()}-{ctx.taskAttemptId()}"
+        filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        rows = 0
+        with filesystem.open_output_stream(tmp) as out, pa.ipc.new_stream(out, arrow_schema) as w:
+            for b in batches:
+                w.write_batch(b)
+                rows += b.num_rows
+        filesystem.move(tmp, inner)
+        yield pa.RecordBatch.from_pydict({"filename": [name], "num_rows": [rows]})
+
+    written = df.mapInArrow(write, "filename string, num_rows bigint").collect()  # one row per shard
+    names = sorted(r.filename for r in written)
+    if state:
+        write_state(path, names)
+    return names
