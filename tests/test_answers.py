@@ -18,6 +18,8 @@ CASES = [
     ("<REASONING>x</REASONING>  yes ", "yes", "yes", "yes", "Unknown"),
     ("<reasoning>x</reasoning>ye's", "yes", "ye's", "yes", "Unknown"),
     ("No tag, Yesterday", "no", "no tag, yesterday", "no", "No"),
+    ("No\u0301 Yes", "no", "no\u0301 yes", "no", "No"),  # a combining mark is not a word character
+    ("\u00e9Yes", "no", "\u00e9yes", "no", "Unknown"),
     ("", None, None, "no", "Unknown"),
     (None, None, None, "no", "Unknown"),
 ]

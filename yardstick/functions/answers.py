@@ -77,7 +77,9 @@ def word_answer(content: Column | str) -> Column:
     c = ustrip(col_of(content))
     pos = F.instr(c, TAG)
     tail = F.when(pos > 0, F.substring(c, pos + len(TAG), 1 << 30)).otherwise(c)
-    hit = F.regexp_extract(tail, r"\b(Yes|No)\b", 1)
+    # Python's \b on str patterns: the word characters are letters, numbers and "_"
+    # (Java's \b also counts combining marks as word characters, so it is spelled out)
+    hit = F.regexp_extract(tail, r"(?<![\p{L}\p{N}_])(Yes|No)(?![\p{L}\p{N}_])", 1)
     return F.coalesce(F.nullif(hit, F.lit("")), F.lit("Unknown"))
 
 
