@@ -33,6 +33,18 @@ def test_dedup_aggregates_partially(spark, sf_small):
     assert "partial_max_by" in p or "partial_" in p
 
 
+def _conversations_to_messages(conv):
+    """Nested form for the cross-check only: one row per conversation (small data)."""
+    from pyspark.sql import functions as F
+
+    item_text = F.struct(F.lit("text").alias("type"), F.col("text").alias("text"), F.lit(None).cast("binary").alias("image"))
+    item_img = F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"), F.encode("text", "UTF-8").alias("image"))
+    content = F.when(F.col("turn") % 3 == 2, F.array(item_text, item_img)).otherwise(F.array(item_text))
+    turns = conv.select("conv_id", "turn", F.struct(F.col("role"), content.alias("content")).alias("m"))
+    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "m"))).alias("_t"))
+    return grouped.select("conv_id", F.transform("_t", lambda x: x["m"]).alias("messages"))
+
+
 def test_nested_and_flat_image_order_agree(spark, sf_small):
     from pyspark.sql import functions as F
 
@@ -41,7 +53,7 @@ def test_nested_and_flat_image_order_agree(spark, sf_small):
     from yardstick.sources import derived
 
     conv = derived.read_table(spark, sf_small, "conversations")
-    nested = CH.conversations_to_messages(conv).select(
+    nested = _conversations_to_messages(conv).select(
         "conv_id", F.posexplode(C.message_images("messages")).alias("pos", "image")
     )
     flat = CH.conversation_images(conv).select("conv_id", "pos", "image")

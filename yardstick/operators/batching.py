@@ -79,17 +79,21 @@ def batch_manifest(
     )
 
 
-TOPK_ROWS = 100_000  # up to this n a top-k merge (n rows per partition) is cheaper than a full index
+TOPK_ROWS = 10_000  # up to this n a top-k of (hash, id) pairs is cheaper than a full index
 
 
 def seeded_head(df: DataFrame, n: int, seed: int = 42, id_col: str = "sample_id") -> DataFrame:
     """BAT-5: the first ``n`` rows of a seeded shuffle (all rows when fewer exist) with
-    their position.  For a bounded ``n`` this is a top-k (each partition keeps n rows,
-    the merge sees at most n x partitions); beyond ``TOPK_ROWS`` the positions come from
-    the distributed index, since the subset then grows with the data."""
+    their position; ids must be unique.  For a bounded ``n`` the top-k runs on the
+    narrow (hash, id) pairs only (each partition keeps n pairs, the merge sees at most
+    n x partitions pairs, never the wide rows), and the n chosen ids, a side bounded by
+    ``TOPK_ROWS``, are broadcast back onto the rows.  Beyond ``TOPK_ROWS`` the positions
+    come from the distributed index, since the subset then grows with the data."""
     if n <= TOPK_ROWS:
         from pyspark.sql import Window
 
-        top = df.withColumn("_h", seeded_hash(seed, id_col)).orderBy("_h", id_col).limit(n)
-        return top.withColumn("pos", (F.row_number().over(Window.orderBy("_h", id_col)) - 1).cast("bigint")).drop("_h")
+        pairs = df.select(F.col(id_col), seeded_hash(seed, id_col).alias("_h"))
+        top = pairs.orderBy("_h", id_col).limit(n)
+        pos = top.select(id_col, (F.row_number().over(Window.orderBy("_h", id_col)) - 1).cast("bigint").alias("pos"))
+        return df.join(F.broadcast(pos), id_col)
     return positions(df, seed, id_col).filter(F.col("pos") < n)

@@ -44,18 +44,6 @@ def format_examples(
     return out.withColumn("messages", C.example_messages(F.col(image_a), F.col(image_b), prompt, F.col("assistant")))
 
 
-def conversations_to_messages(conv: DataFrame) -> DataFrame:
-    """Conversation turns -> one row per conversation with ordered ``messages``;
-    every third turn carries an image item (the bytes of its text).  A chat example is
-    one record by definition, so the turns of one conversation form one row."""
-    item_text = F.struct(F.lit("text").alias("type"), F.col("text").alias("text"), F.lit(None).cast("binary").alias("image"))
-    item_img = F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text"), F.encode("text", "UTF-8").alias("image"))
-    content = F.when(F.col("turn") % 3 == 2, F.array(item_text, item_img)).otherwise(F.array(item_text))
-    turns = conv.select("conv_id", "turn", F.struct(F.col("role"), content.alias("content")).alias("m"))
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "m"))).alias("_t"))
-    return grouped.select("conv_id", F.transform("_t", lambda x: x["m"]).alias("messages"))
-
-
 def turn_items(conv: DataFrame) -> DataFrame:
     """Flat content items of conversation turns (conv_id, turn, item_pos, type, text, image):
     every third turn carries an image item (the bytes of its text)."""

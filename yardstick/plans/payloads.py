@@ -50,6 +50,16 @@ def q_batch_manifest(spark, sf):
     return batching.batch_manifest(b, "bucket", "proj/batch_input", "eval", "2024-01-01-00-00-00")
 
 
+EVAL_SUBSET = 300  # BAT-5's head size is a parameter (the reference's default is 3000)
+
+
+def q_eval_subset(spark, sf):
+    """BAT-4/BAT-5: the first ``EVAL_SUBSET`` rows of the seeded shuffle, with positions;
+    the limit is the operator itself (top-k of (hash, id) pairs, ids broadcast back)."""
+    docs = derived.read_table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"), "lang", "n_chars")
+    return batching.seeded_head(docs, EVAL_SUBSET, SEED).select("sample_id", "pos", "lang", "n_chars")
+
+
 def _family_query(spark, sf, family):
     df = pair_rows(spark, sf)
     rid = F.concat(F.lit("sample_"), F.col("sample_id").cast("string"))
@@ -183,6 +193,7 @@ def q_label_list_text(spark, sf):
 QUERIES = {
     "slice_batches": q_slice_batches,
     "batch_manifest": q_batch_manifest,
+    "eval_subset": q_eval_subset,
     "payload_claude": q_payload_claude,
     "payload_nova": q_payload_nova,
     "payload_llama": q_payload_llama,
@@ -211,6 +222,9 @@ _MODEL_CASES = " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(MODEL_IDS))
 
 ORACLE = {
     "slice_batches": _POS + "SELECT * FROM b",
+    "eval_subset": _POS + f"""
+SELECT b.sample_id, b.pos, d.lang, d.n_chars FROM b JOIN documents d ON d.doc_id = b.sample_id WHERE b.pos < {EVAL_SUBSET}
+""",
     "batch_manifest": _POS + """
 SELECT batch_idx, CAST(count(*) AS BIGINT) AS n_records,
        's3://bucket/proj/batch_input/batch_' || CAST(batch_idx AS VARCHAR) || '.jsonl' AS input_uri,
