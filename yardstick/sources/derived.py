@@ -24,8 +24,19 @@ TABLES = (
 ).split()
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table.  Its schema is inferred once per path and process (Parquet schema
+    inference runs a job that reads a footer); later reads pass it to the reader."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 # The derived fixtures' SQL.  ``{labels}``/``{documents}`` are bound to
