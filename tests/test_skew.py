@@ -75,3 +75,14 @@ def test_stratified_sample_with_a_hot_stratum(spark):
     assert sizes == {"hot": 5, "c0": 5, "c1": 5, "c2": 5, "c3": 5}
     plan = _plan(s)
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_last_write_wins_uses_part_by_part_path_order(spark):
+    # sorted paths: "o/a/b/x" < "o/a-c/x" part by part ("a" < "a-c"), although as plain
+    # strings "o/a-c/x" < "o/a/b/x" ("-" < "/"); the later file's line wins
+    df = spark.createDataFrame(
+        [("d", "m", 1, "no", "o/a/b/x", 0, 0), ("d", "m", 1, "yes", "o/a-c/x", 0, 0)],
+        "dataset string, model string, sample_id bigint, prediction string, source_file string, file_block_start bigint, line_pos bigint",
+    )
+    assert [r.prediction for r in align.last_write_wins(df).collect()] == ["yes"]
+    assert sorted(["o/a/b/x", "o/a-c/x"], key=lambda p: p.split("/"))[-1] == "o/a-c/x"

@@ -15,8 +15,20 @@ PRED_KEYS = ("dataset", "model", "sample_id")
 GT_KEYS = ("dataset", "sample_id")
 
 
+# Columns holding file paths.  Files are read in sorted path order, and a path sorts part
+# by part (as Python's sorted Path objects do), not as one string: with "/" replaced by
+# U+0001, a character below any other in a name, a plain string comparison is exactly
+# that part-by-part order ("a/b" before "a-c", where the raw strings sort the other way).
+PATH_COLS = ("source_file", "file_path")
+
+
+def order_value(c: str) -> F.Column:
+    """The order key of one column (file paths part by part, others as they are)."""
+    return F.translate(F.col(c), "/", "\u0001").alias(c) if c in PATH_COLS else F.col(c)
+
+
 def _order_struct(df: DataFrame, order_cols) -> F.Column:
-    return F.struct(*[F.col(c) for c in order_cols if c in df.columns])
+    return F.struct(*[order_value(c) for c in order_cols if c in df.columns])
 
 
 def last_write_wins(
@@ -63,9 +75,13 @@ def resolve_indices(preds: DataFrame, mode: str = "never", group=("dataset", "mo
     todo = flagged.filter(F.col("needs_reindex")).drop("needs_reindex").withColumn(
         "_batch", records.batch_number("source_file")
     )
-    ties = ("file_path", "source_file", "file_block_start", "line_pos")  # physical file order first when known
-    order = ["_batch", "raw_sample_id", *[c for c in ties if c in todo.columns]]
-    renum = dense_index(todo, order, list(group), out="_idx").withColumn("sample_id", F.col("_idx")).drop("_idx", "_batch")
+    ties = [c for c in ("file_path", "source_file", "file_block_start", "line_pos") if c in todo.columns]
+    # the reference's stable sort keeps file then line order for ties of (batch, id)
+    todo = todo.select("*", *[order_value(c).alias(f"_k{i}") for i, c in enumerate(ties)])
+    order = ["_batch", "raw_sample_id", *[f"_k{i}" for i in range(len(ties))]]
+    renum = dense_index(todo, order, list(group), out="_idx").withColumn("sample_id", F.col("_idx")).drop(
+        "_idx", "_batch", *[f"_k{i}" for i in range(len(ties))]
+    )
     return keep.unionByName(renum)
 
 
@@ -83,7 +99,7 @@ def merge_precedence(
     (source priority, order), with partial aggregation before the shuffle.  Inputs may
     already be deduplicated (``order_cols`` empty)."""
     def side(df: DataFrame, prio: int) -> DataFrame:
-        order = [F.col(c) if c in df.columns else F.lit(None).cast("string") for c in order_cols]
+        order = [order_value(c) if c in df.columns else F.lit(None).cast("string") for c in order_cols]
         return df.select(*keys, *values, F.struct(F.lit(prio).alias("_p"), *[o.alias(f"_o{i}") for i, o in enumerate(order)]).alias("_ord"))
 
     tagged = side(primary, 1).unionByName(side(secondary, 0))
@@ -141,8 +157,8 @@ def flat_merge(preds: DataFrame, order_cols=("source_file", "line_pos"), key: st
     ``max_by`` over (dataset rank, file, line)."""
     from pyspark.sql import Window
 
-    first = preds.groupBy("dataset").agg(F.min(F.struct(*order_cols)).alias("_first"))
+    first = preds.groupBy("dataset").agg(F.min(F.struct(*[order_value(c) for c in order_cols])).alias("_first"))
     ranked = bounded_side(first.select("dataset", F.row_number().over(Window.orderBy("_first")).alias("_rank")))
     j = preds.join(ranked, "dataset")
-    w = F.max_by(F.struct("prediction", "dataset"), F.struct("_rank", *order_cols)).alias("_w")
+    w = F.max_by(F.struct("prediction", "dataset"), F.struct("_rank", *[order_value(c) for c in order_cols])).alias("_w")
     return j.groupBy(key).agg(w).select(key, "_w.prediction", "_w.dataset")

@@ -79,16 +79,16 @@ f AS (SELECT split_part(batch_path, '/', 2) AS dataset, split_part(batch_path, '
 
 _DEDUP = _F.rstrip() + """,
 d AS (SELECT dataset, model, sample AS sample_id, prediction, arrival FROM (
-        SELECT *, row_number() OVER (PARTITION BY dataset, model, sample ORDER BY source_file DESC, line_pos DESC) AS rn FROM f)
+        SELECT *, row_number() OVER (PARTITION BY dataset, model, sample ORDER BY replace(source_file, '/', chr(1)) DESC, line_pos DESC) AS rn FROM f)
       WHERE rn = 1)
 """
 
 ORACLE = {
     "flat_merge": _F + """,
 fr AS (SELECT dataset, source_file, line_pos FROM (
-         SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY source_file, line_pos) AS rn FROM f) WHERE rn = 1),
-rk AS (SELECT dataset, row_number() OVER (ORDER BY source_file, line_pos) AS r FROM fr),
-w AS (SELECT f.*, rk.r, row_number() OVER (PARTITION BY sample ORDER BY rk.r DESC, source_file DESC, line_pos DESC) AS rn
+         SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY replace(source_file, '/', chr(1)), line_pos) AS rn FROM f) WHERE rn = 1),
+rk AS (SELECT dataset, row_number() OVER (ORDER BY replace(source_file, '/', chr(1)), line_pos) AS r FROM fr),
+w AS (SELECT f.*, rk.r, row_number() OVER (PARTITION BY sample ORDER BY rk.r DESC, replace(source_file, '/', chr(1)) DESC, line_pos DESC) AS rn
       FROM f JOIN rk ON f.dataset = rk.dataset)
 SELECT sample AS sample_id, prediction, dataset FROM w WHERE rn = 1
 """,
@@ -108,7 +108,7 @@ FROM s
 st AS (SELECT dataset, model, max(sample) > 2 * count(*) AS needs FROM f GROUP BY ALL)
 SELECT f.dataset, f.model,
        CAST(CASE WHEN needs THEN row_number() OVER (PARTITION BY f.dataset, f.model
-            ORDER BY coalesce(TRY_CAST(regexp_extract(source_file, 'batch_(\\d+)', 1) AS BIGINT), 0), sample, source_file, line_pos) - 1
+            ORDER BY coalesce(TRY_CAST(regexp_extract(source_file, 'batch_(\\d+)', 1) AS BIGINT), 0), sample, replace(source_file, '/', chr(1)), line_pos) - 1
             ELSE sample END AS BIGINT) AS sample_id,
        sample AS raw_sample_id, prediction, arrival, line_pos
 FROM f JOIN st ON f.dataset = st.dataset AND f.model = st.model
