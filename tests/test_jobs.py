@@ -74,6 +74,7 @@ def test_sample_and_holdout_sinks(spark, tmp_path):
     writers.write_sample(res["sample"], res["manifest_doc"], p)
     back = spark.read.json(f"{p}/train_indices")
     assert sorted(len(x.all_indices) for x in back.collect()) == [4, 4]
+    assert {(x.seed, x.samples_per_category) for x in back.collect()} == {(1, 2)}
     summary = spark.createDataFrame([(3, 4)], "correct bigint, total bigint").withColumn("accuracy", F.col("correct") / F.col("total"))
     writers.write_holdout_results(summary, res["sample"], str(tmp_path / "holdout"), elapsed_s=1.234)
     assert spark.read.json(str(tmp_path / "holdout" / "summary")).first().elapsed_s == 1.2

@@ -39,13 +39,25 @@ def manifest_lists(sampled: DataFrame, split_col: str = "split", category_col: s
     return per_cat.unionByName(flat)
 
 
-def manifest_document(manifest: DataFrame, split_col: str = "split", category_col: str = "category") -> DataFrame:
+def manifest_document(
+    manifest: DataFrame,
+    split_col: str = "split",
+    category_col: str = "category",
+    seed: int | None = None,
+    samples_per_category: int | None = None,
+) -> DataFrame:
     """Nested manifest for the JSON sink: one row per split with ``categories``
-    (category -> sorted ids) and ``all_indices`` (the flat sorted list)."""
+    (category -> sorted ids) and ``all_indices`` (the flat sorted list), plus the
+    sampling ``seed`` and ``samples_per_category`` when given."""
     cats = manifest.filter(F.col(category_col) != "*all*")
     flat = manifest.filter(F.col(category_col) == "*all*").select(split_col, F.col("ids").alias("all_indices"))
     per_split = cats.groupBy(split_col).agg(F.map_from_entries(F.collect_list(F.struct(category_col, "ids"))).alias("categories"))
-    return per_split.join(flat, split_col, "full_outer")
+    doc = per_split.join(flat, split_col, "full_outer")
+    if seed is not None:
+        doc = doc.withColumn("seed", F.lit(seed).cast("bigint"))
+    if samples_per_category is not None:
+        doc = doc.withColumn("samples_per_category", F.lit(samples_per_category).cast("bigint"))
+    return doc
 
 
 def manifest_rows(doc: DataFrame, split_col: str = "split") -> DataFrame:

@@ -148,7 +148,7 @@ def sample_for_finetune(
     tagged = tagged.withColumn("category", L.sampling_category("rejection_reason", "split", r_style_splits))
     sampled = sampling.stratified_sample(tagged, ["split", "category"], n_per_category, seed)
     manifest = sampling.manifest_lists(sampled)
-    return {"sample": sampled, "manifest": manifest, "manifest_doc": sampling.manifest_document(manifest)}
+    return {"sample": sampled, "manifest": manifest, "manifest_doc": sampling.manifest_document(manifest, seed=seed, samples_per_category=n_per_category)}
 
 
 def format_for_training(sample: DataFrame, rules: DataFrame, prompt: str, image_a: str, image_b: str, **templates) -> DataFrame:
