@@ -58,7 +58,8 @@ def test_prepare_batches_and_score(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "batches")).count() == 25
     res = jobs.score_dataset(df, StubScorer(), ["sample_id"], retry_delay=0.0)
     m = res["metrics"].first()
-    assert m.tp + m.fp + m.fn + m.tn == 25 and m.fp == 0
+    assert m.true_positives + m.false_positives + m.false_negatives + m.true_negatives == m.total_samples == 25
+    assert m.false_positives == 0 and m.positive_samples + m.negative_samples == 25
 
 
 def test_sample_and_holdout_sinks(spark, tmp_path):
@@ -78,3 +79,13 @@ def test_sample_and_holdout_sinks(spark, tmp_path):
     summary = spark.createDataFrame([(3, 4)], "correct bigint, total bigint").withColumn("accuracy", F.col("correct") / F.col("total"))
     writers.write_holdout_results(summary, res["sample"], str(tmp_path / "holdout"), elapsed_s=1.234)
     assert spark.read.json(str(tmp_path / "holdout" / "summary")).first().elapsed_s == 1.2
+
+
+def test_summary_lines_take_the_online_record(spark):
+    from yardstick.operators import metrics
+    from yardstick.sinks import writers
+
+    df = spark.createDataFrame([(True, True), (True, False), (False, False), (False, True), (True, True)], "t boolean, p boolean")
+    m = metrics.online_metrics(df, "t", "p")
+    text = writers.summary_lines(m.withColumn("model", F.lit("m1")), ["model"]).first().value
+    assert "Precision: 0.6667" in text and "Recall:    0.6667" in text and "TP: 2, TN: 1" in text

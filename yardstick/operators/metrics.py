@@ -45,6 +45,22 @@ DISPLAY_NAMES = {
 }
 
 
+# The online evaluators' metrics record (scoring legs), in the reference's order.
+ONLINE_METRIC_COLUMNS = [
+    "accuracy",
+    "precision",
+    "recall",
+    "f1_score",
+    "true_positives",
+    "true_negatives",
+    "false_positives",
+    "false_negatives",
+    "total_samples",
+    "positive_samples",
+    "negative_samples",
+]
+
+
 def ratio(num: Column, den: Column, digits: int | None = None) -> Column:
     """``num/den`` as DOUBLE with zero_division=0."""
     r = F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
@@ -65,6 +81,31 @@ def confusion_columns(tp: Column, fp: Column, fn: Column, tn: Column, digits: in
     ]
 
 
+def online_metrics(df: DataFrame, truth: str, predicted: str, group=(), digits: int | None = None) -> DataFrame:
+    """UDF-7 + AGG-1..3 in the online evaluators' record: positive-class precision,
+    recall and F1 (zero_division=0) and the confusion counts over the scored rows, per
+    ``group`` (one row overall when empty); one pass with partial aggregation."""
+    t, p = F.col(truth), F.col(predicted)
+    c = df.groupBy(*group).agg(
+        F.count_if(t & p).alias("true_positives"),
+        F.count_if(~t & p).alias("false_positives"),
+        F.count_if(t & ~p).alias("false_negatives"),
+        F.count_if(~t & ~p).alias("true_negatives"),
+    )
+    tp, fp, fn, tn = (F.col(x) for x in ("true_positives", "false_positives", "false_negatives", "true_negatives"))
+    acc, prec, rec, f1 = confusion_columns(tp, fp, fn, tn, digits)[:4]
+    named = {
+        "accuracy": acc.alias("accuracy"),
+        "precision": prec.alias("precision"),
+        "recall": rec.alias("recall"),
+        "f1_score": f1.alias("f1_score"),
+        "total_samples": (tp + fp + fn + tn).cast("bigint").alias("total_samples"),
+        "positive_samples": (tp + fn).cast("bigint").alias("positive_samples"),
+        "negative_samples": (tn + fp).cast("bigint").alias("negative_samples"),
+    }
+    return c.select(*group, *[named[n] if n in named else F.col(n).cast("bigint").alias(n) for n in ONLINE_METRIC_COLUMNS])
+
+
 def eval_metrics(preds: DataFrame, gt: DataFrame, digits: int | None = None) -> DataFrame:
     """AGG-5/AGG-6: the 18-field metrics record per (dataset, model).
 

@@ -168,12 +168,6 @@ def score_dataset(
     """L5/L6: score every row with retries, extract the answer per backend and compute
     accuracy/precision/recall/F1 against the row's own ground truth (LBL-1/LBL-2)."""
     scored = scoring.with_answers(scoring.score(dataset, scorer_factory, input_cols, max_retries, retry_delay, concurrency), backend)
-    gt = L.label_bool(scored)
-    p = F.col("model_prediction_is_generation_successfull")
-    c = scored.select(gt.alias("t"), p.alias("p")).agg(
-        F.count_if(F.col("t") & F.col("p")).alias("tp"), F.count_if(~F.col("t") & F.col("p")).alias("fp"),
-        F.count_if(F.col("t") & ~F.col("p")).alias("fn"), F.count_if(~F.col("t") & ~F.col("p")).alias("tn"),
-    )
-    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    summary = c.select(*metrics.confusion_columns(tp, fp, fn, tn)[:4], "tp", "fp", "fn", "tn")
-    return {"scored": scored, "metrics": summary}
+    scored = scored.withColumn("_gt", L.label_bool(scored))
+    summary = metrics.online_metrics(scored, "_gt", "model_prediction_is_generation_successfull")
+    return {"scored": scored.drop("_gt"), "metrics": summary}

@@ -43,9 +43,20 @@ def q_scored_metrics(spark, sf):
     )
 
 
+def q_online_metrics(spark, sf):
+    """L6's metrics record (accuracy, precision, recall, f1_score, counts, sample totals)
+    of the scored rows per language, ground truth from the labels."""
+    labels = derived.read_table(spark, sf, "labels").select(
+        F.col("doc_id").alias("sample_id"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("gt")
+    )
+    s = scored(spark, sf).join(labels, "sample_id")
+    return metrics.online_metrics(s, "gt", "model_prediction_is_generation_successfull", ["lang"], digits=6)
+
+
 QUERIES = {
     "score_with_retry": q_score_with_retry,
     "scored_metrics": q_scored_metrics,
+    "online_metrics": q_online_metrics,
 }
 
 _S = """WITH s AS (SELECT doc_id AS sample_id, lang,
@@ -64,6 +75,18 @@ def _r(x):
 
 ORACLE = {
     "score_with_retry": _S + "SELECT * FROM s",
+    "online_metrics": _S + f""", j AS (SELECT s.lang, l.quality = 1 AND l.toxic = 0 AS t, model_prediction_is_generation_successfull AS p
+                FROM s JOIN labels l ON l.doc_id = s.sample_id),
+c AS (SELECT lang, count(*) FILTER (WHERE t AND p) AS tp, count(*) FILTER (WHERE NOT t AND p) AS fp,
+             count(*) FILTER (WHERE t AND NOT p) AS fn, count(*) FILTER (WHERE NOT t AND NOT p) AS tn FROM j GROUP BY lang)
+SELECT lang, {_r('(tp + tn) / nullif(tp + fp + fn + tn, 0)')} AS accuracy,
+       {_r('tp / nullif(tp + fp, 0)')} AS precision, {_r('tp / nullif(tp + fn, 0)')} AS recall,
+       {_r('2 * tp / nullif(2 * tp + fp + fn, 0)')} AS f1_score,
+       CAST(tp AS BIGINT) AS true_positives, CAST(tn AS BIGINT) AS true_negatives,
+       CAST(fp AS BIGINT) AS false_positives, CAST(fn AS BIGINT) AS false_negatives,
+       CAST(tp + fp + fn + tn AS BIGINT) AS total_samples, CAST(tp + fn AS BIGINT) AS positive_samples,
+       CAST(tn + fp AS BIGINT) AS negative_samples FROM c
+""",
     "scored_metrics": _S + f""", j AS (SELECT s.lang, l.quality = 1 AND l.toxic = 0 AS t, model_prediction_is_generation_successfull AS p
                 FROM s JOIN labels l ON l.doc_id = s.sample_id),
 c AS (SELECT lang, count(*) FILTER (WHERE t AND p) AS tp, count(*) FILTER (WHERE NOT t AND p) AS fp,

@@ -56,14 +56,17 @@ def reasoning_table(scored: DataFrame, index_col: str) -> DataFrame:
 
 
 def summary_lines(metrics: DataFrame, title_cols: list[str]) -> DataFrame:
-    """SNK-6: a plain-text run summary per group, as one string column for ``write.text``."""
+    """SNK-6: a plain-text run summary per group, as one string column for ``write.text``.
+    Takes either metrics record: the offline one (``precision_positive``...) or the online
+    evaluators' one (``precision``, ``recall``, ``f1_score``)."""
     f = lambda c: F.format_string("%.4f", F.col(c))
+    pick = lambda *names: next(n for n in names if n in metrics.columns)
     head = F.concat_ws("\n", *[F.concat(F.lit(f"{c}: "), F.col(c)) for c in title_cols])
     body = F.concat(
         F.lit("\nAccuracy:  "), f("accuracy"),
-        F.lit("\nPrecision: "), f("precision_positive"),
-        F.lit("\nRecall:    "), f("recall_positive"),
-        F.lit("\nF1 Score:  "), f("f1_positive"),
+        F.lit("\nPrecision: "), f(pick("precision", "precision_positive")),
+        F.lit("\nRecall:    "), f(pick("recall", "recall_positive")),
+        F.lit("\nF1 Score:  "), f(pick("f1_score", "f1_positive")),
         F.lit("\nTP: "), F.col("true_positives").cast("string"), F.lit(", TN: "), F.col("true_negatives").cast("string"),
         F.lit("\nFP: "), F.col("false_positives").cast("string"), F.lit(", FN: "), F.col("false_negatives").cast("string"),
     )
