@@ -33,9 +33,10 @@ def category_check(observed: DataFrame, expected: DataFrame) -> DataFrame:
     """Observed categories (split, category) against the expected table: ``ok``,
     ``unexpected`` (seen, not expected) or ``missing`` (expected, not seen).
     The observed side is aggregated first (partial aggregation), so the join only
-    sees one row per (split, category); the expected side is a fixed small table."""
+    sees one row per (split, category); the expected side is a fixed small table.  A full
+    outer join has no broadcast form, so both small sides meet in one shuffle join."""
     o = observed.groupBy("split", "category").agg(F.count(F.lit(1)).alias("n")).alias("o")
-    e = F.broadcast(expected).alias("e")
+    e = expected.alias("e")
     cond = (F.col("o.split") == F.col("e.split")) & F.col("o.category").eqNullSafe(F.col("e.category"))
     j = o.join(e, cond, "full_outer")
     return j.select(

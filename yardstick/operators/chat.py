@@ -14,8 +14,11 @@ REJECTED_TEMPLATE = "Source shows {desc}. The generated image was rejected as '{
 
 
 def rules_table(spark: SparkSession, rules: dict[str, str]) -> DataFrame:
-    """The reason -> rule-text lookup as a small table (its size is the dict's)."""
-    return spark.createDataFrame(list(rules.items()), "reason string, rule_text string")
+    """The reason -> rule-text lookup as a small inline table (its size is the dict's).
+    Being literals over a one-row range, its size statistics are tiny and exact, so
+    Catalyst broadcasts it without a hint."""
+    rows = [F.struct(F.lit(k).alias("reason"), F.lit(v).alias("rule_text")) for k, v in rules.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def format_examples(
@@ -30,11 +33,13 @@ def format_examples(
 ) -> DataFrame:
     """CHT-2: every row -> ``answer``, ``reasoning``, ``assistant`` text and ``messages``.
 
-    The rules lookup (JON-7) is a left join against a caller-supplied table that is
-    broadcast: it is built from a Python dict, so its size is known and fixed.
-    ``strict`` raises on an unknown label (LBL-3), otherwise such rows get NULLs."""
+    The rules lookup (JON-7) is a left join against a caller-supplied table.  No hint:
+    a table built from a Python dict (``rules_table``) is a local relation of known exact
+    size, which Catalyst broadcasts by its statistics; a large caller table stays a
+    shuffle join.  ``strict`` raises on an unknown label (LBL-3), otherwise such rows
+    get NULLs."""
     answer = L.label_answer("label") if strict else L.label_answer_or_null("label")
-    r = F.broadcast(rules.select(F.col("reason").alias("_rule_reason"), "rule_text"))
+    r = rules.select(F.col("reason").alias("_rule_reason"), "rule_text")
     j = df.join(r, F.col("rejection_reason") == F.col("_rule_reason"), "left").drop("_rule_reason")
     reasoning = F.when(
         answer == F.lit("Yes"), C.accepted_reasoning("object_description", accepted_template)
