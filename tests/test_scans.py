@@ -151,3 +151,16 @@ def test_name_data_files(spark, tmp_path):
     assert writers.name_data_files(spark, d, ".jsonl.out") == len(scans.data_files(spark, d))
     assert all(p.endswith(".jsonl.out") for p in scans.data_files(spark, d))
     assert sorted(r.value for r in scans.raw_output_text(spark, d).collect()) == ["a", "b"]
+
+
+def test_training_manifest_layouts(spark, tmp_path):
+    ref = tmp_path / "train_indices.json"
+    ref.write_text(json.dumps({"seed": 42, "samples_per_category": 1, "r": {"accepted": [3]},
+                               "all_indices": {"r": [3, 9], "s": [4]}}, indent=2))
+    got = sorted(map(tuple, scans.training_manifest(spark, str(ref)).collect()))
+    assert got == [("r", 3), ("r", 9), ("s", 4)]
+    sampled = spark.createDataFrame([("r", "accepted", 3), ("s", "x", 4)], "split string, category string, sample_id bigint")
+    p = str(tmp_path / "ours")
+    sampling.manifest_document(sampling.manifest_lists(sampled)).write.json(p)
+    assert sorted(map(tuple, scans.training_manifest(spark, p).collect())) == [("r", 3), ("s", 4)]
+    assert scans.training_manifest(spark, str(tmp_path / "absent.json")).count() == 0

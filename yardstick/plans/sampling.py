@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import answers, labels as L
 from ..operators import extract, sampling
-from ..sources import derived
+from ..session import scratch_path
+from ..sinks import writers
+from ..sources import derived, scans
 from .evaluation import raw_lines
 from .oracle_common import G_CTE, R_CTE, ANSWERS_CTE, with_ctes
 
@@ -47,8 +49,13 @@ def q_manifest_lists(spark, sf):
 
 
 def q_train_exclusion(spark, sf):
-    doc = sampling.manifest_document(sampling.manifest_lists(sampled(spark, sf)))
-    excluded = sampling.manifest_rows(doc)
+    """SNK-7 + SRC-9 + SMP-4: the sample and its manifest are written, the manifest is
+    read back, and the training rows are excluded from the labelled rows."""
+    s = sampled(spark, sf)
+    doc = sampling.manifest_document(sampling.manifest_lists(s), seed=SEED, samples_per_category=N_PER_CATEGORY)
+    path = scratch_path(spark, "finetune-sample")
+    writers.write_sample(s, doc, path)
+    excluded = scans.training_manifest(spark, f"{path}/train_indices")
     return sampling.exclude(categorised(spark, sf), excluded).select("split", "sample_id")
 
 

@@ -238,6 +238,27 @@ def robust_dataset(spark: SparkSession, shard_paths: list[str]) -> tuple[DataFra
     return spark.read.option("ignoreMissingFiles", "true").parquet(*kept), skipped
 
 
+def training_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-9: the rows used for training, ``(split, sample_id)``, from a manifest.
+
+    A ``*.json`` file is read as one JSON document whose ``all_indices`` maps each split
+    to its ids (the reference's ``train_indices.json``).  A folder is read as the
+    per-split JSON lines written by ``writers.write_sample``.  A missing manifest
+    excludes nothing: an empty table and a warning, as in the reference."""
+    import logging
+
+    if not existing_paths(spark, [path])[0]:
+        logging.getLogger(__name__).warning("No manifest at %s: no rows excluded", path)
+        return spark.createDataFrame([], "split string, sample_id bigint")
+    if path.rstrip("/").endswith(".json"):
+        doc = spark.read.schema("all_indices map<string, array<bigint>>").option("multiLine", "true").json(path)
+        per_split = doc.select(F.explode("all_indices").alias("split", "ids"))
+        return per_split.select("split", F.explode("ids").alias("sample_id"))
+    from ..operators.sampling import manifest_rows
+
+    return manifest_rows(spark.read.json(path))
+
+
 def cached_or_build(spark: SparkSession, path: str, build, force: bool = False) -> DataFrame:
     """SRC-8: reuse a stored table unless ``force``; otherwise build, write and read it back."""
     if not force and existing_paths(spark, [path])[0]:
