@@ -132,7 +132,14 @@ def test_flat_metrics_json_stops_the_recursive_search(spark, tmp_path):
     assert scans.discover_parts(spark, d).count() == 0
 
 
-def test_parts_sniff_uses_first_line(spark, tmp_path):
+import pytest
+
+
+@pytest.mark.parametrize("by_head", [True, False])
+def test_parts_sniff_uses_first_line(spark, tmp_path, monkeypatch, by_head):
+    from yardstick.sources import heads
+
+    monkeypatch.setattr(heads, "reachable", lambda path: by_head)
     d = str(tmp_path / "p")
     rec = lambda i: json.dumps({"sample": i, "prediction": "no", "batch_path": "o/ds/m/x"})
     _write(f"{d}/a/part-00000.json", [rec(1), rec(2)])
@@ -164,3 +171,15 @@ def test_training_manifest_layouts(spark, tmp_path):
     sampling.manifest_document(sampling.manifest_lists(sampled)).write.json(p)
     assert sorted(map(tuple, scans.training_manifest(spark, p).collect())) == [("r", 3), ("s", 4)]
     assert scans.training_manifest(spark, str(tmp_path / "absent.json")).count() == 0
+
+
+def test_discovery_under_a_folder_name_with_space_percent_plus(spark, tmp_path):
+    d = str(tmp_path / "out put%20+x")
+    _write(f"{d}/a.jsonl.out", [_line(1)])
+    _write(f"{d}/deeper/b.jsonl.out", [_line(2)])
+    got = scans.discover_raw_lines(spark, d).collect()
+    assert [json.loads(r.value)["recordId"] for r in got] == ["sample_1"]  # the flat class only
+    rec = lambda i: json.dumps({"sample": i, "prediction": "yes", "batch_path": "o/ds/m/x"})
+    _write(f"{d}/run 1/part-00000.json", [rec(5)])
+    _write(f"{d}/run 2/part-00000.json", [json.dumps({"note": 1}), rec(6)])
+    assert sorted(r.sample for r in scans.discover_parts(spark, d).collect()) == [5]

@@ -31,16 +31,11 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 
 def _filesystem(path: str):
-    """(pyarrow file system, path inside it) for a URI (``s3://``, ``hdfs://``, ``gs://``,
-    ``file:``) or a plain local path; local files are memory-mapped."""
-    from pyarrow import fs
+    """(pyarrow file system, path inside it) for a URI (``s3://``, ``gs://``, ``file:``) or
+    a plain local path; local files are memory-mapped."""
+    from .heads import filesystem
 
-    if "://" in path or path.startswith("file:"):
-        filesystem, inner = fs.FileSystem.from_uri(path)
-        if isinstance(filesystem, fs.LocalFileSystem):
-            filesystem = fs.LocalFileSystem(use_mmap=True)
-        return filesystem, inner
-    return fs.LocalFileSystem(use_mmap=True), os.path.abspath(path)
+    return filesystem(path, mmap=True)
 
 
 def shard_listing(path: str) -> tuple[list[str], int]:

@@ -74,10 +74,17 @@ def discover_raw_lines(spark: SparkSession, output_dir: str) -> DataFrame:
     _, glob, recursive = _RAW_CLASSES[best]
     lines = raw_output_text(spark, output_dir, glob=glob)
     if not recursive:
-        lines = lines.filter(~F.regexp_replace("source_file", r"^.*?" + _quote_path(base), "").contains("/"))
+        lines = lines.filter(~F.regexp_replace(plain_path("source_file"), r"^.*?" + _quote_path(base), "").contains("/"))
     return lines
 
 
+def plain_path(c) -> "F.Column":
+    """``_metadata.file_path`` is URI-encoded (a space is ``%20``); this is the exact
+    percent-decoding back to the path as listed (``+`` is kept as a literal ``+``)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+
+
 def _quote_path(p: str) -> str:
     return "\\Q" + p.replace("file:", "") + "\\E"
 
@@ -124,18 +131,24 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
     if best is None:
         return spark.createDataFrame([], parts_json_schema())
     df = parts_json(spark, output_dir)
-    keep = _parts_class_filter("file_path", base, best)
-    df = df.filter(keep)
+    df = df.filter(_parts_class_filter(plain_path("file_path"), base, best))
     if not sniff:
         return df
-    # SRC-3: the first line of each chosen file.  Only rows of a file's first split
-    # qualify; min_by keeps one candidate per file and task before the shuffle, so
-    # the per-file table has one row per file and AQE broadcasts it when it is small.
+    from . import heads
+
+    if heads.reachable(output_dir):
+        # SRC-3 by first lines: one small read per chosen file on the executors
+        chosen = listing.filter(_parts_class_filter(F.col("path"), base, best))
+        ok = heads.parts_files(chosen).select(F.col("path").alias("_plain"))
+        return df.withColumn("_plain", plain_path("file_path")).join(ok, "_plain", "left_semi").drop("_plain")
+    # Other stores: the first line of each chosen file from a text scan.  Only rows of a
+    # file's first split qualify; min_by keeps one candidate per file and task before the
+    # shuffle, so the per-file table has one row per file and AQE broadcasts it when small.
     text = _with_file_order(
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(output_dir)
     ).select("value", F.col("source_file").alias("file_path"), "file_block_start", "line_pos")
     first = (
-        text.filter((F.col("file_block_start") == 0) & _parts_class_filter("file_path", base, best))
+        text.filter((F.col("file_block_start") == 0) & _parts_class_filter(plain_path("file_path"), base, best))
         .groupBy("file_path")
         .agg(F.min_by("value", "line_pos").alias("_first"))
         .filter(is_parts_record("_first"))
@@ -144,8 +157,8 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
     return df.join(first, "file_path", "left_semi")
 
 
-def _parts_class_filter(path_col: str, base: str, best: int):
-    frel = F.regexp_replace(F.col(path_col), r"^.*?" + _quote_path(base), "")
+def _parts_class_filter(path: "F.Column", base: str, best: int):
+    frel = F.regexp_replace(path, r"^.*?" + _quote_path(base), "")
     fname = F.element_at(F.split(frel, "/"), -1)
     chosen = (~frel.contains("/")) if best == 0 else fname.startswith("part-")
     return chosen & (fname != "metrics.json")
