@@ -89,3 +89,17 @@ def test_summary_lines_take_the_online_record(spark):
     m = metrics.online_metrics(df, "t", "p")
     text = writers.summary_lines(m.withColumn("model", F.lit("m1")), ["model"]).first().value
     assert "Precision: 0.6667" in text and "Recall:    0.6667" in text and "TP: 2, TN: 1" in text
+
+
+def test_save_online_results(spark, tmp_path):
+    df = spark.range(0, 12).select(F.col("id").alias("sample_id"), (F.col("id") % 2 == 0).alias("is_generation_successful"))
+    res = jobs.score_dataset(df, StubScorer(), ["sample_id"], retry_delay=0.0)
+    out = jobs.save_online_results(res["scored"], res["metrics"], str(tmp_path / "results"), "org/model-x", "autoqa",
+                                   "pairs", timestamp="20260101_000000")
+    assert out.endswith("/org_model-x_20260101_000000")
+    meta = spark.read.json(f"{out}/metrics").first()
+    assert (meta.model_name, meta.evaluator_type, meta.dataset_name) == ("org/model-x", "autoqa", "pairs")
+    assert meta.metrics.total_samples == 12
+    assert spark.read.json(f"{out}/predictions").count() == 12
+    assert spark.read.parquet(f"{out}/reasoning").count() == 12
+    assert "Accuracy:" in spark.read.text(f"{out}/summary", wholetext=True).first().value
