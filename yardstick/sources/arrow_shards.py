@@ -23,6 +23,10 @@ from dataclasses import dataclass
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+# A function object, not a module import inside worker code: ``heads`` is pickled by
+# value, so this travels with the task and workers need no package path.
+from .heads import filesystem as _heads_filesystem
+
 NAME = "arrow_shards"
 
 # Code from this module runs inside Python workers; pickle it by value so the
@@ -33,9 +37,7 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 def _filesystem(path: str):
     """(pyarrow file system, path inside it) for a URI (``s3://``, ``gs://``, ``file:``) or
     a plain local path; local files are memory-mapped."""
-    from .heads import filesystem
-
-    return filesystem(path, mmap=True)
+    return _heads_filesystem(path, mmap=True)
 
 
 def shard_listing(path: str) -> tuple[list[str], int]:
