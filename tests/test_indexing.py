@@ -21,3 +21,16 @@ def test_grouped_index_with_hot_group(spark):
     stats = got.groupBy("g").agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count(F.lit(1)).alias("n"), F.countDistinct("i").alias("d")).collect()
     for r in stats:
         assert r.lo == 0 and r.hi == r.n - 1 and r.d == r.n
+
+
+def test_hot_key_split_index_matches_per_group_row_number(spark):
+    from yardstick.operators.indexing import grouped_index
+
+    # one hot group, a NULL group and many small groups
+    g = (F.when(F.col("id") % 10 < 6, F.lit("hot")).when(F.col("id") % 10 == 6, F.lit(None))
+         .otherwise(F.concat(F.lit("g"), (F.col("id") % 97).cast("string"))))
+    df = spark.range(0, 8000).select(g.alias("g"), ((F.col("id") * 7919) % 8000).alias("k"))
+    want = {(r.g, r.k): r.j for r in df.withColumn("j", F.row_number().over(Window.partitionBy("g").orderBy("k")) - 1).collect()}
+    for hot_rows in (100, 10**9):  # the hot and NULL groups split off, or all by window
+        got = {(r.g, r.k): r.i for r in grouped_index(df, ["k"], ["g"], out="i", hot_rows=hot_rows, num_partitions=5).collect()}
+        assert got == want

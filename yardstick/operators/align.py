@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions import records
 from .common import bounded_side
-from .indexing import dense_index
+from .indexing import grouped_index
 
 PRED_KEYS = ("dataset", "model", "sample_id")
 GT_KEYS = ("dataset", "sample_id")
@@ -79,7 +79,7 @@ def resolve_indices(preds: DataFrame, mode: str = "never", group=("dataset", "mo
     # the reference's stable sort keeps file then line order for ties of (batch, id)
     todo = todo.select("*", *[order_value(c).alias(f"_k{i}") for i, c in enumerate(ties)])
     order = ["_batch", "raw_sample_id", *[f"_k{i}" for i in range(len(ties))]]
-    renum = dense_index(todo, order, list(group), out="_idx").withColumn("sample_id", F.col("_idx")).drop(
+    renum = grouped_index(todo, order, list(group), out="_idx").withColumn("sample_id", F.col("_idx")).drop(
         "_idx", "_batch", *[f"_k{i}" for i in range(len(ties))]
     )
     return keep.unionByName(renum)

@@ -62,12 +62,13 @@ def turn_items(conv: DataFrame) -> DataFrame:
 
 def conversation_images(conv: DataFrame) -> DataFrame:
     """CHT-6 over flat turns: the images of each conversation in (turn, item) order with
-    their position.  The per-conversation position comes from the distributed grouped
-    index, so a very long conversation is never gathered into one task or one row."""
-    from .indexing import dense_index
+    their position.  The per-conversation position comes from the hot-key split index:
+    ordinary conversations are numbered by a window, and a very long one is spread over
+    many tasks, so none is gathered into one task or one row."""
+    from .indexing import grouped_index
 
     imgs = turn_items(conv).filter(F.col("type") == "image").select("conv_id", "turn", "item_pos", "image")
-    return dense_index(imgs, ["turn", "item_pos"], ["conv_id"], out="pos")
+    return grouped_index(imgs, ["turn", "item_pos"], ["conv_id"], out="pos")
 
 
 def columns_to_lists(df: DataFrame, batch_col: str, cols: list[str]) -> DataFrame:
