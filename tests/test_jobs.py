@@ -56,6 +56,8 @@ def test_prepare_batches_and_score(spark, tmp_path):
                              seed=7, output_path=str(tmp_path / "batches"))
     assert sorted(r[0] for r in b.groupBy("batch_idx").count().select("count").collect()) == [5, 10, 10]
     assert spark.read.text(str(tmp_path / "batches")).count() == 25
+    visible = sorted(n for n in os.listdir(tmp_path / "batches") if not n.startswith("."))  # no checksum files
+    assert visible == ["_SUCCESS", "batch_0.jsonl", "batch_1.jsonl", "batch_2.jsonl"]
     res = jobs.score_dataset(df, StubScorer(), ["sample_id"], retry_delay=0.0)
     m = res["metrics"].first()
     assert m.true_positives + m.false_positives + m.false_negatives + m.true_negatives == m.total_samples == 25

@@ -132,7 +132,7 @@ def prepare_batches(
     fam = P.model_family(model_id)
     b = b.withColumn("jsonl", P.payload(F.col("record_id"), [(k, F.col(c)) for k, c in images], prompt, fam))
     if output_path:
-        writers.write_batches(b, output_path)
+        writers.write_batches(b, output_path, batch_file_names=True)
     return b
 
 

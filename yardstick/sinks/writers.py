@@ -15,10 +15,12 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
 
 def write_batches(df: DataFrame, path: str, json_col: str = "jsonl", batch_col: str = "batch_idx", order_col: str = "pos",
-                  num_partitions: int | None = None) -> None:
-    """SNK-2: one folder per batch (``batch_idx=<k>``) holding its JSON lines in position
-    order.  Rows are hash-partitioned on the batch and sorted within partitions, which
-    also satisfies the writer's ordering on the partition column (no extra sort)."""
+                  num_partitions: int | None = None, batch_file_names: bool = False) -> None:
+    """SNK-2: each batch's JSON lines in position order, one file per batch (a batch's rows
+    are hash-partitioned into one task and sorted within it, which also satisfies the
+    writer's ordering on the partition column, so no extra sort).  Files land in
+    ``batch_idx=<k>/`` folders, or with ``batch_file_names`` as ``<path>/batch_<k>.jsonl``,
+    the reference's layout (one metadata rename per batch)."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         df.select(batch_col, order_col, F.col(json_col).alias("value"))
@@ -29,6 +31,27 @@ def write_batches(df: DataFrame, path: str, json_col: str = "jsonl", batch_col:
         .partitionBy(batch_col)
         .text(path)
     )
+    if batch_file_names:
+        _flatten_batch_files(df.sparkSession, path, batch_col)
+
+
+def _flatten_batch_files(spark, path: str, batch_col: str) -> None:
+    """``<path>/<batch_col>=<k>/part-*`` -> ``<path>/batch_<k>.jsonl`` (each batch is one
+    file), then the emptied folder is removed."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root = Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{batch_col}="
+    for st in fs.listStatus(root):
+        folder = st.getPath()
+        name = folder.getName()
+        if not (st.isDirectory() and name.startswith(prefix)):
+            continue
+        parts = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise RuntimeError(f"{folder} holds {len(parts)} data files, expected one per batch")
+        fs.rename(parts[0], Path(root, f"batch_{name[len(prefix):]}.jsonl"))
+        fs.delete(folder, True)
 
 
 def write_metrics(nested: DataFrame, path: str) -> None:
