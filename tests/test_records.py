@@ -59,3 +59,15 @@ def test_path_fields(spark):
 def test_normalized_prediction(spark):
     df = spark.createDataFrame([(" Yes\n",), ("NO",), ("maybe",), (None,)], "p string")
     assert [r[0] for r in df.select(R.normalized_prediction("p")).collect()] == ["yes", "no", None, None]
+
+
+def test_trainer_log_series(spark):
+    from yardstick.operators.reports import TRAINER_LOG_METRICS, log_series
+
+    log = spark.createDataFrame(
+        [(1, 0.1, 2.5, None, 1e-4), (2, 0.2, None, 2.1, 9e-5), (3, 0.3, 2.0, None, None)],
+        "step bigint, epoch double, loss double, eval_loss double, learning_rate double",
+    )
+    got = sorted(map(tuple, log_series(log, TRAINER_LOG_METRICS).select("metric", "step", "value").collect()))
+    assert got == [("eval_loss", 2, 2.1), ("learning_rate", 1, 1e-4), ("learning_rate", 2, 9e-5),
+                   ("train_loss", 1, 2.5), ("train_loss", 3, 2.0)]

@@ -9,11 +9,28 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 
 
-def log_series(wide: DataFrame, metrics: list[str], step: str = "step", epoch: str = "epoch") -> DataFrame:
+# Training-log keys and the series names they are summarised under.
+TRAINER_LOG_METRICS = {
+    "loss": "train_loss",
+    "eval_loss": "eval_loss",
+    "learning_rate": "learning_rate",
+    "grad_norm": "grad_norm",
+    "mean_token_accuracy": "mean_token_accuracy",
+}
+
+
+def log_series(wide: DataFrame, metrics: list[str] | dict[str, str], step: str = "step", epoch: str = "epoch") -> DataFrame:
     """AGG-14: a ragged wide log (one nullable column per metric) -> long rows
-    (metric, step, epoch, value) with NULL entries dropped.  The per-metric series is
-    kept as rows (a sink writes it partitioned by metric), never collected into one array."""
-    long = wide.unpivot([step, epoch], metrics, "metric", "value")
+    (metric, step, epoch, value) with NULL entries dropped.  ``metrics`` lists the metric
+    columns, or maps each column to its series name (``TRAINER_LOG_METRICS``); columns
+    absent from the log give no rows.  The per-metric series is kept as rows (a sink
+    writes it partitioned by metric), never collected into one array."""
+    names = metrics if isinstance(metrics, dict) else {m: m for m in metrics}
+    present = {c: n for c, n in names.items() if c in wide.columns}
+    if not present:
+        return wide.sparkSession.createDataFrame([], "metric string, step bigint, epoch double, value double")
+    wide = wide.select(step, epoch, *[F.col(c).cast("double").alias(n) for c, n in present.items()])
+    long = wide.unpivot([step, epoch], list(present.values()), "metric", "value")
     return long.filter(F.col("value").isNotNull()).select(
         "metric", F.col(step).alias("step"), F.col(epoch).alias("epoch"), F.col("value").cast("double").alias("value")
     )
