@@ -62,6 +62,7 @@ def test_prepare_batches_and_score(spark, tmp_path):
     m = res["metrics"].first()
     assert m.true_positives + m.false_positives + m.false_negatives + m.true_negatives == m.total_samples == 25
     assert m.false_positives == 0 and m.positive_samples + m.negative_samples == 25
+    assert res["elapsed_s"] > 0 and res["rows_per_s"] > 0
 
 
 def test_sample_and_holdout_sinks(spark, tmp_path):
@@ -105,3 +106,21 @@ def test_save_online_results(spark, tmp_path):
     assert spark.read.json(f"{out}/predictions").count() == 12
     assert spark.read.parquet(f"{out}/reasoning").count() == 12
     assert "Accuracy:" in spark.read.text(f"{out}/summary", wholetext=True).first().value
+
+
+def test_scoring_calls_the_model_once_per_row(spark, tmp_path):
+    # the scorer appends one line per call to a file; every output of the run reads the
+    # materialised rows, so there are exactly as many calls as rows
+    calls = tmp_path / "calls.txt"
+
+    class CountingScorer:
+        def __call__(self, row):
+            with open(calls, "a") as f:
+                f.write(f"{row['sample_id']}\n")
+            return "<reasoning>r</reasoning> Yes"
+
+    df = spark.range(0, 20).select(F.col("id").alias("sample_id"), F.lit(True).alias("is_generation_successful"))
+    res = jobs.score_dataset(df, lambda: CountingScorer(), ["sample_id"], retry_delay=0.0)
+    jobs.save_online_results(res["scored"], res["metrics"], str(tmp_path / "out"), "m", "autoqa", timestamp="t")
+    res["metrics"].collect()
+    assert sorted(int(x) for x in calls.read_text().split()) == list(range(20))
