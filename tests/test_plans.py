@@ -70,3 +70,18 @@ def test_filters_do_not_repeat_the_parse(spark, sf_small):
     plan = rp._jdf.queryExecution().optimizedPlan().toString()
     filters = [ln for ln in plan.splitlines() if ln.strip().startswith(("Filter", "+- Filter", ":- Filter"))]
     assert filters and not any("try_variant_get" in ln or "parse_json" in ln for ln in filters)
+
+
+def test_scorer_runs_once_per_query(spark, sf_small):
+    # per-sample rows and the reasoning table come from one projection: one scoring node
+    from yardstick.plans import io
+
+    for q in (io.q_sample_predictions,):
+        plan = q(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInPandas") <= 1
+    from yardstick.plans import scoring
+
+    p = scoring.q_online_metrics(spark, sf_small)
+    p._jdf.queryExecution().toRdd().count()
+    final = p._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("MapInPandas") == 1

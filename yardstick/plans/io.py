@@ -84,9 +84,8 @@ def q_sample_predictions(spark, sf):
         F.col("doc_id").alias("sample_id"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("gt")
     )
     s = scored(spark, sf).join(labels, "sample_id", "left")
-    rows = writers.sample_predictions(s, "sample_id", "gt").join(
-        writers.reasoning_table(s, "sample_id").withColumn("index", F.col("sample_key").cast("bigint")), "index"
-    )
+    # both outputs from one projection: the scorer runs once per row (no self-join)
+    rows = s.select(*writers.sample_prediction_cols("sample_id", "gt"), *writers.reasoning_cols("sample_id"))
     path = scratch_path(spark, "samples")
     rows.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -59,23 +59,33 @@ def write_metrics(nested: DataFrame, path: str) -> None:
     nested.write.mode("overwrite").json(path)
 
 
-def sample_predictions(scored: DataFrame, index_col: str, ground_truth: str, max_reasoning: int = 2000) -> DataFrame:
-    """SNK-4: per-sample rows: index, ground truth, label, success, reasoning cut to 2000 chars."""
-    return scored.select(
+def sample_prediction_cols(index_col: str, ground_truth: str, max_reasoning: int = 2000) -> list:
+    """SNK-4 columns: index, ground truth, label, success, reasoning cut to 2000 chars."""
+    return [
         F.col(index_col).alias("index"),
         F.col(ground_truth).alias("ground_truth"),
         F.coalesce(F.col("model_predicted_label"), F.lit("")).alias("predicted_label"),
         F.col("model_prediction_is_generation_successfull").alias("predicted_success"),
         F.substring(F.coalesce(F.col("model_response"), F.lit("")), 1, max_reasoning).alias("reasoning"),
-    )
+    ]
 
 
-def reasoning_table(scored: DataFrame, index_col: str) -> DataFrame:
-    """SNK-5 re-aimed: one table (sample_key = 9-digit id, response) instead of a file per row."""
-    return scored.select(
+def reasoning_cols(index_col: str) -> list:
+    """SNK-5 re-aimed: (sample_key = 9-digit id, response) instead of a file per row."""
+    return [
         F.lpad(F.col(index_col).cast("string"), 9, "0").alias("sample_key"),
         F.coalesce(F.col("model_response"), F.lit("")).alias("response"),
-    )
+    ]
+
+
+def sample_predictions(scored: DataFrame, index_col: str, ground_truth: str, max_reasoning: int = 2000) -> DataFrame:
+    """SNK-4: per-sample rows (see ``sample_prediction_cols``)."""
+    return scored.select(*sample_prediction_cols(index_col, ground_truth, max_reasoning))
+
+
+def reasoning_table(scored: DataFrame, index_col: str) -> DataFrame:
+    """SNK-5 re-aimed: one table (sample_key, response) instead of a file per row."""
+    return scored.select(*reasoning_cols(index_col))
 
 
 def summary_lines(metrics: DataFrame, title_cols: list[str]) -> DataFrame:
