@@ -34,3 +34,11 @@ def test_hot_key_split_index_matches_per_group_row_number(spark):
     for hot_rows in (100, 10**9):  # the hot and NULL groups split off, or all by window
         got = {(r.g, r.k): r.i for r in grouped_index(df, ["k"], ["g"], out="i", hot_rows=hot_rows, num_partitions=5).collect()}
         assert got == want
+
+
+def test_split_index_without_groups_is_the_global_index(spark):
+    from yardstick.operators.indexing import grouped_index
+
+    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 3000).alias("k"))
+    got = sorted((r.k, r.i) for r in grouped_index(df, ["k"], [], out="i", num_partitions=4).collect())
+    assert got == [(k, k) for k in range(3000)]

@@ -79,6 +79,8 @@ def grouped_index(
     group holding at most ``hot_rows`` rows.  Many small groups (one per conversation)
     thus avoid the index's offset join, and one huge group never lands in one task."""
     group_cols = list(group_cols)
+    if not group_cols:  # one global order: the distributed index (no single-task window)
+        return dense_index(df, order_cols, (), out, num_partitions).withColumn(out, F.col(out).cast("bigint"))
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     hot = checkpoint(sizes.filter(F.col("_n") > hot_rows).select(*group_cols))
     n_hot = hot.count()
