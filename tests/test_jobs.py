@@ -97,11 +97,11 @@ def test_summary_lines_take_the_online_record(spark):
 def test_save_online_results(spark, tmp_path):
     df = spark.range(0, 12).select(F.col("id").alias("sample_id"), (F.col("id") % 2 == 0).alias("is_generation_successful"))
     res = jobs.score_dataset(df, StubScorer(), ["sample_id"], retry_delay=0.0)
-    out = jobs.save_online_results(res["scored"], res["metrics"], str(tmp_path / "results"), "org/model-x", "autoqa",
+    out = jobs.save_online_results(res["scored"], res["metrics"], str(tmp_path / "results"), "org/model-x", "first_tag",
                                    "pairs", timestamp="20260101_000000")
     assert out.endswith("/org_model-x_20260101_000000")
     meta = spark.read.json(f"{out}/metrics").first()
-    assert (meta.model_name, meta.evaluator_type, meta.dataset_name) == ("org/model-x", "autoqa", "pairs")
+    assert (meta.model_name, meta.evaluator_type, meta.dataset_name) == ("org/model-x", "first_tag", "pairs")
     assert meta.metrics.total_samples == 12
     assert spark.read.json(f"{out}/predictions").count() == 12
     assert spark.read.parquet(f"{out}/reasoning").count() == 12
@@ -121,6 +121,6 @@ def test_scoring_calls_the_model_once_per_row(spark, tmp_path):
 
     df = spark.range(0, 20).select(F.col("id").alias("sample_id"), F.lit(True).alias("is_generation_successful"))
     res = jobs.score_dataset(df, lambda: CountingScorer(), ["sample_id"], retry_delay=0.0)
-    jobs.save_online_results(res["scored"], res["metrics"], str(tmp_path / "out"), "m", "autoqa", timestamp="t")
+    jobs.save_online_results(res["scored"], res["metrics"], str(tmp_path / "out"), "m", "first_tag", timestamp="t")
     res["metrics"].collect()
     assert sorted(int(x) for x in calls.read_text().split()) == list(range(20))
