@@ -73,14 +73,21 @@ def is_parts_line(line: bytes) -> bool:
         return False
 
 
-def parts_files(paths: DataFrame, path_col: str = "path") -> DataFrame:
+def parts_files(paths: DataFrame, path_col: str = "path", threads: int = 16) -> DataFrame:
     """``(path)`` of the listed files whose first line is a parts record; one small read
-    per file, spread over the tasks that hold the listing."""
+    per file, spread over the tasks that hold the listing.  Reads are I/O-bound (an
+    object-store open costs tens of milliseconds), so each task overlaps up to
+    ``threads`` of them."""
     import pandas as pd
 
     def sniff(batches):
-        for pdf in batches:
-            keep = [p for p in pdf[path_col] if is_parts_line(first_line(p))]
-            yield pd.DataFrame({path_col: pd.Series(keep, dtype="object")})
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            for pdf in batches:
+                listed = list(pdf[path_col])
+                oks = pool.map(lambda p: is_parts_line(first_line(p)), listed)
+                keep = [p for p, ok in zip(listed, oks) if ok]
+                yield pd.DataFrame({path_col: pd.Series(keep, dtype="object")})
 
     return paths.select(path_col).mapInPandas(sniff, f"{path_col} string")
