@@ -80,7 +80,9 @@ def q_scan_discovery(spark, sf):
         F.col("sample").alias("line_pos"),
         F.to_json(F.struct("sample", F.lit("yes").alias("prediction"), "batch_path", "source_file")).alias("value"),
     )
-    note = old.select("kind", "batch").distinct().select(
+    # one note per batch of model-b's lines (from the lines, not the parsed rows, so the
+    # parse runs once; a batch whose lines all drop gets a note-only file, which adds nothing)
+    note = b.select(F.lit("old").alias("kind"), F.col("batch")).distinct().select(
         "kind", "batch", F.lit(-1).cast("bigint").alias("line_pos"),
         F.to_json(F.struct(F.lit("superseded run").alias("note"))).alias("value"),
     )
