@@ -183,3 +183,15 @@ def test_discovery_under_a_folder_name_with_space_percent_plus(spark, tmp_path):
     _write(f"{d}/run 1/part-00000.json", [rec(5)])
     _write(f"{d}/run 2/part-00000.json", [json.dumps({"note": 1}), rec(6)])
     assert sorted(r.sample for r in scans.discover_parts(spark, d).collect()) == [5]
+
+
+def test_flat_class_read_by_glob_with_glob_characters_in_the_folder(spark, tmp_path):
+    d = str(tmp_path / "run[1]{a}")
+    _write(f"{d}/a.jsonl.out", [_line(1)])
+    _write(f"{d}/nested/b.jsonl.out", [_line(2)])
+    got = scans.discover_raw_lines(spark, d).collect()
+    assert [json.loads(r.value)["recordId"] for r in got] == ["sample_1"]
+    rec = json.dumps({"sample": 3, "prediction": "no", "batch_path": "o/ds/m/x"})
+    _write(f"{d}/p.json", [rec])
+    _write(f"{d}/metrics.json", [rec])
+    assert [r.sample for r in scans.discover_parts(spark, d).collect()] == [3]

@@ -7,6 +7,7 @@ monotonically increasing id travel with each row so that "last line wins"
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +35,26 @@ def _with_file_order(df: DataFrame) -> DataFrame:
     )
 
 
-def raw_output_text(spark: SparkSession, prefix: str, glob: str = "*.jsonl.out") -> DataFrame:
-    """SRC-1: recursive text scan of raw output files with the file path per line."""
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(prefix)
+def raw_output_text(
+    spark: SparkSession, prefix: str, glob: str = "*.jsonl.out", recursive: bool = True, literal: bool = False
+) -> DataFrame:
+    """SRC-1: text scan of raw output files with the file path per line: at any depth
+    (``recursive``), or only the files directly in ``prefix`` (a Hadoop glob, so nested
+    files are never listed or read).  Spark reads a prefix as a glob; ``literal`` takes
+    it as a plain folder name (the flat form always does)."""
+    if recursive:
+        src = _glob_escape(prefix) if literal else prefix
+        df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(src)
+    else:
+        df = spark.read.text(_glob_escape(prefix.rstrip("/")) + "/" + glob)
     return _with_file_order(df).select("value", "source_file", "file_block_start", "line_pos")
 
 
+def _glob_escape(path: str) -> str:
+    """A literal path inside a Hadoop glob (glob characters escaped)."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 # Discovery classes in the reference's fallback order (SRC-2):
 # (class, file-name glob, recursive).  The first class with any file wins.
 _RAW_CLASSES = [
@@ -60,7 +75,7 @@ def discover_raw_lines(spark: SparkSession, output_dir: str) -> DataFrame:
     never read when output files exist."""
     base = output_dir.rstrip("/") + "/"
     listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output_dir).select("path")
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
     )
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
     rank = F.lit(None).cast("int")
@@ -72,10 +87,8 @@ def discover_raw_lines(spark: SparkSession, output_dir: str) -> DataFrame:
     if best is None:
         return spark.createDataFrame([], "value string, source_file string, file_block_start bigint, line_pos bigint")
     _, glob, recursive = _RAW_CLASSES[best]
-    lines = raw_output_text(spark, output_dir, glob=glob)
-    if not recursive:
-        lines = lines.filter(~F.regexp_replace(plain_path("source_file"), r"^.*?" + _quote_path(base), "").contains("/"))
-    return lines
+    # the class is selected at file level (glob or file-name filter): no per-row path test
+    return raw_output_text(spark, output_dir, glob=glob, recursive=recursive, literal=True)
 
 
 def plain_path(c) -> "F.Column":
@@ -89,18 +102,16 @@ def _quote_path(p: str) -> str:
     return "\\Q" + p.replace("file:", "") + "\\E"
 
 
-def parts_json(spark: SparkSession, path: str) -> DataFrame:
+def parts_json(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True, literal: bool = False) -> DataFrame:
     """SRC-4: tolerant parts-json read (PERMISSIVE with a corrupt-record column).
-    Blank lines are skipped by the JSON reader; malformed lines keep ``_corrupt_record``."""
+    Blank lines are skipped by the JSON reader; malformed lines keep ``_corrupt_record``.
+    Files match ``glob`` at any depth (``recursive``) or directly in ``path``."""
     schema = T.StructType(PARTS_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
-    df = (
-        spark.read.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .json(path)
-    )
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    if recursive:
+        df = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).json(_glob_escape(path) if literal else path)
+    else:
+        df = reader.json(_glob_escape(path.rstrip("/")) + "/" + glob)
     return df.select(
         "sample",
         "prediction",
@@ -122,7 +133,7 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
     JSON object holding ``sample`` and ``prediction``.  Files are ranked from a
     content-free listing, then only the chosen class is scanned tolerantly (SRC-4)."""
     base = output_dir.rstrip("/") + "/"
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(output_dir).select("path")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
     rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
     name = F.element_at(F.split(rel, "/"), -1)
     is_json = rel.endswith(".json")
@@ -130,8 +141,10 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
     best = listing.agg(F.min(cls)).first()[0]  # one integer: the chosen class
     if best is None:
         return spark.createDataFrame([], parts_json_schema())
-    df = parts_json(spark, output_dir)
-    df = df.filter(_parts_class_filter(plain_path("file_path"), base, best))
+    # the class is selected at file level: flat *.json by a glob, part-*.json at any depth
+    # by a file-name filter; only metrics.json needs a row test (a constant per file)
+    df = parts_json(spark, output_dir, glob="*.json" if best == 0 else "part-*.json", recursive=best == 1, literal=True)
+    df = df.filter(F.element_at(F.split("file_path", "/"), -1) != F.lit("metrics.json"))
     if not sniff:
         return df
     from . import heads
@@ -145,7 +158,7 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
     # file's first split qualify; min_by keeps one candidate per file and task before the
     # shuffle, so the per-file table has one row per file and AQE broadcasts it when small.
     text = _with_file_order(
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(output_dir)
+        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(_glob_escape(output_dir))
     ).select("value", F.col("source_file").alias("file_path"), "file_block_start", "line_pos")
     first = (
         text.filter((F.col("file_block_start") == 0) & _parts_class_filter(plain_path("file_path"), base, best))
