@@ -195,3 +195,15 @@ def test_flat_class_read_by_glob_with_glob_characters_in_the_folder(spark, tmp_p
     _write(f"{d}/p.json", [rec])
     _write(f"{d}/metrics.json", [rec])
     assert [r.sample for r in scans.discover_parts(spark, d).collect()] == [3]
+
+
+def test_flat_class_scan_lists_only_top_level_files(spark, tmp_path):
+    d = str(tmp_path / "flat")
+    for i in range(3):
+        _write(f"{d}/f{i}.jsonl.out", [_line(i)])
+        _write(f"{d}/deep/g{i}.jsonl.out", [_line(10 + i)])
+    df = scans.discover_raw_lines(spark, d)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(3 paths)" in plan and "/deep/" not in plan  # nested files never listed
+    assert not any(ln.strip().startswith(("Filter", "+- Filter", "*(1) Filter")) for ln in plan.splitlines())
+    assert sorted(json.loads(r.value)["recordId"] for r in df.collect()) == ["sample_0", "sample_1", "sample_2"]
