@@ -64,7 +64,7 @@ def test_batches_cover_every_id_once(spark, sf_mid):
 
 
 def test_determinism_across_partitions(spark, sf_mid):
-    keys = ["reindex_auto", "slice_batches", "stratified_sample", "last_write_wins"]
+    keys = ["reindex_auto", "slice_batches", "stratified_sample", "last_write_wins", "eval_subset", "chat_flatten", "holdout_split"]
     before = {k: sorted(map(repr, map(tuple, Q[k](spark, sf_mid).collect()))) for k in keys}
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
