@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_compare import compare
+from yardstick.plans import registry
 from yardstick.sources.derived import TABLES
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.all_queries())
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +32,7 @@ def test_query_matches_oracle(spark, con, sf_small, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.all_oracles()) == set(registry.all_queries())
 
 
 def test_entry_smoke(spark):
