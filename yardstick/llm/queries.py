@@ -34,6 +34,30 @@ def op4_bpe(spark, sf_dir):
     return bpe_encode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_minhash_dedup(spark, sf_dir):
+    from .minhash import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir), size=2)
+
+
+def op6_substring_dedup(spark, sf_dir):
+    from .unit_dedup import repeated_runs
+
+    return repeated_runs(documents(spark, sf_dir))
+
+
+def op8_warc(spark, sf_dir):
+    from .warc import derivatives, responses
+
+    return derivatives(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+def op9_sharding(spark, sf_dir):
+    from .sharding import kd_shards
+
+    return kd_shards(documents(spark, sf_dir), 24, ["lang", "source", "size", "doc_id"])
+
+
 def op10_secret_scans(spark, sf_dir):
     from .secret_scan import secret_scan
 
@@ -44,6 +68,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
     "op4_bpe": op4_bpe,
+    "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op8_warc": op8_warc,
+    "op9_sharding": op9_sharding,
     "op10_secret_scans": op10_secret_scans,
 }
 
