@@ -38,8 +38,10 @@ def column(batch, name: str) -> pa.Array:
 
 
 def texts_of(batch, name: str = "text") -> pa.Array:
-    """The texts with null as the empty text."""
-    return pc.fill_null(column(batch, name).cast(pa.large_string()), "")
+    """The texts with null as the empty text, copied out of the batch: some string kernels
+    return invalid offsets for arrays that are cast from the middle of a buffer."""
+    own = column(batch, name).take(pa.array(np.arange(batch.num_rows)))
+    return pc.fill_null(own.cast(pa.large_string()), "")
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:

@@ -46,6 +46,12 @@ def op6_substring_dedup(spark, sf_dir):
     return repeated_runs(documents(spark, sf_dir))
 
 
+def op7_quality_classifier(spark, sf_dir):
+    from .kn_quality import classify
+
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_warc(spark, sf_dir):
     from .warc import derivatives, responses
 
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
     "op10_secret_scans": op10_secret_scans,
