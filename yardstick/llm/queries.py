@@ -26,6 +26,12 @@ def op2_quality_rules(spark, sf_dir):
     )
 
 
+def op3_lm_scoring(spark, sf_dir):
+    from .lm_scoring import hpy_scores
+
+    return hpy_scores(documents(spark, sf_dir))
+
+
 def op4_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -73,6 +79,7 @@ def op10_secret_scans(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_bpe": op4_bpe,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_substring_dedup": op6_substring_dedup,
