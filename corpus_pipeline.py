@@ -11,16 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from yardstick.llm.bpe import bpe_encode
-from yardstick.llm.decontaminate import decontaminate
+from yardstick.llm.decontaminate import drop_contaminated
+from yardstick.llm.kn_quality import keep_good
+from yardstick.llm.minhash import drop_near_duplicates
 from yardstick.llm.secret_scan import redact_secrets
-from yardstick.session import scratch_path
+from yardstick.llm.tables import written
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents whose perplexity is above their language's threshold."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies: five-word shingles, similarity 0.8."""
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a passage of the benchmark."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,6 +46,8 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
     ("secret_scans", secret_scans),
     ("bpe_encoding", bpe_encoding),
@@ -48,7 +60,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

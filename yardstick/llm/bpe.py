@@ -37,7 +37,9 @@ LEAF = 4096
 FIRST_WINDOW = 64
 AGREE = 4
 MAX_VOCABULARY = 64 << 20
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 300_000
+ENCODE_AT_ONCE = 8192
+SLICE = 4 << 20
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -114,8 +116,10 @@ class Encoder:
     def encode_words(self, words: list[str]) -> list[list[int]]:
         out: list = [None] * len(words)
         short = [k for k, w in enumerate(words) if len(w) <= self.leaf]
-        for k, e in zip(short, self.tok.encode_batch_fast([words[k] for k in short], add_special_tokens=False)):
-            out[k] = e.ids
+        for at in range(0, len(short), ENCODE_AT_ONCE):
+            some = short[at : at + ENCODE_AT_ONCE]
+            for k, e in zip(some, self.tok.encode_batch_fast([words[k] for k in some], add_special_tokens=False)):
+                out[k] = e.ids
         for k, w in enumerate(words):
             if out[k] is None:
                 out[k] = self.encode_long(w)
@@ -177,7 +181,7 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, keep_ids
 
     def work(batches):
         known = KnownWords(Encoder(shared.value, leaf))
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE):
             ids, bounds, decoded = encode_slice(known, texts_of(part))
             raw = ids.astype("<u4")
             id_sums = [hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(bounds, bounds[1:])]

@@ -177,3 +177,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         "spans",
         "items",
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` without any occurrence of a window, with their columns: one map
+    per item block, no shuffle."""
+
+    def keep(shared):
+        def work(batches):
+            tables, word = matchers(shared.value, window), re.compile(WORD)
+            for part in text_slices(batches):
+                clean = []
+                for text in pc.ascii_lower(texts_of(part)).to_pylist():
+                    words = word.findall(text)
+                    clean.append(all(next(t.search(words), None) is None for t in tables))
+                yield part.filter(pa.array(clean, pa.bool_()))
+
+        return work
+
+    for block in item_blocks(benchmark, block_bytes):
+        docs = docs.mapInArrow(keep(docs.sparkSession.sparkContext.broadcast(block)), docs.schema)
+    return docs

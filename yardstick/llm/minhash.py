@@ -228,3 +228,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     out = labelled(table.select("doc_id", "n_shingles", "rep"), labels, "rep", "component_id")
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` whose document is the smallest id of its group; a row without
+    id stays, rows repeated with one id stay together."""
+    copies = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
