@@ -37,10 +37,32 @@ def test_parse_shapes_and_drops(spark):
     assert by[4].drop_reason == "error_record"
     assert by[5].drop_reason == "no_content"  # falsy error: not an error record
     assert by[6].drop_reason == "malformed"
-    assert by[8].drop_reason == "no_record_id"  # id overflows BIGINT
+    assert by[8].drop_reason == "record_id_out_of_range"  # id overflows BIGINT
     assert {r.dataset for r in rows} == {"ds"} and {r.model for r in rows} == {"m1"}
 
 
+def test_lines_of_any_size_duplicate_keys_and_nan(spark):
+    answer = '"modelOutput": {"content": [{"text": "yes"}]}'
+    vals = [
+        '{"modelInput": {"image": "' + "A" * 22_000_000 + '"}, "recordId": "sample_1", ' + answer + "}",
+        '{"recordId": "sample_5", "recordId": "sample_2", ' + answer + "}",
+        '{"recordId": "sample_3", "score": NaN, ' + answer + "}",
+        "[1, 2]",
+        '"text"',
+        "{} trailing",
+    ]
+    rows = extract.parse_raw_lines(_lines(spark, vals), "contains", PREFIX).orderBy("line_pos").select("sample_id", "prediction", "drop_reason").collect()
+    assert [tuple(r) for r in rows[:3]] == [(1, "yes", None), (2, "yes", None), (3, "yes", None)]
+    assert all(r.drop_reason in ("malformed", "no_record_id") for r in rows[3:])
+
+
+def test_truth_of_error_fields(spark):
+    errors = ['"0"', '"false"', '"[]"', '{"a": 1}', "[0]", "1", "true", '""', "0", "0.0", "-0", "false", "null", "{}", "[]"]
+    vals = ['{"recordId": "sample_1", "error": ' + e + "}" for e in errors]
+    rows = extract.parse_raw_lines(_lines(spark, vals), "contains", PREFIX).orderBy("line_pos").collect()
+    assert [r.drop_reason for r in rows] == ["error_record"] * 7 + ["no_content"] * 8
+
+
 def test_batch_path_fallbacks(spark):
     df = spark.createDataFrame(
         [("s3://bucket/proj/outputs/ds/m/batch_1/f.jsonl.out",), ("s3://other/x/outputs/ds/m/f",), ("s3://b/p/q/r",), ("local/file",)],

@@ -44,7 +44,7 @@ def _empty(c: Column) -> Column:
 def _after_first_tag_lower(c: Column) -> tuple[Column, Column]:
     low = F.lower(c)
     pos = F.instr(low, TAG)
-    return pos, F.substring(low, pos + len(TAG), 1 << 30)
+    return pos, F.substr(low, pos + len(TAG))
 
 
 def contains_answer(content: Column | str) -> Column:
@@ -76,7 +76,7 @@ def first_tag_success(content: Column | str) -> Column:
 def word_answer(content: Column | str) -> Column:
     c = ustrip(col_of(content))
     pos = F.instr(c, TAG)
-    tail = F.when(pos > 0, F.substring(c, pos + len(TAG), 1 << 30)).otherwise(c)
+    tail = F.when(pos > 0, F.substr(c, pos + len(TAG))).otherwise(c)
     # Python's \b on str patterns: the word characters are letters, numbers and "_"
     # (Java's \b also counts combining marks as word characters, so it is spelled out)
     hit = F.regexp_extract(tail, r"(?<![\p{L}\p{N}_])(Yes|No)(?![\p{L}\p{N}_])", 1)

@@ -184,7 +184,8 @@ def chat_payload(
 ) -> Column:
     """BAT-11: OpenAI-style chat body as JSON text; absent (NULL) images are skipped.
     The system turn (string content) and user turn (list content) differ in shape, so
-    each turn is a VARIANT inside the messages array."""
+    each turn is written as its own JSON text and the body is assembled from them: the
+    images are serialised once and never parsed, whatever their size."""
     parts = []
     for label, data in images:
         text = F.struct(F.lit("text").alias("type"), F.lit(f"\n**{label}**").alias("text"), F.lit(None).cast("struct<url:string>").alias("image_url"))
@@ -196,25 +197,30 @@ def chat_payload(
         parts += [F.when(data.isNotNull(), text), F.when(data.isNotNull(), img)]
     parts.append(F.struct(F.lit("text").alias("type"), F.lit(prompt).alias("text"), F.lit(None).cast("struct<url:string>").alias("image_url")))
     content = F.filter(F.array(*parts), lambda x: x.isNotNull())
-    user = F.parse_json(F.to_json(F.struct(F.lit("user").alias("role"), content.alias("content"))))
-    system = F.parse_json(F.to_json(F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content"))))
-    return F.to_json(
+    user = F.to_json(F.struct(F.lit("user").alias("role"), content.alias("content")))
+    system = F.to_json(F.struct(F.lit("system").alias("role"), F.lit(system_prompt).alias("content")))
+    settings = F.to_json(
         F.struct(
-            F.array(system, user).alias("messages"),
             F.lit(max_tokens).alias("max_tokens"),
             F.lit(temperature).alias("temperature"),
             F.lit(top_p).alias("top_p"),
             F.lit(presence_penalty).alias("presence_penalty"),
         )
     )
+    return F.concat(F.lit('{"messages":['), system, F.lit(","), user, F.lit("],"), F.substr(settings, F.lit(2)))
 
 
 def envelope(record_id: Column, payload_json: Column, ground_truth: Column | None = None) -> Column:
     """BAT-12: ``{record_id, payload, ground_truth?}`` (ground truth only when the column exists)."""
-    fields = [record_id.alias("record_id"), F.parse_json(payload_json).alias("payload")]
+
+    def member(name: str, value: Column) -> Column:  # '"name":value', NULL for a NULL value
+        text = F.to_json(F.struct(value.alias(name)))
+        return F.when(value.isNotNull(), F.substr(text, F.lit(2), F.length(text) - 2))
+
+    members = [member("record_id", record_id), F.concat(F.lit('"payload":'), payload_json)]
     if ground_truth is not None:
-        fields.append(ground_truth.alias("ground_truth"))
-    return F.to_json(F.struct(*fields))
+        members.append(member("ground_truth", ground_truth))
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
 def required_images_error(images: list[tuple[str, Column]]) -> Column:

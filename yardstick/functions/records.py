@@ -1,9 +1,10 @@
 """Record parsing for raw batch-inference output lines (PRJ-1..13).
 
-A raw line is parsed once into a VARIANT (``try_parse_json``: NULL on malformed
-JSON); every field is then a cheap path lookup into the binary variant instead of
-one JSON re-parse per field.  Everything is a ``Column`` so the whole parse stays
-in one codegen stage and Catalyst can prune and push around it.
+A raw line is parsed once with ``from_json`` into the few top-level fields the engine
+reads; the echoed input (images included) is skipped by the parser, not copied, and no
+line is too long.  Every field but ``error`` is text, so a field of an unexpected type
+never spoils its line; nested fields are read from that text.  A key given twice counts
+with its last value and ``NaN`` is accepted, as in the reference's parser.
 """
 
 from __future__ import annotations
@@ -16,13 +17,25 @@ from .text import col_of, regex_quote, truthy_json
 # Drop reasons reported by the parse-error accounting.
 DROP_MALFORMED = "malformed"
 DROP_NO_ID = "no_record_id"
+DROP_ID_RANGE = "record_id_out_of_range"
 DROP_ERROR = "error_record"
 DROP_NO_CONTENT = "no_content"
 
 
+_CORRUPT = "_corrupt"
+_LINE = f"payload string, recordId string, record_id string, SageMakerOutput string, modelOutput string, error variant, {_CORRUPT} string"
+_CHAT = "choices array<struct<message: struct<content: string>>>"
+_BLOCKS = "content array<struct<type: string, text: string>>"
+
+
 def parse_line(value: Column | str) -> Column:
-    """Line text -> VARIANT, NULL for malformed JSON (SRC-5)."""
-    return F.try_parse_json(col_of(value))
+    """Line text -> struct of the fields read from it (SRC-5); see ``malformed``."""
+    return F.from_json(col_of(value), _LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def malformed(v: Column) -> Column:
+    """True for a line that is no JSON object."""
+    return v.isNull() | v[_CORRUPT].isNotNull()
 
 
 def _nonempty(c: Column) -> Column:
@@ -32,36 +45,31 @@ def _nonempty(c: Column) -> Column:
 def record_id(v: Column) -> Column:
     """PRJ-1: ``payload.record_id`` -> ``recordId`` -> ``record_id``; empty counts as missing."""
     return F.coalesce(
-        _nonempty(F.try_variant_get(v, "$.payload.record_id", "string")),
-        _nonempty(F.try_variant_get(v, "$.recordId", "string")),
-        _nonempty(F.try_variant_get(v, "$.record_id", "string")),
+        _nonempty(F.from_json(v["payload"], "record_id string")["record_id"]),
+        _nonempty(v["recordId"]),
+        _nonempty(v["record_id"]),
     )
 
 
+_ID = r"sample_(\d+)"
+
+
 def sample_index(rid: Column) -> Column:
     """PRJ-2: integer after the first ``sample_``; NULL when there is none (or it overflows)."""
-    return F.regexp_extract(rid, r"sample_(\d+)", 1).try_cast("bigint")
+    return F.regexp_extract(rid, _ID, 1).try_cast("bigint")
 
 
 def chat_content(v: Column) -> Column:
     """PRJ-3: ``SageMakerOutput.choices[0].message.content``."""
-    return F.try_variant_get(v, "$.SageMakerOutput.choices[0].message.content", "string")
+    return F.get(F.from_json(v["SageMakerOutput"], _CHAT)["choices"], 0)["message"]["content"]
 
 
 def block_content(v: Column) -> Column:
     """PRJ-4: ``modelOutput`` (object, or a JSON string holding one) ``.content``;
     the text of the first block that has ``type = 'text'`` or a ``text`` key."""
-    direct = F.try_variant_get(v, "$.modelOutput.content", "array<variant>")
-    embedded = F.try_variant_get(
-        F.try_parse_json(F.try_variant_get(v, "$.modelOutput", "string")), "$.content", "array<variant>"
-    )
-    blocks = F.coalesce(direct, embedded)
-    chosen = F.filter(
-        blocks,
-        lambda b: (F.try_variant_get(b, "$.type", "string") == F.lit("text"))
-        | F.try_variant_get(b, "$.text", "variant").isNotNull(),
-    )
-    return F.try_variant_get(F.try_element_at(chosen, F.lit(1)), "$.text", "string")
+    blocks = F.from_json(v["modelOutput"], _BLOCKS)["content"]  # an object and a string holding one read alike
+    chosen = F.filter(blocks, lambda b: (b["type"] == F.lit("text")) | b["text"].isNotNull())
+    return F.get(chosen, 0)["text"]
 
 
 def content(v: Column) -> Column:
@@ -72,13 +80,15 @@ def content(v: Column) -> Column:
 def is_error_record(v: Column, text: Column) -> Column:
     """PRJ-6: no content and a truthy ``error`` field."""
     no_content = F.coalesce(text, F.lit("")) == F.lit("")
-    return no_content & truthy_json(F.try_variant_get(v, "$.error", "variant"))
+    return no_content & truthy_json(v["error"])
 
 
 def drop_reason(v: Column, sample: Column, text: Column) -> Column:
-    """AGG-11: why a line yields no prediction, NULL when it yields one (order as the reference checks)."""
+    """AGG-11: why a line yields no prediction, NULL when it yields one (order as the
+    reference checks).  An id beyond BIGINT has a reason of its own."""
     return (
-        F.when(v.isNull(), F.lit(DROP_MALFORMED))
+        F.when(malformed(v), F.lit(DROP_MALFORMED))
+        .when(sample.isNull() & F.regexp_like(record_id(v), F.lit(_ID)), F.lit(DROP_ID_RANGE))
         .when(sample.isNull(), F.lit(DROP_NO_ID))
         .when(is_error_record(v, text), F.lit(DROP_ERROR))
         .when(F.coalesce(text, F.lit("")) == F.lit(""), F.lit(DROP_NO_CONTENT))
@@ -91,7 +101,7 @@ def batch_path(source_file: Column | str, input_prefix: str) -> Column:
     prefix = input_prefix.rstrip("/") + "/"
     folder = input_prefix.rstrip("/").split("/")[-1]
     relative = F.coalesce(
-        F.when(f.startswith(F.lit(prefix)), F.substring(f, len(prefix) + 1, 1 << 30)),
+        F.when(f.startswith(F.lit(prefix)), F.substr(f, F.lit(len(prefix) + 1))),
         _nonempty(F.regexp_extract(f, "(?s)" + regex_quote(folder) + "/(.*)", 1)),
         _nonempty(F.regexp_extract(f, r"(?s)s3://[^/]+/[^/]+/(.*)", 1)),
         f,

@@ -31,9 +31,12 @@ def regex_quote(literal: str) -> str:
 
 
 def truthy_json(v: Column) -> Column:
-    """Python truthiness of a JSON value given as variant (missing/null -> False)."""
+    """Python truthiness of a JSON value given as variant (missing/null -> False): a
+    string is true unless empty, whatever it spells."""
     as_text = F.try_variant_get(v, "$", "string")
-    return F.coalesce(~as_text.isin("", "false", "0", "0.0", "-0", "{}", "[]"), F.lit(False))
+    spelled = F.schema_of_variant(v) == F.lit("STRING")
+    empty = F.when(spelled, as_text == F.lit("")).otherwise(as_text.isin("false", "{}", "[]") | (as_text.try_cast("double") == 0.0))
+    return F.coalesce(as_text.isNotNull() & ~F.coalesce(empty, F.lit(False)), F.lit(False))
 
 
 def html_escape(c: Column | str) -> Column:

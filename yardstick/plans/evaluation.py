@@ -54,7 +54,7 @@ def q_content_shapes(spark, sf):
     lines = raw_lines(spark, sf)
     v = records.parse_line("value")
     # the parsed value is pinned so the NULL filter does not re-run the parse
-    with_v = extract.pin_columns(lines.select("source_file", "line_pos", v.alias("_v"))).filter(F.col("_v").isNotNull())
+    with_v = extract.pin_columns(lines.select("source_file", "line_pos", v.alias("_v"))).filter(~records.malformed(F.col("_v")))
     chat = F.nullif(records.chat_content(F.col("_v")), F.lit(""))
     block = F.nullif(records.block_content(F.col("_v")), F.lit(""))
     bp = records.batch_path("source_file", derived.RAW_PREFIX)

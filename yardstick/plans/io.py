@@ -155,7 +155,7 @@ FROM d GROUP BY ALL
     "sample_predictions": _S + """
 SELECT s.sample_id AS index, l.quality = 1 AND l.toxic = 0 AS ground_truth, model_predicted_label AS predicted_label,
        model_prediction_is_generation_successfull AS predicted_success, substr(model_response, 1, 2000) AS reasoning,
-       lpad(CAST(s.sample_id AS VARCHAR), 9, '0') AS sample_key, model_response AS response
+       CASE WHEN s.sample_id < 1000000000 THEN lpad(CAST(s.sample_id AS VARCHAR), 9, '0') ELSE CAST(s.sample_id AS VARCHAR) END AS sample_key, model_response AS response
 FROM s LEFT JOIN labels l ON l.doc_id = s.sample_id
 """,
     "summary_text": ev._ALIGNED + f"""

@@ -71,9 +71,11 @@ def sample_prediction_cols(index_col: str, ground_truth: str, max_reasoning: int
 
 
 def reasoning_cols(index_col: str) -> list:
-    """SNK-5 re-aimed: (sample_key = 9-digit id, response) instead of a file per row."""
+    """SNK-5 re-aimed: (sample_key = id of at least 9 digits, response) instead of a file
+    per row; longer ids are kept whole."""
+    key = F.col(index_col).cast("string")
     return [
-        F.lpad(F.col(index_col).cast("string"), 9, "0").alias("sample_key"),
+        F.when(F.length(key) < 9, F.lpad(key, 9, "0")).otherwise(key).alias("sample_key"),
         F.coalesce(F.col("model_response"), F.lit("")).alias("response"),
     ]
 
