@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from yardstick.operators.scoring import StubScorer
+from yardstick.plans.stub_scorer import StubScorer
 from yardstick.plans import jobs
 
 

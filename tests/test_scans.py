@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from yardstick.operators import extract, sampling
@@ -81,7 +83,7 @@ def test_resolve_images(spark, tmp_path):
     img = tmp_path / "img.png"
     img.write_bytes(b"\x89PNG")
     df = spark.createDataFrame(
-        [(1, (b"raw", None)), (2, (None, str(img))), (3, (None, None))],
+        [(1, (b"raw", None)), (2, (b"", str(img))), (3, (None, None))],
         "id int, image struct<bytes: binary, path: string>",
     )
     files = spark.read.format("binaryFile").load(str(tmp_path / "*.png"))
@@ -99,6 +101,22 @@ def test_manifest_roundtrip(spark, tmp_path):
     assert sorted(map(tuple, rows.collect())) == [("r", 1), ("r", 3), ("s", 2)]
 
 
+def test_manifest_of_missing_and_oddly_named_categories(spark):
+    rows = [("r", None, 5), ("r", "*all*", 1), ("r", "x", 3)]
+    sampled = spark.createDataFrame(rows, "split string, category string, sample_id bigint")
+    doc = sampling.manifest_document(sampling.manifest_lists(sampled)).collect()
+    assert len(doc) == 1
+    assert doc[0].categories == {"null": [5], "*all*": [1], "x": [3]} and doc[0].all_indices == [1, 3, 5]
+
+
+@pytest.mark.parametrize("form", ["{}", "{}/", "file:{}", "file://{}", "file://{}//"])
+def test_discovery_chooses_the_flat_class_for_every_spelling(spark, tmp_path, form):
+    d = str(tmp_path / "outs")
+    _write(f"{d}/a.jsonl.out", [_line(1)])
+    _write(f"{d}/deeper/b.jsonl.out", [_line(2)])
+    assert scans.discover_raw_lines(spark, form.format(d)).count() == 1
+
+
 def test_mapping_parse():
     assert scans.parse_mapping(["a=/x=y", " b = /z "]) == {"a": "/x=y", "b": "/z"}
 

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from yardstick.operators import scoring
+from yardstick.plans.stub_scorer import StubScorer
 
 
 def test_retry_and_error_rows(spark):
     df = spark.range(0, 60).select(F.col("id").alias("sample_id"))
-    out = scoring.with_answers(scoring.score(df, scoring.StubScorer(), ["sample_id"], max_retries=3, retry_delay=0.0, concurrency=4))
+    out = scoring.with_answers(scoring.score(df, StubScorer(), ["sample_id"], max_retries=3, retry_delay=0.0, concurrency=4))
     rows = {r.sample_id: r for r in out.collect()}
     assert len(rows) == 60
     for i, r in rows.items():
@@ -21,14 +22,14 @@ def test_retry_and_error_rows(spark):
 
 def test_too_few_retries_exhaust(spark):
     df = spark.range(0, 10).select(F.col("id").alias("sample_id"))
-    out = scoring.score(df, scoring.StubScorer(), ["sample_id"], max_retries=1, retry_delay=0.0)
+    out = scoring.score(df, StubScorer(), ["sample_id"], max_retries=1, retry_delay=0.0)
     failed = {r.sample_id for r in out.filter("failed").collect()}
     assert failed == {i for i in range(10) if i % 3 != 0 or i % 17 == 0}
 
 
 def test_drop_input_columns(spark):
     df = spark.range(0, 6).select(F.col("id").alias("sample_id"), F.lit(b"big").alias("image"))
-    out = scoring.score(df, scoring.StubScorer(), ["sample_id"], retry_delay=0.0, keep_input=False)
+    out = scoring.score(df, StubScorer(), ["sample_id"], retry_delay=0.0, keep_input=False)
     assert out.columns == ["sample_id", "model_response", "attempts", "failed"]
 
 
@@ -42,11 +43,61 @@ def test_seeded_head(spark):
     assert seeded_head(df, 1000).count() == 500
 
 
-def test_seeded_head_paths_agree(spark, monkeypatch):
-    from yardstick.operators import batching
+def test_seeded_head_of_repeated_and_missing_ids(spark):
+    from yardstick.operators.batching import seeded_head
+
+    df = spark.range(0, 60).selectExpr("nullif(id % 20, 7) as sample_id", "id as row")
+    for n in (1, 30, 59, 60, 100):
+        rows = seeded_head(df, n, seed=3).collect()
+        assert sorted(r.pos for r in rows) == list(range(min(n, 60))) and len({r.row for r in rows}) == min(n, 60)
+
+
+def test_holdout_is_exact_with_repeated_ids(spark):
+    from yardstick.operators.sampling import holdout_split
+
+    df = spark.range(0, 100).selectExpr("id % 3 as sample_id", "id as row")
+    rows = holdout_split(df, seed=1).collect()
+    assert len(rows) == 100 and sum(r.part == "eval" for r in rows) == 20
+    assert all(r.part == "train" for r in holdout_split(df.limit(2)).collect())
+
+
+def test_requests_overlap_and_keep_their_order(spark):
+    import time
+
+    def sleeping():
+        def score(row):
+            time.sleep(0.2)
+            return str(row["sample_id"])
+
+        return score
+
+    df = spark.range(0, 60, 1, 1).select(F.col("id").alias("sample_id"))
+    scoring.score(df.limit(1), sleeping, ["sample_id"]).collect()
+    began = time.time()
+    rows = scoring.score(df, sleeping, ["sample_id"], in_flight=12).collect()
+    assert time.time() - began < 60 * 0.2 / 2
+    assert [r.model_response for r in rows] == [str(i) for i in range(60)] and [r.sample_id for r in rows] == list(range(60))
+
+
+def test_long_ids_keep_their_digits(spark):
+    from yardstick.sinks import writers
+
+    df = spark.createDataFrame([(7, "a"), (123456789, "b"), (8589934592, "c"), (8589934593, "d")], "sample_id bigint, model_response string")
+    keys = [r.sample_key for r in writers.reasoning_table(df, "sample_id").orderBy("response").collect()]
+    assert keys == ["000000007", "123456789", "8589934592", "8589934593"]
+
+
+def test_chat_payload_of_a_large_image(spark):
+    import json
+
+    from yardstick.functions import payloads as P
 
-    df = spark.range(0, 400).select(F.col("id").alias("sample_id"))
-    small = sorted((r.sample_id, r.pos) for r in batching.seeded_head(df, 50, seed=3).collect())
-    monkeypatch.setattr(batching, "TOPK_ROWS", 10)
-    large = sorted((r.sample_id, r.pos) for r in batching.seeded_head(df, 50, seed=3).collect())
-    assert small == large and len(small) == 50
+    df = spark.range(1).select(F.expr("encode(repeat('x', 17000000), 'UTF-8')").alias("img"), F.lit("sample_1").alias("rid"))
+    j = P.envelope(F.col("rid"), P.chat_payload([("SOURCE", F.col("img")), ("NONE", F.lit(None).cast("binary"))], 'say "hi"', "sys"), F.lit(True))
+    body = json.loads(df.select(j).first()[0])
+    assert list(body) == ["record_id", "payload", "ground_truth"] and body["ground_truth"] is True
+    user = body["payload"]["messages"][1]["content"]
+    assert [x["type"] for x in user] == ["text", "image_url", "text"] and len(user[1]["image_url"]["url"]) > 22_000_000
+    assert user[2]["text"] == 'say "hi"' and body["payload"]["messages"][0] == {"role": "system", "content": "sys"}
+    none = json.loads(df.select(P.envelope(F.lit(None).cast("string"), F.lit("{}"))).first()[0])
+    assert none == {"payload": {}}

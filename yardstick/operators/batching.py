@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .indexing import dense_index
-from .sampling import seeded_hash
+from .sampling import at_most, pair_at, seeded_hash
 
 
 def positions(df: DataFrame, seed: int | None = None, id_col: str = "sample_id") -> DataFrame:
@@ -79,21 +79,13 @@ def batch_manifest(
     )
 
 
-TOPK_ROWS = 10_000  # up to this n a top-k of (hash, id) pairs is cheaper than a full index
-
-
 def seeded_head(df: DataFrame, n: int, seed: int = 42, id_col: str = "sample_id") -> DataFrame:
     """BAT-5: the first ``n`` rows of a seeded shuffle (all rows when fewer exist) with
-    their position; ids must be unique.  For a bounded ``n`` the top-k runs on the
-    narrow (hash, id) pairs only (each partition keeps n pairs, the merge sees at most
-    n x partitions pairs, never the wide rows), and the n chosen ids, a side bounded by
-    ``TOPK_ROWS``, are broadcast back onto the rows.  Beyond ``TOPK_ROWS`` the positions
-    come from the distributed index, since the subset then grows with the data."""
-    if n <= TOPK_ROWS:
-        from pyspark.sql import Window
-
-        pairs = df.select(F.col(id_col), seeded_hash(seed, id_col).alias("_h"))
-        top = pairs.orderBy("_h", id_col).limit(n)
-        pos = top.select(id_col, (F.row_number().over(Window.orderBy("_h", id_col)) - 1).cast("bigint").alias("pos"))
-        return df.join(F.broadcast(pos), id_col)
-    return positions(df, seed, id_col).filter(F.col("pos") < n)
+    their position; exactly ``n`` rows, repeated and NULL ids included.  The index runs on
+    the narrow (hash, id) pairs and yields the pair at the cut; only the rows up to that
+    pair are then numbered, so wide rows beyond the head are never shuffled."""
+    keyed = df.withColumn("_h", seeded_hash(seed, id_col))
+    cut = pair_at(keyed, n - 1, id_col)
+    if cut is not None:
+        keyed = keyed.filter(at_most(cut, id_col))
+    return dense_index(keyed, ["_h", id_col], out="pos").filter(F.col("pos") < n).drop("_h")

@@ -27,16 +27,18 @@ def stratified_sample(df: DataFrame, strata: list[str], n: int, seed: int = 42,
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+# Fixed value: the key a missing category has in the JSON manifest.
+NULL_CATEGORY = "null"
+
+
 def manifest_lists(sampled: DataFrame, split_col: str = "split", category_col: str = "category", id_col: str = "sample_id") -> DataFrame:
-    """AGG-12/SNK-7: sorted id list per (split, category) plus the flat sorted list per split
-    (category ``*all*``).  Runs on the sample only, bounded by n x categories."""
-    per_cat = sampled.groupBy(split_col, category_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"), F.sort_array(F.collect_list(id_col)).alias("ids")
-    )
-    flat = sampled.groupBy(split_col).agg(
-        F.lit("*all*").alias(category_col), F.count(F.lit(1)).cast("bigint").alias("n"), F.sort_array(F.collect_list(id_col)).alias("ids")
-    )
-    return per_cat.unionByName(flat)
+    """AGG-12/SNK-7: sorted id list per (split, category), NULL being a category of its
+    own, plus the flat sorted list per split (``all_categories`` true, category NULL).
+    Runs on the sample only, bounded by n x categories."""
+    n, ids = F.count(F.lit(1)).cast("bigint").alias("n"), F.sort_array(F.collect_list(id_col)).alias("ids")
+    per_cat = sampled.groupBy(split_col, category_col).agg(n, ids).withColumn("all_categories", F.lit(False))
+    flat = sampled.groupBy(split_col).agg(n, ids).withColumn("all_categories", F.lit(True))
+    return per_cat.unionByName(flat, allowMissingColumns=True)
 
 
 def manifest_document(
@@ -48,9 +50,11 @@ def manifest_document(
 ) -> DataFrame:
     """Nested manifest for the JSON sink: one row per split with ``categories``
     (category -> sorted ids) and ``all_indices`` (the flat sorted list), plus the
-    sampling ``seed`` and ``samples_per_category`` when given."""
-    cats = manifest.filter(F.col(category_col) != "*all*")
-    flat = manifest.filter(F.col(category_col) == "*all*").select(split_col, F.col("ids").alias("all_indices"))
+    sampling ``seed`` and ``samples_per_category`` when given.  A NULL category is listed
+    under ``null``; its ids join those of a category of that very name."""
+    cats = manifest.filter(~F.col("all_categories")).withColumn(category_col, F.coalesce(F.col(category_col), F.lit(NULL_CATEGORY)))
+    cats = cats.groupBy(split_col, category_col).agg(F.sort_array(F.flatten(F.collect_list("ids"))).alias("ids"))
+    flat = manifest.filter(F.col("all_categories")).select(split_col, F.col("ids").alias("all_indices"))
     per_split = cats.groupBy(split_col).agg(F.map_from_entries(F.collect_list(F.struct(category_col, "ids"))).alias("categories"))
     doc = per_split.join(flat, split_col, "full_outer")
     if seed is not None:
@@ -73,11 +77,39 @@ def exclude(df: DataFrame, manifest_rows: DataFrame, keys=("split", "sample_id")
     return df.join(manifest_rows.select(*keys), list(keys), "left_anti")
 
 
+def pair_at(keyed: DataFrame, k: int, id_col: str):
+    """The (hash, id) pair at position ``k`` of the seeded order, None beyond the end.
+    Only the pairs are indexed; one row reaches the driver."""
+    pairs = keyed.select("_h", F.col(id_col).alias("_id"))
+    return dense_index(pairs, ["_h", "_id"], out="_at").filter(F.col("_at") == k).select("_h", "_id").first()
+
+
+def at_most(cut, id_col: str, strict: bool = False) -> Column:
+    """Rows up to a (hash, id) pair in the seeded order (NULL hash and id first)."""
+    h, i = F.col("_h"), F.col(id_col)
+    if cut["_h"] is None:  # a NULL id has a NULL hash
+        return F.lit(False) if strict else h.isNull()
+    equal = (h == cut["_h"]) & (i == cut["_id"])
+    below = h.isNull() | (h < cut["_h"]) | ((h == cut["_h"]) & (i < cut["_id"]))
+    return below if strict else below | equal
+
+
 def holdout_split(df: DataFrame, seed: int = 42, share: float = 0.2, id_col: str = "sample_id") -> DataFrame:
     """SMP-3/WIN-4: exact hold-out of ``max(1, int(share * n))`` rows when ``n > 2``
-    (none otherwise), chosen by seeded hash.  The global rank comes from the
-    distributed dense index, not a single-task ``orderBy().limit(k)`` (k grows with n)."""
+    (none otherwise), chosen by seeded hash.  The distributed index runs on the narrow
+    (hash, id) pairs and yields the pair at the cut; the rows are split by one filter and
+    are not shuffled.  Rows that share the pair at the cut are numbered to keep the count."""
     n = df.count()
     k = max(1, int(n * share)) if n > 2 else 0
-    ranked = dense_index(df.withColumn("_h", seeded_hash(seed, id_col)), ["_h", id_col], out="_rank")
-    return ranked.withColumn("part", F.when(F.col("_rank") < k, F.lit("eval")).otherwise(F.lit("train"))).drop("_h", "_rank")
+    keyed = df.withColumn("_h", seeded_hash(seed, id_col))
+    part = lambda held: F.when(held, F.lit("eval")).otherwise(F.lit("train")).alias("part")
+    if k == 0:
+        return df.select("*", part(F.lit(False)))
+    cut = pair_at(keyed, k - 1, id_col)
+    before, upto = at_most(cut, id_col, strict=True), at_most(cut, id_col)
+    counts = keyed.agg(F.count_if(before).alias("below"), F.count_if(upto).alias("upto")).first()
+    if counts["upto"] == k:
+        return keyed.select(*df.columns, part(upto))
+    ties = dense_index(keyed.filter(upto & ~before), [id_col], out="_rank")
+    ties = ties.select(*df.columns, part(F.col("_rank") < k - counts["below"]))
+    return keyed.filter(before | ~upto).select(*df.columns, part(before)).unionByName(ties)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import sys as _sys
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
@@ -29,6 +30,9 @@ from ..functions import answers
 # workers need not have this package on their path (no --py-files needed).
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
+IN_FLIGHT = 12  # requests going at once per task
+ROWS_AT_ONCE = 256  # rows whose responses a task holds at once
+
 RESULT_FIELDS = [
     T.StructField("model_response", T.StringType()),
     T.StructField("attempts", T.IntegerType()),
@@ -36,33 +40,30 @@ RESULT_FIELDS = [
 ]
 
 
-def _score_partition(factory: Callable, input_cols: list[str], max_retries: int, retry_delay: float):
+def _score_partition(factory: Callable, input_cols: list[str], max_retries: int, retry_delay: float, in_flight: int):
     def run(batches):
         score = factory()  # once per task: the lazily created client of the reference
-        for pdf in batches:
-            responses, attempts, failed = [], [], []
-            records = pdf[input_cols].to_dict("records")
-            for rec in records:
-                last_err = None
-                for attempt in range(1, max_retries + 1):
-                    try:
-                        responses.append(str(score(rec)))
-                        attempts.append(attempt)
-                        failed.append(False)
-                        break
-                    except Exception as exc:  # the scorer contract: raise to retry
-                        last_err = exc
-                        if attempt < max_retries and retry_delay > 0:
-                            time.sleep(retry_delay * attempt)
-                else:
-                    responses.append(f"ERROR: {last_err}")
-                    attempts.append(max_retries)
-                    failed.append(True)
-            out = pdf.copy()
-            out["model_response"] = pd.Series(responses, index=pdf.index, dtype="object")
-            out["attempts"] = pd.Series(attempts, index=pdf.index, dtype="int32")
-            out["failed"] = pd.Series(failed, index=pdf.index, dtype="bool")
-            yield out
+
+        def tried(record):
+            """(response, attempts, failed) of one row; a raise means another try."""
+            error = None
+            for k in range(max_retries):
+                if k:
+                    time.sleep(retry_delay * k)
+                try:
+                    return str(score(record)), k + 1, False
+                except Exception as exc:
+                    error = exc
+            return f"ERROR: {error}", max_retries, True
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for pdf in batches:
+                for start in range(0, len(pdf), ROWS_AT_ONCE):
+                    part = pdf.iloc[start : start + ROWS_AT_ONCE].copy()
+                    done = list(pool.map(tried, part[input_cols].to_dict("records")))  # input order
+                    for k, (name, kind) in enumerate((("model_response", "object"), ("attempts", "int32"), ("failed", "bool"))):
+                        part[name] = pd.Series([d[k] for d in done], index=part.index, dtype=kind)
+                    yield part
 
     return run
 
@@ -75,11 +76,14 @@ def score(
     retry_delay: float = 2.0,
     concurrency: int | None = None,
     keep_input: bool = True,
+    in_flight: int = IN_FLIGHT,
 ) -> DataFrame:
     """UDF-3/UDF-4: every row scored, with up to ``max_retries`` attempts and a linear
     backoff ``retry_delay * attempt`` (none after the last); an exhausted row gets
     ``model_response = 'ERROR: ...'`` and ``failed = true``.  ``concurrency`` repartitions
-    to bound the number of scorers running at once; ``keep_input=False`` drops the input
+    to bound the number of scorers running at once; each task keeps up to ``in_flight``
+    requests (back-off included) going and returns rows in input order, so the scorer must
+    allow calls from several threads; ``keep_input=False`` drops the input
     columns other than ``input_cols`` before scoring (the reference's ``remove_columns``),
     so wide columns such as images never cross into Python needlessly."""
     if not keep_input:
@@ -87,7 +91,7 @@ def score(
     if concurrency:
         df = df.repartition(concurrency)
     schema = T.StructType(df.schema.fields + RESULT_FIELDS)
-    return df.mapInPandas(_score_partition(scorer_factory, input_cols, max_retries, retry_delay), schema)
+    return df.mapInPandas(_score_partition(scorer_factory, input_cols, max_retries, retry_delay, in_flight), schema)
 
 
 def with_answers(scored: DataFrame, mode: str = "first_tag") -> DataFrame:
@@ -109,46 +113,3 @@ def with_answers(scored: DataFrame, mode: str = "first_tag") -> DataFrame:
     return scored.withColumn("model_predicted_label", F.when(failed, F.lit("ERROR")).otherwise(label)).withColumn(
         "model_prediction_is_generation_successfull", F.when(failed, F.lit(False)).otherwise(success)
     )
-
-
-def json_answer(i: int) -> str:
-    """The JSON-style stub answer for id ``i`` (four shapes by ``i % 4``)."""
-    k = i % 4
-    if k == 0:
-        return '```json\n{"verdict": "looks right %d", "recommendation": "acceptable"}\n```' % i
-    if k == 1:
-        return '{"verdict": "bent frame %d", "recommendation": "geometry_artifacts"}' % i
-    if k == 2:
-        return '{"verdict": "odd %d", "recommendation": "blurry"}' % i
-    return "no JSON here for %d" % i
-
-
-class StubScorer:
-    """Deterministic stand-in for a model endpoint, a pure function of the id:
-    it raises on the first ``id % 3`` attempts for each row and always for
-    ``id % 17 == 0``; it answers Yes for even ids and No for odd ones."""
-
-    def __init__(self, id_col: str = "sample_id", style: str = "reasoning"):
-        self.id_col = id_col
-        self.style = style
-
-    def __call__(self):
-        # attempts of the row being retried (retries of one row are consecutive),
-        # so the state stays constant-size however large the partition is
-        state = {"id": None, "n": 0}
-        id_col = self.id_col
-        style = self.style
-
-        def score(row: dict) -> str:
-            i = int(row[id_col])
-            state["n"] = state["n"] + 1 if state["id"] == i else 1
-            state["id"] = i
-            if i % 17 == 0:
-                raise RuntimeError(f"endpoint unavailable for {i}")
-            if state["n"] <= i % 3:
-                raise TimeoutError(f"timeout on attempt {state['n']}")
-            if style == "json":
-                return json_answer(i)
-            return f"<reasoning>sample {i}</reasoning> {'Yes' if i % 2 == 0 else 'No'}"
-
-        return score

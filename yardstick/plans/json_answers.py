@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import answers as A
 from ..operators import scoring
 from ..sources import derived
+from .stub_scorer import StubScorer
 
 # Free-form label spellings derived from the document id (i % 9).
 _SPELLINGS = [" 'Acceptable' ", '"WRONG_ORIENTATION"', "background_issues ", "Non_Relevant_Main_Image",
@@ -48,7 +49,7 @@ def q_label_lookup(spark, sf):
 
 
 def q_score_json_label(spark, sf):
-    s = scoring.score(_docs(spark, sf), scoring.StubScorer("sample_id", "json"), ["sample_id"], max_retries=3, retry_delay=0.0)
+    s = scoring.score(_docs(spark, sf), StubScorer("sample_id", "json"), ["sample_id"], max_retries=3, retry_delay=0.0)
     out = scoring.with_answers(s, "json_label")
     return out.select("sample_id", "model_predicted_label", "model_prediction_is_generation_successfull",
                       F.col("attempts").cast("bigint").alias("attempts"))

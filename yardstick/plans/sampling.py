@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import answers, labels as L
-from ..operators import extract, sampling
+from ..operators import align, extract, sampling
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import derived, scans
@@ -45,7 +45,7 @@ def q_stratified_sample_docs(spark, sf):
 
 def q_manifest_lists(spark, sf):
     m = sampling.manifest_lists(sampled(spark, sf))
-    return m.select("split", "category", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+    return m.select("split", "category", "all_categories", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
 def q_train_exclusion(spark, sf):
@@ -70,11 +70,11 @@ def q_holdout_accuracy(spark, sf):
     doc = sampling.manifest_document(sampling.manifest_lists(sampled(spark, sf)))
     held = sampling.exclude(categorised(spark, sf), sampling.manifest_rows(doc))
     parsed = extract.parse_raw_lines(raw_lines(spark, sf), "contains", derived.RAW_PREFIX)
-    preds = parsed.filter(F.col("drop_reason").isNull() & (F.col("model") == "model-a")).select(
-        "sample_id", answers.word_answer("content").alias("predicted")
-    )
+    answered = parsed.filter(F.col("drop_reason").isNull() & (F.col("model") == "model-a"))
+    latest = align.last_write_wins(answered.select("dataset", "model", "sample_id", answers.word_answer("content").alias("prediction"), *extract.ORDER_COLS))
+    preds = latest.select(F.col("dataset").alias("split"), "sample_id", F.col("prediction").alias("predicted"))
     gt = F.when(L.label_lenient("label") == "accepted", F.lit("Yes")).otherwise(F.lit("No"))
-    rows = held.join(preds, "sample_id", "left").select("split", (F.coalesce(F.col("predicted"), F.lit("Unknown")) == gt).alias("ok"))
+    rows = held.join(preds, ["split", "sample_id"], "left").select("split", (F.coalesce(F.col("predicted"), F.lit("Unknown")) == gt).alias("ok"))
     agg = rows.groupBy("split").agg(F.count_if("ok").alias("correct"), F.count(F.lit(1)).alias("total"))
     return agg.select(
         "split",
@@ -110,10 +110,10 @@ SELECT lang, source, sample_id FROM (
          ORDER BY md5('{SEED}:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn FROM documents) WHERE rn <= 2
 """,
     "manifest_lists": _SAMPLED + """
-SELECT split, category, CAST(count(*) AS BIGINT) AS n, string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY sample_id) AS ids
+SELECT split, category, false AS all_categories, CAST(count(*) AS BIGINT) AS n, string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY sample_id) AS ids
 FROM sm GROUP BY ALL
 UNION ALL
-SELECT split, '*all*', CAST(count(*) AS BIGINT), string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY sample_id)
+SELECT split, NULL, true, CAST(count(*) AS BIGINT), string_agg(CAST(sample_id AS VARCHAR), ',' ORDER BY sample_id)
 FROM sm GROUP BY ALL
 """,
     "train_exclusion": _SAMPLED + "SELECT split, sample_id FROM c WHERE NOT EXISTS (SELECT 1 FROM sm WHERE sm.split = c.split AND sm.sample_id = c.sample_id)",

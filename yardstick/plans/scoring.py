@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..operators import metrics, scoring
 from ..sources import derived
+from .stub_scorer import StubScorer
 
 
 def scored(spark, sf):
     docs = derived.read_table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"), "lang")
-    s = scoring.score(docs, scoring.StubScorer("sample_id"), ["sample_id"], max_retries=3, retry_delay=0.0)
+    s = scoring.score(docs, StubScorer("sample_id"), ["sample_id"], max_retries=3, retry_delay=0.0)
     return scoring.with_answers(s, "first_tag")
 
 

@@ -43,8 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local runs (tests, bench): a cluster names shared storage here.
-        configured = tempfile.mkdtemp(prefix="yardstick-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="yardstick-ckpt-")  # local runs: tests and the bench
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import regex_quote
 from ..operators.extract import non_blank
 
 PARTS_SCHEMA = T.StructType(
@@ -73,11 +74,11 @@ def discover_raw_lines(spark: SparkSession, output_dir: str) -> DataFrame:
     only (no content), the best class is one tiny aggregate, and only files of that
     class are then scanned as text: large input files lying next to the outputs are
     never read when output files exist."""
-    base = output_dir.rstrip("/") + "/"
+    base = qualified(spark, output_dir)
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
     )
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
+    rel = F.regexp_replace(F.col("path"), _below(base), "")
     rank = F.lit(None).cast("int")
     for cls, glob, recursive in reversed(_RAW_CLASSES):
         name_ok = rel.rlike(_CLASS_NAME_RE[glob])
@@ -98,8 +99,18 @@ def plain_path(c) -> "F.Column":
     return F.try_url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
 
 
-def _quote_path(p: str) -> str:
-    return "\\Q" + p.replace("file:", "") + "\\E"
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as the file system lists it, without scheme and authority, ending in ``/``:
+    ``dir``, ``/dir/``, ``file:///dir`` and ``hdfs:///dir`` all match the paths below it."""
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    path = Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().getPath().rstrip("/") + "/"
+
+
+def _below(base: str) -> str:
+    """Pattern of a listed path up to the base folder."""
+    return r"^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?" + regex_quote(base)
 
 
 def parts_json(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True, literal: bool = False) -> DataFrame:
@@ -132,9 +143,9 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
     never read.  With ``sniff`` a chosen file is kept only when its first line is a
     JSON object holding ``sample`` and ``prediction``.  Files are ranked from a
     content-free listing, then only the chosen class is scanned tolerantly (SRC-4)."""
-    base = output_dir.rstrip("/") + "/"
+    base = qualified(spark, output_dir)
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + _quote_path(base), "")
+    rel = F.regexp_replace(F.col("path"), _below(base), "")
     name = F.element_at(F.split(rel, "/"), -1)
     is_json = rel.endswith(".json")
     cls = F.when(is_json & ~rel.contains("/"), F.lit(0)).when(is_json & name.startswith("part-"), F.lit(1))
@@ -171,7 +182,7 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
 
 
 def _parts_class_filter(path: "F.Column", base: str, best: int):
-    frel = F.regexp_replace(path, r"^.*?" + _quote_path(base), "")
+    frel = F.regexp_replace(path, _below(base), "")
     fname = F.element_at(F.split(frel, "/"), -1)
     chosen = (~frel.contains("/")) if best == 0 else fname.startswith("part-")
     return chosen & (fname != "metrics.json")
@@ -298,18 +309,19 @@ def resolve_images(df: DataFrame, image_col: str, files: DataFrame | None = None
     else the content of the file at ``path`` (a left join to a ``binaryFile`` scan),
     else an error message in ``<image_col>_error``."""
     img = F.col(image_col)
-    out = df.withColumn("_img_path", img["path"])
+    stored = F.when(F.octet_length(img["bytes"]) > 0, img["bytes"])  # empty bytes are no image
+    out = df.withColumn("_img_path", F.nullif(img["path"], F.lit("")))
     if files is not None:
         f = files.select(F.col("path").alias("_file_path"), F.col("content").alias("_file_bytes"))
         norm = F.regexp_replace("_file_path", "^file:", "")
         f = f.withColumn("_file_path", norm)
-        need = out.filter(F.col(image_col)["bytes"].isNull() & F.col("_img_path").isNotNull())
-        have = out.filter(~(F.col(image_col)["bytes"].isNull() & F.col("_img_path").isNotNull()))
+        from_file = stored.isNull() & F.col("_img_path").isNotNull()
+        need, have = out.filter(from_file), out.filter(~from_file)
         need = need.join(f, F.regexp_replace("_img_path", "^file:", "") == F.col("_file_path"), "left").drop("_file_path")
         have = have.withColumn("_file_bytes", F.lit(None).cast("binary"))
         out = have.unionByName(need)
     else:
         out = out.withColumn("_file_bytes", F.lit(None).cast("binary"))
-    resolved = F.coalesce(F.col(image_col)["bytes"], F.col("_file_bytes"))
+    resolved = F.coalesce(stored, F.col("_file_bytes"))
     err = F.when(resolved.isNull(), F.concat(F.lit("Cannot resolve image: "), F.coalesce(F.col("_img_path"), F.lit("no bytes and no path"))))
     return out.withColumn(f"{image_col}_bytes", resolved).withColumn(f"{image_col}_error", err).drop("_img_path", "_file_bytes")
