@@ -56,3 +56,35 @@ def test_write_then_read_shards(spark, tmp_path):
     assert back.rdd.getNumPartitions() == 4
     assert sorted(r.sample_id for r in back.collect()) == list(range(50))
     assert shard_listing(d)[1] == 0
+
+
+def test_positions_and_columns(spark, tmp_path):
+    from yardstick.sources.arrow_shards import positioned
+
+    d = tmp_path / "positions"
+    d.mkdir()
+    _shard(d / "b.arrow", range(0, 7))
+    _shard(d / "a.arrow", range(7, 10))
+    names = ["b.arrow", "missing.arrow", "a.arrow"]  # the listed order counts, not the names'
+    (d / "state.json").write_text(json.dumps({"_data_files": [{"filename": n} for n in names]}))
+    register(spark)
+    rows = positioned(spark, str(d)).collect()
+    assert sorted((r.sample_id, int(bytes(r.xsource_image.bytes))) for r in rows) == [(i, i) for i in range(10)]
+    narrow = positioned(spark, str(d), ["rejection_reason", "label"])
+    assert narrow.columns == ["rejection_reason", "label", "sample_id"]
+    assert sorted((r.sample_id, r.label) for r in narrow.collect()) == [(i, "accept" if i % 2 else "reject") for i in range(10)]
+
+
+def test_unread_columns_are_not_decoded(spark, tmp_path):
+    """A label query works on a shard whose image buffers are damaged."""
+    from yardstick.sources.arrow_shards import _batches
+
+    path = tmp_path / "damaged.arrow"
+    t = pa.table({"image": pa.array([b"x" * 4096] * 4, pa.binary()), "label": ["a", "b", "c", "d"]})
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.OSFile(str(path), "wb") as f, pa.ipc.new_stream(f, t.schema, options=options) as w:
+        w.write_table(t)
+    data = path.read_bytes()
+    at = data.index(b"\x28\xb5\x2f\xfd", data.index(b"\x28\xb5\x2f\xfd") + 1)  # the second compressed buffer: the images
+    path.write_bytes(data[:at] + b"\x00" * 4 + data[at + 4 :])
+    assert [x for b in _batches(str(path), ["label"]) for x in b.column(0).to_pylist()] == ["a", "b", "c", "d"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import extract, metrics
+from ..operators import align, batching, extract, metrics
 from ..session import scratch_path
 from ..sinks import writers
 from ..sources import derived, scans
@@ -156,6 +156,37 @@ def q_scan_missing_files(spark, sf):
     return df.withColumn("skipped_shards", F.lit(skipped).cast("bigint"))
 
 
+def q_eval_from_shards(spark, sf):
+    """SRC-6 + L3 on the saved-dataset layout: the labelled rows are written as Arrow
+    shards without an id, read back with the row position as ``sample_id`` and only the
+    label columns, and predictions by position are evaluated against them."""
+    from ..sources import arrow_shards as AS
+
+    docs = derived.read_table(spark, sf, "documents").select("doc_id", "text")
+    labels = derived.read_table(spark, sf, "labels").select("doc_id", "quality")
+    good = F.coalesce(F.col("quality") == 1, F.lit(False))
+    rows = docs.join(labels, "doc_id", "left").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    rows = rows.select(
+        F.encode("text", "UTF-8").alias("image"),
+        F.when(good, F.lit("accept")).otherwise(F.lit("reject")).alias("label"),
+        F.when(good, F.lit("")).otherwise(F.lit("Wrong Orientation")).alias("rejection_reason"),
+    )
+    path = scratch_path(spark, "eval-shards")
+    AS.write_arrow_shards(rows, path)
+    AS.register(spark)
+    gt = align.ground_truth_table(AS.positioned(spark, path, ["label", "rejection_reason"]), "docs")
+    numbered = batching.positions(docs.withColumnRenamed("doc_id", "sample_id"))
+    preds = numbered.select(
+        F.lit("docs").alias("dataset"),
+        F.lit("m").alias("model"),
+        F.col("pos").alias("sample_id"),
+        F.when(F.length("text") % 3 > 0, F.lit("yes")).otherwise(F.lit("no")).alias("prediction"),
+    )
+    m = metrics.eval_metrics(preds, gt)
+    counts = ["true_positives", "false_positives", "false_negatives", "true_negatives"]
+    return m.select("dataset", "model", F.round("accuracy", 6).alias("accuracy"), *[F.col(c).cast("bigint").alias(c) for c in counts])
+
+
 def q_arrow_shards(spark, sf):
     """SRC-6/SRC-7 in the Arrow-shard layout: the labelled dataset written as one shard
     per task plus ``state.json``, which then also lists a shard that does not exist; the
@@ -201,6 +232,7 @@ QUERIES = {
     "scan_tolerant_raw": q_scan_tolerant_raw,
     "scan_missing_files": q_scan_missing_files,
     "arrow_shards": q_arrow_shards,
+    "eval_from_shards": q_eval_from_shards,
     "image_resolve": q_image_resolve,
 }
 
@@ -218,6 +250,14 @@ SELECT NULL, NULL, NULL, '', true FROM s WHERE line_pos % 11 = 0
 """,
     "scan_tolerant_raw": ev.ORACLE["parse_drops"],
     "scan_missing_files": with_ctes(G_CTE) + "SELECT *, CAST(2 AS BIGINT) AS skipped_shards FROM g",
+    "eval_from_shards": """
+WITH r AS (SELECT length(text) % 3 > 0 AS p, coalesce(quality = 1, false) AS t FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+c AS (SELECT count(*) FILTER (WHERE t AND p) AS tp, count(*) FILTER (WHERE NOT t AND p) AS fp,
+             count(*) FILTER (WHERE t AND NOT p) AS fn, count(*) FILTER (WHERE NOT t AND NOT p) AS tn FROM r)
+SELECT 'docs' AS dataset, 'm' AS model, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
+       CAST(tp AS BIGINT) AS true_positives, CAST(fp AS BIGINT) AS false_positives,
+       CAST(fn AS BIGINT) AS false_negatives, CAST(tn AS BIGINT) AS true_negatives FROM c
+""",
     "arrow_shards": with_ctes(G_CTE) + "SELECT *, CAST(1 AS BIGINT) AS skipped_shards FROM g",
     "image_resolve": """
 SELECT page_id,

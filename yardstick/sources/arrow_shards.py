@@ -11,6 +11,10 @@ any file system pyarrow reaches (``s3://``, ``hdfs://``, ``gs://``) or local pat
     from yardstick.sources.arrow_shards import register
     register(spark)
     df = spark.read.format("arrow_shards").load("/data/pairs-r")
+
+Option ``columns`` (comma-separated) reads only these columns: the buffers of the others
+(images) are not decoded.  ``positioned`` adds the row's position in the dataset, shards
+in listed order, which is the sample id the evaluators use.
 """
 
 from __future__ import annotations
@@ -62,36 +66,59 @@ def shard_listing(path: str) -> tuple[list[str], int]:
     return kept, len(names) - len(kept)
 
 
-def _open(path: str):
+def _open(path: str, columns: list[str] | None = None):
+    """IPC reader of a shard, decoding only ``columns`` when given."""
     import pyarrow as pa
 
     filesystem, inner = _filesystem(path)
-    source = filesystem.open_input_file(inner)
-    try:
-        return pa.ipc.open_stream(source)
-    except pa.ArrowInvalid:
-        return pa.ipc.open_file(filesystem.open_input_file(inner))
+
+    def opened(options):
+        source = filesystem.open_input_file(inner)
+        try:
+            return pa.ipc.open_stream(source, options=options)
+        except pa.ArrowInvalid:
+            return pa.ipc.open_file(filesystem.open_input_file(inner), options=options)
+
+    reader = opened(None)
+    if columns is None:
+        return reader
+    return opened(pa.ipc.IpcReadOptions(included_fields=[reader.schema.get_field_index(c) for c in columns]))
+
+
+def _batches(path: str, columns: list[str] | None = None):
+    reader = _open(path, columns)
+    if hasattr(reader, "num_record_batches"):
+        for i in range(reader.num_record_batches):
+            yield reader.get_batch(i)
+    else:
+        yield from reader
 
 
 @dataclass
 class _Shard(InputPartition):
     path: str
+    first: int  # position of its first row
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, shards: list[str]):
-        self.shards = shards
+    def __init__(self, shards: list[str], firsts: list[int], columns: list[str] | None, position: str | None):
+        self.shards, self.firsts, self.columns, self.position = shards, firsts, columns, position
 
     def partitions(self):
-        return [_Shard(p) for p in self.shards]
+        return [_Shard(p, n) for p, n in zip(self.shards, self.firsts)]
 
     def read(self, partition):
-        reader = _open(partition.path)
-        if hasattr(reader, "num_record_batches"):
-            for i in range(reader.num_record_batches):
-                yield reader.get_batch(i)
-        else:
-            yield from reader
+        import pyarrow as pa
+
+        at = partition.first
+        for batch in _batches(partition.path, self.columns):
+            if self.columns is not None:
+                batch = batch.select(self.columns)
+            if self.position:
+                rows = pa.array(range(at, at + batch.num_rows), pa.int64())
+                batch = pa.RecordBatch.from_arrays([*batch.columns, rows], names=[*batch.schema.names, self.position])
+                at += batch.num_rows
+            yield batch
 
 
 class ArrowShardSource(DataSource):
@@ -100,21 +127,57 @@ class ArrowShardSource(DataSource):
         return NAME
 
     def _shards(self) -> list[str]:
+        if "firsts" in self.options:  # the listing the positions were counted on
+            return [p for p, _ in json.loads(self.options["firsts"])]
         return shard_listing(self.options["path"])[0]
 
+    def _columns(self) -> list[str] | None:
+        listed = self.options.get("columns")
+        return None if listed is None else [c.strip() for c in listed.split(",") if c.strip()]
+
     def schema(self):
         from pyspark.sql.pandas.types import from_arrow_schema
+        from pyspark.sql.types import LongType, StructField, StructType
 
-        return from_arrow_schema(_open(self._shards()[0]).schema)
+        whole = from_arrow_schema(_open(self._shards()[0]).schema)
+        fields = whole.fields if self._columns() is None else [whole[c] for c in self._columns()]
+        position = self.options.get("position")
+        return StructType([*fields, StructField(position, LongType())] if position else list(fields))
 
     def reader(self, schema):
-        return _Reader(self._shards())
+        shards = self._shards()
+        firsts = [n for _, n in json.loads(self.options["firsts"])] if "firsts" in self.options else [0] * len(shards)
+        return _Reader(shards, firsts, self._columns(), self.options.get("position"))
 
 
 def register(spark) -> None:
     spark.dataSource.register(ArrowShardSource)
 
 
+def positioned(spark, path: str, columns: list[str] | None = None, out: str = "sample_id"):
+    """The dataset with ``out`` = position of the row, shards in listed order (a missing
+    shard has no positions).  Row counts come from one task per shard that decodes a
+    single column; the driver keeps one number per shard."""
+    shards = shard_listing(path)[0]
+
+    def count(batches):
+        import pyarrow as pa
+
+        for listed in batches:
+            for k, shard in zip(listed.column(0).to_pylist(), listed.column(1).to_pylist()):
+                narrow = sorted(_open(shard).schema, key=lambda f: (pa.types.is_nested(f.type), pa.types.is_large_binary(f.type) or pa.types.is_binary(f.type)))
+                yield pa.RecordBatch.from_pydict({"k": [k], "n": [sum(b.num_rows for b in _batches(shard, [narrow[0].name]))]})
+
+    listed = spark.createDataFrame(list(enumerate(shards)), "k bigint, path string").repartition(len(shards), "k")
+    counts = {r["k"]: r["n"] for r in listed.mapInArrow(count, "k bigint, n bigint").collect()}  # one row per shard
+    firsts, at = [], 0
+    for k, shard in enumerate(shards):
+        firsts.append((shard, at))
+        at += counts[k]
+    reader = spark.read.format(NAME).option("position", out).option("firsts", json.dumps(firsts))
+    return (reader if columns is None else reader.option("columns", ",".join(columns))).load(path)
+
+
 def write_state(path: str, filenames: list[str]) -> None:
     """``state.json`` naming the shards in order (the part of the format the reader uses)."""
     filesystem, inner = _filesystem(path)
