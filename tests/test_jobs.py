@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from yardstick.plans.stub_scorer import StubScorer
@@ -65,6 +67,18 @@ def test_prepare_batches_and_score(spark, tmp_path):
     assert res["elapsed_s"] > 0 and res["rows_per_s"] > 0
 
 
+@pytest.mark.parametrize("model", ["claude", "nova", "meta", "mistral", "other"])
+def test_records_without_a_payload_are_reported_not_written(spark, tmp_path, model):
+    df = spark.range(0, 6).selectExpr("id as sample_id", "encode('a', 'UTF-8') as a", "if(id % 3 = 0, null, encode('b', 'UTF-8')) as b")
+    out = jobs.prepare_batches(df, [("source", "a"), ("generated", "b")], "Same?", model, batch_size=10, output_path=str(tmp_path / "b"))
+    rows = {r.sample_id: (r.jsonl is None, r.error) for r in out.collect()}
+    if model == "other":
+        assert set(rows.values()) == {(True, "no payload builder for family unknown")}
+    else:
+        assert rows == {i: (True, "no image in generated") if i % 3 == 0 else (False, None) for i in range(6)}
+        assert spark.read.text(str(tmp_path / "b")).count() == 4
+
+
 def test_sample_and_holdout_sinks(spark, tmp_path):
     from yardstick.sinks import writers
 

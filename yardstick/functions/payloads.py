@@ -151,24 +151,32 @@ def family_col(model_id: Column) -> Column:
 
 def payload(record_id: Column, images: list[tuple[str, Column]], prompt: str, family: str) -> Column:
     """One JSON line per record for a model family (BAT-6..10, BAT-13).  Nova/Qwen content
-    travels in the Claude envelope; an unknown family gets the envelope with empty content."""
+    travels in the Claude envelope.  A record that lacks an image, or whose family has no
+    builder, gets no line (NULL); ``payload_error`` says why."""
     if family == "claude":
-        return _messages_envelope(record_id, claude_content(images, prompt))
-    if family == "nova":
-        return _messages_envelope(record_id, nova_content(images, prompt))
-    if family == "llama":
-        return _prompt_envelope(record_id, llama_prompt(images, prompt), "max_gen_len")
-    if family == "mistral":
-        return _prompt_envelope(record_id, mistral_prompt(images, prompt), "max_tokens")
-    empty = F.array().cast("array<struct<type:string,text:string>>")
-    return _messages_envelope(record_id, empty)
+        line = _messages_envelope(record_id, claude_content(images, prompt))
+    elif family == "nova":
+        line = _messages_envelope(record_id, nova_content(images, prompt))
+    elif family == "llama":
+        line = _prompt_envelope(record_id, llama_prompt(images, prompt), "max_gen_len")
+    elif family == "mistral":
+        line = _prompt_envelope(record_id, mistral_prompt(images, prompt), "max_tokens")
+    else:
+        return F.lit(None).cast("string")
+    return F.when(required_images_error(images).isNull(), line)
+
+
+def payload_error(images: list[tuple[str, Column]], family: Column) -> Column:
+    """Why a record has no payload line, NULL when it has one (BAT-6, BAT-18)."""
+    no_builder = F.concat(F.lit("no payload builder for family "), family)
+    return F.when(family == F.lit("unknown"), no_builder).otherwise(required_images_error(images))
 
 
 def routed_payload(record_id: Column, images: list[tuple[str, Column]], prompt: str, model_id: Column) -> Column:
     """BAT-6 when the model id varies per row: every family's builder behind one CASE."""
     fam = family_col(model_id)
     out = F.lit(None).cast("string")
-    for f in ("claude", "nova", "llama", "mistral", "unknown"):
+    for f in ("claude", "nova", "llama", "mistral"):
         out = F.when(fam == f, payload(record_id, images, prompt, f)).otherwise(out)
     return out
 
@@ -227,7 +235,7 @@ def required_images_error(images: list[tuple[str, Column]]) -> Column:
     """BAT-18: the first missing required image as an error message, NULL when all present."""
     out = F.lit(None).cast("string")
     for key, data in reversed(images):
-        out = F.when(data.isNull(), F.lit(f"Missing required image: {key}")).otherwise(out)
+        out = F.when(data.isNull(), F.lit(f"no image in {key}")).otherwise(out)
     return out
 
 

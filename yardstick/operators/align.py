@@ -162,3 +162,10 @@ def flat_merge(preds: DataFrame, order_cols=("source_file", "line_pos"), key: st
     j = preds.join(ranked, "dataset")
     w = F.max_by(F.struct("prediction", "dataset"), F.struct("_rank", *[order_value(c) for c in order_cols])).alias("_w")
     return j.groupBy(key).agg(w).select(key, "_w.prediction", "_w.dataset")
+
+
+def overlap_errors(preds: DataFrame, gt: DataFrame) -> DataFrame:
+    """JON-1: (dataset, model, error) for every group whose dataset has ground truth but
+    none of whose predictions matches it; its metrics of zero mean nothing."""
+    none = coverage_gaps(preds, gt).filter(F.col("matched") == 0)
+    return none.select("dataset", "model", F.lit("no prediction has a ground-truth row").alias("error"))

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import answers, labels as L, records
+from ..functions.text import html_escape, shorten
 from ..operators import align, extract, metrics
-from ..session import checkpoint
+from ..session import checkpoint, scratch_path
+from ..sinks import writers
 from ..sources import derived, scans
 from .oracle_common import ANSWERS_CTE, G_CTE, GT_CTE, P_CTE, R_CTE, with_ctes
 
@@ -123,7 +125,11 @@ def q_reason_counts(spark, sf):
 def q_nested_metrics(spark, sf):
     # both metric tables read the same deduplicated predictions: materialise them once
     preds, gt = checkpoint(raw_preds(spark, sf)), gt_table(spark, sf)
-    doc = metrics.nested_metrics(metrics.eval_metrics(preds, gt), metrics.metrics_by_reason(preds, gt))
+    return nested_rows(metrics.nested_metrics(metrics.eval_metrics(preds, gt), metrics.metrics_by_reason(preds, gt)))
+
+
+def nested_rows(doc: DataFrame) -> DataFrame:
+    """One row per (dataset, model) of the nested metrics documents."""
     schema = "map<string, struct<accuracy: double, total_evaluated: bigint, per_rejection_reason: map<string, struct<count: bigint>>>>"
     parsed = doc.select("dataset", F.explode(F.from_json("metrics_json", schema)).alias("model", "m"))
     return parsed.select(
@@ -136,7 +142,30 @@ def q_nested_metrics(spark, sf):
     )
 
 
+def q_overlap_errors(spark, sf):
+    """JON-1's error: model-b's ids are moved out of the ground truth's range."""
+    shifted = F.when(F.col("model") == "model-b", F.col("sample_id") + F.lit(10**12)).otherwise(F.col("sample_id"))
+    return align.overlap_errors(raw_preds(spark, sf).withColumn("sample_id", shifted), gt_table(spark, sf))
+
+
+def q_metrics_file(spark, sf):
+    """SNK-3: the metrics documents written as a file and read back."""
+    preds, gt = checkpoint(raw_preds(spark, sf)), gt_table(spark, sf)
+    path = scratch_path(spark, "metrics")
+    writers.write_metrics(metrics.nested_metrics(metrics.eval_metrics(preds, gt), metrics.metrics_by_reason(preds, gt)), path)
+    return nested_rows(spark.read.schema("dataset string, metrics_json string").json(path))
+
+
+def q_display_text(spark, sf):
+    """The report's text forms of whole documents: HTML-escaped and shortened."""
+    docs = derived.read_table(spark, sf, "documents")
+    return docs.select("doc_id", F.md5(html_escape("text")).alias("escaped_md5"), shorten("text").alias("short"))
+
+
 QUERIES = {
+    "overlap_errors": q_overlap_errors,
+    "metrics_file": q_metrics_file,
+    "display_text": q_display_text,
     "eval_metrics": q_eval_metrics,
     "eval_metrics_by_reason": q_eval_metrics_by_reason,
     "eval_accept_reject_rollup": q_eval_accept_reject_rollup,
@@ -276,3 +305,13 @@ SELECT c.dataset, c.model, {_r('ok / nullif(m, 0)')} AS accuracy, CAST(m AS BIGI
 FROM c LEFT JOIN nr ON c.dataset = nr.dataset AND c.model = nr.model
 """,
 }
+
+ORACLE["metrics_file"] = ORACLE["nested_metrics"]
+ORACLE["overlap_errors"] = with_ctes(G_CTE, R_CTE, ANSWERS_CTE) + """
+SELECT DISTINCT dataset, model, 'no prediction has a ground-truth row' AS error FROM ans
+WHERE model = 'model-b' AND dataset IN (SELECT dataset FROM g)
+"""
+ORACLE["display_text"] = """
+SELECT doc_id, md5(replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#x27;')) AS escaped_md5,
+       CASE WHEN length(text) > 40 THEN substr(text, 1, 38) || '..' ELSE text END AS short FROM documents
+"""

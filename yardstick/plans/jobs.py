@@ -109,6 +109,7 @@ def evaluate_outputs(
         "rollup": metrics.accept_reject_rollup(by_reason),
         "nested": metrics.nested_metrics(m, by_reason),
         "skipped": skipped,
+        "errors": align.overlap_errors(preds, gt),
         "drops": metrics.drop_counts(parsed, group=("dataset", "model")),
     }
 
@@ -125,14 +126,16 @@ def prepare_batches(
     output_path: str | None = None,
 ) -> DataFrame:
     """L1: optional seeded shuffle, slice, batch and one JSON payload line per record;
-    written one folder per batch when a path is given.  ``images`` maps the prompt
-    label key to the binary image column."""
+    written one file per batch when a path is given.  ``images`` maps the prompt label key
+    to the binary image column.  A record without a payload (an image is missing, or the
+    model's family has no builder) keeps its row with an ``error`` and is not written."""
     pos = batching.positions(dataset, seed)
     b = batching.slice_batches(pos, batch_size, start, max_samples)
     fam = P.model_family(model_id)
-    b = b.withColumn("jsonl", P.payload(F.col("record_id"), [(k, F.col(c)) for k, c in images], prompt, fam))
+    cells = [(k, F.col(c)) for k, c in images]
+    b = b.withColumn("jsonl", P.payload(F.col("record_id"), cells, prompt, fam)).withColumn("error", P.payload_error(cells, F.lit(fam)))
     if output_path:
-        writers.write_batches(b, output_path, batch_file_names=True)
+        writers.write_batches(b.filter(F.col("error").isNull()), output_path, batch_file_names=True)
     return b
 
 

@@ -131,7 +131,7 @@ def q_payload_router(spark, sf):
     mid = F.element_at(F.array(*[F.lit(m) for m in MODEL_IDS]), (F.col("sample_id") % len(MODEL_IDS) + 1).cast("int"))
     rid = F.concat(F.lit("sample_"), F.col("sample_id").cast("string"))
     j = P.routed_payload(rid, _images(df), PROMPT, mid)
-    d = df.select("sample_id", mid.alias("model_id"), P.family_col(mid).alias("family"), j.alias("j"))
+    d = df.select("sample_id", mid.alias("model_id"), P.family_col(mid).alias("family"), j.alias("j"), P.payload_error(_images(df), P.family_col(mid)).alias("error"))
     c = "$.modelInput.messages[0].content"
     return d.select(
         "sample_id",
@@ -140,9 +140,25 @@ def q_payload_router(spark, sf):
         F.coalesce(F.get_json_object("j", "$.modelInput.max_tokens"), F.get_json_object("j", "$.modelInput.max_gen_len")).cast("bigint").alias("limit"),
         F.json_array_length(F.get_json_object("j", c)).cast("bigint").alias("n_blocks"),
         F.get_json_object("j", "$.modelInput.prompt").isNotNull().alias("has_prompt"),
+        "error",
     )
 
 
+def q_slice_range(spark, sf):
+    """BAT-1 + BAT-19 ranges: 400 rows from position 150 on, and of their batches 1 and 2."""
+    docs = derived.read_table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"))
+    b = batching.slice_batches(batching.positions(docs, SEED), batch_size=BATCH, start=150, max_samples=400)
+    m = batching.batch_manifest(b, "bucket", "proj/data", "eval", "2024-01-01-00-00-00", batch_start=1, batch_end=3)
+    return b.join(m.select("batch_idx", "n_records", "output_uri"), "batch_idx").select("sample_id", "pos", "batch_idx", "n_records", "output_uri")
+
+
+def q_model_folders(spark, sf):
+    """BAT-20 per row: folder names from model ids and output prefixes from input prefixes."""
+    pages = derived.read_table(spark, sf, "pages")
+    prefix = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("input/"), F.col("url"))).otherwise(F.lit("data"))
+    return pages.select("page_id", batching.safe_model_name(F.col("url")).alias("folder"), batching.output_prefix_col(prefix).alias("output_prefix"))
+
+
 def q_payload_chat(spark, sf):
     df = pair_rows(spark, sf)
     imgs = [("SOURCE IMAGE", F.col("source_image_main")), ("GENERATED IMAGE", F.col("generated_image"))]
@@ -191,6 +207,8 @@ def q_label_list_text(spark, sf):
 
 
 QUERIES = {
+    "slice_range": q_slice_range,
+    "model_folders": q_model_folders,
     "slice_batches": q_slice_batches,
     "batch_manifest": q_batch_manifest,
     "eval_subset": q_eval_subset,
@@ -251,6 +269,17 @@ SELECT sample_id, 'sample_' || CAST(sample_id AS VARCHAR) AS record_id, CAST(200
 SELECT sample_id, 'sample_' || CAST(sample_id AS VARCHAR) AS record_id, CAST(20000 AS BIGINT) AS max_tokens,
        md5('<s>[INST] ' || chr(10) || '[Source Image Main]: ' || b1 || ',' || chr(10) ||
            '[Generated Image]: ' || b2 || chr(10) || '{PROMPT} [/INST]') AS prompt_md5 FROM pg
+""",
+    "slice_range": f"""
+WITH p AS (SELECT doc_id AS sample_id, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS pos FROM documents),
+b AS (SELECT *, (pos - 150) // {BATCH} AS batch_idx FROM p WHERE pos >= 150 AND pos < 550)
+SELECT sample_id, pos, CAST(batch_idx AS BIGINT) AS batch_idx, count(*) OVER (PARTITION BY batch_idx) AS n_records,
+       's3://bucket/proj/data_output/batch_' || CAST(batch_idx AS VARCHAR) || '/' AS output_uri
+FROM b WHERE batch_idx BETWEEN 1 AND 2
+""",
+    "model_folders": """
+SELECT page_id, replace(replace(url, '/', '_'), chr(92), '_') AS folder,
+       CASE WHEN page_id % 2 = 0 THEN replace('input/' || url, 'input', 'output') ELSE 'data_output' END AS output_prefix FROM pages
 """,
     "payload_router": f"""
 WITH m AS (SELECT page_id AS sample_id, CASE page_id % {len(MODEL_IDS)} {_MODEL_CASES} END AS model_id FROM pages),
@@ -258,9 +287,10 @@ f AS (SELECT *, CASE WHEN model_id = '' OR model_id LIKE '%claude%' THEN 'claude
                      WHEN model_id LIKE '%nova%' OR model_id LIKE '%qwen%' THEN 'nova'
                      WHEN model_id LIKE '%meta%' THEN 'llama' WHEN model_id LIKE '%mistral%' THEN 'mistral'
                      ELSE 'unknown' END AS family FROM m)
-SELECT sample_id, model_id, family, CAST(20000 AS BIGINT) AS "limit",
-       CAST(CASE WHEN family IN ('claude', 'nova') THEN 5 WHEN family = 'unknown' THEN 0 END AS BIGINT) AS n_blocks,
-       family IN ('llama', 'mistral') AS has_prompt FROM f
+SELECT sample_id, model_id, family, CAST(CASE WHEN family <> 'unknown' THEN 20000 END AS BIGINT) AS "limit",
+       CAST(CASE WHEN family IN ('claude', 'nova') THEN 5 END AS BIGINT) AS n_blocks,
+       family IN ('llama', 'mistral') AS has_prompt,
+       CASE WHEN family = 'unknown' THEN 'no payload builder for family unknown' END AS error FROM f
 """,
     "payload_chat": """
 WITH pg AS (SELECT page_id AS sample_id, html, CASE WHEN page_id % 3 <> 0 THEN url END AS gen FROM pages)
@@ -269,7 +299,7 @@ SELECT sample_id, 'sample_' || CAST(sample_id AS VARCHAR) AS record_id, sample_i
        chr(10) || '**SOURCE IMAGE**' AS text0,
        md5('data:image/jpeg;base64,' || to_base64(encode(html))) AS url1_md5,
        CAST(1024 AS BIGINT) AS max_tokens, CAST(0.8 AS DOUBLE) AS temperature,
-       CASE WHEN gen IS NULL THEN 'Missing required image: generated_image' END AS error
+       CASE WHEN gen IS NULL THEN 'no image in generated_image' END AS error
 FROM pg
 """,
     "data_uri": f"""
