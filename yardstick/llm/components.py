@@ -31,6 +31,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of the edges; label is the smallest node reachable."""
     now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
+    if edges.isEmpty():
+        return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     seen = None
     while True:
         now = checkpoint(_star(_star(now, True), False))

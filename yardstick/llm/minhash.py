@@ -14,10 +14,16 @@ Steps, none of which collects documents or emits the pairs of a bucket:
 3. every representative is compared with its most frequent bucket leader on the whole
    sets, then connected components name the groups;
 4. the other (member, leader) pairs that cross groups are compared, components again;
-5. in buckets that still hold several groups, pairs of different groups are compared.
+5. in buckets that still hold several groups, the shingles that each member shares with
+   any other such member are counted, and members are compared with the bucket's most
+   central one (fewest shingles of its own);
+6. of the pairs that still cross groups, those are compared whose shared shingles allow
+   the similarity at all, each named once, in the first table it shares.  A text with too
+   many shingles of its own takes part in none.
 
-After step 5 every pair that shares a key is in one group or was compared, so nothing is
-lost beyond the tables' own miss probability.  Links are confirmed on whole sets.
+After step 6 every pair that shares a key is in one group, was compared, or cannot be
+similar, so nothing is lost beyond the tables' own miss probability.  Links are confirmed
+on whole sets.
 
 Defined cases: a null or empty text, or one without words, has an empty set, is linked
 with nothing and kept; a single word is a set of one; rows with the same id are one
@@ -36,7 +42,7 @@ from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import column, split_words, text_slices, texts_of, word_codes
+from .arrow_text import column, ragged_take, split_words, text_slices, texts_of, word_codes
 from .components import components
 from .tables import BitFilter, holds, written
 
@@ -47,7 +53,7 @@ PERCENT = 80
 GROUPS = 12
 ROWS = 3
 SEED = 11
-CHUNK = 1 << 15  # shingles hashed at a time
+CHUNK = 1 << 10  # shingles hashed at a time
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,9 +96,8 @@ def group_keys(shingles: np.ndarray, flips: np.ndarray, odds: np.ndarray) -> np.
     least = np.full(len(flips), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
         for a in range(0, len(shingles), CHUNK):
-            part = shingles[a : a + CHUNK]
-            for k in range(len(flips)):
-                least[k] = min(least[k], ((part ^ flips[k]) * odds[k]).min())
+            part = shingles[a : a + CHUNK, None]
+            least = np.minimum(least, ((part ^ flips) * odds).min(axis=0))
         rows = least.reshape(2 * GROUPS, ROWS)
         key = np.arange(2 * GROUPS, dtype=np.uint64)
         for j in range(ROWS):
@@ -121,8 +126,10 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(work, "doc_id bigint, n_shingles bigint, digest binary, groups binary")
 
 
-def table_keys(reps: DataFrame, only: BitFilter | None = None, label: str | None = None) -> DataFrame:
-    """One row per representative and table: key, id (and label)."""
+def table_keys(reps: DataFrame, only: BitFilter | None = None, label: str | None = None, earlier: bool = False) -> DataFrame:
+    """One row per representative and table: key, id (and label; and with ``earlier`` the
+    group hashes of the tables before: two rows of a key without a common one meet there
+    first)."""
     shared = only.shared if only else None
     extra = [label] if label else []
 
@@ -130,49 +137,54 @@ def table_keys(reps: DataFrame, only: BitFilter | None = None, label: str | None
         tables = np.arange(GROUPS * GROUPS, dtype=np.uint64).reshape(GROUPS, GROUPS)
         data = shared.value if shared else None
         for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint64).reshape(-1, 2, GROUPS)
                 with np.errstate(over="ignore"):
                     keys = mix(mix(raw[:, 0, :, None] + tables) + raw[:, 1, None, :]).reshape(len(ids), -1)
                 flat = keys.reshape(-1).view(np.int64)
-                row = np.repeat(np.arange(len(ids)), GROUPS * GROUPS)
+                at = np.arange(len(flat))
                 if data is not None:
-                    keep = holds(data, flat)
-                    flat, row = flat[keep], row[keep]
-                arrays = [pa.array(flat), pa.array(ids[row])]
+                    at = at[holds(data, flat)]
+                row, table = at // (GROUPS * GROUPS), at % (GROUPS * GROUPS)
+                arrays, names = [pa.array(flat[at]), pa.array(ids[row])], ["key", "id", *extra]
                 if extra:
                     arrays.append(part.column(2).take(pa.array(row)))
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "id", *extra])
+                if earlier:
+                    sizes = np.stack([table // GROUPS, table % GROUPS], axis=1)
+                    starts = np.stack([row * 2 * GROUPS, row * 2 * GROUPS + GROUPS], axis=1)
+                    before = raw.reshape(-1)[ragged_take(starts.reshape(-1), sizes.reshape(-1))].view(np.int64)
+                    ends = np.concatenate([[0], np.cumsum(sizes.sum(axis=1))])
+                    arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(before)))
+                    names.append("before")
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return reps.select("doc_id", "groups", *extra).mapInArrow(work, "key bigint, id bigint" + (f", {label} bigint" if label else ""))
+    schema = "key bigint, id bigint" + (f", {label} bigint" if label else "") + (", before array<bigint>" if earlier else "")
+    return reps.select("doc_id", "groups", *extra).mapInArrow(work, schema)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The (a, b) pairs whose whole shingle sets are similar enough."""
     pairs = written(pairs.select("a", "b"), "minhash-pairs")
-    ids = BitFilter(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
-    shared = ids.shared
-
-    def candidates(batches):
-        data = shared.value
-        for batch in batches:
-            keep = holds(data, batch.column(0).to_numpy(zero_copy_only=False))
-            if keep.any():
-                yield batch.filter(pa.array(keep))
-
-    texts = docs.where("doc_id is not null").selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(candidates, "doc_id bigint, text string")
+    if pairs.isEmpty():
+        return pairs
+    texts = kept_texts(docs, BitFilter(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id"))
     joined = (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         .select("a", "b", "ta", "tb")
     )
 
+    def sets_of(part, name):  # a text met in many pairs of the slice is cut once
+        codes, distinct = word_codes(texts_of(part, name))
+        sets = list(shingle_sets(distinct, size))
+        return [sets[c] for c in codes]
+
     def work(batches):
-        for part in text_slices(text_slices(batches, "tb", 4 << 20), "ta", 4 << 20):
+        for part in text_slices(text_slices(batches, "tb", 2 << 20), "ta", 2 << 20):
             keep = []
-            for x, y in zip(shingle_sets(texts_of(part, "ta"), size), shingle_sets(texts_of(part, "tb"), size)):
+            for x, y in zip(sets_of(part, "ta"), sets_of(part, "tb")):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -180,6 +192,44 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Data
     return written(joined.mapInArrow(work, "a bigint, b bigint"), "minhash-links")
 
 
+def kept_texts(docs: DataFrame, ids: BitFilter) -> DataFrame:
+    """doc_id and text of the documents that the filter may hold."""
+    shared = ids.shared
+
+    def work(batches):
+        data = shared.value
+        for batch in batches:
+            keep = holds(data, batch.column(0).to_numpy(zero_copy_only=False))
+            if keep.any():
+                yield batch.filter(pa.array(keep))
+
+    texts = docs.where("doc_id is not null").selectExpr("cast(doc_id as bigint) doc_id", "text")
+    return texts.mapInArrow(work, "doc_id bigint, text string")
+
+
+def shared_sizes(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """id, n (shingles) and m (shingles that another document of ``ids`` may have too)."""
+    ids = written(ids, "minhash-mixed-ids")
+    shared = BitFilter(ids, "id").shared
+
+    def work(batches):
+        data = shared.value
+        for part in text_slices(batches, max_bytes=2 << 20):
+            part = part.filter(pa.array(holds(data, part.column(0).to_numpy(zero_copy_only=False))))
+            if not part.num_rows:
+                continue
+            sets = list(shingle_sets(texts_of(part), size))
+            which = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            grams = np.concatenate(sets)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), column(part, "doc_id").take(pa.array(which))], names=["g", "id"])
+
+    rows = docs.where("doc_id is not null").selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(work, "g bigint, id bigint")
+    seen = rows.groupBy("g").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id"), F.max("id").alias("last"))
+    own = seen.where("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    sizes = rows.groupBy("id").agg(F.count_distinct("g").alias("n"))
+    return ids.join(sizes, "id").join(own, "id", "left").select("id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("m"))
+
+
 def labelled(rows: DataFrame, labels: DataFrame, on: str, out: str) -> DataFrame:
     """rows with ``out``: the label of column ``on``, itself where it has none."""
     named = labels.select(F.col("node").alias(on), F.col("label").alias("_label"))
@@ -198,7 +248,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     reps = table.where("doc_id = rep and n_shingles > 0").dropDuplicates(["doc_id"]).select("doc_id", "groups")
 
-    buckets = table_keys(reps).groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = table_keys(reps.repartition(n_tasks, "doc_id")).groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
     buckets = written(buckets.where("lo < hi"), "minhash-buckets")
     large = buckets.where("n > 2").select("key", "lo")
     in_large = BitFilter(large, "key")
@@ -213,18 +264,37 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     crossing = labelled(labelled(met, labels, "id", "ca"), labels, "lo", "cb").where("ca <> cb").select(F.col("id").alias("a"), F.col("lo").alias("b"))
     tried = first.unionByName(crossing)
-    links = links.unionByName(verified(docs, crossing.join(first, ["a", "b"], "left_anti"), size, percent))
-    labels = components(links)
+    more = verified(docs, crossing.join(first, ["a", "b"], "left_anti"), size, percent)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
 
     marked = labelled(reps, labels, "doc_id", "label")
     mixed = table_keys(marked, in_large, "label").groupBy("key").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("_n"))
     mixed = written(mixed.where("_x <> _y and _n > 2").select("key"), "minhash-mixed")
-    members = table_keys(marked, BitFilter(mixed, "key"), "label").join(mixed, "key", "left_semi")
-    other = members.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-    pairs = members.select("key", F.col("id").alias("a"), F.col("label").alias("la")).join(other, "key").where("a > b and la <> lb")
-    pairs = pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    last = verified(docs, pairs, size, percent)
-    labels = written(components(links.unionByName(last)), "minhash-components")
+    members = written(table_keys(reps, BitFilter(mixed, "key"), earlier=True).join(mixed, "key", "left_semi"), "minhash-members")
+    sizes = written(shared_sizes(docs, members.select("id").distinct(), size), "minhash-sizes")
+
+    own = members.select("key", "id").join(sizes.select("id", (F.col("n") - F.col("m")).alias("u")), "id")
+    central = own.groupBy("key").agg(F.min(F.struct("u", F.col("id").alias("b"))).alias("c")).select("key", "c.b")
+    ruled = labelled(labelled(members.select("key", "id").join(central, "key"), labels, "id", "ca"), labels, "b", "cb").where("ca <> cb")
+    ruled = ruled.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    more = verified(docs, ruled, size, percent)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
+
+    # two sets overlap in no more than the shingles that either shares with anybody
+    alive = labelled(members.join(sizes.where(F.col("m") * 100 >= F.col("n") * percent), "id"), labels, "id", "label")
+    one, two = (alive.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("id", "label", "n", "m", "before")]) for k in "ab")
+    enough = F.least("ma", "mb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    here_first = ~F.arrays_overlap("beforea", "beforeb")  # a pair is named in the first table it shares
+    pairs = one.join(two, "key").where((F.col("ida") > F.col("idb")) & (F.col("labela") != F.col("labelb")) & enough & here_first)
+    pairs = pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    last = verified(docs, pairs.join(tried.unionByName(ruled), ["a", "b"], "left_anti"), size, percent)
+    if not last.isEmpty():
+        labels = components(links.unionByName(last))
+    labels = written(labels, "minhash-components")
 
     out = labelled(table.select("doc_id", "n_shingles", "rep"), labels, "rep", "component_id")
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
