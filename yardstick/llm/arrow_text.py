@@ -14,7 +14,7 @@ from pyspark import cloudpickle as _cloudpickle
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES):
