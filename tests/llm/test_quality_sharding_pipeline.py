@@ -91,6 +91,39 @@ def test_classifier_on_odd_rows(spark, sf_small):
     assert kn_quality.keep_good(empty(spark), labels).columns == empty(spark).columns
 
 
+def trusted(n, lang="en", first=0):
+    return [(first + k, f"good plain words of text {k % 7} and more words {k % 11} to read", lang) for k in range(n)]
+
+
+def labelled_docs(spark, docs, marks=None):
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(3)
+    return table, spark.createDataFrame(marks or [(d[0], 1, 0) for d in docs], "doc_id bigint, quality int, toxic int")
+
+
+def test_a_long_trusted_row_leaves_the_classifier_on(spark, monkeypatch):
+    """The row that hashes first in either part is over the whole bound."""
+    monkeypatch.setattr(kn_quality, "MAX_TRAIN_CHARS", 20_000)
+    docs = trusted(400)
+    order = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").selectExpr("doc_id", "xxhash64(doc_id) h", "crc32(cast(doc_id as string)) % 4 = 0 held").orderBy("h").collect()
+    long = {next(r.doc_id for r in order if r.held == held) for held in (True, False)}
+    docs = [(i, "long words " * 3000 if i in long else t, lang) for i, t, lang in docs]
+    junk = [(10_000 + k, f"zq{k} xj{k} vv{k} kk{k} " * 20, "en") for k in range(50)]
+    table, labels = labelled_docs(spark, docs + junk, [(d[0], 1, 0) for d in docs])
+    found = kn_quality.classify(table, labels).collect()
+    assert all(r.perplexity is not None and r.threshold is not None for r in found)
+    assert not any(r.kept for r in found if r.doc_id >= 10_000)
+    train = kn_quality.sample(table, labels).where("not held").collect()
+    assert 0 < sum(len(r.text) for r in train) <= 20_000 and not long & {r.doc_id for r in train}
+
+
+def test_trusted_rows_of_which_none_fits_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(kn_quality, "MAX_TRAIN_CHARS", 10)
+    table, labels = labelled_docs(spark, trusted(40))
+    for use in (kn_quality.classify, kn_quality.keep_good):
+        with pytest.raises(ValueError, match="trusted rows"):
+            use(table, labels)
+
+
 # --- operator 9 ----------------------------------------------------------------------
 
 
