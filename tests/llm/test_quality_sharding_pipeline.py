@@ -106,7 +106,7 @@ def test_a_long_trusted_row_leaves_the_classifier_on(spark, monkeypatch):
     docs = trusted(400)
     order = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").selectExpr("doc_id", "xxhash64(doc_id) h", "crc32(cast(doc_id as string)) % 4 = 0 held").orderBy("h").collect()
     long = {next(r.doc_id for r in order if r.held == held) for held in (True, False)}
-    docs = [(i, "long words " * 3000 if i in long else t, lang) for i, t, lang in docs]
+    docs = [(i, f"{t} " * 900 if i in long else t, lang) for i, t, lang in docs]
     junk = [(10_000 + k, f"zq{k} xj{k} vv{k} kk{k} " * 20, "en") for k in range(50)]
     table, labels = labelled_docs(spark, docs + junk, [(d[0], 1, 0) for d in docs])
     found = kn_quality.classify(table, labels).collect()
@@ -124,6 +124,22 @@ def test_trusted_rows_of_which_none_fits_are_an_error(spark, monkeypatch):
             use(table, labels)
 
 
+def test_thresholds_come_from_all_trusted_rows_outside_the_sample(spark, monkeypatch):
+    """The sample is a small part of the rows, and one language is a fiftieth of them."""
+    monkeypatch.setattr(kn_quality, "MAX_TRAIN_CHARS", 20_000)
+    monkeypatch.setattr(kn_quality, "MAX_TRAIN_DOCS", 200)
+    docs = trusted(4000) + [(10_000 + k, f"gute einfache worte in text {k % 13} und mehr davon {k}", "de") for k in range(80)]
+    table, labels = labelled_docs(spark, docs)
+    picked = kn_quality.sample(table, labels).where("not held").collect()
+    by = Counter(r.lang for r in picked)
+    assert len(picked) <= 200 and sum(len(r.text) for r in picked) <= 20_000 and 45 <= by["de"] <= 80
+    model, limits, every = kn_quality.fit(table, labels)
+    assert {r["_lang"] for r in limits.collect()} == ({"en", "de"} if 80 - by["de"] >= kn_quality.MIN_HELD_OUT else {"en"})
+    marks = kn_quality.marks_of(labels).where("good")
+    held = kn_quality.held_scores(table, marks, kn_quality.sample(table, labels), model).collect()
+    assert Counter(r.doc_id for r in held) == Counter({d[0] for d in docs} - {r.doc_id for r in picked})
+
+
 # --- operator 9 ----------------------------------------------------------------------
 
 
