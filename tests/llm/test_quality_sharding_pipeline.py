@@ -1,6 +1,7 @@
 """Operators 7 and 9 and the pipeline."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -140,6 +141,30 @@ def test_thresholds_come_from_all_trusted_rows_outside_the_sample(spark, monkeyp
     assert Counter(r.doc_id for r in held) == Counter({d[0] for d in docs} - {r.doc_id for r in picked})
 
 
+def test_limits_use_the_bad_rows_and_hold_the_quantile(spark):
+    """Brute force over the spreads; the bad rows are long and just above the good ones."""
+    rng = random.Random(5)
+    held = []
+    for k in range(900):
+        n = rng.choice([4, 16, 100, 400])
+        good = k % 3 > 0
+        x = (3.0 if good else 3.35) + rng.gauss(0, 1.0) / math.sqrt(n)
+        held.append((k, rng.choice(["en", "de"]), n, -x * n, good))
+    table = spark.createDataFrame(held, "doc_id bigint, lang string, n_tokens bigint, log10_prob double, good boolean").repartition(4)
+    found = {r["lang"]: r for r in kn_quality.limits_of(table, ["lang"]).collect()}
+    for lang in ("en", "de"):
+        z = {s: [(-p / n - s / math.sqrt(n), g) for _, w, n, p, g in held if w == lang] for s in kn_quality.SPREADS}
+        rejected = {}
+        for s, v in z.items():
+            good = sorted(math.floor(a * kn_quality.STEPS) for a, g in v if g)
+            q = (good[math.ceil(kn_quality.QUANTILE * len(good)) - 1] + 1) / kn_quality.STEPS
+            rejected[s] = sum(a >= q for a, g in v if not g), q
+        best = max(rejected, key=lambda s: (rejected[s][0], -abs(s - kn_quality.SPREAD)))
+        assert (found[lang]["_spread"], found[lang]["_q"]) == (best, pytest.approx(rejected[best][1], abs=1e-12))
+        assert sum(a > found[lang]["_q"] for a, g in z[best] if g) <= 0.005 * found[lang]["_n"]
+        assert rejected[best][0] > rejected[0][0]
+
+
 # --- operator 9 ----------------------------------------------------------------------
 
 
