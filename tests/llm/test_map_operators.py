@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -74,6 +75,26 @@ def test_contamination_equals_brute_force(spark, sf_mid):
 ITEMS = [(1, "the lazy dog and runs far away from the big bad wolf"), (2, "word"), (3, "Same line"), (4, None), (5, "..."), (10, "same line"), (2, "x x x x x x x x x x x"), (6, "d, E f")]
 
 
+def test_item_blocks_are_not_held_together(spark, monkeypatch):
+    class Block(list):
+        __hash__ = object.__hash__
+
+    alive, most = weakref.WeakSet(), []
+
+    def blocks(*_):
+        for k in range(6):
+            block = Block([(k, f"benchmark item number {k} of some words in a row that is long enough to be one")])
+            alive.add(block)
+            most.append(len(alive))
+            yield block
+            del block
+
+    monkeypatch.setattr(decontaminate, "item_blocks", blocks)
+    monkeypatch.setattr(decontaminate, "search_block", lambda docs, block, window: docs.selectExpr("_row", "doc_id", "1L n_words", "cast(array() as array<struct<a:bigint,b:bigint>>) spans", "cast(array() as array<bigint>) items"))
+    found = decontaminate.decontaminate(odd(spark), spark.createDataFrame([], "item_id bigint, text string"))
+    assert len(most) == 6 and max(most) <= 2 and found.count() == len(ODD)
+
+
 @pytest.mark.parametrize("block_bytes", [1 << 20, 30])
 def test_contamination_of_odd_rows_in_one_and_many_blocks(spark, block_bytes):
     items = spark.createDataFrame([*ITEMS, (None, "negative id")], "item_id bigint, text string")

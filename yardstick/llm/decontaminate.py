@@ -144,19 +144,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated, spans (merged
     hit word ranges) and items (their ids)."""
     base = docs.selectExpr("cast(doc_id as bigint) doc_id", "text")
-    blocks = list(item_blocks(benchmark, block_bytes)) or [[]]
-    if len(blocks) == 1:
-        hits = search_block(base.withColumn("_row", F.lit("")), blocks[0], window)
+    # each block goes into its broadcast as it is read: the driver holds two at most
+    blocks = item_blocks(benchmark, block_bytes)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        hits = search_block(base.withColumn("_row", F.lit("")), first, window)
     else:
         # a row is known by its id and whole text, so equal rows share one (equal) answer
         keyed = base.withColumn("_row", F.sha2(F.coalesce("text", F.lit("")), 256))
-        each = [search_block(keyed, b, window) for b in blocks]
+        each = [search_block(keyed, first, window), search_block(keyed, second, window)]
+        del first, second
+        each += (search_block(keyed, b, window) for b in blocks)
         hits = each[0]
         for more in each[1:]:
             hits = hits.unionByName(more)
         hits = hits.groupBy("doc_id", "_row").agg(
             F.max("n_words").alias("n_words"),
-            (F.count(F.lit(1)) / len(blocks)).cast("bigint").alias("_times"),
+            (F.count(F.lit(1)) / len(each)).cast("bigint").alias("_times"),
             F.array_sort(F.flatten(F.collect_set("spans"))).alias("_spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
