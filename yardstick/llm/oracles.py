@@ -1,4 +1,4 @@
-"""DuckDB SQL for the operators that SQL can express (1, 2 and 5).
+"""DuckDB SQL for the operators that SQL can express (1, 2, 5 and 13).
 
 The others have no SQL form and are tested against brute force: 3 and 7 (sampled and
 smoothed models), 4 (BPE merges), 6 (offsets of scanned units), 8 (JSON and UUIDs), 9
@@ -73,8 +73,37 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(l.component, s
 FROM s LEFT JOIN c ON c.s = s.s LEFT JOIN l ON l.x = c.rep
 """
 
+FILTER_AUDIT = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part, regexp_extract_all(coalesce(text, ''), '{_SPACE_WORD}') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, concat(
+        CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+        CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END,
+        CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+        CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY t) THEN 'E' END) AS fails,
+        coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM t LEFT JOIN l ON l.doc_id = t.doc_id),
+m AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+r AS (SELECT part, o, step, o[step] AS own, fails, n, good, toxic,
+             list_min(list_transform(list_filter(string_split('A,B,C,D,E', ','), lambda x: contains(fails, x)), lambda x: strpos(o, x))) AS gone
+      FROM m, orders, range(1, 6) s(step)),
+g AS (SELECT part, o AS filter_order, step, own, sum(n) FILTER (gone IS NULL OR gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+             sum(n) FILTER (contains(fails, own) AND gone < step) AS redundant, sum(n) FILTER (fails = own) AS unique_fails,
+             sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+      FROM r GROUP BY part, o, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM g
+"""
+
 ORACLE = {
     "op1_decontaminate": DECONTAMINATE,
     "op2_quality_rules": QUALITY,
     "op5_minhash_dedup": NEAR_DUPLICATES,
+    "op13_filter_audit": FILTER_AUDIT,
 }

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the SQL of those SQL can express."""
+"""The registered queries of the thirteen operators and the SQL of those SQL can express."""
 
 from __future__ import annotations
 
@@ -78,6 +78,24 @@ def op10_secret_scans(spark, sf_dir):
     return secret_scan(documents(spark, sf_dir))
 
 
+def op11_pii(spark, sf_dir):
+    from .pii import find_pii
+
+    return find_pii(documents(spark, sf_dir))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    from .spelling import spelling_variants
+
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op13_filter_audit(spark, sf_dir):
+    from .filter_audit import filter_audit
+
+    return filter_audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality_rules": op2_quality_rules,
@@ -89,4 +107,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
     "op10_secret_scans": op10_secret_scans,
+    "op13_filter_audit": op13_filter_audit,
 }
