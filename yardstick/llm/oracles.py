@@ -1,8 +1,8 @@
 """DuckDB SQL for the operators that SQL can express (1, 2, 5 and 13).
 
-The others have no SQL form and are tested against brute force: 3 and 7 (sampled and
-smoothed models), 4 (BPE merges), 6 (offsets of scanned units), 8 (JSON and UUIDs), 9
-(recursive medians) and 10 (non-overlapping matches with positions).
+The others have no SQL form and are tested against brute force: 3, 7 and 11 (trained
+models), 4 (BPE merges), 6 (offsets of scanned units), 8 (JSON and UUIDs), 9
+(recursive medians), 10 (non-overlapping matches with positions) and 12 (CRC-32).
 """
 
 from __future__ import annotations

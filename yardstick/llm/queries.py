@@ -107,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
     "op10_secret_scans": op10_secret_scans,
+    "op11_pii": op11_pii,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_filter_audit": op13_filter_audit,
 }
