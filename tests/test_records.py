@@ -93,3 +93,41 @@ def test_trainer_log_series(spark):
     got = sorted(map(tuple, log_series(log, TRAINER_LOG_METRICS).select("metric", "step", "value").collect()))
     assert got == [("eval_loss", 2, 2.1), ("learning_rate", 1, 1e-4), ("learning_rate", 2, 9e-5),
                    ("train_loss", 1, 2.5), ("train_loss", 3, 2.0)]
+
+
+def test_one_strict_value_per_line(spark):
+    good = '{"recordId": "sample_1", "modelOutput": {"content": [{"text": "yes"}]}}'
+    bad = [
+        good.replace('"', "'"), good + " trailing", good + good, "[" + good + "]", "[" + good + ",", good + ",", good + "]", good + "}",
+        good[:-1], "5", '"text"', "null", "[]", good + "," + good, "{" + good + "}", good.replace('"yes"', "yes"), good.replace("}]}}", "},]}}"),
+    ]
+    rows = extract.parse_raw_lines(_lines(spark, [good, " \t" + good + "\r", *bad]), "contains", PREFIX).orderBy("line_pos").collect()
+    assert [r.prediction for r in rows[:2]] == ["yes", "yes"]
+    assert {(r.drop_reason, r.prediction) for r in rows[2:]} == {("malformed", None)}
+
+
+def test_odd_elements_do_not_spoil_their_neighbours(spark):
+    lines = [
+        '{"recordId": "sample_1", "modelOutput": {"content": ["x", 1, null, [2], {"type": "image"}, {"type": "text", "text": "yes"}]}}',
+        '{"recordId": "sample_2", "SageMakerOutput": {"choices": [{"message": {"content": "yes"}}, 5, null, "z"]}}',
+        '{"recordId": "sample_3", "SageMakerOutput": {"choices": ["z", {"message": {"content": "yes"}}]}, "modelOutput": {"content": [{"text": "no"}]}}',
+        '{"recordId": "sample_4", "SageMakerOutput": {"choices": 5}, "modelOutput": "{\\"content\\": [7, {\\"text\\": \\"yes\\"}]}"}',
+        '{"recordId": "sample_5", "modelOutput": "{\\"content\\": [{\\"text\\": \\"Yes\\"}]} x"}',
+        '{"recordId": "sample_6", "modelOutput": "{\'content\': [{\'text\': \'Yes\'}]}"}',
+        '{"recordId": "sample_7", "modelOutput": {"content": [{"text": null}, {"text": "Yes"}]}}',
+        '{"recordId": "sample_8", "modelOutput": 5}',
+        '{"recordId": "sample_9", "modelOutput": {"content": {"text": "Yes"}}}',
+    ]
+    rows = extract.parse_raw_lines(_lines(spark, lines), "contains", PREFIX).orderBy("line_pos").collect()
+    assert [(r.sample_id, r.prediction) for r in rows] == [(1, "yes"), (2, "yes"), (3, "no"), (4, "yes"), *[(k, None) for k in (5, 6, 7, 8, 9)]]
+    assert {r.drop_reason for r in rows[4:]} == {"no_content"}
+
+
+def test_parts_lines_are_read_strictly(spark, tmp_path):
+    from yardstick.sources import scans
+
+    good = '{"sample": 3, "prediction": "yes", "batch_path": "a/b/c"}'
+    lines = [good, "", good.replace('"', "'"), good + " x", good + good, "[" + good + "]", "7", '{"sample": "12", "prediction": 1}', '{"sample": -2.9}', '{"sample": "x"}']
+    (tmp_path / "part-0.json").write_text("\n".join(lines))
+    rows = scans.parts_json(spark, str(tmp_path)).orderBy("line_pos").collect()
+    assert [(r["sample"], r.prediction, r.malformed) for r in rows] == [(3, "yes", False), *[(None, None, True)] * 5, (12, "1", False), (-2, None, False), (None, None, False)]

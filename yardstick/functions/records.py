@@ -3,8 +3,14 @@
 A raw line is parsed once with ``from_json`` into the few top-level fields the engine
 reads; the echoed input (images included) is skipped by the parser, not copied, and no
 line is too long.  Every field but ``error`` is text, so a field of an unexpected type
-never spoils its line; nested fields are read from that text.  A key given twice counts
-with its last value and ``NaN`` is accepted, as in the reference's parser.
+never spoils its line; nested fields are read from that text, lists element by element,
+so an odd element never spoils its neighbours.  A key given twice counts with its last
+value and ``NaN`` is accepted, as in the reference's parser.
+
+One strict value per line: the text is parsed inside an object of our own, followed by a
+closing field.  Single quotes, text after the value, a second value or a stray bracket
+break that object or end it early; the closing field is then missing and the line is
+malformed.
 """
 
 from __future__ import annotations
@@ -22,20 +28,35 @@ DROP_ERROR = "error_record"
 DROP_NO_CONTENT = "no_content"
 
 
-_CORRUPT = "_corrupt"
-_LINE = f"payload string, recordId string, record_id string, SageMakerOutput string, modelOutput string, error variant, {_CORRUPT} string"
-_CHAT = "choices array<struct<message: struct<content: string>>>"
-_BLOCKS = "content array<struct<type: string, text: string>>"
+_VALUE, _END = "_value", "_end"
+_LINE = "payload string, recordId string, record_id string, SageMakerOutput string, modelOutput string, error variant"
+
+
+def strict_object(text: Column, fields: str) -> Column:
+    """Text -> struct of ``_value`` (the fields, NULL unless the text is a JSON object) and
+    ``_end`` (NULL unless the text is exactly one JSON value)."""
+    inside = F.concat(F.lit('{"%s":' % _VALUE), text, F.lit(',"%s":0}' % _END))
+    return F.from_json(inside, f"{_VALUE} struct<{fields}>, {_END} int", {"mode": "PERMISSIVE", "allowSingleQuotes": "false"})
 
 
 def parse_line(value: Column | str) -> Column:
     """Line text -> struct of the fields read from it (SRC-5); see ``malformed``."""
-    return F.from_json(col_of(value), _LINE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    return strict_object(col_of(value), _LINE)
 
 
 def malformed(v: Column) -> Column:
-    """True for a line that is no JSON object."""
-    return v.isNull() | v[_CORRUPT].isNotNull()
+    """True for a line that is not exactly one JSON object."""
+    return v[_END].isNull() | v[_VALUE].isNull()
+
+
+def field(v: Column, name: str) -> Column:
+    """A field of a parsed object."""
+    return v[_VALUE][name]
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def _nonempty(c: Column) -> Column:
@@ -45,9 +66,9 @@ def _nonempty(c: Column) -> Column:
 def record_id(v: Column) -> Column:
     """PRJ-1: ``payload.record_id`` -> ``recordId`` -> ``record_id``; empty counts as missing."""
     return F.coalesce(
-        _nonempty(F.from_json(v["payload"], "record_id string")["record_id"]),
-        _nonempty(v["recordId"]),
-        _nonempty(v["record_id"]),
+        _nonempty(F.from_json(field(v, "payload"), "record_id string")["record_id"]),
+        _nonempty(field(v, "recordId")),
+        _nonempty(field(v, "record_id")),
     )
 
 
@@ -60,16 +81,20 @@ def sample_index(rid: Column) -> Column:
 
 
 def chat_content(v: Column) -> Column:
-    """PRJ-3: ``SageMakerOutput.choices[0].message.content``."""
-    return F.get(F.from_json(v["SageMakerOutput"], _CHAT)["choices"], 0)["message"]["content"]
+    """PRJ-3: ``SageMakerOutput.choices[0].message.content``, whatever the other choices are."""
+    first = F.get(F.from_json(field(v, "SageMakerOutput"), "choices array<string>")["choices"], 0)
+    return F.from_json(first, "message struct<content: string>")["message"]["content"]
 
 
 def block_content(v: Column) -> Column:
-    """PRJ-4: ``modelOutput`` (object, or a JSON string holding one) ``.content``;
-    the text of the first block that has ``type = 'text'`` or a ``text`` key."""
-    blocks = F.from_json(v["modelOutput"], _BLOCKS)["content"]  # an object and a string holding one read alike
-    chosen = F.filter(blocks, lambda b: (b["type"] == F.lit("text")) | b["text"].isNotNull())
-    return F.get(chosen, 0)["text"]
+    """PRJ-4: ``modelOutput`` (object, or a JSON string holding exactly one) ``.content``;
+    the text of the first block that has ``type = 'text'`` or a ``text`` key.  Blocks that
+    are no objects are passed over."""
+    output = strict_object(field(v, "modelOutput"), "content array<string>")  # an object and a string holding one read alike
+    blocks = _let(output, lambda o: F.when(o[_END].isNotNull(), o[_VALUE]["content"]))
+    objects = F.transform(blocks, lambda b: F.struct(F.from_json(b, "type string, text string").alias("b"), F.json_object_keys(b).alias("keys")))
+    chosen = F.filter(objects, lambda o: (o["b"]["type"] == F.lit("text")) | F.array_contains(o["keys"], "text"))
+    return F.get(chosen, 0)["b"]["text"]
 
 
 def content(v: Column) -> Column:
@@ -80,7 +105,7 @@ def content(v: Column) -> Column:
 def is_error_record(v: Column, text: Column) -> Column:
     """PRJ-6: no content and a truthy ``error`` field."""
     no_content = F.coalesce(text, F.lit("")) == F.lit("")
-    return no_content & truthy_json(v["error"])
+    return no_content & truthy_json(field(v, "error"))
 
 
 def drop_reason(v: Column, sample: Column, text: Column) -> Column:

@@ -11,7 +11,7 @@ from ..operators import align, extract, metrics
 from ..session import checkpoint, scratch_path
 from ..sinks import writers
 from ..sources import derived, scans
-from .oracle_common import ANSWERS_CTE, G_CTE, GT_CTE, P_CTE, R_CTE, with_ctes
+from .oracle_common import ANSWERS_CTE, G_CTE, GT_CTE, O_CTE, P_CTE, R_CTE, with_ctes
 
 D = 6  # doubles are rounded to 6 places on both sides of the oracle compare
 
@@ -20,6 +20,10 @@ def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
     return derived.raw_output_lines(spark, sf)
 
 
+def all_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return derived.all_output_lines(spark, sf)
+
+
 def raw_preds(spark: SparkSession, sf: str, mode: str = "contains") -> DataFrame:
     """Deduplicated predictions from the raw lines, dataset/model from the file path."""
     preds = extract.raw_predictions(raw_lines(spark, sf), derived.RAW_PREFIX, mode)
@@ -44,16 +48,16 @@ def q_eval_accept_reject_rollup(spark, sf):
 
 
 def q_extract_predictions(spark, sf):
-    return extract.extracted_predictions(raw_lines(spark, sf), derived.RAW_PREFIX)
+    return extract.extracted_predictions(all_lines(spark, sf), derived.RAW_PREFIX)
 
 
 def q_parse_drops(spark, sf):
-    parsed = extract.parse_raw_lines(raw_lines(spark, sf), "contains", derived.RAW_PREFIX)
+    parsed = extract.parse_raw_lines(all_lines(spark, sf), "contains", derived.RAW_PREFIX)
     return metrics.drop_counts(parsed)
 
 
 def q_content_shapes(spark, sf):
-    lines = raw_lines(spark, sf)
+    lines = all_lines(spark, sf)
     v = records.parse_line("value")
     # the parsed value is pinned so the NULL filter does not re-run the parse
     with_v = extract.pin_columns(lines.select("source_file", "line_pos", v.alias("_v"))).filter(~records.malformed(F.col("_v")))
@@ -250,19 +254,24 @@ SELECT dataset, model, CASE WHEN reason = 'accepted' THEN 'accepted' ELSE 'rejec
        {_r('sum(correct) * 100 / sum(cnt)')} AS pct_correct
 FROM br GROUP BY ALL
 """,
-    "extract_predictions": with_ctes(R_CTE, ANSWERS_CTE) + """
-SELECT CAST(sample_id AS BIGINT) AS sample, a_raw_tail AS prediction,
+    "extract_predictions": with_ctes(R_CTE, ANSWERS_CTE, O_CTE) + """
+SELECT CAST(sample_id AS BIGINT) AS sample, prediction,
        concat('outputs/', dataset, '/', model, '/batch_', CAST(sample_id // 50 AS VARCHAR), '/part.jsonl.out') AS batch_path,
        concat('s3://bucket/proj/outputs/', dataset, '/', model, '/batch_', CAST(sample_id // 50 AS VARCHAR), '/part.jsonl.out') AS source_file
-FROM ans
+FROM (SELECT dataset, model, sample_id, a_raw_tail AS prediction FROM ans
+      UNION ALL SELECT dataset, model, doc_id, lower(content) FROM o WHERE outcome = 'ok')
 """,
-    "parse_drops": with_ctes(R_CTE) + """
-SELECT dataset, model,
-       CASE WHEN v = 6 THEN 'error_record' WHEN v = 7 THEN 'malformed' WHEN v = 8 THEN 'no_record_id' ELSE 'ok' END AS drop_reason,
-       CAST(count(*) AS BIGINT) AS n
-FROM r GROUP BY ALL
+    "parse_drops": with_ctes(R_CTE, O_CTE) + """
+SELECT dataset, model, drop_reason, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT dataset, model,
+             CASE WHEN v = 6 THEN 'error_record' WHEN v = 7 THEN 'malformed' WHEN v = 8 THEN 'no_record_id' ELSE 'ok' END AS drop_reason FROM r
+      UNION ALL SELECT dataset, model, outcome FROM o) GROUP BY ALL
 """,
-    "content_shapes": with_ctes(R_CTE) + """
+    "content_shapes": with_ctes(R_CTE, O_CTE) + """
+SELECT model, doc_id AS line_pos, CAST(doc_id AS BIGINT) AS sample_id,
+       CASE WHEN o = 8 THEN 'chat' WHEN content IS NULL THEN 'none' ELSE 'block' END AS shape, content
+FROM o WHERE outcome <> 'malformed'
+UNION ALL
 SELECT model, doc_id AS line_pos,
        CASE WHEN v = 8 THEN NULL ELSE CAST(doc_id AS BIGINT) END AS sample_id,
        CASE WHEN v IN (2, 5) THEN 'chat' WHEN v = 6 THEN 'none' ELSE 'block' END AS shape,

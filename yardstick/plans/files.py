@@ -29,8 +29,8 @@ def _n(spark) -> int:
 
 
 def _model_lines(spark, sf) -> DataFrame:
-    """R lines with their dataset, model and output batch of ``BATCH_SIZE`` ids."""
-    return derived.raw_output_lines(spark, sf).select(
+    """R and O lines with their dataset, model and output batch of ``BATCH_SIZE`` ids."""
+    return derived.all_output_lines(spark, sf).select(
         "value",
         F.regexp_extract("source_file", r"outputs/([^/]+)/", 1).alias("dataset"),
         F.regexp_extract("source_file", r"outputs/[^/]+/([^/]+)/", 1).alias("model"),
@@ -69,7 +69,7 @@ def q_scan_discovery(spark, sf):
     Result: the merged predictions (parts rows by batch_path; raw rows as dataset
     ``pairs-r``, model ``unknown``)."""
     out = f"{scratch_path(spark, 'discovery')}/pairs-r"
-    lines = _model_lines(spark, sf)
+    lines = _model_lines(spark, sf).filter(F.col("model") != "model-odd")
     b = lines.filter(F.col("model") == "model-b")
     parts = extract.extracted_predictions(b, derived.RAW_PREFIX)
     kind = F.when(F.col("model") == "model-a", F.lit("raw")).otherwise(F.lit("stale"))
@@ -103,8 +103,9 @@ def q_scan_discovery(spark, sf):
 
 
 def q_scan_tolerant(spark, sf):
-    """SRC-4: parts-json files with blank, whitespace-only and truncated lines mixed in,
-    read PERMISSIVE: blanks vanish, a truncated line is one ``malformed`` row."""
+    """SRC-4: parts-json files with blank, whitespace-only and broken lines mixed in: blanks
+    vanish; a truncated line, single quotes, text after the record, a second record, an
+    array and a bare value are one ``malformed`` row each; an id given as text counts."""
     s = derived.parts_rows(spark, sf)
     js = F.to_json(F.struct("sample", "prediction", "batch_path", "source_file"))
     pieces = F.array(
@@ -112,6 +113,13 @@ def q_scan_tolerant(spark, sf):
         F.when(F.col("line_pos") % 7 == 0, F.lit("")),
         F.when(F.col("line_pos") % 5 == 0, F.lit(" \t ")),
         F.when(F.col("line_pos") % 11 == 0, F.substring(js, 1, 12)),
+        F.when(F.col("line_pos") % 13 == 0, F.replace(js, F.lit('"'), F.lit("'"))),
+        F.when(F.col("line_pos") % 17 == 0, F.concat(js, F.lit(" trailing"))),
+        F.when(F.col("line_pos") % 19 == 0, F.concat(js, js)),
+        F.when(F.col("line_pos") % 23 == 0, F.concat(F.lit("["), js, F.lit("]"))),
+        F.when(F.col("line_pos") % 29 == 0, F.concat(js, F.lit("]"))),
+        F.when(F.col("line_pos") % 31 == 0, F.lit("5")),
+        F.when(F.col("line_pos") % 37 == 0, F.to_json(F.struct(F.col("sample").cast("string").alias("sample"), F.lit("text id").alias("prediction")))),
     )
     rows = s.select("arrival", "line_pos", F.posexplode(F.filter(pieces, lambda x: x.isNotNull())).alias("k", "value"))
     path = scratch_path(spark, "tolerant-parts")
@@ -246,7 +254,9 @@ SELECT 'pairs-r', 'unknown', CAST(sample_id AS BIGINT), a_contains FROM ans WHER
     "scan_tolerant": with_ctes(S_CTE) + """
 SELECT CAST(sample AS BIGINT) AS sample, prediction, batch_path, source_file, false AS malformed FROM s
 UNION ALL
-SELECT NULL, NULL, NULL, '', true FROM s WHERE line_pos % 11 = 0
+SELECT NULL, NULL, NULL, '', true FROM s, unnest([11, 13, 17, 19, 23, 29, 31]) t(k) WHERE line_pos % k = 0
+UNION ALL
+SELECT CAST(sample AS BIGINT), 'text id', NULL, '', false FROM s WHERE line_pos % 37 = 0
 """,
     "scan_tolerant_raw": ev.ORACLE["parse_drops"],
     "scan_missing_files": with_ctes(G_CTE) + "SELECT *, CAST(2 AS BIGINT) AS skipped_shards FROM g",

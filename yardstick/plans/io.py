@@ -37,7 +37,7 @@ def _raw_files(spark, sf, name):
 def q_sink_roundtrip(spark, sf):
     """SNK-1 then SRC-4: extracted predictions written as JSON parts and read back tolerantly."""
     path = scratch_path(spark, "parts")
-    writers.write_predictions(extract.extracted_predictions(ev.raw_lines(spark, sf), derived.RAW_PREFIX), path)
+    writers.write_predictions(extract.extracted_predictions(ev.all_lines(spark, sf), derived.RAW_PREFIX), path)
     back = scans.parts_json(spark, path)
     return back.filter(~F.col("malformed")).select("sample", "prediction", "batch_path", "source_file")
 

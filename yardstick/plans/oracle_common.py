@@ -44,5 +44,13 @@ ANSWERS_CTE = """ans AS (
   FROM r WHERE v NOT IN (6, 7, 8))"""
 
 
+# The odd lines (one per document): variant o, what happens to the line, its answer.
+O_CTE = """o AS (
+  SELECT doc_id, CASE WHEN doc_id % 20 < 10 THEN 'pairs-r' ELSE 'pairs-s' END AS dataset, 'model-odd' AS model, o,
+         CASE WHEN o <= 6 THEN 'malformed' WHEN o IN (10, 11) THEN 'no_content' ELSE 'ok' END AS outcome,
+         CASE WHEN o IN (7, 8) THEN 'Yes' WHEN o = 9 THEN 'No' WHEN o = 12 THEN 'yes' END AS content
+  FROM (SELECT doc_id, doc_id % 13 AS o FROM documents))"""
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"

@@ -5,6 +5,8 @@
   partition-offset style ids, built from ``documents``.
 * ``raw_output_lines`` (R): raw batch-output JSON lines, one per (document, model),
   in the ten line shapes the parser must handle.
+* ``odd_output_lines`` (O): one more line per document, in the shapes a tolerant reader
+  takes wrongly (no single value on the line, odd elements in lists).
 
 G and S are portable SQL texts: Spark runs them through ``spark.sql`` with the
 table bound as a DataFrame argument, and the DuckDB oracle runs the very same
@@ -131,3 +133,40 @@ def raw_output_lines(spark: SparkSession, sf_dir: str, prefix: str = RAW_PREFIX)
         F.lit(0).cast("bigint").alias("file_block_start"),
         F.col("doc_id").alias("line_pos"),
     )
+
+
+# The odd line shapes, by doc_id % 13; %d is the document id.
+_ODD_SHAPES = [
+    "{'recordId': 'sample_%d', 'modelOutput': {'content': [{'type': 'text', 'text': 'yes'}]}}",
+    '{"recordId": "sample_%d", "modelOutput": {"content": [{"type": "text", "text": "yes"}]}} trailing',
+    '{"recordId": "sample_%d", "modelOutput": {"content": [{"text": "yes"}]}}{"recordId": "sample_%d"}',
+    '[{"recordId": "sample_%d", "modelOutput": {"content": [{"text": "yes"}]}}]',
+    '{"recordId": "sample_%d", "modelOutput": {"content": [{"text": "yes"}]}}]',
+    '{"recordId": "sample_%d", "modelOutput": {"content": [{"text": "yes"}]}},',
+    "5",
+    '{"recordId": "sample_%d", "modelOutput": {"content": ["x", 7, null, {"type": "text", "text": "Yes"}]}}',
+    '{"recordId": "sample_%d", "SageMakerOutput": {"choices": [{"message": {"content": "Yes"}}, 5, "y"]}}',
+    '{"recordId": "sample_%d", "SageMakerOutput": {"choices": [5, {"message": {"content": "Yes"}}]}, "modelOutput": {"content": [{"text": "No"}]}}',
+    '{"recordId": "sample_%d", "modelOutput": "{\\"content\\": [{\\"text\\": \\"yes\\"}]} trailing"}',
+    '{"recordId": "sample_%d", "modelOutput": {"content": [{"text": null}, {"type": "text", "text": "Yes"}]}}',
+    '{"recordId": "sample_0", "recordId": "sample_%d", "score": NaN, "modelOutput": {"content": [{"text": "yes"}]}}',
+]
+
+
+def odd_output_lines(spark: SparkSession, sf_dir: str, prefix: str = RAW_PREFIX) -> DataFrame:
+    """O: one line per document of model ``model-odd``, in the columns of R."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    shape = F.element_at(F.array(*[F.lit(s) for s in _ODD_SHAPES]), (F.col("doc_id") % len(_ODD_SHAPES) + 1).cast("int"))
+    dataset = F.when(F.col("doc_id") % 20 < 10, F.lit("pairs-r")).otherwise(F.lit("pairs-s"))
+    batch = F.floor(F.col("doc_id") / 50).cast("string")
+    return docs.select(
+        F.replace(shape, F.lit("%d"), F.col("doc_id").cast("string")).alias("value"),
+        F.concat(F.lit(prefix.rstrip("/") + "/"), dataset, F.lit("/model-odd/batch_"), batch, F.lit("/part.jsonl.out")).alias("source_file"),
+        F.lit(0).cast("bigint").alias("file_block_start"),
+        F.col("doc_id").alias("line_pos"),
+    )
+
+
+def all_output_lines(spark: SparkSession, sf_dir: str, prefix: str = RAW_PREFIX) -> DataFrame:
+    """R and O."""
+    return raw_output_lines(spark, sf_dir, prefix).unionByName(odd_output_lines(spark, sf_dir, prefix))

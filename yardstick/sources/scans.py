@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import records
 from ..functions.text import regex_quote
-from ..operators.extract import non_blank
+from ..operators.extract import non_blank, pin_columns
 
 PARTS_SCHEMA = T.StructType(
     [
@@ -114,25 +115,39 @@ def _below(base: str) -> str:
 
 
 def parts_json(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True, literal: bool = False) -> DataFrame:
-    """SRC-4: tolerant parts-json read (PERMISSIVE with a corrupt-record column).
-    Blank lines are skipped by the JSON reader; malformed lines keep ``_corrupt_record``.
-    Files match ``glob`` at any depth (``recursive``) or directly in ``path``."""
-    schema = T.StructType(PARTS_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+    """SRC-4: tolerant parts-json read: a text scan with one strict value per line, as the
+    raw lines are read.  Blank lines vanish; a line that is not exactly one JSON object is
+    a ``malformed`` row.  An id is whole: text holding an integer counts, a fraction is cut,
+    anything else is NULL.  Files match ``glob`` at any depth (``recursive``) or directly in
+    ``path``."""
     if recursive:
-        df = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).json(_glob_escape(path) if literal else path)
+        src = _glob_escape(path) if literal else path
+        df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(src)
     else:
-        df = reader.json(_glob_escape(path.rstrip("/")) + "/" + glob)
-    return df.select(
-        "sample",
-        "prediction",
-        "batch_path",
-        F.coalesce(F.col("source_file"), F.lit("")).alias("source_file"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("file_block_start"),
-        F.monotonically_increasing_id().alias("line_pos"),
-        F.col("_corrupt_record").isNotNull().alias("malformed"),
+        df = spark.read.text(_glob_escape(path.rstrip("/")) + "/" + glob)
+    names = [f.name for f in PARTS_SCHEMA.fields]
+    lines = _with_file_order(df).filter(non_blank("value"))
+    parsed = lines.select(
+        records.strict_object(F.col("value"), ", ".join(f"{n} string" for n in names)).alias("_v"),
+        F.col("source_file").alias("file_path"),
+        "file_block_start",
+        "line_pos",
+    )
+    v = F.col("_v")
+    bad = records.malformed(v)
+    value = lambda n: F.when(~bad, records.field(v, n))
+    sample = F.coalesce(value("sample").try_cast("bigint"), F.floor(F.abs(value("sample").try_cast("double"))) * F.signum(value("sample").try_cast("double")))
+    rows = parsed.select(
+        sample.cast("bigint").alias("sample"),
+        value("prediction").alias("prediction"),
+        value("batch_path").alias("batch_path"),
+        F.coalesce(value("source_file"), F.lit("")).alias("source_file"),
+        "file_path",
+        "file_block_start",
+        "line_pos",
+        bad.alias("malformed"),
     )
+    return pin_columns(rows)
 
 
 def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) -> DataFrame:
