@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint
 
-_POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
+POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
 BROADCAST_ROWS = 2_000_000  # the count table has at most partitions + groups rows
 
 
@@ -40,8 +40,8 @@ def dense_index(
     ranged = checkpoint(ranged)
     ranged = ranged.select(
         "*",
-        F.shiftrightunsigned("_mid", _POS_BITS).alias("_pid"),
-        F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
+        F.shiftrightunsigned("_mid", POS_BITS).alias("_pid"),
+        F.col("_mid").bitwiseAND(F.lit((1 << POS_BITS) - 1)).alias("_pos"),
     ).drop("_mid")
     seg = ranged.groupBy("_pid", *group_cols).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -61,10 +61,10 @@ def q_batch_files(spark, sf):
     """BAT-13 + SNK-2: one JSON line per record, one ``batch_<k>.jsonl`` file per batch
     (the reference's layout) in position order, read back."""
     docs = derived.read_table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"), "lang")
-    b = batching.slice_batches(batching.positions(docs, 42), batch_size=100)
+    b = batching.routed_batches(docs, batch_size=100, seed=42)
     b = b.withColumn("jsonl", F.to_json(F.struct("record_id", "lang")))
     path = scratch_path(spark, "batches")
-    writers.write_batches(b, path, batch_file_names=True)
+    writers.write_batches(b, path, batch_file_names=True, placed=True)
     back = spark.read.text(path).select(
         F.regexp_extract(F.col("_metadata.file_path"), r"batch_(\d+)\.jsonl$", 1).alias("batch_idx"),
         "value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("ln"),

@@ -127,15 +127,15 @@ def prepare_batches(
 ) -> DataFrame:
     """L1: optional seeded shuffle, slice, batch and one JSON payload line per record;
     written one file per batch when a path is given.  ``images`` maps the prompt label key
-    to the binary image column.  A record without a payload (an image is missing, or the
+    to the binary image column.  The image rows pass one exchange, straight into their
+    batch's file.  A record without a payload (an image is missing, or the
     model's family has no builder) keeps its row with an ``error`` and is not written."""
-    pos = batching.positions(dataset, seed)
-    b = batching.slice_batches(pos, batch_size, start, max_samples)
+    b = batching.routed_batches(dataset, batch_size, start, max_samples, seed)
     fam = P.model_family(model_id)
     cells = [(k, F.col(c)) for k, c in images]
     b = b.withColumn("jsonl", P.payload(F.col("record_id"), cells, prompt, fam)).withColumn("error", P.payload_error(cells, F.lit(fam)))
     if output_path:
-        writers.write_batches(b.filter(F.col("error").isNull()), output_path, batch_file_names=True)
+        writers.write_batches(b.filter(F.col("error").isNull()), output_path, batch_file_names=True, placed=True)
     return b
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import DISPLAY_NAMES
+from ..sources import heads
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
@@ -15,43 +16,26 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
 
 def write_batches(df: DataFrame, path: str, json_col: str = "jsonl", batch_col: str = "batch_idx", order_col: str = "pos",
-                  num_partitions: int | None = None, batch_file_names: bool = False) -> None:
-    """SNK-2: each batch's JSON lines in position order, one file per batch (a batch's rows
-    are hash-partitioned into one task and sorted within it, which also satisfies the
-    writer's ordering on the partition column, so no extra sort).  Files land in
+                  num_partitions: int | None = None, batch_file_names: bool = False, placed: bool = False) -> None:
+    """SNK-2: each batch's JSON lines in position order, one file per batch.  Files land in
     ``batch_idx=<k>/`` folders, or with ``batch_file_names`` as ``<path>/batch_<k>.jsonl``,
-    the reference's layout (one metadata rename per batch)."""
+    the reference's layout, published by the job's commit (``sinks.batch_files``).  A
+    batch's rows are hash-partitioned into one task and sorted within it, unless they are
+    ``placed`` already (``batching.routed_batches``): then the write moves no row."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (
-        df.select(batch_col, order_col, F.col(json_col).alias("value"))
-        .repartition(n, batch_col)
-        .sortWithinPartitions(batch_col, order_col)
-        .select(batch_col, "value")
-        .write.mode("overwrite")
-        .partitionBy(batch_col)
-        .text(path)
-    )
-    if batch_file_names:
-        _flatten_batch_files(df.sparkSession, path, batch_col)
-
-
-def _flatten_batch_files(spark, path: str, batch_col: str) -> None:
-    """``<path>/<batch_col>=<k>/part-*`` -> ``<path>/batch_<k>.jsonl`` (each batch is one
-    file), then the emptied folder is removed."""
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    root = Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    prefix = f"{batch_col}="
-    for st in fs.listStatus(root):
-        folder = st.getPath()
-        name = folder.getName()
-        if not (st.isDirectory() and name.startswith(prefix)):
-            continue
-        parts = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
-        if len(parts) != 1:
-            raise RuntimeError(f"{folder} holds {len(parts)} data files, expected one per batch")
-        fs.rename(parts[0], Path(root, f"batch_{name[len(prefix):]}.jsonl"))
-        fs.delete(folder, True)
+    rows = df.select(batch_col, order_col, F.col(json_col).alias("value"))
+    if not placed:
+        rows = rows.repartition(n, batch_col).sortWithinPartitions(batch_col, order_col)
+    if not batch_file_names:
+        rows.select(batch_col, "value").write.mode("overwrite").partitionBy(batch_col).text(path)
+        return
+    from . import batch_files
+
+    if not heads.reachable(path):
+        raise ValueError(f"no file system for {path}: batch files are written to {', '.join(heads.SCHEMES)} or local paths")
+    batch_files.register(df.sparkSession)
+    named = rows.select(F.concat(F.lit("batch_"), F.col(batch_col).cast("string"), F.lit(".jsonl")).alias("name"), "value")
+    named.write.format(batch_files.NAME).mode("overwrite").save(path)
 
 
 def write_metrics(nested: DataFrame, path: str) -> None:
