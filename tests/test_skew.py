@@ -86,3 +86,68 @@ def test_last_write_wins_uses_part_by_part_path_order(spark):
     )
     assert [r.prediction for r in align.last_write_wins(df).collect()] == ["yes"]
     assert sorted(["o/a/b/x", "o/a-c/x"], key=lambda p: p.split("/"))[-1] == "o/a-c/x"
+
+
+def _all_orders(spark):
+    """Rows that differ in every part of the order, NULL parts and extreme lines included."""
+    rows = []
+    for k, (f, b, ln) in enumerate([("o/a/b", 0, 5), ("o/a-c", 0, 1), ("o/a-c", 128, 0), ("o/a-c", 128, 2**62), (None, None, None), ("o/a", 0, -(2**63)), ("o/a-c", None, 9)] * 3):
+        rows.append(("d", "m", k % 4, "yes" if k % 3 else "no", f, b, ln, k))
+    return spark.createDataFrame(rows, "dataset string, model string, sample_id bigint, prediction string, source_file string, file_block_start bigint, line_pos bigint, arrival int")
+
+
+def test_packed_order_gives_the_rows_of_the_struct_order(spark):
+    import itertools
+
+    df = _all_orders(spark)
+    everything = ("source_file", "file_block_start", "line_pos")
+    for n in range(4):
+        for order in itertools.permutations(everything, n):
+            packed = align.packed_order(df, order)
+            if packed is None:
+                assert order[-1] != "line_pos" and "line_pos" in order
+                continue
+            rows = packed.select("arrival", "_ord", F.struct(F.lit(0), *[align.order_value(c) for c in order]).alias("_s"), F.col("_ord").cast("string").alias("t")).collect()
+            by_pack = sorted(rows, key=lambda r: int(r.t))
+            want = [r.arrival for r in packed.orderBy(F.struct(F.lit(0), *[align.order_value(c) for c in order])).select("arrival").collect()]
+            ranks = {r.arrival: r.t for r in rows}
+            assert [ranks[a] for a in want] == [r.t for r in by_pack]
+
+
+def test_last_write_has_no_sort_around_its_aggregate(spark, sf_small):
+    from yardstick.plans import evaluation, parts
+
+    for q in (parts.q_last_write_wins, parts.q_merge_precedence):
+        plan = _plan(q(spark, sf_small)).split("== Initial Plan ==")[0]
+        sorts = [ln for ln in plan.splitlines() if " Sort [" in ln]  # only the small table of file splits
+        assert "SortAggregate" not in plan and "HashAggregate" in plan and all("_w0" in ln for ln in sorts)
+    plan = _plan(evaluation.q_eval_metrics(spark, sf_small)).split("== Initial Plan ==")[0]
+    assert "SortAggregate" not in plan
+
+
+def test_large_split_tables_are_ranked_by_the_index(spark, monkeypatch):
+    df = _preds(spark, 3000).withColumn("source_file", F.concat(F.lit("f/"), (F.col("line_pos") % 40).cast("string")))
+    want = sorted(map(tuple, align.last_write_wins(df).collect()))
+    monkeypatch.setattr(align, "RANK_ROWS", 0)
+    assert sorted(map(tuple, align.last_write_wins(df, answers=("no", "yes")).collect())) == want
+
+
+def test_one_alignment_for_all_outputs(spark, tmp_path, monkeypatch):
+    import json
+
+    from yardstick.plans import jobs
+
+    (tmp_path / "part-0.json").write_text("\n".join(json.dumps({"sample": i, "prediction": "yes", "batch_path": f"o/ds{i % 2}/m/x"}) for i in range(20)))
+    gt = spark.range(0, 9).selectExpr("id as sample_id", "'accept' as label", "'' as rejection_reason")
+    joins = []
+    aligned = align.align
+    monkeypatch.setattr(align, "align", lambda *a: joins.append(1) or aligned(*a))
+    out = jobs.evaluate_outputs(spark, str(tmp_path), {"ds0": gt})
+    assert [(r.total_evaluated, r.total_predictions, r.total_ground_truth) for r in out["metrics"].collect()] == [(5, 10, 9)]
+    assert [tuple(r) for r in out["skipped"].collect()] == [("ds1", 10, 1)]
+    assert [tuple(r) for r in out["gaps"].collect()] == [("ds0", "m", 5, 4, 5)]
+    assert out["errors"].collect() == [] and [r["count"] for r in out["by_reason"].collect()] == [5]
+    assert [r.samples for r in out["rollup"].collect()] == [5] and out["nested"].count() == 1
+    assert joins == [1]
+    for name in ("metrics", "by_reason", "rollup", "nested", "skipped", "gaps", "errors"):
+        assert "FileScan" not in out[name]._jdf.queryExecution().executedPlan().toString()

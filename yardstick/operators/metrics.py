@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .align import align
+from .align import outcome_counts, truth_counts
 
 # Metric names, in the reference's record order (the JSON sink maps
 # the *_positive/_negative names to their display keys).
@@ -112,20 +112,24 @@ def eval_metrics(preds: DataFrame, gt: DataFrame, digits: int | None = None) ->
     Populations follow the reference: confusion counts and gt +/- over matched rows,
     ``pred_yes/no_count`` over all predictions, ``total_ground_truth`` over the whole
     dataset.  Datasets without ground truth are skipped (JON-5)."""
-    a = align(preds, gt)
+    return eval_metrics_of(outcome_counts(preds, gt), truth_counts(gt), digits)
+
+
+def eval_metrics_of(outcomes: DataFrame, truths: DataFrame, digits: int | None = None) -> DataFrame:
+    """``eval_metrics`` from the counts of the alignment."""
     m, t = F.col("matched"), F.col("is_positive")
-    yes = F.col("prediction") == F.lit("yes")
-    counts = a.groupBy("dataset", "model").agg(
-        F.count(F.lit(1)).alias("total_predictions"),
-        F.count_if(m).alias("total_evaluated"),
-        F.count_if(m & t & yes).alias("true_positives"),
-        F.count_if(m & ~t & yes).alias("false_positives"),
-        F.count_if(m & t & ~yes).alias("false_negatives"),
-        F.count_if(m & ~t & ~yes).alias("true_negatives"),
-        F.count_if(yes).alias("pred_yes_count"),
-        F.count_if(F.col("prediction") == F.lit("no")).alias("pred_no_count"),
+    yes = F.coalesce(F.col("answer") == F.lit("yes"), F.lit(False))
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    counts = outcomes.groupBy("dataset", "model").agg(
+        F.sum("n").alias("total_predictions"),
+        total(m).alias("total_evaluated"),
+        total(m & t & yes).alias("true_positives"),
+        total(m & ~t & yes).alias("false_positives"),
+        total(m & t & ~yes).alias("false_negatives"),
+        total(m & ~t & ~yes).alias("true_negatives"),
+        total(yes).alias("pred_yes_count"),
+        total(F.col("answer") == F.lit("no")).alias("pred_no_count"),
     )
-    gt_n = gt.groupBy("dataset").agg(F.count(F.lit(1)).alias("total_ground_truth"))
     tp, fp, fn, tn = (F.col(c) for c in ("true_positives", "false_positives", "false_negatives", "true_negatives"))
     ints = {
         "total_evaluated": F.col("total_evaluated"),
@@ -147,21 +151,25 @@ def eval_metrics(preds: DataFrame, gt: DataFrame, digits: int | None = None) ->
     out = [F.col("dataset"), F.col("model")]
     for name in METRIC_COLUMNS:
         out.append(rcols[name] if name in rcols else ints[name].cast("bigint").alias(name))
-    return counts.join(gt_n, "dataset").select(*out)
+    return counts.join(truths, "dataset").select(*out)
 
 
 def metrics_by_reason(preds: DataFrame, gt: DataFrame, digits: int | None = None) -> DataFrame:
     """AGG-7: per (dataset, model, bucket) over matched rows; bucket = LBL-7.
     ``reason_rank`` orders buckets by count desc, ties by first sample id."""
-    a = align(preds, gt).filter(F.col("matched"))
-    yes = F.col("prediction") == F.lit("yes")
-    bucket = L.eval_bucket("is_positive", "rejection_reason")
-    agg = a.groupBy("dataset", "model", bucket.alias("reason")).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.count_if(yes == F.col("is_positive")).alias("correct_predictions"),
-        F.count_if(yes).alias("predicted_yes"),
-        F.count_if(~yes).alias("predicted_no"),
-        F.min("sample_id").alias("first_index"),
+    return metrics_by_reason_of(outcome_counts(preds, gt), digits)
+
+
+def metrics_by_reason_of(outcomes: DataFrame, digits: int | None = None) -> DataFrame:
+    """``metrics_by_reason`` from the counts of the alignment."""
+    yes = F.coalesce(F.col("answer") == F.lit("yes"), F.lit(False))
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    agg = outcomes.filter("matched").groupBy("dataset", "model", "reason").agg(
+        F.sum("n").alias("count"),
+        total(yes == F.col("is_positive")).alias("correct_predictions"),
+        total(yes).alias("predicted_yes"),
+        total(~yes).alias("predicted_no"),
+        F.min("first_index").alias("first_index"),
     )
     is_acc = F.col("reason") == F.lit(L.ACCEPTED)
     rank = F.row_number().over(Window.partitionBy("dataset", "model").orderBy(F.desc("count"), F.asc("first_index")))

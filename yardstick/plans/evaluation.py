@@ -13,6 +13,7 @@ from ..sinks import writers
 from ..sources import derived, scans
 from .oracle_common import ANSWERS_CTE, G_CTE, GT_CTE, O_CTE, P_CTE, R_CTE, with_ctes
 
+YES_NO = ("no", "yes")
 D = 6  # doubles are rounded to 6 places on both sides of the oracle compare
 
 
@@ -27,7 +28,7 @@ def all_lines(spark: SparkSession, sf: str) -> DataFrame:
 def raw_preds(spark: SparkSession, sf: str, mode: str = "contains") -> DataFrame:
     """Deduplicated predictions from the raw lines, dataset/model from the file path."""
     preds = extract.raw_predictions(raw_lines(spark, sf), derived.RAW_PREFIX, mode)
-    return align.last_write_wins(preds)
+    return align.last_write_wins(preds, answers=YES_NO if mode == "contains" else None)
 
 
 def gt_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,13 +109,7 @@ def q_datasets_without_truth(spark, sf):
     g = derived.ground_truth(spark, sf)
     mapping = {"pairs-r": g.filter(F.col("dataset") == "pairs-r").drop("dataset")}
     gt = align.ground_truth_table(scans.ground_truth_from_mapping(mapping))
-    preds = raw_preds(spark, sf)
-    known = gt.select("dataset").distinct()
-    skipped = preds.join(known, "dataset", "left_anti")
-    return skipped.groupBy("dataset").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_predictions"),
-        F.count_distinct("model").cast("bigint").alias("n_models"),
-    )
+    return align.without_truth(align.outcome_counts(raw_preds(spark, sf), gt), align.truth_counts(gt))
 
 
 def q_prediction_distribution(spark, sf):
@@ -127,9 +122,14 @@ def q_reason_counts(spark, sf):
 
 
 def q_nested_metrics(spark, sf):
-    # both metric tables read the same deduplicated predictions: materialise them once
-    preds, gt = checkpoint(raw_preds(spark, sf)), gt_table(spark, sf)
-    return nested_rows(metrics.nested_metrics(metrics.eval_metrics(preds, gt), metrics.metrics_by_reason(preds, gt)))
+    return nested_rows(nested_document(spark, sf))
+
+
+def nested_document(spark, sf):
+    """Both metric tables read the counts of one alignment."""
+    gt = gt_table(spark, sf)
+    outcomes = checkpoint(align.outcome_counts(raw_preds(spark, sf), gt))
+    return metrics.nested_metrics(metrics.eval_metrics_of(outcomes, align.truth_counts(gt)), metrics.metrics_by_reason_of(outcomes))
 
 
 def nested_rows(doc: DataFrame) -> DataFrame:
@@ -154,9 +154,8 @@ def q_overlap_errors(spark, sf):
 
 def q_metrics_file(spark, sf):
     """SNK-3: the metrics documents written as a file and read back."""
-    preds, gt = checkpoint(raw_preds(spark, sf)), gt_table(spark, sf)
     path = scratch_path(spark, "metrics")
-    writers.write_metrics(metrics.nested_metrics(metrics.eval_metrics(preds, gt), metrics.metrics_by_reason(preds, gt)), path)
+    writers.write_metrics(nested_document(spark, sf), path)
     return nested_rows(spark.read.schema("dataset string, metrics_json string").json(path))
 
 

@@ -53,7 +53,7 @@ def q_scan_roundtrip(spark, sf):
         F.monotonically_increasing_id().alias("line_pos"),
     )
     parsed = extract.parse_raw_lines(lines, "contains", carry=["dataset", "model"])
-    preds = align.last_write_wins(parsed.filter(F.col("drop_reason").isNull()))
+    preds = align.last_write_wins(parsed.filter(F.col("drop_reason").isNull()), answers=ev.YES_NO)
     return metrics.eval_metrics(preds, ev.gt_table(spark, sf), digits=ev.D)
 
 

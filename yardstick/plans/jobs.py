@@ -79,7 +79,8 @@ def discovered_predictions(
 
     # dedup within each source and parts-over-raw precedence in one aggregation
     order = ("file_path", "file_block_start", "line_pos")
-    return align.merge_precedence(parts_preds, raw_preds, order_cols=order), parsed
+    yes_no = ("no", "yes") if mode == "contains" else None  # parts rows hold nothing else
+    return align.merge_precedence(parts_preds, raw_preds, order_cols=order, answers=yes_no), parsed
 
 
 def evaluate_outputs(
@@ -95,21 +96,20 @@ def evaluate_outputs(
     ``ground_truth`` maps dataset names to labelled tables with a ``sample_id`` column;
     datasets without an entry are reported, not evaluated."""
     merged, parsed = discovered_predictions(spark, output_dir, reindex, mode, raw_dataset_from)
-    # the merged predictions feed several outputs, so they are materialised once
-    preds = checkpoint(merged)
     gt = align.ground_truth_table(scans.ground_truth_from_mapping(ground_truth))
-    by_reason = metrics.metrics_by_reason(preds, gt)
-    m = metrics.eval_metrics(preds, gt)
-    skipped = preds.join(gt.select("dataset").distinct(), "dataset", "left_anti").groupBy("dataset").agg(
-        F.count(F.lit(1)).alias("n_predictions"), F.count_distinct("model").alias("n_models")
-    )
+    # predictions meet the truth once; every output is derived from the few rows of counts
+    outcomes, truths = checkpoint(align.outcome_counts(merged, gt)), checkpoint(align.truth_counts(gt))
+    by_reason = metrics.metrics_by_reason_of(outcomes)
+    m = metrics.eval_metrics_of(outcomes, truths)
+    gaps = align.gaps_of(outcomes, truths)
     return {
         "metrics": m,
         "by_reason": by_reason,
         "rollup": metrics.accept_reject_rollup(by_reason),
         "nested": metrics.nested_metrics(m, by_reason),
-        "skipped": skipped,
-        "errors": align.overlap_errors(preds, gt),
+        "skipped": align.without_truth(outcomes, truths),
+        "gaps": gaps,
+        "errors": align.errors_of(gaps),
         "drops": metrics.drop_counts(parsed, group=("dataset", "model")),
     }
 

@@ -47,7 +47,7 @@ def q_reindex_auto(spark, sf):
 
 def q_last_write_wins(spark, sf):
     p = parts_preds(spark, sf)
-    return align.last_write_wins(p, order_cols=("source_file", "line_pos"), values=("prediction", "arrival"))
+    return align.last_write_wins(p, order_cols=("source_file", "line_pos"), values=("prediction", "arrival"), answers=("no", "yes"))
 
 
 def q_merge_precedence(spark, sf):
@@ -55,7 +55,7 @@ def q_merge_precedence(spark, sf):
     order, in one aggregation."""
     primary = parts_preds(spark, sf)
     secondary = extract.raw_predictions(derived.raw_output_lines(spark, sf), derived.RAW_PREFIX)
-    return align.merge_precedence(primary, secondary, order_cols=("source_file", "line_pos"))
+    return align.merge_precedence(primary, secondary, order_cols=("source_file", "line_pos"), answers=("no", "yes"))
 
 
 def q_flat_merge(spark, sf):

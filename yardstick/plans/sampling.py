@@ -71,7 +71,7 @@ def q_holdout_accuracy(spark, sf):
     held = sampling.exclude(categorised(spark, sf), sampling.manifest_rows(doc))
     parsed = extract.parse_raw_lines(raw_lines(spark, sf), "contains", derived.RAW_PREFIX)
     answered = parsed.filter(F.col("drop_reason").isNull() & (F.col("model") == "model-a"))
-    latest = align.last_write_wins(answered.select("dataset", "model", "sample_id", answers.word_answer("content").alias("prediction"), *extract.ORDER_COLS))
+    latest = align.last_write_wins(answered.select("dataset", "model", "sample_id", answers.word_answer("content").alias("prediction"), *extract.ORDER_COLS), answers=("Yes", "No", "Unknown"))
     preds = latest.select(F.col("dataset").alias("split"), "sample_id", F.col("prediction").alias("predicted"))
     gt = F.when(L.label_lenient("label") == "accepted", F.lit("Yes")).otherwise(F.lit("No"))
     rows = held.join(preds, ["split", "sample_id"], "left").select("split", (F.coalesce(F.col("predicted"), F.lit("Unknown")) == gt).alias("ok"))

@@ -73,3 +73,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss), never a local one."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once as Parquet below the checkpoint directory and read back:
+    lineage is cut as by ``checkpoint``, and later readers take only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
