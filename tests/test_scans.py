@@ -225,3 +225,143 @@ def test_flat_class_scan_lists_only_top_level_files(spark, tmp_path):
     assert "InMemoryFileIndex(3 paths)" in plan and "/deep/" not in plan  # nested files never listed
     assert not any(ln.strip().startswith(("Filter", "+- Filter", "*(1) Filter")) for ln in plan.splitlines())
     assert sorted(json.loads(r.value)["recordId"] for r in df.collect()) == ["sample_0", "sample_1", "sample_2"]
+
+
+# --- first records in bounded memory ---------------------------------------------------
+
+
+def test_keys_of_a_text_that_comes_in_pieces():
+    import random
+
+    from yardstick.sources.heads import KeyScanner
+
+    rng = random.Random(4)
+
+    def value(depth):
+        kind = rng.randrange(7 if depth < 3 else 4)
+        if kind < 4:
+            return [rng.random(), None, True, "".join(rng.choice('a"\\{}[]:,é\n\t') for _ in range(rng.randrange(9)))][kind]
+        if kind == 4:
+            return [value(depth + 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(['a', 'b"', "sample", "prédiction", "x{", "y\\", "é:"]): value(depth + 1) for _ in range(rng.randrange(4))}
+
+    for _ in range(400):
+        record = {k: value(1) for k in rng.sample(["sample", "prediction", "a", 'b"', "c\\"], rng.randrange(6))}
+        data = json.dumps(record, ensure_ascii=rng.random() < 0.5).encode()
+        scanner, at = KeyScanner(), 0
+        while at < len(data):
+            n = rng.randrange(1, 12)
+            scanner.feed(data[at : at + n])
+            at += n
+        assert scanner.ok and scanner.keys == set(record) and scanner.depth == 0
+    for bad in (b'["sample"]', b'5', b'x {"sample": 1}', b'"sample"'):
+        scanner = KeyScanner()
+        scanner.feed(bad)
+        assert not scanner.ok
+
+
+def test_a_file_without_line_breaks_is_not_held(monkeypatch):
+    import tracemalloc
+
+    from yardstick.sources import heads
+
+    class Endless:
+        """1 GB of one line: keys first or last."""
+
+        def __init__(self, first, last, n=16_000):
+            self.left, self.first, self.last, self.n = n, first, last, n
+
+        def read(self, size):
+            self.left -= 1
+            if self.left == self.n - 1:
+                return self.first
+            return (b"A" * size) if self.left > 0 else self.last if self.left == 0 else b""
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+    class Files:
+        def __init__(self, stream):
+            self.open_input_stream = lambda inner: stream
+
+    for first, last, want in (
+        (b'{"image": "', b'", "sample": 1, "prediction": "yes"}', True),
+        (b'{"image": "', b'", "sample": 1}', False),
+        (b'{"image": {"sample": 1, "prediction": "', b'"}}', False),
+        (b'{"sample": 1, "prediction": "no", "image": "', b'"', True),
+        (b'["', b'"]', False),
+    ):
+        monkeypatch.setattr(heads, "filesystem", lambda path, s=Endless(first, last): (Files(s), path))
+        tracemalloc.start()
+        assert heads.has_record("x") is want
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+        tracemalloc.stop()
+
+
+def test_short_first_lines_are_read_as_the_reference_does(tmp_path):
+    from yardstick.sources import heads
+
+    good = '{"sample": 1, "prediction": "yes"}'
+    cases = {good + "\nrest": True, good + "\r\nrest": True, " " + good: True, good + " x": False, "": False, "\n" + good: False, '["sample", "prediction"]': True, "7": False, '{"sample": 1}': False}
+    for k, (text, want) in enumerate(cases.items()):
+        (tmp_path / str(k)).write_bytes(text.encode())
+        assert heads.has_record(str(tmp_path / str(k)), chunk=5) is want, text
+
+
+# --- one listing, checks in tasks, files opened where their rows are ----------------------
+
+
+def test_both_sides_from_one_listing(spark, tmp_path, monkeypatch):
+    from yardstick.plans import jobs
+
+    _write(f"{tmp_path}/a.jsonl.out", [_line(1)])
+    _write(f"{tmp_path}/x/part-0.json", [json.dumps({"sample": 2, "prediction": "yes", "batch_path": "o/d/m/x"})])
+    assert scans.file_classes(spark, str(tmp_path)) == (0, 1)
+    calls = []
+    kept = scans.file_classes
+    monkeypatch.setattr(scans, "file_classes", lambda *a: calls.append(1) or kept(*a))
+    merged, _ = jobs.discovered_predictions(spark, str(tmp_path))
+    assert merged.count() == 2 and calls == [1]
+    assert kept(spark, str(tmp_path / "x")) == (None, 0)
+
+
+def test_existence_is_checked_in_tasks_in_order(spark, tmp_path, monkeypatch):
+    paths = [str(tmp_path / f"s {k}.parquet") for k in range(300)]
+    for p in paths[::3]:
+        open(p, "w").close()
+    assert scans.existing_paths(spark, paths) == (paths[::3], 200)
+    assert scans.existing_paths(spark, ["file:" + paths[0], paths[1]]) == (["file:" + paths[0]], 1)
+
+
+def test_images_are_opened_where_their_rows_are(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    for k in range(5):
+        (tmp_path / f"f{k}.png").write_bytes(bytes([k]) * (k * 1000))
+    rows = [(k, None, str(tmp_path / f"f{k}.png")) for k in range(5)]
+    rows += [(5, b"own", str(tmp_path / "f1.png")), (6, b"", None), (7, None, ""), (8, None, str(tmp_path / "none.png")), (9, None, str(tmp_path)), (10, None, "weird://x/y")]
+    df = spark.createDataFrame([(k, (b, p)) for k, b, p in rows], "k int, image struct<bytes: binary, path: string>").repartition(3)
+    out = scans.resolve_images(df, "image")
+    got = {r.k: (r.image_bytes, r.image_error) for r in out.collect()}
+    for k in range(5):
+        assert got[k] == (bytes([k]) * (k * 1000), None)
+    assert got[5] == (b"own", None)
+    assert all(got[k][0] is None and got[k][1].startswith("Cannot resolve image: ") for k in (6, 7, 8, 9, 10))
+    assert got[7][1].endswith("no bytes and no path") and "none.png" in got[8][1]
+    plan = scans.resolve_images(df.select("k", "image"), "image").select("k", F.length("image_bytes"))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1  # the repartition of the test itself
+
+
+def test_contents_come_in_pieces_of_bounded_size(tmp_path):
+    from yardstick.sources import heads
+
+    paths = []
+    for k, n in enumerate([10, 10, 30, 5, 200, 1, 1]):
+        (tmp_path / str(k)).write_bytes(b"x" * n)
+        paths.append(str(tmp_path / str(k)))
+    paths.insert(3, None)
+    sizes = [[len(c) if c is not None else -1 for c, _ in part] for part in heads.contents(paths, in_flight=50)]
+    assert sizes == [[10, 10, 30, -1], [5], [200], [1, 1]]

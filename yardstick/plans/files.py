@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import align, batching, extract, metrics
 from ..session import scratch_path
-from ..sinks import writers
+from ..sinks import batch_files, writers
 from ..sources import derived, scans
 from . import evaluation as ev
 from .jobs import discovered_predictions
@@ -214,23 +214,18 @@ def q_arrow_shards(spark, sf):
 def q_image_resolve(spark, sf):
     """SRC-10/JON-10: image cells ``struct<bytes, path>`` over ``pages``: a third carry the
     bytes, a third only a path to a file written from the page, a third a path to a
-    missing file (an error row).  Files are joined by path from a ``binaryFile`` scan."""
+    missing file (an error row).  Files are opened by the tasks that hold their rows."""
     pages = derived.read_table(spark, sf, "pages").select("page_id", "html")
     v = F.col("page_id") % 3
     root = scratch_path(spark, "images")
-    pages.filter(v == 1).repartition(_n(spark), "page_id").write.mode("overwrite").partitionBy("page_id").text(root)
-    files = spark.read.format("binaryFile").load(root)
-    listing = files.select(F.col("page_id").cast("bigint").alias("page_id"), "path")
-    ds = pages.join(listing, "page_id", "left").select(
-        "page_id",
-        F.struct(
-            F.when(v == 0, F.encode("html", "UTF-8")).alias("bytes"),
-            F.when(v == 1, F.col("path"))
-            .when(v == 2, F.concat(F.lit(root + "/page_id="), F.col("page_id").cast("string"), F.lit("/missing.png")))
-            .alias("path"),
-        ).alias("image"),
+    name = F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html"))
+    batch_files.register(spark)
+    pages.filter(v == 1).select(name.alias("name"), F.col("html").alias("value")).write.format(batch_files.NAME).mode("overwrite").save(root)
+    cell = F.struct(
+        F.when(v == 0, F.encode("html", "UTF-8")).alias("bytes"),
+        F.when(v == 1, F.concat(F.lit(f"{root}/"), name)).when(v == 2, F.concat(F.lit(f"{root}/missing_"), name)).alias("path"),
     )
-    out = scans.resolve_images(ds, "image", files.select("path", "content"))
+    out = scans.resolve_images(pages.select("page_id", cell.alias("image")), "image")
     return out.select("page_id", F.md5("image_bytes").alias("image_md5"), F.col("image_error").isNotNull().alias("failed"))
 
 

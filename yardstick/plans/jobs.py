@@ -65,10 +65,11 @@ def discovered_predictions(
     directory's name and model ``unknown`` (``raw_dataset_from='dir'``, as the
     reference) or the path below the directory (``'path'``).  Parts rows win over raw
     ones for the same (dataset, model, sample_id); within a source the last line wins."""
-    parts = scans.discover_parts(spark, output_dir).filter(~F.col("malformed"))
+    classes = scans.file_classes(spark, output_dir)  # one listing job for both sides
+    parts = scans.discover_parts(spark, output_dir, classes=classes).filter(~F.col("malformed"))
     parts_preds = align.resolve_indices(extract.parts_predictions(parts), mode=reindex)
 
-    lines = scans.discover_raw_lines(spark, output_dir)
+    lines = scans.discover_raw_lines(spark, output_dir, classes=classes)
     if raw_dataset_from == "dir":
         parsed = extract.parse_raw_lines(lines, mode).withColumn("dataset", records.directory_dataset(output_dir)).withColumn(
             "model", F.lit("unknown")

@@ -70,22 +70,31 @@ _RAW_CLASSES = [
 _CLASS_NAME_RE = {"*.jsonl.out": r"\.jsonl\.out$", "*.jsonl.out.*": r"\.jsonl\.out\.[^/]*$", "*.jsonl": r"\.jsonl$"}
 
 
-def discover_raw_lines(spark: SparkSession, output_dir: str) -> DataFrame:
-    """SRC-2 (raw side).  Files are ranked from a ``binaryFile`` listing that reads paths
-    only (no content), the best class is one tiny aggregate, and only files of that
-    class are then scanned as text: large input files lying next to the outputs are
-    never read when output files exist."""
-    base = qualified(spark, output_dir)
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
-    )
-    rel = F.regexp_replace(F.col("path"), _below(base), "")
-    rank = F.lit(None).cast("int")
+def listed_files(spark: SparkSession, output_dir: str) -> DataFrame:
+    """SRC-2: the files below a folder by path, from a ``binaryFile`` scan that reads no
+    content."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
+
+
+def file_classes(spark: SparkSession, output_dir: str) -> tuple[int | None, int | None]:
+    """SRC-2: the winning class of the raw side and of the parts side (None: no file), by one
+    job over one listing; two integers reach the driver."""
+    rel = F.regexp_replace(F.col("path"), _below(qualified(spark, output_dir)), "")
+    raw = F.lit(None).cast("int")
     for cls, glob, recursive in reversed(_RAW_CLASSES):
         name_ok = rel.rlike(_CLASS_NAME_RE[glob])
         depth_ok = F.lit(True) if recursive else ~rel.contains("/")
-        rank = F.when(name_ok & depth_ok, F.lit(cls)).otherwise(rank)
-    best = listing.agg(F.min(rank)).first()[0]  # one integer: the chosen class
+        raw = F.when(name_ok & depth_ok, F.lit(cls)).otherwise(raw)
+    is_json, name = rel.endswith(".json"), F.element_at(F.split(rel, "/"), -1)
+    parts = F.when(is_json & ~rel.contains("/"), F.lit(0)).when(is_json & name.startswith("part-"), F.lit(1))
+    return tuple(listed_files(spark, output_dir).agg(F.min(raw), F.min(parts)).first())
+
+
+def discover_raw_lines(spark: SparkSession, output_dir: str, classes: tuple | None = None) -> DataFrame:
+    """SRC-2 (raw side).  Files are ranked from a listing (``file_classes``, or ``classes``
+    if the caller has them), and only files of the best class are scanned as text: large
+    input files lying next to the outputs are never read when output files exist."""
+    best = (classes or file_classes(spark, output_dir))[0]
     if best is None:
         return spark.createDataFrame([], "value string, source_file string, file_block_start bigint, line_pos bigint")
     _, glob, recursive = _RAW_CLASSES[best]
@@ -150,21 +159,16 @@ def parts_json(spark: SparkSession, path: str, glob: str = "*.json", recursive:
     return pin_columns(rows)
 
 
-def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) -> DataFrame:
+def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True, classes: tuple | None = None) -> DataFrame:
     """SRC-2 (parts side) and SRC-3, in the reference's fallback order.
 
     Any flat ``*.json`` file (``metrics.json`` included) selects the flat class, and
     then the recursive ``part-*.json`` search is not made; ``metrics.json`` itself is
     never read.  With ``sniff`` a chosen file is kept only when its first line is a
     JSON object holding ``sample`` and ``prediction``.  Files are ranked from a
-    content-free listing, then only the chosen class is scanned tolerantly (SRC-4)."""
-    base = qualified(spark, output_dir)
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_glob_escape(output_dir)).select("path")
-    rel = F.regexp_replace(F.col("path"), _below(base), "")
-    name = F.element_at(F.split(rel, "/"), -1)
-    is_json = rel.endswith(".json")
-    cls = F.when(is_json & ~rel.contains("/"), F.lit(0)).when(is_json & name.startswith("part-"), F.lit(1))
-    best = listing.agg(F.min(cls)).first()[0]  # one integer: the chosen class
+    content-free listing (``file_classes``, or ``classes`` if the caller has them), then
+    only the chosen class is scanned tolerantly (SRC-4)."""
+    best = (classes or file_classes(spark, output_dir))[1]
     if best is None:
         return spark.createDataFrame([], parts_json_schema())
     # the class is selected at file level: flat *.json by a glob, part-*.json at any depth
@@ -177,12 +181,14 @@ def discover_parts(spark: SparkSession, output_dir: str, sniff: bool = True) ->
 
     if heads.reachable(output_dir):
         # SRC-3 by first lines: one small read per chosen file on the executors
-        chosen = listing.filter(_parts_class_filter(F.col("path"), base, best))
+        base = qualified(spark, output_dir)
+        chosen = listed_files(spark, output_dir).filter(_parts_class_filter(F.col("path"), base, best))
         ok = heads.parts_files(chosen).select(F.col("path").alias("_plain"))
         return df.withColumn("_plain", plain_path("file_path")).join(ok, "_plain", "left_semi").drop("_plain")
     # Other stores: the first line of each chosen file from a text scan.  Only rows of a
     # file's first split qualify; min_by keeps one candidate per file and task before the
     # shuffle, so the per-file table has one row per file and AQE broadcasts it when small.
+    base = qualified(spark, output_dir)
     text = _with_file_order(
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(_glob_escape(output_dir))
     ).select("value", F.col("source_file").alias("file_path"), "file_block_start", "line_pos")
@@ -254,8 +260,14 @@ __all__ = [
 
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> tuple[list[str], int]:
-    """SRC-7 helper: keep the shard paths that exist (a metadata check through the
-    Hadoop file system, no data read) and report how many were skipped."""
+    """SRC-7 helper: keep the shard paths that exist (metadata only, no data read) and report
+    how many were skipped.  The checks run in tasks, many at a time, where pyarrow reaches
+    the store; one by one through the Hadoop file system elsewhere."""
+    from . import heads
+
+    if all(heads.reachable(p) for p in paths) and len(paths) > 1:
+        kept = heads.existing(spark, paths)
+        return kept, len(paths) - len(kept)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     kept = []
@@ -320,23 +332,29 @@ def cached_or_build(spark: SparkSession, path: str, build, force: bool = False)
 
 
 def resolve_images(df: DataFrame, image_col: str, files: DataFrame | None = None) -> DataFrame:
-    """SRC-10/JON-10: an image cell ``struct<bytes, path>`` -> bytes: the stored bytes,
-    else the content of the file at ``path`` (a left join to a ``binaryFile`` scan),
-    else an error message in ``<image_col>_error``."""
+    """SRC-10/JON-10: an image cell ``struct<bytes, path>`` -> bytes: the stored bytes, else
+    the content of the file at ``path``, else an error message in ``<image_col>_error``.
+
+    A file is opened in the task that holds its row, so no content is shuffled; only the
+    paths cross into Python, and a task holds a bounded number of bytes (``heads.contents``).
+    ``files``, a ``binaryFile`` scan, is joined by path instead, for stores pyarrow does not
+    reach."""
     img = F.col(image_col)
     stored = F.when(F.octet_length(img["bytes"]) > 0, img["bytes"])  # empty bytes are no image
-    out = df.withColumn("_img_path", F.nullif(img["path"], F.lit("")))
-    if files is not None:
-        f = files.select(F.col("path").alias("_file_path"), F.col("content").alias("_file_bytes"))
-        norm = F.regexp_replace("_file_path", "^file:", "")
-        f = f.withColumn("_file_path", norm)
-        from_file = stored.isNull() & F.col("_img_path").isNotNull()
-        need, have = out.filter(from_file), out.filter(~from_file)
-        need = need.join(f, F.regexp_replace("_img_path", "^file:", "") == F.col("_file_path"), "left").drop("_file_path")
-        have = have.withColumn("_file_bytes", F.lit(None).cast("binary"))
-        out = have.unionByName(need)
+    path = F.nullif(img["path"], F.lit(""))
+    if files is None:
+        from . import heads
+
+        out = df.withColumn("_img", heads.contents_udf()(F.when(stored.isNull(), path)))
+        resolved, why = F.coalesce(stored, F.col("_img.content")), F.col("_img.error")
     else:
-        out = out.withColumn("_file_bytes", F.lit(None).cast("binary"))
-    resolved = F.coalesce(stored, F.col("_file_bytes"))
-    err = F.when(resolved.isNull(), F.concat(F.lit("Cannot resolve image: "), F.coalesce(F.col("_img_path"), F.lit("no bytes and no path"))))
-    return out.withColumn(f"{image_col}_bytes", resolved).withColumn(f"{image_col}_error", err).drop("_img_path", "_file_bytes")
+        f = files.select(F.regexp_replace("path", "^file:", "").alias("_file_path"), F.col("content").alias("_file_bytes"))
+        out = df.withColumn("_img_path", F.regexp_replace(path, "^file:", ""))
+        from_file = stored.isNull() & path.isNotNull()
+        need, have = out.filter(from_file), out.filter(~from_file)
+        need = need.join(f, F.col("_img_path") == F.col("_file_path"), "left").drop("_file_path")
+        out = have.withColumn("_file_bytes", F.lit(None).cast("binary")).unionByName(need)
+        resolved, why = F.coalesce(stored, F.col("_file_bytes")), F.lit(None).cast("string")
+    err = F.when(resolved.isNull(), F.concat_ws(": ", F.lit("Cannot resolve image"), F.coalesce(path, F.lit("no bytes and no path")), why))
+    out = out.withColumn(f"{image_col}_bytes", resolved).withColumn(f"{image_col}_error", err)
+    return out.drop("_img", "_img_path", "_file_bytes")
