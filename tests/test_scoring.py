@@ -1,10 +1,15 @@
 """Scoring with retry (UDF-4): attempts, exhausted rows and order-free results."""
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from yardstick.operators import scoring
 from yardstick.plans.stub_scorer import StubScorer
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the scorers below run in workers
+
 
 def test_retry_and_error_rows(spark):
     df = spark.range(0, 60).select(F.col("id").alias("sample_id"))
@@ -101,3 +106,108 @@ def test_chat_payload_of_a_large_image(spark):
     assert user[2]["text"] == 'say "hi"' and body["payload"]["messages"][0] == {"role": "system", "content": "sys"}
     none = json.loads(df.select(P.envelope(F.lit(None).cast("string"), F.lit("{}"))).first()[0])
     assert none == {"payload": {}}
+
+
+# --- durable answers -------------------------------------------------------------------
+
+
+class Counting:
+    """Writes down every call; from the given call on the worker process dies."""
+
+    def __init__(self, calls, die_after=None, fail=()):
+        self.calls, self.die_after, self.fail = calls, die_after, fail
+
+    def __call__(self):
+        import os
+
+        def score(row):
+            if self.die_after is not None and os.path.exists(self.calls):
+                with open(self.calls) as f:
+                    if len(f.readlines()) >= self.die_after:
+                        os._exit(1)
+            with open(self.calls, "a") as f:
+                f.write(f"{row['sample_id']}\n")
+            if row["sample_id"] in self.fail:
+                raise RuntimeError("no")
+            return f"answer {row['sample_id']}"
+
+        return score
+
+
+def _calls(path):
+    from collections import Counter
+
+    with open(path) as f:
+        return Counter(int(x) for x in f)
+
+
+def test_a_rerun_asks_only_for_records_without_an_answer(spark, tmp_path):
+    import pytest
+
+    calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
+    df = spark.range(0, 40, 1, 2).select(F.col("id").alias("sample_id"))
+    with pytest.raises(Exception):
+        scoring.score(df, Counting(calls, die_after=15), ["sample_id"], retry_delay=0.0, in_flight=1, answer_log=log).collect()
+    before = _calls(calls)
+    assert 10 < sum(before.values()) < 40
+    out = scoring.score(df, Counting(calls, fail=(3,)), ["sample_id"], retry_delay=0.0, in_flight=1, answer_log=log)
+    rows = {r.sample_id: r for r in out.collect()}
+    answered = {i for i, r in rows.items() if r.reused}
+    assert len(rows) == 40 and all(r.model_response == f"answer {i}" for i, r in rows.items() if i != 3 or r.reused)
+    # a worker may die between an answer and its line; every logged answer was asked for once
+    assert answered <= set(before) and len(answered) >= sum(before.values()) - 2
+    assert all(n == 1 for i, n in _calls(calls).items() if i in answered)
+    again = out.collect()  # another action on the same result: answers come from the log
+    assert all(r.reused for r in again if r.sample_id != 3)
+    assert all(n == 1 for i, n in _calls(calls).items() if i in answered)
+
+
+def test_a_killed_attempt_is_resumed_by_the_next(tmp_path):
+    """A session that retries tasks: the worker dies midway, the next attempt goes on."""
+    import os
+    import subprocess
+    import sys
+
+    calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
+    script = f"""
+import sys
+sys.path[:0] = [{os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r}, {os.path.dirname(os.path.abspath(__file__))!r}]
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[1,4]").config("spark.ui.enabled", "false").getOrCreate()
+from test_scoring import Counting
+from yardstick.operators import scoring
+class DiesOnce(Counting):
+    def __call__(self):
+        import os
+        inner = Counting(self.calls)()
+        def score(row):
+            if row["sample_id"] == 12 and not os.path.exists(self.calls + ".died"):
+                open(self.calls + ".died", "w").close()
+                os._exit(1)
+            return inner(row)
+        return score
+
+df = spark.range(0, 20, 1, 1).select(F.col("id").alias("sample_id"))
+out = scoring.score(df, DiesOnce({calls!r}), ["sample_id"], retry_delay=0.0, in_flight=1, answer_log={log!r}).collect()
+assert sorted(r.sample_id for r in out) == list(range(20))
+assert {{r.sample_id for r in out if r.reused}} == set(range(12)), out
+print("resumed")
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    assert "resumed" in done.stdout, done.stderr[-3000:]
+    assert all(n == 1 for n in _calls(calls).values()) and len(_calls(calls)) == 20
+
+
+def test_broken_lines_and_repeated_records_in_the_log(spark, tmp_path):
+    import os
+
+    calls, log = str(tmp_path / "calls"), str(tmp_path / "log")
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "sample_id bigint, note string").coalesce(1)
+    one = scoring.score(df, Counting(calls), ["sample_id", "note"], retry_delay=0.0, answer_log=log).collect()
+    assert [r.model_response for r in one] == ["answer 1", "answer 1", "answer 2"] and _calls(calls) == {1: 1, 2: 1}
+    folder = next(os.path.join(d, f) for d, _, fs in os.walk(log) for f in fs if f.endswith(".jsonl"))
+    with open(folder, "a") as f:
+        f.write('{"key": "x", "response": "half')
+    two = scoring.score(df, Counting(calls), ["sample_id", "note"], retry_delay=0.0, answer_log=log)
+    assert two.columns == ["sample_id", "note", "model_response", "attempts", "failed", "reused"]
+    assert all(r.reused for r in two.collect()) and _calls(calls) == {1: 1, 2: 1}

@@ -134,6 +134,7 @@ def resolve_indices(preds: DataFrame, mode: str = "never", group=("dataset", "mo
         return preds
     if mode not in ("auto", "always"):
         raise ValueError(f"unknown re-index mode {mode!r}")
+    preds = materialised(preds, "reindex")  # read three times below
     if mode == "always":
         flagged = preds.withColumn("needs_reindex", F.lit(True))
     else:

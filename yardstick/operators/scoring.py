@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import sys as _sys
 import time
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import answers
+from .answer_log import TaskLog, logged, record_key
+from .common import bounded_side
 
 # Code from this module runs inside Python workers; pickle it by value so the
 # workers need not have this package on their path (no --py-files needed).
@@ -33,6 +36,9 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 IN_FLIGHT = 12  # requests going at once per task
 ROWS_AT_ONCE = 256  # rows whose responses a task holds at once
 
+KEY, KNOWN, KNOWN_ATTEMPTS = "_record_key", "_known_response", "_known_attempts"
+LOG_ROWS = 100_000  # answers of earlier jobs are broadcast up to this number
+
 RESULT_FIELDS = [
     T.StructField("model_response", T.StringType()),
     T.StructField("attempts", T.IntegerType()),
@@ -40,9 +46,16 @@ RESULT_FIELDS = [
 ]
 
 
-def _score_partition(factory: Callable, input_cols: list[str], max_retries: int, retry_delay: float, in_flight: int):
+def _score_partition(factory: Callable, input_cols: list[str], max_retries: int, retry_delay: float, in_flight: int, log: tuple[str, str] | None = None):
     def run(batches):
         score = factory()  # once per task: the lazily created client of the reference
+        task, known = None, {}
+        if log:
+            from pyspark import TaskContext
+
+            ctx = TaskContext.get()
+            task = TaskLog(*log, ctx.partitionId(), ctx.taskAttemptId())
+            known = task.answers()
 
         def tried(record):
             """(response, attempts, failed) of one row; a raise means another try."""
@@ -56,14 +69,40 @@ def _score_partition(factory: Callable, input_cols: list[str], max_retries: int,
                     error = exc
             return f"ERROR: {error}", max_retries, True
 
-        with ThreadPoolExecutor(in_flight) as pool:
-            for pdf in batches:
-                for start in range(0, len(pdf), ROWS_AT_ONCE):
-                    part = pdf.iloc[start : start + ROWS_AT_ONCE].copy()
-                    done = list(pool.map(tried, part[input_cols].to_dict("records")))  # input order
-                    for k, (name, kind) in enumerate((("model_response", "object"), ("attempts", "int32"), ("failed", "bool"))):
-                        part[name] = pd.Series([d[k] for d in done], index=part.index, dtype=kind)
-                    yield part
+        def answered(part):
+            """The results of some rows in their order; each answer is logged when it is there."""
+            records = part[input_cols].to_dict("records")
+            keys = part[KEY].tolist() if log else list(range(len(part)))
+            waiting, done = {}, {}
+            for k, (key, record) in enumerate(zip(keys, records)):
+                earlier = part[KNOWN].iloc[k] if log else None
+                if earlier is not None:
+                    done[key] = (earlier, int(part[KNOWN_ATTEMPTS].iloc[k]), False, True)
+                elif key in known:
+                    done[key] = (*known[key], False, True)
+                elif key not in done and key not in waiting.values():
+                    waiting[pool.submit(tried, record)] = key
+            for future in as_completed(waiting):
+                key, result = waiting[future], future.result()
+                if task and not result[2]:
+                    task.add(key, result[0], result[1])
+                    known[key] = result[:2]
+                done[key] = (*result, False)
+            return [done[key] for key in keys]
+
+        try:
+            with ThreadPoolExecutor(in_flight) as pool:
+                for pdf in batches:
+                    for start in range(0, len(pdf), ROWS_AT_ONCE):
+                        part = pdf.iloc[start : start + ROWS_AT_ONCE].copy()
+                        done = answered(part)
+                        fields = [("model_response", "object"), ("attempts", "int32"), ("failed", "bool"), *([("reused", "bool")] if log else [])]
+                        for k, (name, kind) in enumerate(fields):
+                            part[name] = pd.Series([d[k] for d in done], index=part.index, dtype=kind)
+                        yield part.drop(columns=[KEY, KNOWN, KNOWN_ATTEMPTS]) if log else part
+        finally:
+            if task:
+                task.close()
 
     return run
 
@@ -77,6 +116,8 @@ def score(
     concurrency: int | None = None,
     keep_input: bool = True,
     in_flight: int = IN_FLIGHT,
+    answer_log: str | None = None,
+    key_cols: list[str] | None = None,
 ) -> DataFrame:
     """UDF-3/UDF-4: every row scored, with up to ``max_retries`` attempts and a linear
     backoff ``retry_delay * attempt`` (none after the last); an exhausted row gets
@@ -85,13 +126,32 @@ def score(
     requests (back-off included) going and returns rows in input order, so the scorer must
     allow calls from several threads; ``keep_input=False`` drops the input
     columns other than ``input_cols`` before scoring (the reference's ``remove_columns``),
-    so wide columns such as images never cross into Python needlessly."""
+    so wide columns such as images never cross into Python needlessly.
+
+    With ``answer_log``, a folder on shared storage, every answer is logged when the model
+    gives it and a record (its ``key_cols``, by default the input columns) that has one is
+    not sent again: by a retried task, by another action on the result, or by a later job
+    with the same log.  ``reused`` tells these rows.  Answers of earlier jobs are joined by
+    key, broadcast only behind a check of their number."""
     if not keep_input:
         df = df.select(*input_cols)
+    log = None
+    fields = list(RESULT_FIELDS)
+    columns = df.schema.fields
+    if answer_log:
+        log = (answer_log, uuid.uuid4().hex)
+        fields.append(T.StructField("reused", T.BooleanType()))
+        df = df.withColumn(KEY, record_key(key_cols or input_cols))
+        earlier = logged(df.sparkSession, answer_log)
+        if earlier is None:
+            df = df.withColumn(KNOWN, F.lit(None).cast("string")).withColumn(KNOWN_ATTEMPTS, F.lit(None).cast("int"))
+        else:
+            earlier = bounded_side(earlier.select(F.col("key").alias(KEY), F.col("response").alias(KNOWN), F.col("attempts").alias(KNOWN_ATTEMPTS)), LOG_ROWS)
+            df = df.join(earlier, KEY, "left")
     if concurrency:
         df = df.repartition(concurrency)
-    schema = T.StructType(df.schema.fields + RESULT_FIELDS)
-    return df.mapInPandas(_score_partition(scorer_factory, input_cols, max_retries, retry_delay, in_flight), schema)
+    schema = T.StructType(columns + fields)
+    return df.mapInPandas(_score_partition(scorer_factory, input_cols, max_retries, retry_delay, in_flight, log), schema)
 
 
 def with_answers(scored: DataFrame, mode: str = "first_tag") -> DataFrame:

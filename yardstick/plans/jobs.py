@@ -168,20 +168,24 @@ def score_dataset(
     max_retries: int = 3,
     retry_delay: float = 2.0,
     concurrency: int | None = None,
+    answer_log: str | None = None,
+    key_cols: list[str] | None = None,
 ) -> dict:
     """L5/L6: score every row with retries, extract the answer per backend and compute
     accuracy/precision/recall/F1 against the row's own ground truth (LBL-1/LBL-2).
 
     The scored rows are materialised once with a reliable checkpoint: every output
     (metrics, summary, per-sample rows) reads them, so the model is called once per row
-    and a re-run task cannot change an answer already used.  That step is timed for the
+    and a re-run task cannot change an answer already used.  With ``answer_log`` a lost task
+    or a later run of this job asks the model only for records without an answer.  That step is timed for the
     throughput record (AGG-19): ``elapsed_s`` and ``rows_per_s``."""
     import time
 
     t0 = time.perf_counter()
-    scored = checkpoint(
-        scoring.with_answers(scoring.score(dataset, scorer_factory, input_cols, max_retries, retry_delay, concurrency), backend)
+    answered = scoring.score(
+        dataset, scorer_factory, input_cols, max_retries, retry_delay, concurrency, answer_log=answer_log, key_cols=key_cols
     )
+    scored = checkpoint(scoring.with_answers(answered, backend))
     elapsed = time.perf_counter() - t0
     n = scored.count()  # reads the checkpoint, calls no model
     rows = scored.withColumn("_gt", L.label_bool(scored))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..operators import metrics, scoring
+from ..session import scratch_path
 from ..sources import derived
 from .stub_scorer import StubScorer
 
@@ -54,7 +55,18 @@ def q_online_metrics(spark, sf):
     return metrics.online_metrics(s, "gt", "model_prediction_is_generation_successfull", ["lang"], digits=6)
 
 
+def q_score_resumed(spark, sf):
+    """UDF-4 + JON-9: a first job scores the even ids with an answer log, a second one all ids
+    with the same log: only records without an answer are sent to the model."""
+    docs = derived.read_table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"))
+    log = scratch_path(spark, "answer-log")
+    ask = lambda rows: scoring.score(rows, StubScorer("sample_id"), ["sample_id"], retry_delay=0.0, answer_log=log)
+    ask(docs.filter("sample_id % 2 = 0")).write.format("noop").mode("overwrite").save()
+    return ask(docs).select("sample_id", "model_response", F.col("attempts").cast("bigint").alias("attempts"), "failed", "reused")
+
+
 QUERIES = {
+    "score_resumed": q_score_resumed,
     "score_with_retry": q_score_with_retry,
     "scored_metrics": q_scored_metrics,
     "online_metrics": q_online_metrics,
@@ -76,6 +88,8 @@ def _r(x):
 
 ORACLE = {
     "score_with_retry": _S + "SELECT * FROM s",
+    "score_resumed": _S + """SELECT sample_id, model_response, attempts, sample_id % 17 = 0 AS failed,
+       sample_id % 2 = 0 AND sample_id % 17 <> 0 AS reused FROM s""",
     "online_metrics": _S + f""", j AS (SELECT s.lang, l.quality = 1 AND l.toxic = 0 AS t, model_prediction_is_generation_successfull AS p
                 FROM s JOIN labels l ON l.doc_id = s.sample_id),
 c AS (SELECT lang, count(*) FILTER (WHERE t AND p) AS tp, count(*) FILTER (WHERE NOT t AND p) AS fp,
