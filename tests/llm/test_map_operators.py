@@ -229,12 +229,28 @@ def test_tree_concatenation_on_long_words_of_the_corpus(sf_mid):
     assert encoder.encode_long(word) == tok.encode(word, add_special_tokens=False).ids
 
 
-def test_word_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(bpe, "KNOWN_WORDS", 4)
-    known = bpe.KnownWords(bpe.Encoder(bpe.load_vocabulary(VOCABULARY)))
-    known.look_up(["a", "b", "c"])
-    at = known.look_up(["c", "d", "e"])
-    assert len(known.at) == 3 and [known.pieces[i] for i in at] == ["c</w>", "d</w>", "e</w>"]
+def test_part_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PARTS", 2)
+    known = bpe.KnownParts(bpe.Encoder(bpe.load_vocabulary(VOCABULARY)))
+    assert known.words(["a", "b", "c"])[2] == ["a</w>", "b</w>", "c</w>"]
+    assert known.words(["c", "d", "e"])[2] == ["c</w>", "d</w>", "e</w>"]
+    assert set(known.young) == {"c", "d", "e"} and set(known.old) == {"a", "b", "c"}
+    known.words(["f", "a"])
+    assert set(known.young) == {"f", "a"} and set(known.old) == {"c", "d", "e"}
+
+
+def test_words_cut_at_marks_equal_the_library():
+    tok, rng = library(), random.Random(9)
+    known = bpe.KnownParts(bpe.Encoder(bpe.load_vocabulary(VOCABULARY)))
+    marks = [*"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'", "<|endoftext|>", "<|", "\u0338", "\u0301", "\u00b7"]
+    for _ in range(6000):
+        core = "".join(rng.choice("aeLst01éſσΣİ'-\u0301日") for _ in range(rng.randrange(7)))
+        word = "".join(rng.choice(marks) for _ in range(rng.randrange(4))) + core + "".join(rng.choice(marks) for _ in range(rng.randrange(4)))
+        ids, sizes, pieces = known.words([word])
+        want = tok.encode(word, add_special_tokens=False).ids
+        assert ids.tolist() == want and sizes.tolist() == [len(want)], word
+        assert pieces == [tok.decode(want, skip_special_tokens=False)], word
+    assert bpe.parts_of("(word).") == ("(", "word", ").") and bpe.parts_of("don't!") == ("don't", "!") and bpe.parts_of("é.") == ("é.",)
 
 
 # --- operator 10 ---------------------------------------------------------------------

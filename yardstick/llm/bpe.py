@@ -1,8 +1,11 @@
 """BPE encoding and decoding (operator 4) with tree concatenation for long unsplit text.
 
 ASCII white space always ends a pre-token and vanishes in this tokenizer, so a text's
-ids are the ids of its words in order, and every distinct word of a task is encoded
-once (a bounded memory of words).  A word of at most ``LEAF`` code points is encoded by the tokenizers library.  A
+ids are the ids of its words in order.  A word's ids are those of its parts: ASCII marks
+before and after a core that starts and ends with a plain letter or digit are pre-tokens
+of their own.  A task remembers the parts it met, in two generations: what is looked up
+moves to the young one, and the old one is forgotten when the young one is full, so the
+memory is bounded and frequent parts stay.  A part of at most ``LEAF`` code points is encoded by the tokenizers library.  A
 longer one is cut in halves recursively: the leaves of the tree are encoded together
 (``encode_batch``), and each join re-encodes a window around the cut that doubles until
 it shares a run of ``AGREE`` tokens (same ids, same offsets) with the left side and with
@@ -37,7 +40,8 @@ LEAF = 4096
 FIRST_WINDOW = 64
 AGREE = 4
 MAX_VOCABULARY = 64 << 20
-KNOWN_WORDS = 300_000
+KNOWN_PARTS = 150_000
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 ENCODE_AT_ONCE = 8192
 SLICE = 4 << 20
 
@@ -53,12 +57,14 @@ def load_vocabulary(path: str) -> str:
 
 class Encoder:
     def __init__(self, vocabulary: str, leaf: int = LEAF, first: int = FIRST_WINDOW, agree: int = AGREE):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core's work
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(vocabulary)
         self.tok.no_truncation()
         self.tok.no_padding()
         self.leaf, self.first, self.agree = leaf, first, agree
+        self.tokens = None
 
     def pieces(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """(id, start, end) of the tokens of each text."""
@@ -125,48 +131,78 @@ class Encoder:
                 out[k] = self.encode_long(w)
         return out
 
-    def decode_words(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+    def decoded(self, ids: list[int]) -> str:
+        """The library's decoding of some ids without special treatment: their tokens joined."""
+        if self.tokens is None:
+            self.tokens = [self.tok.id_to_token(i) for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
+        return " ".join([self.tokens[i] for i in ids])
 
 
-class KnownWords:
-    """Ids and decoded form of the words a task has met, forgotten beyond ``KNOWN_WORDS``."""
+def parts_of(word: str) -> tuple[str, ...]:
+    """The word cut into marks, core and marks where the cut is a pre-token border for sure:
+    the core starts and ends with an ASCII letter or digit, the marks hold no apostrophe
+    (contractions) and the word no start of a special token."""
+    core = word.strip(MARKS)
+    if len(core) == len(word) or not core or "<|" in word:
+        return (word,)
+    if not (core[0].isascii() and core[0].isalnum() and core[-1].isascii() and core[-1].isalnum()):
+        return (word,)
+    at = word.index(core)
+    return tuple(x for x in (word[:at], core, word[at + len(core) :]) if x)
+
+
+class KnownParts:
+    """(ids as bytes, decoded form) of the parts a task has met, in two generations of at
+    most ``KNOWN_PARTS`` each (and the parts of one slice)."""
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
-        self.clear()
-
-    def clear(self):
-        self.at: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.sizes = np.zeros(0, np.int64)
-        self.pieces: list[str] = []
-
-    def look_up(self, words: list[str]) -> np.ndarray:
-        if len(self.at) + len(words) > KNOWN_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self.at]
-        lists = self.encoder.encode_words(new)
-        sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.pieces += self.encoder.decode_words(lists)
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-        return np.fromiter((self.at[w] for w in words), np.int64, len(words))
-
-
-def encode_slice(known: KnownWords, texts: pa.Array):
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+
+    def learn(self, parts: set[str]) -> None:
+        """Bring all parts into the young generation."""
+        if len(self.young) > KNOWN_PARTS:
+            self.young, self.old = {}, self.young
+        new = []
+        for p in parts:
+            if p not in self.young:
+                known = self.old.get(p)
+                if known is None:
+                    new.append(p)
+                else:
+                    self.young[p] = known
+        for p, ids in zip(new, self.encoder.encode_words(new)):
+            self.young[p] = (np.array(ids, "<u4").tobytes(), self.encoder.decoded(ids))
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(ids of all words, number of ids of each, decoded form of each)."""
+        cut = [parts_of(w) for w in words]
+        self.learn({p for parts in cut for p in parts})
+        get, ids, pieces = self.young.__getitem__, [], []
+        for parts in cut:
+            if len(parts) == 1:
+                one, piece = get(parts[0])
+            else:
+                found = [get(p) for p in parts]
+                one, piece = b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[0]])
+            ids.append(one)
+            pieces.append(piece)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        return np.frombuffer(b"".join(ids), "<u4"), sizes, pieces
+
+
+def encode_slice(known: KnownParts, texts: pa.Array):
     """(ids, token bounds per text, decoded texts) of an Arrow array of texts."""
     bounds, words = split_words(texts)
     codes, distinct = word_codes(words)
-    rows = known.look_up(distinct.to_pylist())
-    sizes = known.sizes[rows]
-    starts = (np.cumsum(known.sizes) - known.sizes)[rows]
+    flat, sizes, decoded_words = known.words(distinct.to_pylist())
+    starts = np.cumsum(sizes) - sizes
     per_word = sizes[codes]
-    ids = known.flat[ragged_take(starts[codes], per_word)]
+    ids = flat[ragged_take(starts[codes], per_word)]
     token_bounds = np.concatenate([[0], np.cumsum(per_word)])[bounds]
     # words without tokens leave no piece, so they leave no separator either
-    pieces = pa.array([known.pieces[r] for r in rows], pa.large_string())
+    pieces = pa.array(decoded_words, pa.large_string())
     some = per_word > 0
     piece_bounds = np.concatenate([[0], np.cumsum(some)])[bounds]
     taken = pieces.take(pa.array(codes[some]))
@@ -180,7 +216,7 @@ def bpe_encode(docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, keep_ids
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
 
     def work(batches):
-        known = KnownWords(Encoder(shared.value, leaf))
+        known = KnownParts(Encoder(shared.value, leaf))
         for part in text_slices(batches, max_bytes=SLICE):
             ids, bounds, decoded = encode_slice(known, texts_of(part))
             raw = ids.astype("<u4")
