@@ -1,9 +1,12 @@
 """Operators 1, 2, 4, 8 and 10 against brute force, on the data and on odd rows."""
 
 import hashlib
+import html
+import html.parser
 import json
 import random
 import re
+import time
 import weakref
 import zlib
 from collections import Counter
@@ -114,13 +117,47 @@ def test_contamination_without_documents_or_items(spark):
 
 
 def test_matcher_on_random_words():
+    import pyarrow as pa
+
     rng = random.Random(3)
     for _ in range(200):
-        m = rng.randint(1, 5)
-        patterns = {tuple(rng.choices("abc", k=m)): {k} for k in range(rng.randint(1, 6))}
-        words = rng.choices("abcd", k=40)
-        got = sorted(s for s, _ in decontaminate.Matcher(patterns).search(words))
-        assert got == [k for k in range(41 - m) if tuple(words[k : k + m]) in patterns]
+        window = rng.randint(1, 5)
+        items = [(k, " ".join(rng.choices("abc", k=rng.randrange(9)))) for k in range(rng.randint(1, 6))]
+        docs = [{"doc_id": k, "text": " ".join(rng.choices("abcd", k=rng.randrange(40)))} for k in range(5)]
+        tables = decontaminate.matchers(items, window)
+        got = list(decontaminate.searched(tables, pa.array([d["text"] for d in docs], pa.large_string())))
+        for (n, hits), want in zip(got, contamination(docs, items, window)):
+            hit = {k for a, b, _ in hits for k in range(a, b)}
+            assert (n, len(hit), len(set().union(*(who for *_, who in hits)))) == want[1:4]
+
+
+def test_a_full_block_of_items_in_bounded_memory():
+    """16 MiB of item text: the tables and the text take under 300 MB of a worker."""
+    import subprocess
+    import sys
+
+    script = """
+import random, resource, sys
+sys.path.insert(0, %r)
+import pyarrow as pa
+from yardstick.llm import decontaminate
+rng = random.Random(1)
+words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60_000)]
+items, size = [], 0
+while size < decontaminate.BLOCK_BYTES:
+    items.append((len(items), " ".join(rng.choices(words, k=rng.randint(5, 400)))))
+    size += len(items[-1][1])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+tables = decontaminate.matchers(items)
+grown = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before
+docs = [" ".join(rng.choices(words, k=300)) + " " + items[k][1] for k in range(200)]
+found = [set().union(*(who for *_, who in hits)) for _, hits in decontaminate.searched(tables, pa.array(docs, pa.large_string()))]
+assert all(k in f for k, f in enumerate(found))
+print(grown // 1024)
+""" % str(__import__("pathlib").Path(decontaminate.__file__).parents[2])
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout) < 300, done.stdout
 
 
 # --- operator 2 ----------------------------------------------------------------------
@@ -320,22 +357,125 @@ PAGE = """<html><head><title>A &amp; B</title><style>p{}</style><script>var t="<
 
 
 def test_derivatives_link_to_their_response(spark):
-    pages = spark.createDataFrame([(1, "http://a/b", PAGE, 5), (2, None, None, 6), (3, "http://c", "", 7), (3, "http://c", "", 7)], "page_id bigint, url string, html string, block int")
-    found = warc.derivatives(warc.responses(pages)).orderBy("page_id", "record_type").collect()
+    pages = spark.createDataFrame([(1, "http://a/b", PAGE, 5), (2, None, None, 6), (3, "http://c\r\nX: y", "", 7), (3, "http://c\r\nX: y", "", 7)], "page_id bigint, url string, html string, record int")
+    sources = warc.response_records(pages.selectExpr("*", "'z' as k", "'z' as copy"))
+    found = warc.derivatives(sources.selectExpr("*", "'z' as block")).orderBy("page_id", "record_type").collect()
     assert [(r.page_id, r.record_type) for r in found] == [(p, k) for p, k in ((1, "conversion"), (1, "metadata"), (2, "conversion"), (2, "metadata"), (3, "conversion"), (3, "conversion"), (3, "metadata"), (3, "metadata"))]
     text, meta = found[0], found[1]
     assert text.block == "A & B\nHead\nOne two\nthree <4>\nlink"
     assert text.refers_to == meta.refers_to and text.record_id != meta.record_id
-    assert len({r.record_id for r in found}) == 6
+    assert len({r.record_id for r in found}) == 8 and len({r.refers_to for r in found}) == 4 and all(r.digests_ok for r in found)
     envelope = json.loads(meta.block)["Envelope"]
-    source = envelope["WARC-Header-Metadata"]
-    assert source["WARC-Record-ID"] == meta.refers_to and source["WARC-Target-URI"] == "http://a/b"
-    assert source["WARC-Payload-Digest"] == meta.source_payload_digest == warc.sha1(PAGE.encode())
-    assert source["WARC-Block-Digest"] == warc.sha1((warc.HTTP_HEAD.format(len(PAGE.encode())) + PAGE).encode())
-    html = envelope["Payload-Metadata"]["HTTP-Response-Metadata"]["HTML-Metadata"]
-    assert html["Title"] == "A & B" and [x["url"] for x in html["Links"]] == ["/x?a=1&b=2", "/i.png"]
+    headers, block = next(warc.parse(bytes(next(r.record for r in sources.collect() if r.page_id == 1))))
+    assert envelope["WARC-Header-Metadata"] == headers and headers["WARC-Record-ID"] == meta.refers_to
+    assert headers["WARC-Target-URI"] == "http://a/b" and block.endswith(PAGE.encode())
+    assert headers["WARC-Payload-Digest"] == meta.source_payload_digest == warc.sha1(PAGE.encode())
+    assert headers["WARC-Block-Digest"] == meta.source_block_digest == warc.sha1(block)
+    found_in = envelope["Payload-Metadata"]["HTTP-Response-Metadata"]["HTML-Metadata"]
+    assert found_in["Title"] == "A & B" and [x["url"] for x in found_in["Links"]] == ["/x?a=1&b=2", "/i.png"]
     assert all(r.block_digest == warc.sha1(r.block.encode()) and r.content_length == len(r.block.encode()) for r in found)
-    assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
+    assert found[-1].target_uri == "http://c%0D%0AX: y" and found[2].target_uri is None
+    assert warc.derivatives(warc.response_records(pages.limit(0))).count() == 0
+
+
+def foreign(kind="response", content_type="text/html; charset=latin-1", payload="<p>caf\xe9".encode("latin-1"), **headers):
+    """A record as another tool writes it: other header order, lower-case names, other digests."""
+    block = b"HTTP/1.0 404 Gone\r\ncontent-type: " + content_type.encode() + b"\r\nX-A:b\r\n\r\n" + payload
+    fields = {"warc-type": kind, "WARC-Record-ID": "<urn:uuid:1>", "WARC-Date": "2020-02-02T00:00:00Z", "content-length": str(len(block)), **headers}
+    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items()).encode() + b"\r\n" + block + b"\r\n\r\n", block
+
+
+def test_foreign_broken_and_other_records(spark):
+    good, block = foreign()
+    md5 = hashlib.md5(block).hexdigest()
+    cases = [
+        good, foreign(**{"WARC-Block-Digest": f"md5:{md5}"})[0], foreign(**{"WARC-Block-Digest": "sha1:AAAA"})[0], foreign("request")[0],
+        foreign(content_type="text/plain", payload=b"a <b> & c")[0], foreign(content_type="image/png", payload=b"\x89PNG")[0], foreign(content_type="text/html; charset=nonsense")[0],
+        b"no record", None, good[:-20], b"",
+    ]
+    table = spark.createDataFrame(list(enumerate(cases)), "page_id bigint, record binary")
+    found = {}
+    for r in warc.derivatives(table).collect():
+        found.setdefault(r.page_id, {})[r.record_type] = r
+    assert found[0]["conversion"].block == "café" and found[0]["conversion"].refers_to == "<urn:uuid:1>" and found[0]["metadata"].digests_ok is None
+    http = json.loads(found[0]["metadata"].block)["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]
+    assert http["Response-Message"] == "HTTP/1.0 404 Gone" and http["Headers"] == {"content-type": "text/html; charset=latin-1", "X-A": "b"}
+    assert found[1]["metadata"].digests_ok is True and found[2]["metadata"].digests_ok is False and 3 not in found
+    assert found[4]["conversion"].block == "a <b> & c" and set(found[5]) == {"metadata"} and set(found[6]) == {"metadata", "conversion"}
+    assert all(set(found[k]) == {"invalid"} for k in (7, 8, 9, 10))
+
+
+def test_records_of_files(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(foreign()[0] + foreign("request")[0] + foreign()[0])
+    (tmp_path / "b.warc").write_bytes(foreign()[0] + b"rubbish")
+    found = warc.derivatives(warc.records_of_files(spark.read.format("binaryFile").load(str(tmp_path)))).collect()
+    assert Counter(r.record_type for r in found) == {"metadata": 3, "conversion": 3, "invalid": 1}
+
+
+class Reader(html.parser.HTMLParser):
+    """Text, title and links by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.out, self.links, self.titles, self.skip, self.in_title = [], [], [], None, False
+
+    def handle_starttag(self, tag, attrs):
+        if self.skip:
+            return
+        self.out.append("\n" if tag in warc.BREAKS else "")
+        urls = [v for k, v in attrs if k in ("href", "src")]
+        if tag in warc.LINKED and urls:
+            self.links.append({"path": tag, "url": urls[0]})
+        if tag in warc.HIDDEN:
+            self.skip = tag
+        self.in_title = tag == "title"
+
+    def handle_endtag(self, tag):
+        if self.skip:
+            if tag == self.skip:
+                self.skip = None
+                self.out.append(" ")
+            return
+        self.out.append("\n" if tag in warc.BREAKS else "")
+        self.in_title = False
+
+    def raw(self, data):
+        if not self.skip:
+            self.out.append(data)
+            if self.in_title:
+                self.titles.append(data)
+
+    def handle_data(self, data):
+        self.raw(data)
+
+    def handle_entityref(self, name):
+        self.raw(f"&{name};")
+
+    def handle_charref(self, name):
+        self.raw(f"&#{name};")
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+
+def test_text_and_links_equal_the_standard_parser(sf_mid):
+    texts = [r["html"] for r in rows(sf_mid, "pages")] + [PAGE, "<p>a > b</p><a title='x>y' href=/z>t</a><IMG SRC=\"q.png\"/>e<br/>f", "a < b <3 &amp; c"]
+    for page in texts:
+        reader = Reader()
+        reader.feed(page)
+        reader.close()
+        lines = (" ".join(x.split()) for x in html.unescape("".join(reader.out)).split("\n"))
+        text, title, links = warc.described(page)
+        assert "\n".join(" ".join(x.split()) for x in text.split("\n")) == "\n".join(x for x in lines if x), page
+        assert links == reader.links and (title or "") == html.unescape("".join(reader.titles)).strip()
+
+
+def test_hostile_pages_take_time_in_proportion(spark):
+    started = time.time()
+    for unit in ("<a ", "<title>", "<", "<!--", "<a '", '<a "', "<script>", "</script ", '<a "x>y', "<a href=", "<p>", "&amp", "<a ' \">", " href ", "<a  src   "):
+        warc.described(unit * (1_000_000 // len(unit)))
+        warc.described(unit * (500_000 // len(unit)) + ">" * 9)
+    assert time.time() - started < 60
 
 
 def test_records_round_trip_through_their_bytes(spark, sf_small):

@@ -195,6 +195,43 @@ def test_shards_with_one_hot_source_and_odd_rows(spark):
     assert sharding.kd_shards(empty(spark), 24, ["source"]).count() == 0
 
 
+def plain_tree(rows, n_dims, shards, first=0):
+    """(row number, shard) by a k-d tree over lists: the widest dimension, the weighted median
+    at the row edge nearest to the wanted weight."""
+    if shards == 1 or not rows:
+        return [(r["row"], first) for r in rows]
+    value = lambda r, i: r[f"_k{i}"] >> sharding.TIE_BITS
+    dim = max(range(n_dims), key=lambda i: (max(value(r, i) for r in rows) - min(value(r, i) for r in rows), -i))
+    by_key = defaultdict(list)
+    for r in rows:
+        by_key[r[f"_k{dim}"]].append(r)
+    want, before, left = sum(r["size"] for r in rows) * (shards // 2) / shards, 0, []
+    for key in sorted(by_key):
+        w = sum(r["size"] for r in by_key[key])
+        if before + w > want:
+            if want - before > before + w - want:
+                left += by_key[key]
+            break
+        left += by_key[key]
+        before += w
+    numbers = {r["row"] for r in left}
+    right = [r for r in rows if r["row"] not in numbers]
+    return plain_tree(left, n_dims, shards // 2, first) + plain_tree(right, n_dims, shards - shards // 2, first + shards // 2)
+
+
+@pytest.mark.parametrize("shards,hot", [(2, 0), (7, 0), (7, 3), (24, 2)])
+def test_shards_equal_a_plain_tree(spark, shards, hot):
+    rng = random.Random(shards + hot)
+    docs = [(k, "x" * rng.randrange(60), rng.choice("ab"), "hot" if hot and k % hot else f"s{rng.randrange(9)}") for k in range(400)]
+    docs += [(None, "no id", None, None), (7, "again", "a", "s1"), (7, "again", "a", "s1")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    dims = ["lang", "source", "size", "doc_id"]
+    keys = [r.asDict() | {"row": k} for k, r in enumerate(sharding.scaled(sharding.rows_of(table, dims), len(dims)).collect())]
+    want = {(keys[k]["doc_id"], keys[k]["size"], shard) for k, shard in plain_tree(keys, len(dims), shards)}
+    found = sharding.kd_shards(table, shards, dims).collect()
+    assert {(r.doc_id, r["size"], r.shard) for r in found} == want
+
+
 def test_sharding_runs_without_python(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     plan = sharding.scaled(sharding.rows_of(docs, ["lang", "source", "size", "doc_id"]), 4)._jdf.queryExecution().executedPlan().toString()

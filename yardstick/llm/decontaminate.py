@@ -4,7 +4,9 @@ Patterns are windows of ``WINDOW`` consecutive item words (a shorter item is one
 pattern).  Patterns of one length m form one matcher: blocks of two words (one if m is 1)
 index the shift table, an unknown block skips m - 1 positions, a block that ends a
 pattern (shift 0) opens the bucket of patterns with that suffix block, a prefix block
-narrows the bucket, and the words are then compared one by one.
+narrows the bucket, and the words are then compared one by one.  The tables are sorted
+arrays of block hashes over the items' words (a hash that two blocks share costs a
+comparison, no more), behind a fixed-size bitmap of the known blocks.
 
 Items are searched in blocks of at most ``BLOCK_BYTES`` of item text, each broadcast on
 its own, so what is broadcast has a fixed bound however many items there are; with more
@@ -19,66 +21,142 @@ and an empty benchmark contaminates nothing; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import re
 import sys as _sys
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import column, text_slices, texts_of
+from .arrow_text import column, ragged_take, split_words, text_slices, texts_of, word_codes
+from .minhash import mix
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"  # on text whose A-Z are lower-cased
+NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"  # between the words of a text whose A-Z are lower-cased
+BITS = 26  # of the filter before the shift table (8 MiB)
+
+
+def block_hashes(words: np.ndarray, b: int) -> np.ndarray:
+    """Hash of the block of ``b`` words that ends at each word (the first b - 1 have none)."""
+    return words if b == 1 else np.concatenate([[np.uint64(0)], mix(mix(words[:-1]) + words[1:])])
 
 
 class Matcher:
-    """Wu-Manber tables for patterns of one length."""
+    """Wu-Manber tables for the windows of ``m`` words of some items, as arrays over the items'
+    words: windows that overlap share them, so the tables take about forty bytes a word."""
 
-    def __init__(self, patterns: dict[tuple, set]):
-        self.m = m = len(next(iter(patterns)))
+    def __init__(self, m: int, items: np.ndarray, bounds: np.ndarray, codes: np.ndarray, distinct: pa.Array, hashes: np.ndarray):
+        self.m, self.items, self.bounds, self.codes, self.distinct = m, items, bounds, codes, distinct
         self.b = b = min(2, m)
         self.skip = m - b + 1
-        self.shift: dict = {}
-        self.buckets: dict = {}
-        for p, items in patterns.items():
-            for end in range(b, m + 1):
-                block = p[end - b : end] if b > 1 else p[end - 1]
-                self.shift[block] = min(self.shift.get(block, self.skip), m - end)
-            suffix = p[m - b :] if b > 1 else p[-1]
-            self.buckets.setdefault(suffix, {}).setdefault(p[:b], []).append((p, items))
-
-    def search(self, words: list[str]):
-        """(start, items) of every occurrence."""
-        m, b, skip, shift, buckets = self.m, self.b, self.skip, self.shift.get, self.buckets
+        blocks = block_hashes(hashes[codes], b)
+        ends = (np.arange(1, len(codes) + 1) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.int32)  # words of the item up to each word
+        # a block that ends a window shifts by 0, one that is too near the item's start by what is missing
+        real = np.flatnonzero(ends >= b).astype(np.int32)
+        real = real[np.argsort(blocks[real], kind="stable")]
+        keys = blocks[real]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        shifts = np.maximum(0, m - ends[real]).astype(np.uint8)
+        self.keys, self.shifts = keys[first], np.minimum.reduceat(shifts, first) if len(first) else shifts
+        del real, keys, shifts, first
+        # windows by suffix block, then prefix block
+        stops = (np.flatnonzero(ends >= m) + 1).astype(np.int32)
+        order = np.lexsort((blocks[stops - m + b - 1], blocks[stops - 1]))
+        self.stops = stops[order]
+        del order, stops
+        self.suffix, self.prefix = blocks[self.stops - 1], blocks[self.stops - m + b - 1]
+        self.bits = np.zeros(1 << (BITS - 3), np.uint8)
+        at = self.keys >> np.uint64(64 - BITS)
+        np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def known(self, blocks: np.ndarray) -> np.ndarray:
+        """Whether a block may be in the shift table: False means the largest shift."""
+        at = blocks >> np.uint64(64 - BITS)
+        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+    def search(self, words: list[str], blocks: np.ndarray, known: bytes):
+        """(start, items) of every occurrence in a document, given its blocks and which of them
+        may be in the table."""
+        m, b, skip, keys = self.m, self.b, self.skip, self.keys
         n, i = len(words), self.m - 1
         while i < n:
-            block = (words[i - 1], words[i]) if b > 1 else words[i]
-            s = shift(block, skip)
+            if not known[i]:
+                i += skip
+                continue
+            k = int(np.searchsorted(keys, blocks[i]))
+            s = int(self.shifts[k]) if k < len(keys) and keys[k] == blocks[i] else skip
             if s:
                 i += s
                 continue
             start = i - m + 1
-            for p, items in buckets[block].get(tuple(words[start : start + b]), ()):
-                if all(words[start + k] == p[k] for k in range(m)):
-                    yield start, items
+            lo, hi = np.searchsorted(self.suffix, blocks[i], "left"), np.searchsorted(self.suffix, blocks[i], "right")
+            head = blocks[start + b - 1]
+            lo, hi = lo + np.searchsorted(self.prefix[lo:hi], head, "left"), lo + np.searchsorted(self.prefix[lo:hi], head, "right")
+            here, found = words[start : i + 1], set()
+            for stop in self.stops[lo:hi].tolist():
+                item = int(self.items[np.searchsorted(self.bounds, stop - 1, side="right") - 1])
+                if item not in found and self.distinct.take(pa.array(self.codes[stop - m : stop])).to_pylist() == here:
+                    found.add(item)
+            if found:
+                yield start, found
             i += 1
 
 
 def matchers(items: list[tuple[int, str]], window: int = WINDOW) -> list[Matcher]:
-    word = re.compile(WORD)
-    by_size: dict[int, dict[tuple, set]] = {}
-    for item, text in items:
-        words = word.findall(pc.ascii_lower(pa.scalar(text or "")).as_py())
-        size = min(window, len(words))
-        for k in range(len(words) - size + 1 if size else 0):
-            by_size.setdefault(size, {}).setdefault(tuple(words[k : k + size]), set()).add(item)
-    return [Matcher(p) for p in by_size.values()]
+    at: dict[str, int] = {}
+    codes, sizes = [], []
+    batch = pa.RecordBatch.from_arrays([pa.array([t or "" for _, t in items], pa.large_string())], names=["text"])
+    for part in text_slices([batch], max_bytes=1 << 20):  # the words of a slice at a time
+        bounds, words = split_alnum(pc.ascii_lower(texts_of(part)))
+        local, distinct = word_codes(words)
+        codes.append(np.fromiter((at.setdefault(w, len(at)) for w in distinct.to_pylist()), np.int32, len(distinct))[local])
+        sizes.append(np.diff(bounds))
+    if not sizes:
+        return []
+    codes, sizes = np.concatenate(codes), np.concatenate(sizes)
+    distinct = pa.array(list(at), pa.large_string())
+    del at
+    hashes, ids = word_hashes(distinct), np.array([i for i, _ in items], np.int64)
+    least, starts = np.minimum(sizes, window), np.cumsum(sizes) - sizes
+    out = []
+    for m in sorted(set(least.tolist()) - {0}):
+        mine = np.flatnonzero(least == m)
+        own = codes[ragged_take(starts[mine], sizes[mine])]
+        out.append(Matcher(int(m), ids[mine], np.concatenate([[0], np.cumsum(sizes[mine])]), own, distinct, hashes))
+    return out
+
+
+def split_alnum(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Words of lower-cased texts, flattened: (bounds, words) as ``split_words`` gives them."""
+    return split_words(pc.replace_substring_regex(texts, NO_WORD, " "))
+
+
+def word_hashes(distinct: pa.Array) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
+
+
+def searched(tables: list[Matcher], texts: pa.Array):
+    """(number of words, [(start, end, items)]) of every text."""
+    bounds, words = split_alnum(pc.ascii_lower(texts))
+    codes, distinct = word_codes(words)
+    hashed = word_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
+    blocks = {b: block_hashes(hashed, b) for b in {t.b for t in tables}} if len(hashed) else {}
+    known = [t.known(blocks[t.b]).astype(np.uint8).tobytes() for t in tables] if len(hashed) else []
+    for a, z in zip(bounds.tolist(), bounds.tolist()[1:]):
+        hits, own = [], None
+        for t, flags in zip(tables, known):
+            if z - a < t.m or 1 not in flags[a:z]:
+                continue
+            own = words[a:z].to_pylist() if own is None else own
+            hits += [(start, start + t.m, found) for start, found in t.search(own, blocks[t.b][a:z], flags[a:z])]
+        yield z - a, hits
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
@@ -113,19 +191,13 @@ def search_block(docs: DataFrame, block, window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def work(batches):
-        tables, word = matchers(shared.value, window), re.compile(WORD)
+        tables = matchers(shared.value, window)
         for part in text_slices(batches):
             counts, spans, found = [], [], []
-            for text in pc.ascii_lower(texts_of(part)).to_pylist():
-                words = word.findall(text)
-                hits, items = [], set()
-                for t in tables:
-                    for start, who in t.search(words):
-                        hits.append((start, start + t.m))
-                        items |= who
-                counts.append(len(words))
-                spans.append([{"a": a, "b": b} for a, b in merged(hits)])
-                found.append(sorted(items))
+            for n, hits in searched(tables, texts_of(part)):
+                counts.append(n)
+                spans.append([{"a": a, "b": b} for a, b in merged((a, b) for a, b, _ in hits)])
+                found.append(sorted(set().union(*(who for _, _, who in hits))))
             yield pa.RecordBatch.from_arrays(
                 [
                     column(part, "_row"),
@@ -189,12 +261,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     def keep(shared):
         def work(batches):
-            tables, word = matchers(shared.value, window), re.compile(WORD)
+            tables = matchers(shared.value, window)
             for part in text_slices(batches):
-                clean = []
-                for text in pc.ascii_lower(texts_of(part)).to_pylist():
-                    words = word.findall(text)
-                    clean.append(all(next(t.search(words), None) is None for t in tables))
+                clean = [not hits for _, hits in searched(tables, texts_of(part))]
                 yield part.filter(pa.array(clean, pa.bool_()))
 
         return work

@@ -61,9 +61,9 @@ def op7_quality_classifier(spark, sf_dir):
 
 
 def op8_warc(spark, sf_dir):
-    from .warc import derivatives, responses
+    from .warc import derivatives, response_records
 
-    return derivatives(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    return derivatives(response_records(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 def op9_sharding(spark, sf_dir):
