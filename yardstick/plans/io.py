@@ -13,6 +13,7 @@ from ..sinks import writers
 from ..sources import derived, scans
 from ..streaming.extract import stream_extract
 from . import evaluation as ev
+from . import jobs
 from .oracle_common import ANSWERS_CTE, R_CTE, with_ctes
 from .scoring import _S, scored
 
@@ -127,7 +128,18 @@ def q_stream_extract(spark, sf):
     )
 
 
+def q_extract_counts(spark, sf):
+    """AGG-15: the extraction job over files; the counts it observes while it writes its rows,
+    and its distributions, as one row per figure."""
+    path = _raw_files(spark, sf, "extract-in")
+    out = jobs.extract_job(spark, path, scratch_path(spark, "extract-out"), glob="*.txt")
+    counts = spark.createDataFrame(sorted((f"parse {k}", v) for k, v in out["parse_counts"].items()), "figure string, n bigint")
+    told = out["by_prediction"].select(F.concat(F.lit("answer "), "prediction").alias("figure"), "n")
+    return counts.unionByName(told)
+
+
 QUERIES = {
+    "extract_counts": q_extract_counts,
     "sink_roundtrip": q_sink_roundtrip,
     "scan_roundtrip": q_scan_roundtrip,
     "batch_files": q_batch_files,
@@ -143,6 +155,14 @@ def _f4(x):
 
 
 ORACLE = {
+    "extract_counts": with_ctes(R_CTE, ANSWERS_CTE) + """
+SELECT 'parse lines' AS figure, CAST(count(*) AS BIGINT) AS n FROM r
+UNION ALL SELECT 'parse malformed', CAST(count(*) FILTER (WHERE v = 7) AS BIGINT) FROM r
+UNION ALL SELECT 'parse no_record_id', CAST(count(*) FILTER (WHERE v = 8) AS BIGINT) FROM r
+UNION ALL SELECT 'parse error_record', CAST(count(*) FILTER (WHERE v = 6) AS BIGINT) FROM r
+UNION ALL SELECT 'parse no_content', CAST(0 AS BIGINT)
+UNION ALL SELECT 'answer ' || a_raw_tail, CAST(count(*) AS BIGINT) FROM ans GROUP BY a_raw_tail
+""",
     "sink_roundtrip": ev.ORACLE["extract_predictions"],
     "scan_roundtrip": ev.ORACLE["eval_metrics"],
     "batch_files": """WITH d AS (SELECT doc_id AS sample_id,

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import answers, labels as L
 from ..operators import align, extract, sampling
-from ..session import scratch_path
+from ..session import checkpoint, scratch_path
 from ..sinks import writers
 from ..sources import derived, scans
+from . import jobs
 from .evaluation import raw_lines
 from .oracle_common import G_CTE, R_CTE, ANSWERS_CTE, with_ctes
 
@@ -64,9 +65,17 @@ def q_holdout_split(spark, sf):
     return sampling.holdout_split(docs, SEED).select("sample_id", "lang", "part")
 
 
-def q_holdout_accuracy(spark, sf):
-    """AGG-16: training rows excluded, model-a's word-mode answer (ANS-4) against the
-    Yes/No ground truth; ``Unknown`` counts as wrong."""
+def q_finetune_sample(spark, sf):
+    """SMP-2 + SET-2: the sampling job over two labelled splits given apart."""
+    g = derived.ground_truth(spark, sf)
+    splits = {name: g.filter(F.col("dataset") == name).drop("dataset") for name in ("pairs-r", "pairs-s")}
+    out = jobs.sample_for_finetune(splits, R_STYLE, N_PER_CATEGORY, SEED)
+    return out["sample"].select("split", "category", "sample_id")
+
+
+def holdout_rows(spark, sf):
+    """split, sample_id, predicted and ok of the rows that were not sampled: model-a's word-mode
+    answer (ANS-4) against the Yes/No ground truth; ``Unknown`` counts as wrong."""
     doc = sampling.manifest_document(sampling.manifest_lists(sampled(spark, sf)))
     held = sampling.exclude(categorised(spark, sf), sampling.manifest_rows(doc))
     parsed = extract.parse_raw_lines(raw_lines(spark, sf), "contains", derived.RAW_PREFIX)
@@ -74,7 +83,16 @@ def q_holdout_accuracy(spark, sf):
     latest = align.last_write_wins(answered.select("dataset", "model", "sample_id", answers.word_answer("content").alias("prediction"), *extract.ORDER_COLS), answers=("Yes", "No", "Unknown"))
     preds = latest.select(F.col("dataset").alias("split"), "sample_id", F.col("prediction").alias("predicted"))
     gt = F.when(L.label_lenient("label") == "accepted", F.lit("Yes")).otherwise(F.lit("No"))
-    rows = held.join(preds, ["split", "sample_id"], "left").select("split", (F.coalesce(F.col("predicted"), F.lit("Unknown")) == gt).alias("ok"))
+    predicted = F.coalesce(F.col("predicted"), F.lit("Unknown"))
+    return held.join(preds, ["split", "sample_id"], "left").select("split", "sample_id", predicted.alias("predicted"), (predicted == gt).alias("ok"))
+
+
+def q_holdout_accuracy(spark, sf):
+    """AGG-16: training rows excluded, accuracy of the others."""
+    return accuracy_of(holdout_rows(spark, sf))
+
+
+def accuracy_of(rows):
     agg = rows.groupBy("split").agg(F.count_if("ok").alias("correct"), F.count(F.lit(1)).alias("total"))
     return agg.select(
         "split",
@@ -84,7 +102,20 @@ def q_holdout_accuracy(spark, sf):
     )
 
 
+def q_holdout_files(spark, sf):
+    """SNK-8: the hold-out summary and its per-row predictions written as files and read back."""
+    rows = checkpoint(holdout_rows(spark, sf))
+    path = scratch_path(spark, "holdout")
+    writers.write_holdout_results(accuracy_of(rows), rows, path)
+    per_row = spark.read.json(f"{path}/predictions").groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("ok").alias("n_ok"), F.count_if(F.col("predicted") == "Unknown").alias("n_unknown")
+    )
+    return spark.read.json(f"{path}/summary").join(per_row, "split")
+
+
 QUERIES = {
+    "finetune_sample": q_finetune_sample,
+    "holdout_files": q_holdout_files,
     "stratified_sample": q_stratified_sample,
     "stratified_sample_docs": q_stratified_sample_docs,
     "manifest_lists": q_manifest_lists,
@@ -104,6 +135,7 @@ sm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split, category
 
 ORACLE = {
     "stratified_sample": _SAMPLED + "SELECT split, category, sample_id FROM sm",
+    "finetune_sample": _SAMPLED + "SELECT split, category, sample_id FROM sm",
     "stratified_sample_docs": f"""
 SELECT lang, source, sample_id FROM (
   SELECT doc_id AS sample_id, lang, source, row_number() OVER (PARTITION BY lang, source
@@ -124,6 +156,17 @@ WITH d AS (SELECT doc_id AS sample_id, lang,
 SELECT sample_id, lang,
        CASE WHEN rk < (CASE WHEN n > 2 THEN greatest(1, CAST(floor(n * 0.2) AS BIGINT)) ELSE 0 END) THEN 'eval' ELSE 'train' END AS part
 FROM d
+""",
+    "holdout_files": _SAMPLED.rstrip() + ",\n" + R_CTE + ",\n" + ANSWERS_CTE + """,
+h AS (SELECT c.split, c.sample_id, c.label FROM c
+      WHERE NOT EXISTS (SELECT 1 FROM sm WHERE sm.split = c.split AND sm.sample_id = c.sample_id)),
+j AS (SELECT h.split, coalesce(ans.a_word, 'Unknown') AS predicted,
+             CASE WHEN lower(trim(coalesce(h.label, ''))) IN ('accepted', 'accept') THEN 'Yes' ELSE 'No' END AS gt
+      FROM h LEFT JOIN ans ON ans.sample_id = h.sample_id AND ans.model = 'model-a')
+SELECT split, CAST(count(*) FILTER (WHERE predicted = gt) AS BIGINT) AS correct, CAST(count(*) AS BIGINT) AS total,
+       round(count(*) FILTER (WHERE predicted = gt) / count(*), 6) AS accuracy, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE predicted = gt) AS BIGINT) AS n_ok, CAST(count(*) FILTER (WHERE predicted = 'Unknown') AS BIGINT) AS n_unknown
+FROM j GROUP BY split
 """,
     "holdout_accuracy": _SAMPLED.rstrip() + ",\n" + R_CTE + ",\n" + ANSWERS_CTE + """,
 h AS (SELECT c.split, c.sample_id, c.label FROM c
