@@ -5,6 +5,7 @@ Worker functions are pickled by value, so executors need no package path.
 
 from __future__ import annotations
 
+import ctypes
 import sys as _sys
 
 import numpy as np
@@ -17,9 +18,20 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 SLICE_BYTES = 4 << 20
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process outlives its tasks, and what one
+    task's peak left behind counts against the next one's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own house
+        pass
+
+
 def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES):
     """Cut record batches so that one slice holds at most ``max_bytes`` of ``column``
     (a longer single text is a slice of its own).  Bounds a worker's memory."""
+    give_back()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -31,6 +43,7 @@ def text_slices(batches, column: str = "text", max_bytes: int = SLICE_BYTES):
             stop = max(start + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def column(batch, name: str) -> pa.Array:

@@ -12,6 +12,7 @@ import sys as _sys
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,18 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("error").option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no later step reads: everything built on them must have
+    been written itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bit_position(col: Column) -> Column:
@@ -48,6 +60,21 @@ class BitFilter:
             data[at : at + 4096] |= np.frombuffer(row["m"], np.uint8)
         self.shared = df.sparkSession.sparkContext.broadcast(data)
 
+    def may_hold(self, keys: Column) -> Column:
+        """Whether the filter may hold a long.  Only the longs reach Python, so the rest of a
+        row (its text) stays in Spark."""
+        shared = self.shared
+
+        @F.arrow_udf("boolean")
+        def held(keys: pa.Array) -> pa.Array:
+            return pa.array(holds(shared.value, keys.to_numpy(zero_copy_only=False)))
+
+        return held(keys)
+
+    def done(self) -> None:
+        """Frees the executors' copies; a later use would send them again."""
+        self.shared.unpersist()
+
 
 def holds(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which longs may be in the filter."""
