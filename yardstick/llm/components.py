@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Every step is a partial aggregate and a join; nothing is collected but one row of
-counters per round.  Each round's edges are checkpointed into the shared folder.
+counters per round.  Each round's edges are a written table, and the round before is deleted.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from .tables import discard, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,12 +33,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     if edges.isEmpty():
         return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    seen = None
+    seen = before = None
     while True:
-        now = checkpoint(_star(_star(now, True), False))
+        now = written(_star(_star(now, True), False), "components")
+        if before is not None:
+            discard(before)
         mark = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.max("a"), F.expr("count(distinct a)")).first())
         if mark == seen:
             break
-        seen = mark
+        seen, before = mark, now
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return nodes.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
