@@ -179,6 +179,8 @@ def runs(docs, min_words=unit_dedup.MIN_WORDS, line_words=unit_dedup.LINE_WORDS)
             ka, kb = units[j][p][0], units[l][q][1]
             a, b = part[0][0], part[-1][1]
             lines = part[0][2] and part[-1][3] and b - a >= line_words
+            if b - a < unit_dedup.SEED_WORDS and not lines:
+                continue
             a, b = a - agree(mine[max(0, a - far) : a][::-1], words[j][max(0, ka - far) : ka][::-1]), b + agree(mine[b : b + far], words[l][kb : kb + far])
             spans.append((a, b, n, {k[0] for k in kept}, lines))
         apart = []
@@ -206,7 +208,7 @@ def found_runs(docs, *more):
 def test_units_of_hard_texts(monkeypatch):
     texts = ["A b. C d!? e.f g.\nh... i\n\n.. .\n3.14 is pi. End", "...", "no end", "a.\x0bb.  c", "\n\n", "x.y.z. w", "!a b? ", "", "e.g. 1.5!x.", None]
     texts += ["".join(random.Random(k).choices("abc .!?\n\té", k=90)) for k in range(300)]
-    for sentence in (12, 2):
+    for sentence in (20, 2):
         monkeypatch.setattr(unit_dedup, "SENTENCE", sentence)
         batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
         u = unit_dedup.Units(unit_dedup.texts_of(batch))
@@ -225,7 +227,8 @@ def test_runs_equal_brute_force(spark, sf_mid):
     assert sorted(tuple(r) for r in queries.op6_substring_dedup(spark, sf_mid).collect()) == want and len(want) > 20
 
 
-def test_runs_of_odd_rows(spark):
+def test_runs_of_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(unit_dedup, "SEED_WORDS", 1)
     docs = [(d[0], d[1]) for d in dict.fromkeys((d[0], d[1]) for d in ODD)]
     for table in (odd(spark), clashing(spark)):
         for n in (1, 3):

@@ -6,16 +6,16 @@ a sentence of more than ``SENTENCE`` words is cut after each of its anchor words
 eight, by its hash), so that passages without marks have units too.  Units are digested to
 128 bits and grouped globally.  The occurrence in the document of the smallest id, there
 the first one, is kept; every other one is a repeat.  Consecutive repeats of a document
-form a run.  A run's first and last unit are the first and last *whole* units of the
-repeated passage; it is extended by the words, up to ``CONTEXT`` on either side, that
-agree with the words around the kept occurrence, and runs that meet are one.  Runs of
-``MIN_WORDS`` words, and whole lines of ``LINE_WORDS``, are reported with their code-point
-offsets in the original text, and ``remove_runs`` takes them out.  Shorter repeats
-(stock phrases, headings) are no copied passages and stay.
+form a run.  The first and last unit of a run of ``SEED_WORDS`` words are the first and last
+*whole* units of a repeated passage; it is extended by the words, up to ``CONTEXT`` on
+either side, that agree with the words around the kept occurrence, and runs that meet are
+one.  Runs of ``MIN_WORDS`` words, and whole lines of ``LINE_WORDS``, are reported with their
+code-point offsets in the original text, and ``remove_runs`` takes them out.  Shorter
+repeats (stock phrases, headings) are no copied passages and stay.
 
 The grouping aggregates partially, so a unit that a third of all documents hold is one
 row per task.  A fixed-size bit filter of the repeated digests keeps all other units out
-of the second shuffle.
+of the second shuffle.  Units are narrow rows; words are fetched for the edges of runs only.
 
 Defined cases: a null or empty text has no units; rows that differ in id or text are
 different documents, of which those with the smaller id rank first, of one id those with
@@ -35,17 +35,19 @@ from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow_text import column, ragged_take, split_words, text_slices, texts_of, word_codes
+from .arrow_text import column, split_words, text_slices, texts_of, word_codes
 from .tables import BitFilter, discard, holds, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 MIN_WORDS = 25
 LINE_WORDS = 20
-SENTENCE = 12
+SEED_WORDS = 10
+SENTENCE = 20
 ANCHORS = 8
-CONTEXT = 16
+CONTEXT = 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
 LINE_END = "\x01\x02"  # a token that stands for a line break
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))  # odd
 
@@ -94,18 +96,11 @@ class Units:
                 out.append(((sums[self.stops] - sums[self.starts]) * back[self.starts] + (self.stops - self.starts).astype(np.uint64)).view(np.int64))
         return out
 
-    def around(self, rows: np.ndarray) -> tuple[pa.Array, pa.Array]:
-        """Hashes of the words before (nearest first) and after some units, in their text."""
-        low = self.hashes.astype(np.uint32).view(np.int32)
-        text = self.text_of[self.starts[rows]]
-        left = np.minimum(self.starts[rows] - self.bounds[text], CONTEXT)
-        right = np.minimum(self.bounds[text + 1] - self.stops[rows], CONTEXT)
-        lists = []
-        for sizes, index in ((left, None), (right, ragged_take(self.stops[rows], right))):
-            if index is None:  # backwards from the word before the unit
-                index = np.repeat(self.starts[rows] - 1, left) - ragged_take(np.zeros(len(rows), np.int64), left)
-            lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(low[index])))
-        return lists[0], lists[1]
+
+def around(text: str, places: list[int]) -> list[tuple[list[str], list[str]]]:
+    """The words before (nearest first) and after some places between the words of a text."""
+    words = [m.group().translate(LOWER) for m in WORD.finditer(text)]
+    return [(words[max(0, w - CONTEXT) : w][::-1], words[w : w + CONTEXT]) for w in places]
 
 
 def named_texts(docs: DataFrame) -> DataFrame:
@@ -134,8 +129,7 @@ def unit_digests(docs: DataFrame) -> DataFrame:
 
 def unit_rows(docs: DataFrame, only: BitFilter) -> DataFrame:
     """The units whose digest may be in the filter, with their place (pos among the units, w0
-    and w1 among the words of the document), the words around them and whether they start
-    and end a line."""
+    and w1 among the words of the document) and whether they start and end a line."""
     shared = only.shared
 
     def work(batches):
@@ -148,16 +142,15 @@ def unit_rows(docs: DataFrame, only: BitFilter) -> DataFrame:
             text = u.text_of[u.starts]
             first_unit = np.searchsorted(text, np.arange(part.num_rows))
             starts_line = np.concatenate([[True], u.line_end[u.starts[1:] - 1]])
-            before, after = u.around(rows)
             of = text[rows]
             ints = (rows - first_unit[of], u.starts[rows] - u.bounds[of], u.stops[rows] - u.bounds[of])
             arrays = [
                 pa.array(d1[rows]), pa.array(d2[rows]), column(part, "doc_id").take(pa.array(of)), column(part, "h").take(pa.array(of)),
-                *(pa.array(x, pa.int32()) for x in ints), before, after, pa.array(starts_line[rows]), pa.array(u.line_end[u.stops[rows] - 1]),
+                *(pa.array(x, pa.int32()) for x in ints), pa.array(starts_line[rows]), pa.array(u.line_end[u.stops[rows] - 1]),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["d1", "d2", "doc_id", "h", "pos", "w0", "w1", "before", "after", "bol", "eol"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["d1", "d2", "doc_id", "h", "pos", "w0", "w1", "bol", "eol"])
 
-    schema = "d1 bigint, d2 bigint, doc_id bigint, h bigint, pos int, w0 int, w1 int, before array<int>, after array<int>, bol boolean, eol boolean"
+    schema = "d1 bigint, d2 bigint, doc_id bigint, h bigint, pos int, w0 int, w1 int, bol boolean, eol boolean"
     return named_texts(docs).mapInArrow(work, schema)
 
 
@@ -176,38 +169,82 @@ def word_runs(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LIN
     )
     repeated = written(seen.where("_more").select("d1", "d2", "first_doc"), "units-repeated")
     only = BitFilter(repeated, "d1")
-    met = unit_rows(docs, only).join(repeated, ["d1", "d2"])
-    met = written(met, "units-met")
+    met = written(unit_rows(docs, only).join(repeated, ["d1", "d2"]), "units-met")
     only.done()
     # the kept occurrence: the first unit of the first text of the smallest id
-    at_first = met.where("doc_id = first_doc").groupBy("d1", "d2").agg(F.min(F.struct("h", "pos", "before", "after")).alias("k"))
-    kept = at_first.select("d1", "d2", *[F.col(f"k.{c}").alias(f"k{c}") for c in ("h", "pos", "before", "after")])
+    at_first = met.where("doc_id = first_doc").groupBy("d1", "d2").agg(F.min(F.struct("h", "pos", "w0", "w1")).alias("k"))
+    kept = at_first.select("d1", "d2", *[F.col(f"k.{c}").alias(f"k{c}") for c in ("h", "pos", "w0", "w1")])
     repeats = met.join(kept, ["d1", "d2"]).where((F.col("doc_id") != F.col("first_doc")) | (F.col("h") != F.col("kh")) | (F.col("pos") != F.col("kpos")))
-    repeats = repeats.select(
-        "doc_id", "h", "pos", "w0", "w1", "first_doc", "bol", "eol", agreeing("before", "kbefore").alias("left"), agreeing("after", "kafter").alias("right")
-    )
     doc = Window.partitionBy("doc_id", "h")
+    repeats = repeats.select("doc_id", "h", "pos", "w0", "w1", "first_doc", "kh", "kw0", "kw1", "bol", "eol")
     runs = repeats.withColumn("_run", F.col("pos") - F.dense_rank().over(doc.orderBy("pos"))).groupBy("doc_id", "h", "_run").agg(
-        F.min(F.struct("pos", "w0", "left", "bol")).alias("a"),
-        F.max(F.struct("pos", "w1", "right", "eol")).alias("b"),
-        (F.max("pos") - F.min("pos") + 1).alias("n_units"),
+        F.min(F.struct("pos", "w0", "bol", "first_doc", "kh", "kw0")).alias("a"),
+        F.max(F.struct("pos", "w1", "eol", "first_doc", "kh", "kw1")).alias("b"),
         F.collect_set("first_doc").alias("kept"),
     )
-    lines = F.col("a.bol") & F.col("b.eol") & (F.col("b.w1") - F.col("a.w0") >= line_words)
-    runs = runs.select("doc_id", "h", (F.col("a.w0") - F.col("a.left")).alias("w0"), (F.col("b.w1") + F.col("b.right")).alias("w1"), "n_units", "kept", lines.alias("lines"))
+    size = F.col("b.w1") - F.col("a.w0")
+    runs = runs.select("*", (F.col("a.bol") & F.col("b.eol") & (size >= line_words)).alias("lines")).where((size >= SEED_WORDS) | F.col("lines"))
+    runs = written(runs, "units-runs")
+    discard(repeated, met)
+    edges = []
+    for side, edge, w in ((0, "a", "w0"), (1, "b", "w1")):
+        columns = [F.col(f"{edge}.{c}").alias(n) for c, n in ((w, "w"), ("first_doc", "kdoc"), ("kh", "kh"), (f"k{w}", "kw"))]
+        edges.append(runs.select("doc_id", "h", "_run", F.lit(side).alias("side"), *columns))
+    edges = edges[0].unionByName(edges[1])
+    words = words_around(docs, edges.select("doc_id", "h", "w").unionByName(edges.select("kdoc", "kh", "kw").toDF("doc_id", "h", "w")))
+    theirs = words.select(F.col("doc_id").alias("kdoc"), F.col("h").alias("kh"), F.col("w").alias("kw"), F.col("before").alias("kbefore"), F.col("after").alias("kafter"))
+    met_at = edges.join(words, ["doc_id", "h", "w"]).join(theirs, ["kdoc", "kh", "kw"])
+    more = F.when(F.col("side") == 0, agreeing("before", "kbefore")).otherwise(agreeing("after", "kafter"))
+    grown = met_at.groupBy("doc_id", "h", "_run").agg(F.max(F.when(F.col("side") == 0, more)).alias("left"), F.max(F.when(F.col("side") == 1, more)).alias("right"))
+    runs_at = runs.join(grown, ["doc_id", "h", "_run"]).select(
+        "doc_id", "h", (F.col("a.w0") - F.col("left")).alias("w0"), (F.col("b.w1") + F.col("right")).alias("w1"),
+        (F.col("b.pos") - F.col("a.pos") + 1).alias("n_units"), "kept", "lines",
+    )
     # runs whose extensions meet are one
     ordered = doc.orderBy("w0", "w1")
     reach = F.max("w1").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.withColumn("_new", F.coalesce(F.col("w0") > reach, F.lit(True)).cast("int"))
-    runs = runs.withColumn("_span", F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).groupBy("doc_id", "h", "_span").agg(
-        F.min("w0").alias("w0"), F.max("w1").alias("w1"), F.sum("n_units").alias("n_units"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("kept")))).alias("kept_doc_ids"), F.max("lines").alias("lines")
-    )
-    runs = runs.where((F.col("w1") - F.col("w0") >= min_words) | F.col("lines"))
-    out = written(runs.select("doc_id", "h", "w0", "w1", "n_units", "kept_doc_ids"), "units-runs")
-    discard(repeated, met)
+    spans = runs_at.withColumn("_new", F.coalesce(F.col("w0") > reach, F.lit(True)).cast("int"))
+    spans = spans.withColumn("_span", F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).groupBy("doc_id", "h", "_span").agg(
+        F.min("w0").alias("w0"), F.max("w1").alias("w1"), F.sum("n_units").alias("n_units"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("kept")))).alias("kept_doc_ids"), F.max("lines").alias("lines"),
+    )
+    spans = spans.where((F.col("w1") - F.col("w0") >= min_words) | F.col("lines"))
+    out = written(spans.select("doc_id", "h", "w0", "w1", "n_units", "kept_doc_ids"), "units-spans")
+    discard(runs, words)
     return out
 
 
+def words_around(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """A written table of doc_id, h, w, before and after: hashes of the words around the places
+    w of documents."""
+    of_doc = written(places.distinct().groupBy("doc_id", "h").agg(F.collect_list("w").alias("ws")), "units-places")
+    wanted = BitFilter(of_doc.select(F.xxhash64("doc_id", "h").alias("k")), "k")
+    texts = named_texts(docs).where(wanted.may_hold(F.xxhash64("doc_id", "h"))).dropDuplicates(["doc_id", "h"])
+
+    def work(batches):
+        import xxhash
+
+        for part in text_slices(batches):
+            doc, h, at, before, after = [], [], [], [], []
+            for i, k, text, ws in zip(*(column(part, c).to_pylist() for c in ("doc_id", "h", "text", "ws"))):
+                for w, (b, a) in zip(ws, around(text, ws)):
+                    doc.append(i)
+                    h.append(k)
+                    at.append(w)
+                    before.append([xxhash.xxh32_intdigest(x) for x in b])
+                    after.append([xxhash.xxh32_intdigest(x) for x in a])
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(h, pa.int64()), pa.array(at, pa.int32()), pa.array(before, lists), pa.array(after, lists)], names=["doc_id", "h", "w", "before", "after"]
+            )
+
+    found = texts.join(of_doc, ["doc_id", "h"]).mapInArrow(work, "doc_id bigint, h bigint, w int, before array<bigint>, after array<bigint>")
+    found = written(found, "units-around")
+    wanted.done()
+    discard(of_doc)
+    return found
+
+
 def remove_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
     """doc_id, h, text without its runs, and spans (the runs as array<struct<start, stop, w0>>
     in code points of the original), of the documents that have runs of ``word_runs``."""
