@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import sys as _sys
+import threading
 
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,7 @@ class TaskLog:
         self.filesystem, inner = filesystem(path)
         self.folder = f"{inner.rstrip('/')}/run-{run}/task-{partition:06d}"
         self.attempt, self.files, self.rows, self.out = attempt, 0, 0, None
+        self.lock = threading.Lock()
         self.rotate = self.filesystem.type_name not in ("local", "hdfs")
         self.filesystem.create_dir(self.folder, recursive=True)
 
@@ -74,15 +76,16 @@ class TaskLog:
         return known
 
     def add(self, key: str, response: str, attempts: int) -> None:
-        if self.out is None:
-            self.out = self.filesystem.open_output_stream(f"{self.folder}/{self.attempt}-{self.files}.jsonl")
-            self.files += 1
         line = json.dumps({"key": key, "response": response, "attempts": attempts, "done": True})
-        self.out.write(line.encode("utf-8") + b"\n")
-        self.out.flush()
-        self.rows += 1
-        if self.rotate and self.rows % ROTATE_ROWS == 0:
-            self.close()
+        with self.lock:  # requests in flight end in their own threads
+            if self.out is None:
+                self.out = self.filesystem.open_output_stream(f"{self.folder}/{self.attempt}-{self.files}.jsonl")
+                self.files += 1
+            self.out.write(line.encode("utf-8") + b"\n")
+            self.out.flush()
+            self.rows += 1
+            if self.rotate and self.rows % ROTATE_ROWS == 0:
+                self.close()
 
     def close(self) -> None:
         if self.out is not None:

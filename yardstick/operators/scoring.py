@@ -69,8 +69,15 @@ def _score_partition(factory: Callable, input_cols: list[str], max_retries: int,
                     error = exc
             return f"ERROR: {error}", max_retries, True
 
+        def asked(key, record):
+            """The result of one row; an answer is in the log before its thread goes on."""
+            result = tried(record)
+            if task and not result[2]:
+                task.add(key, result[0], result[1])
+            return result
+
         def answered(part):
-            """The results of some rows in their order; each answer is logged when it is there."""
+            """The results of some rows in their order."""
             records = part[input_cols].to_dict("records")
             keys = part[KEY].tolist() if log else list(range(len(part)))
             waiting, done = {}, {}
@@ -81,11 +88,10 @@ def _score_partition(factory: Callable, input_cols: list[str], max_retries: int,
                 elif key in known:
                     done[key] = (*known[key], False, True)
                 elif key not in done and key not in waiting.values():
-                    waiting[pool.submit(tried, record)] = key
+                    waiting[pool.submit(asked, key, record)] = key
             for future in as_completed(waiting):
                 key, result = waiting[future], future.result()
                 if task and not result[2]:
-                    task.add(key, result[0], result[1])
                     known[key] = result[:2]
                 done[key] = (*result, False)
             return [done[key] for key in keys]
