@@ -69,7 +69,11 @@ def test_components_and_filters(spark):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     assert [r[0] for r in df.selectExpr("xxhash64(v)").collect()] == xxhash64_longs(np.array(values)).view(np.int64).tolist()
     bits = BitFilter(df, "v").shared.value
-    assert holds(bits, np.array(values)).all() and not holds(bits, np.arange(100, 200)).any()
+    assert holds(bits, np.array(values)).all() and holds(bits, np.arange(100, 1100)).mean() < 0.15 and len(bits) < 100
+    many = spark.range(0, 3_000_000, 7)
+    bits = BitFilter(many, "id").shared.value
+    assert holds(bits, np.arange(0, 3_000_000, 7)).all() and len(bits) == 1 << 20
+    assert holds(bits, np.arange(3_000_000, 3_100_000)).mean() < 0.12
 
 
 def test_near_duplicates_equal_brute_force(spark, sf_mid):

@@ -2,8 +2,8 @@
 
 ``written`` cuts lineage with a Parquet table below the session's shared checkpoint
 folder, so a lost executor costs no more than the tasks it ran.  ``BitFilter`` is a
-bitmap of a fixed size, whatever it is built from: it only spares rows a shuffle, a join
-afterwards decides.
+bitmap of at most a fixed size, whatever it is built from: it only spares rows a shuffle, a
+join afterwards decides.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from ..session import checkpoint_dir
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
-BITS = 26  # 8 MiB
+BITS = 26  # at most: 8 MiB
 
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -49,7 +49,9 @@ def bit_position(col: Column) -> Column:
 
 
 class BitFilter:
-    """Fixed-size bitmap over a long column; holds every value it was built from."""
+    """Bitmap over a long column; holds every value it was built from.  It has at most
+    2^BITS bits, and fewer (sixteen for each set one) where it is built from few values: the
+    bits of a longer one, folded."""
 
     def __init__(self, df: DataFrame, col: str):
         bits = df.select((bit_position(F.col(col)) + 1).alias("b"))  # Spark counts these from 1
@@ -58,7 +60,7 @@ class BitFilter:
         for row in parts.collect():  # at most 2^BITS / 2^15 rows of 4 KiB
             at = (row["n"] - 1) * 4096
             data[at : at + 4096] |= np.frombuffer(row["m"], np.uint8)
-        self.shared = df.sparkSession.sparkContext.broadcast(data)
+        self.shared = df.sparkSession.sparkContext.broadcast(folded(data))
 
     def may_hold(self, keys: Column) -> Column:
         """Whether the filter may hold a long.  Only the longs reach Python, so the rest of a
@@ -76,9 +78,27 @@ class BitFilter:
         self.shared.unpersist()
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """The shortest bitmap (64 bytes at least) with sixteen bits for each set one: each of its
+    bits is set if one of the neighbours it stands for is."""
+    used = np.flatnonzero(data)
+    values = np.unpackbits(data[used], bitorder="little").reshape(-1, 8) if len(used) < 1 << 20 else None
+    if values is None:
+        return data
+    which, bit = np.nonzero(values)
+    bits = max(9, (16 * len(which)).bit_length())
+    if bits >= BITS:
+        return data
+    at = (used[which].astype(np.int64) * 8 + bit) >> (BITS - bits)
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    np.bitwise_or.at(out, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    return out
+
+
 def holds(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Which longs may be in the filter."""
-    h = xxhash64_longs(values) >> np.uint64(64 - BITS)
+    bits = (len(data) * 8).bit_length() - 1
+    h = xxhash64_longs(values) >> np.uint64(64 - bits)
     return (data[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 

@@ -108,23 +108,17 @@ def named_texts(docs: DataFrame) -> DataFrame:
 
 
 def unit_digests(docs: DataFrame) -> DataFrame:
-    """d1, d2 (digest), doc_id, h and again (an earlier unit of the document has the digest)."""
+    """d1, d2 (digest) and doc_id of every unit."""
 
     def work(batches):
         for part in text_slices(batches):
             u = Units(texts_of(part))
             d1, d2 = u.digests()
             text = u.text_of[u.starts] if len(u.starts) else np.zeros(0, np.int64)
-            order = np.lexsort((np.arange(len(d1)), d2, d1, text))
-            same = np.zeros(len(d1), bool)
-            if len(order) > 1:
-                a, b = order[:-1], order[1:]
-                same[b] = (text[a] == text[b]) & (d1[a] == d1[b]) & (d2[a] == d2[b])
-            take = pa.array(text)
-            arrays = [pa.array(d1), pa.array(d2), column(part, "doc_id").take(take), column(part, "h").take(take), pa.array(same)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["d1", "d2", "doc_id", "h", "again"])
+            yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), column(part, "doc_id").take(pa.array(text))], names=["d1", "d2", "doc_id"])
 
-    return named_texts(docs).mapInArrow(work, "d1 bigint, d2 bigint, doc_id bigint, h bigint, again boolean")
+    texts = docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as bigint) doc_id", "text")
+    return texts.mapInArrow(work, "d1 bigint, d2 bigint, doc_id bigint")
 
 
 def unit_rows(docs: DataFrame, only: BitFilter) -> DataFrame:
@@ -163,11 +157,9 @@ def agreeing(a: str, b: str) -> Column:
 def word_runs(docs: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
     """A written table of doc_id, h, w0, w1 (words of the run), n_units, kept_doc_id and
     kept_doc_ids."""
-    spread = F.max("h") != F.min("h")
-    seen = unit_digests(docs).groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("first_doc"), ((F.min("doc_id") != F.max("doc_id")) | spread | F.max("again")).alias("_more")
-    )
-    repeated = written(seen.where("_more").select("d1", "d2", "first_doc"), "units-repeated")
+    # met more than once; units of rows that are one document drop out where they are placed
+    seen = unit_digests(docs).groupBy("d1", "d2").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("_n"))
+    repeated = written(seen.where("_n > 1").select("d1", "d2", "first_doc"), "units-repeated")
     only = BitFilter(repeated, "d1")
     met = written(unit_rows(docs, only).join(repeated, ["d1", "d2"]), "units-met")
     only.done()
