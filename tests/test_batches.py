@@ -104,3 +104,11 @@ def test_a_killed_attempt_is_replaced(spark, tmp_path):
         writer.write(iter([pa.RecordBatch.from_pydict({"name": ["x", "y", "x"], "value": ["1", "2", "3"]})]))
     with pytest.raises(FileExistsError):
         batch_files._Writer(path, False)
+
+
+def test_lists_keep_the_order_of_the_rows(spark):
+    from yardstick.operators import chat
+
+    df = spark.createDataFrame([(0, 2, "a", 9), (0, 0, "c", 1), (0, 1, "b", 5), (1, 0, "z", None)], "batch int, pos int, x string, y int").repartition(3)
+    lists = {r.batch: (r.x, r.y) for r in chat.columns_to_lists(df, "batch", ["x", "y"], order_cols=["pos"]).collect()}
+    assert lists == {0: (["c", "b", "a"], [1, 5, 9]), 1: (["z"], [None])}

@@ -71,9 +71,11 @@ def conversation_images(conv: DataFrame) -> DataFrame:
     return grouped_index(imgs, ["turn", "item_pos"], ["conv_id"], out="pos")
 
 
-def columns_to_lists(df: DataFrame, batch_col: str, cols: list[str]) -> DataFrame:
-    """CHT-7 (rows -> columns of lists) per batch; batches are bounded by the batch size."""
-    z = F.sort_array(F.collect_list(F.struct(*cols)))
+def columns_to_lists(df: DataFrame, batch_col: str, cols: list[str], order_cols: list[str] = ()) -> DataFrame:
+    """CHT-7 (rows -> columns of lists) per batch, rows in the order of ``order_cols`` (the
+    position of the input row, where its order counts), else of their values; batches are
+    bounded by the batch size."""
+    z = F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(f"_order{k}") for k, c in enumerate(order_cols)], *cols)))
     g = df.groupBy(batch_col).agg(z.alias("_rows"))
     return g.select(batch_col, *[F.transform("_rows", _field(c)).alias(c) for c in cols])
 

@@ -68,7 +68,7 @@ def q_rows_lists(spark, sf):
     docs = derived.read_table(spark, sf, "documents").select(
         F.expr("doc_id div 50").alias("batch"), "doc_id", "lang", "n_chars"
     )
-    lists = CH.columns_to_lists(docs, "batch", ["doc_id", "lang", "n_chars"])
+    lists = CH.columns_to_lists(docs, "batch", ["doc_id", "lang", "n_chars"], order_cols=["doc_id"])
     return CH.lists_to_rows(lists, "batch", ["doc_id", "lang", "n_chars"])
 
 
