@@ -5,8 +5,8 @@ pattern).  Patterns of one length m form one matcher: blocks of two words (one i
 index the shift table, an unknown block skips m - 1 positions, a block that ends a
 pattern (shift 0) opens the bucket of patterns with that suffix block, a prefix block
 narrows the bucket, and the words are then compared one by one.  The tables are sorted
-arrays of block hashes over the items' words (a hash that two blocks share costs a
-comparison, no more), behind a fixed-size bitmap of the known blocks.
+arrays of blocks over the numbers of the items' words, behind a fixed-size bitmap of the
+known blocks.
 
 Items are searched in blocks of at most ``BLOCK_BYTES`` of item text, each broadcast on
 its own, so what is broadcast has a fixed bound however many items there are; with more
@@ -21,6 +21,7 @@ and an empty benchmark contaminates nothing; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 import sys as _sys
 
 import numpy as np
@@ -30,31 +31,33 @@ from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import column, ragged_take, split_words, text_slices, texts_of, word_codes
-from .minhash import mix
+from .arrow_text import column, ragged_take, text_slices, texts_of
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-NO_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"  # between the words of a text whose A-Z are lower-cased
+WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"  # on text whose A-Z are lower-cased
+GOLD = 0x9E3779B97F4A7C15
 BITS = 26  # of the filter before the shift table (8 MiB)
 
 
-def block_hashes(words: np.ndarray, b: int) -> np.ndarray:
-    """Hash of the block of ``b`` words that ends at each word (the first b - 1 have none)."""
-    return words if b == 1 else np.concatenate([[np.uint64(0)], mix(mix(words[:-1]) + words[1:])])
+def blocks_of(codes: np.ndarray, b: int) -> np.ndarray:
+    """The block of ``b`` words that ends at each word, as one integer (b = 2: the first has none)."""
+    wide = codes.astype(np.uint64)
+    return wide if b == 1 else np.concatenate([[np.uint64(0)], wide[:-1] << np.uint64(32) | wide[1:]])
 
 
 class Matcher:
-    """Wu-Manber tables for the windows of ``m`` words of some items, as arrays over the items'
-    words: windows that overlap share them, so the tables take about forty bytes a word."""
+    """Wu-Manber tables for the windows of ``m`` words of some items, as arrays over the numbers
+    of the items' words: windows that overlap share them, so the tables take about forty
+    bytes a word."""
 
-    def __init__(self, m: int, items: np.ndarray, bounds: np.ndarray, codes: np.ndarray, distinct: pa.Array, hashes: np.ndarray):
-        self.m, self.items, self.bounds, self.codes, self.distinct = m, items, bounds, codes, distinct
+    def __init__(self, m: int, items: np.ndarray, bounds: np.ndarray, codes: np.ndarray, at: dict[str, int]):
+        self.m, self.items, self.bounds, self.codes, self.at = m, items, bounds, codes, at
         self.b = b = min(2, m)
         self.skip = m - b + 1
-        blocks = block_hashes(hashes[codes], b)
+        blocks = blocks_of(codes, b)
         ends = (np.arange(1, len(codes) + 1) - np.repeat(bounds[:-1], np.diff(bounds))).astype(np.int32)  # words of the item up to each word
         # a block that ends a window shifts by 0, one that is too near the item's start by what is missing
         real = np.flatnonzero(ends >= b).astype(np.int32)
@@ -70,93 +73,85 @@ class Matcher:
         self.stops = stops[order]
         del order, stops
         self.suffix, self.prefix = blocks[self.stops - 1], blocks[self.stops - m + b - 1]
-        self.bits = np.zeros(1 << (BITS - 3), np.uint8)
-        at = self.keys >> np.uint64(64 - BITS)
-        np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-
-    def known(self, blocks: np.ndarray) -> np.ndarray:
-        """Whether a block may be in the shift table: False means the largest shift."""
-        at = blocks >> np.uint64(64 - BITS)
-        return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-    def search(self, words: list[str], blocks: np.ndarray, known: bytes):
-        """(start, items) of every occurrence in a document, given its blocks and which of them
-        may be in the table."""
-        m, b, skip, keys = self.m, self.b, self.skip, self.keys
+        with np.errstate(over="ignore"):
+            place = (self.keys * np.uint64(GOLD)) >> np.uint64(64 - BITS)
+        bits = np.zeros(1 << (BITS - 3), np.uint8)
+        np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+        self.bits = bits.tobytes()
+
+    def search(self, words: list[str]):
+        """(start, items) of every occurrence."""
+        m, b, skip, keys, bits, get = self.m, self.b, self.skip, self.keys, self.bits, self.at.get
         n, i = len(words), self.m - 1
         while i < n:
-            if not known[i]:
+            block = get(words[i])
+            if block is None:  # no window holds this word
+                i += m
+                continue
+            if b > 1:
+                before = get(words[i - 1])
+                if before is None:
+                    i += skip
+                    continue
+                block |= before << 32
+            place = (block * GOLD & 0xFFFFFFFFFFFFFFFF) >> (64 - BITS)
+            if not bits[place >> 3] >> (place & 7) & 1:
                 i += skip
                 continue
-            k = int(np.searchsorted(keys, blocks[i]))
-            s = int(self.shifts[k]) if k < len(keys) and keys[k] == blocks[i] else skip
+            block = np.uint64(block)
+            k = int(np.searchsorted(keys, block))
+            s = int(self.shifts[k]) if k < len(keys) and keys[k] == block else skip
             if s:
                 i += s
                 continue
-            start = i - m + 1
-            lo, hi = np.searchsorted(self.suffix, blocks[i], "left"), np.searchsorted(self.suffix, blocks[i], "right")
-            head = blocks[start + b - 1]
-            lo, hi = lo + np.searchsorted(self.prefix[lo:hi], head, "left"), lo + np.searchsorted(self.prefix[lo:hi], head, "right")
-            here, found = words[start : i + 1], set()
-            for stop in self.stops[lo:hi].tolist():
-                item = int(self.items[np.searchsorted(self.bounds, stop - 1, side="right") - 1])
-                if item not in found and self.distinct.take(pa.array(self.codes[stop - m : stop])).to_pylist() == here:
-                    found.add(item)
-            if found:
-                yield start, found
+            yield from self.at_suffix(words, i, block)
             i += 1
 
+    def at_suffix(self, words: list[str], i: int, block: np.uint64):
+        """The window that ends at word i of a document, if its prefix block and then its words agree."""
+        start = i - self.m + 1
+        here = [self.at.get(w) for w in words[start : i + 1]]
+        if None in here:
+            return
+        head = np.uint64(here[self.b - 1] if self.b == 1 else here[0] << 32 | here[1])
+        lo, hi = np.searchsorted(self.suffix, block, "left"), np.searchsorted(self.suffix, block, "right")
+        lo, hi = lo + np.searchsorted(self.prefix[lo:hi], head, "left"), lo + np.searchsorted(self.prefix[lo:hi], head, "right")
+        found = set()
+        for stop in self.stops[lo:hi].tolist():
+            item = int(self.items[np.searchsorted(self.bounds, stop - 1, side="right") - 1])
+            if item not in found and self.codes[stop - self.m : stop].tolist() == here:
+                found.add(item)
+        if found:
+            yield start, found
+
 
 def matchers(items: list[tuple[int, str]], window: int = WINDOW) -> list[Matcher]:
     at: dict[str, int] = {}
-    codes, sizes = [], []
+    codes, sizes, word = [], [], re.compile(WORD)
     batch = pa.RecordBatch.from_arrays([pa.array([t or "" for _, t in items], pa.large_string())], names=["text"])
     for part in text_slices([batch], max_bytes=1 << 20):  # the words of a slice at a time
-        bounds, words = split_alnum(pc.ascii_lower(texts_of(part)))
-        local, distinct = word_codes(words)
-        codes.append(np.fromiter((at.setdefault(w, len(at)) for w in distinct.to_pylist()), np.int32, len(distinct))[local])
-        sizes.append(np.diff(bounds))
+        for text in pc.ascii_lower(texts_of(part)).to_pylist():
+            found = word.findall(text)
+            codes.append(np.fromiter((at.setdefault(w, len(at)) for w in found), np.int32, len(found)))
+            sizes.append(len(found))
     if not sizes:
         return []
-    codes, sizes = np.concatenate(codes), np.concatenate(sizes)
-    distinct = pa.array(list(at), pa.large_string())
-    del at
-    hashes, ids = word_hashes(distinct), np.array([i for i, _ in items], np.int64)
+    codes, sizes, ids = np.concatenate(codes), np.array(sizes), np.array([i for i, _ in items], np.int64)
     least, starts = np.minimum(sizes, window), np.cumsum(sizes) - sizes
     out = []
     for m in sorted(set(least.tolist()) - {0}):
         mine = np.flatnonzero(least == m)
         own = codes[ragged_take(starts[mine], sizes[mine])]
-        out.append(Matcher(int(m), ids[mine], np.concatenate([[0], np.cumsum(sizes[mine])]), own, distinct, hashes))
+        out.append(Matcher(int(m), ids[mine], np.concatenate([[0], np.cumsum(sizes[mine])]), own, at))
     return out
 
 
-def split_alnum(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Words of lower-cased texts, flattened: (bounds, words) as ``split_words`` gives them."""
-    return split_words(pc.replace_substring_regex(texts, NO_WORD, " "))
-
-
-def word_hashes(distinct: pa.Array) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
-
-
 def searched(tables: list[Matcher], texts: pa.Array):
     """(number of words, [(start, end, items)]) of every text."""
-    bounds, words = split_alnum(pc.ascii_lower(texts))
-    codes, distinct = word_codes(words)
-    hashed = word_hashes(distinct)[codes] if len(codes) else np.zeros(0, np.uint64)
-    blocks = {b: block_hashes(hashed, b) for b in {t.b for t in tables}} if len(hashed) else {}
-    known = [t.known(blocks[t.b]).astype(np.uint8).tobytes() for t in tables] if len(hashed) else []
-    for a, z in zip(bounds.tolist(), bounds.tolist()[1:]):
-        hits, own = [], None
-        for t, flags in zip(tables, known):
-            if z - a < t.m or 1 not in flags[a:z]:
-                continue
-            own = words[a:z].to_pylist() if own is None else own
-            hits += [(start, start + t.m, found) for start, found in t.search(own, blocks[t.b][a:z], flags[a:z])]
-        yield z - a, hits
+    word = re.compile(WORD)
+    for text in pc.ascii_lower(texts).to_pylist():
+        words = word.findall(text)
+        yield len(words), [(start, start + t.m, found) for t in tables for start, found in t.search(words)]
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
