@@ -42,7 +42,7 @@ AGREE = 4
 MAX_VOCABULARY = 64 << 20
 KNOWN_PARTS = 150_000
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
-ENCODE_AT_ONCE = 8192
+ENCODE_AT_ONCE = 1024
 SLICE = 4 << 20
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -153,16 +153,16 @@ def parts_of(word: str) -> tuple[str, ...]:
 
 class KnownParts:
     """(ids as bytes, decoded form) of the parts a task has met, in two generations of at
-    most ``KNOWN_PARTS`` each (and the parts of one slice)."""
+    most ``most`` each (and the parts of one slice)."""
 
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+    def __init__(self, encoder: Encoder, most: int | None = None):
+        self.encoder, self.most = encoder, KNOWN_PARTS if most is None else most
         self.young: dict[str, tuple[bytes, str]] = {}
         self.old: dict[str, tuple[bytes, str]] = {}
 
     def learn(self, parts: set[str]) -> None:
         """Bring all parts into the young generation."""
-        if len(self.young) > KNOWN_PARTS:
+        if len(self.young) > self.most:
             self.young, self.old = {}, self.young
         new = []
         for p in parts:
@@ -210,14 +210,17 @@ def encode_slice(known: KnownParts, texts: pa.Array):
     return ids, token_bounds, decoded
 
 
-def bpe_encode(docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, keep_ids: bool = False) -> DataFrame:
+def bpe_encode(
+    docs: DataFrame, vocabulary_path: str, leaf: int = LEAF, keep_ids: bool = False, known_parts: int = KNOWN_PARTS, slice_bytes: int = SLICE
+) -> DataFrame:
     """Per document the token count and digests of ids and decoded text; with ``keep_ids``
-    also ``ids`` (array<int>) and ``decoded`` (string)."""
+    also ``ids`` (array<int>) and ``decoded`` (string).  ``known_parts`` and ``slice_bytes``
+    trade a worker's memory for time; the result does not depend on them."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
 
     def work(batches):
-        known = KnownParts(Encoder(shared.value, leaf))
-        for part in text_slices(batches, max_bytes=SLICE):
+        known = KnownParts(Encoder(shared.value, leaf), known_parts)
+        for part in text_slices(batches, max_bytes=slice_bytes):
             ids, bounds, decoded = encode_slice(known, texts_of(part))
             raw = ids.astype("<u4")
             id_sums = [hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(bounds, bounds[1:])]
