@@ -47,7 +47,6 @@ SENTENCE = 20
 ANCHORS = 8
 CONTEXT = 20
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = {c: c + 32 for c in range(65, 91)}
 LINE_END = "\x01\x02"  # a token that stands for a line break
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))  # odd
 
@@ -97,12 +96,6 @@ class Units:
         return out
 
 
-def around(text: str, places: list[int]) -> list[tuple[list[str], list[str]]]:
-    """The words before (nearest first) and after some places between the words of a text."""
-    words = [m.group().translate(LOWER) for m in WORD.finditer(text)]
-    return [(words[max(0, w - CONTEXT) : w][::-1], words[w : w + CONTEXT]) for w in places]
-
-
 def named_texts(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null and text is not null").selectExpr("cast(doc_id as bigint) doc_id", "xxhash64(text) as h", "text")
 
@@ -218,13 +211,15 @@ def words_around(docs: DataFrame, places: DataFrame) -> DataFrame:
 
         for part in text_slices(batches):
             doc, h, at, before, after = [], [], [], [], []
-            for i, k, text, ws in zip(*(column(part, c).to_pylist() for c in ("doc_id", "h", "text", "ws"))):
-                for w, (b, a) in zip(ws, around(text, ws)):
+            lowered = pc.ascii_lower(texts_of(part)).to_pylist()
+            for i, k, text, ws in zip(*(column(part, c).to_pylist() for c in ("doc_id", "h")), lowered, column(part, "ws").to_pylist()):
+                words = WORD.findall(text)
+                for w in ws:
                     doc.append(i)
                     h.append(k)
                     at.append(w)
-                    before.append([xxhash.xxh32_intdigest(x) for x in b])
-                    after.append([xxhash.xxh32_intdigest(x) for x in a])
+                    before.append([xxhash.xxh32_intdigest(x) for x in words[max(0, w - CONTEXT) : w][::-1]])  # nearest first
+                    after.append([xxhash.xxh32_intdigest(x) for x in words[w : w + CONTEXT]])
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc, pa.int64()), pa.array(h, pa.int64()), pa.array(at, pa.int32()), pa.array(before, lists), pa.array(after, lists)], names=["doc_id", "h", "w", "before", "after"]
