@@ -185,3 +185,34 @@ def test_scores_agree_with_a_plain_sampler(spark):
         mine = [(found[i].score, s) for (i, _), s in zip(docs, want) if found[i].held_out == held]
         assert sum(a for a, _ in mine) == pytest.approx(sum(b for _, b in mine), rel=0.02)
         assert all(a == pytest.approx(b, rel=0.08) for a, b in mine)
+
+
+def test_every_word_before_has_a_restaurant_of_its_own(spark, tmp_path, monkeypatch):
+    """The query against the plain sampler with word contexts; all words end alike."""
+    import random
+
+    monkeypatch.setattr(lm_scoring, "ending", lm_scoring.last_word)  # of the plain sampler
+    monkeypatch.setattr(lm_scoring, "START", "")
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=3)) + "s" for _ in range(30)]
+    after = {w: rng.sample(vocabulary, 2) for w in vocabulary}
+    docs = []
+    for i in range(200):
+        words = [rng.choice(vocabulary)]
+        while len(words) < rng.randint(3, 30):
+            words.append(rng.choice(after[words[-1]] if rng.random() < 0.8 else vocabulary))
+        docs.append((i, " ".join(words)))
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = plain_scores(docs)
+    found = {r.doc_id: r for r in queries.op3_lm_scoring(spark, str(tmp_path)).collect()}
+    for held in (True, False):
+        mine = [(found[i].score, s) for (i, _), s in zip(docs, want) if found[i].held_out == held]
+        assert sum(a for a, _ in mine) == pytest.approx(sum(b for _, b in mine), rel=0.02)
+        assert all(a == pytest.approx(b, rel=0.08) for a, b in mine)
+
+
+def test_numbers_survive_their_planes():
+    for x in ([], [0, 0], [5, 0, 255, 256, 70_000, 2**40]):
+        assert lm_scoring.numbers(lm_scoring.planes(np.array(x, np.int64))).tolist() == x
+    keys = np.array([3, 2**40, 2**63 + 1, 2**64 - 1], np.uint64)
+    assert lm_scoring.risen_keys(lm_scoring.rising(keys)).tolist() == keys.tolist()

@@ -29,9 +29,9 @@ def op2_quality_rules(spark, sf_dir):
 
 
 def op3_lm_scoring(spark, sf_dir):
-    from .lm_scoring import hpy_scores
+    from .lm_scoring import hpy_scores, last_word
 
-    return hpy_scores(documents(spark, sf_dir))
+    return hpy_scores(documents(spark, sf_dir), last_word)
 
 
 def op4_bpe(spark, sf_dir):
