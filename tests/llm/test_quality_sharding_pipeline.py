@@ -238,6 +238,17 @@ def test_sharding_runs_without_python(spark, sf_small):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_sharding_sends_no_rows_through_python(spark, sf_small, monkeypatch):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+
+    def refuse(*_, **__):
+        raise AssertionError("rows made in Python are read by Python workers")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    assert sharding.kd_shards(docs, 5, ["lang", "size"]).count() == docs.count()
+
+
 # --- pipeline ------------------------------------------------------------------------
 
 

@@ -74,6 +74,13 @@ def widest(rows: DataFrame, n_dims: int) -> dict[int, tuple[int, float]]:
     return {r["node"]: (max(range(n_dims), key=lambda i: (r[f"w{i}"], -i)), r["bytes"]) for r in stats}
 
 
+def small_table(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows as literals of a plan, so that no Python worker has to read them."""
+    columns = [c.split() for c in schema.split(", ")]
+    values = [F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*values)))
+
+
 def split_points(rows: DataFrame, wanted: dict[int, tuple[int, float]], target: float, n_dims: int) -> dict[int, int]:
     """Per node the key at which the wanted weight lies: rows below it go left."""
     spark = rows.sparkSession
@@ -81,7 +88,7 @@ def split_points(rows: DataFrame, wanted: dict[int, tuple[int, float]], target:
     cuts: dict[int, int] = {}
     while open_:
         plan = [(n, dim, lo, bits, max(0, bits - BIN_BITS), float(below), float(want)) for n, (dim, lo, bits, below, want) in open_.items()]
-        plan = F.broadcast(spark.createDataFrame(plan, "node int, dim int, lo bigint, bits int, shift int, below double, want double"))  # one row per node
+        plan = F.broadcast(small_table(spark, plan, "node int, dim int, lo bigint, bits int, shift int, below double, want double"))  # one row per node
         key = F.coalesce(*[F.when(F.col("dim") == i, F.col(f"_k{i}")) for i in range(n_dims)])
         inside = rows.join(plan, "node").withColumn("_key", key).where("_key >= lo and shiftright(_key - lo, bits) = 0")
         bins = inside.groupBy("node", "lo", "shift", "below", "want", F.expr("shiftright(_key - lo, shift)").alias("bin")).agg(F.sum("size").alias("w"))
@@ -114,7 +121,7 @@ def kd_shards(docs: DataFrame, shards: int, dims: list[str]) -> DataFrame:
         wanted = {n: (dim, w * (leaves[n] // 2) / leaves[n]) for n, (dim, w) in shape.items() if leaves[n] > 1}
         cuts = split_points(rows, wanted, target, len(dims))
         plan = [(n, wanted[n][0], cut, n + leaves[n] // 2) for n, cut in cuts.items()]
-        plan = F.broadcast(rows.sparkSession.createDataFrame(plan, "node int, dim int, cut bigint, right_node int"))  # one row per node
+        plan = F.broadcast(small_table(rows.sparkSession, plan, "node int, dim int, cut bigint, right_node int"))  # one row per node
         key = F.coalesce(*[F.when(F.col("dim") == i, F.col(f"_k{i}")) for i in range(len(dims))])
         moved = rows.join(plan, "node", "left").withColumn("_node", F.when(key >= F.col("cut"), F.col("right_node")).otherwise(F.col("node")))
         rows = written(moved.drop("node", "dim", "cut", "right_node").withColumnRenamed("_node", "node"), "kd-level")
