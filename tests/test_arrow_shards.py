@@ -17,6 +17,24 @@ def _shard(path, ids):
             w.write_batch(b)
 
 
+def test_shards_of_the_evaluation_grow_in_number(spark, sf_small, monkeypatch):
+    from yardstick.plans import files
+    from yardstick.sources import arrow_shards
+
+    names, write = [], arrow_shards.write_arrow_shards
+
+    def listed(df, path, state=True):
+        names.append(write(df, path, state))
+        return names[-1]
+
+    monkeypatch.setattr(arrow_shards, "write_arrow_shards", listed)
+    whole = files.q_eval_from_shards(spark, sf_small).collect()
+    monkeypatch.setattr(files, "SHARD_BYTES", 5000)
+    cut = files.q_eval_from_shards(spark, sf_small).collect()
+    size = spark.read.parquet(f"{sf_small}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+    assert whole == cut and len(names[0]) == 4 and len(names[1]) == -(-size // 5000) > 4
+
+
 def test_read_shards(spark, tmp_path):
     d = tmp_path / "ds"
     d.mkdir()

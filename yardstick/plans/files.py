@@ -22,6 +22,8 @@ from .oracle_common import ANSWERS_CTE, G_CTE, R_CTE, S_CTE, with_ctes
 
 # Records per output file in the written trees: the reference's default batch size.
 BATCH_SIZE = 500
+# Text bytes of one Arrow shard, about.
+SHARD_BYTES = 64 << 20
 
 
 def _n(spark) -> int:
@@ -164,6 +166,12 @@ def q_scan_missing_files(spark, sf):
     return df.withColumn("skipped_shards", F.lit(skipped).cast("bigint"))
 
 
+def _shards_of(docs: DataFrame) -> int:
+    """Shards that hold about ``SHARD_BYTES`` of text each: a task's share does not grow with the table."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    return max(4, -(-size // SHARD_BYTES))
+
+
 def q_eval_from_shards(spark, sf):
     """SRC-6 + L3 on the saved-dataset layout: the labelled rows are written as Arrow
     shards without an id, read back with the row position as ``sample_id`` and only the
@@ -173,7 +181,7 @@ def q_eval_from_shards(spark, sf):
     docs = derived.read_table(spark, sf, "documents").select("doc_id", "text")
     labels = derived.read_table(spark, sf, "labels").select("doc_id", "quality")
     good = F.coalesce(F.col("quality") == 1, F.lit(False))
-    rows = docs.join(labels, "doc_id", "left").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    rows = docs.join(labels, "doc_id", "left").repartitionByRange(_shards_of(docs), "doc_id").sortWithinPartitions("doc_id")
     rows = rows.select(
         F.encode("text", "UTF-8").alias("image"),
         F.when(good, F.lit("accept")).otherwise(F.lit("reject")).alias("label"),
@@ -183,13 +191,9 @@ def q_eval_from_shards(spark, sf):
     AS.write_arrow_shards(rows, path)
     AS.register(spark)
     gt = align.ground_truth_table(AS.positioned(spark, path, ["label", "rejection_reason"]), "docs")
-    numbered = batching.positions(docs.withColumnRenamed("doc_id", "sample_id"))
-    preds = numbered.select(
-        F.lit("docs").alias("dataset"),
-        F.lit("m").alias("model"),
-        F.col("pos").alias("sample_id"),
-        F.when(F.length("text") % 3 > 0, F.lit("yes")).otherwise(F.lit("no")).alias("prediction"),
-    )
+    predicted = F.when(F.length("text") % 3 > 0, F.lit("yes")).otherwise(F.lit("no"))
+    numbered = batching.positions(docs.select(F.col("doc_id").alias("sample_id"), predicted.alias("prediction")))  # without the texts
+    preds = numbered.select(F.lit("docs").alias("dataset"), F.lit("m").alias("model"), F.col("pos").alias("sample_id"), "prediction")
     m = metrics.eval_metrics(preds, gt)
     counts = ["true_positives", "false_positives", "false_negatives", "true_negatives"]
     return m.select("dataset", "model", F.round("accuracy", 6).alias("accuracy"), *[F.col(c).cast("bigint").alias(c) for c in counts])
