@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Every step is a partial aggregate and a join; nothing is collected but one row of
-counters per round.  Each round's edges are a written table, and the round before is deleted.
+Every step is a partial aggregate and a join; nothing is collected but one row per round.
+Each round's edges are a written table, and the round before is deleted.  The rounds end when
+every node hangs on one smaller node that hangs on none.
 """
 
 from __future__ import annotations
@@ -22,25 +23,31 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     linked = both.join(least, "u")
     if large:
-        out = linked.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        return linked.where("v > u and v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))  # the small star drops repeats
     else:
         out = linked.where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return out.where("a <> b").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one edge and is nowhere a smaller end."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.lit(1).alias("up")), F.struct(F.col("b").alias("x"), F.lit(0).alias("up")))).alias("e"))
+    roles = ends.groupBy("e.x").agg(F.sum("e.up").alias("up"), F.min("e.up").alias("least"))
+    return not roles.agg(F.max(F.expr("up > 1 or (up = 1 and least = 0)"))).first()[0]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label) for every node of the edges; label is the smallest node reachable."""
     now = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct()
     if edges.isEmpty():
         return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    seen = before = None
+    before = None
     while True:
         now = written(_star(_star(now, True), False), "components")
         if before is not None:
             discard(before)
-        mark = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.max("a"), F.expr("count(distinct a)")).first())
-        if mark == seen:
+        if _stars(now):
             break
-        seen, before = mark, now
+        before = now
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return nodes.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 
 from .arrow_text import column, split_words, text_slices, texts_of, word_codes
 from .components import components
-from .tables import BitFilter, discard, holds, written
+from .tables import BitFilter, discard, holds, made_tables, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
@@ -289,10 +289,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     labels = components(links)
 
     def linked_by(more: DataFrame) -> None:
-        nonlocal links, labels
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
+        nonlocal labels
+        if not more.isEmpty():  # the groups so far stand for the links so far
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more.select("a", "b")))
 
     crossing = labelled(labelled(met, labels, "id", "ca"), labels, "lo", "cb").where("ca <> cb").select(F.col("id").alias("a"), F.col("lo").alias("b"))
     linked_by(corpus.links(crossing.join(first, ["a", "b"], "left_anti")))
@@ -413,5 +412,7 @@ def family_links(corpus: Corpus, mixed: DataFrame, labels, linked_by) -> DataFra
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest id of its group; a row without
     id stays, rows repeated with one id stay together."""
-    copies = near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct()
+    with made_tables() as made:
+        copies = written(near_duplicates(docs, size, percent).where("not kept").select("doc_id").distinct(), "minhash-copies")
+    discard(*[t for t in made if t is not copies])
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import sys as _sys
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 BITS = 26  # at most: 8 MiB
 
+_listing: list[list[DataFrame]] = []
+
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
@@ -31,9 +35,22 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.written_to = path
+    for made in _listing:
+        made.append(back)
     return back
 
 
+@contextmanager
+def made_tables() -> Iterator[list[DataFrame]]:
+    """Lists the tables written inside, so that those of no further use can be discarded."""
+    made: list[DataFrame] = []
+    _listing.append(made)
+    try:
+        yield made
+    finally:
+        _listing[:] = [x for x in _listing if x is not made]
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete written tables that no later step reads: everything built on them must have
     been written itself."""
