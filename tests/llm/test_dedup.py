@@ -311,3 +311,28 @@ def test_a_family_below_and_around_the_threshold(spark, changed, monkeypatch):
     if changed == 9:  # too far apart to be linked: hardly a pair is named
         assert compared[-1] <= 4 * len(docs), compared
     assert compared[-1] <= 400 * 399 / 2 / 4, compared
+
+
+def test_tables_of_a_stage_are_deleted(spark, sf_small):
+    import os
+
+    from yardstick.llm import kn_quality
+    from yardstick.session import checkpoint_dir
+
+    root = checkpoint_dir(spark).removeprefix("file:")
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    before = set(os.listdir(root))
+    assert minhash.drop_near_duplicates(docs).count() <= docs.count()
+    assert kn_quality.keep_good(docs, labels).count() <= docs.count()
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before}
+    assert {x for x in left if x.startswith(("minhash", "kn", "components"))} <= {"minhash-copies", "kn-limits", "components"}
+
+
+def test_a_star_takes_one_round(spark, monkeypatch):
+    from yardstick.llm import components as parts
+
+    rounds, write = [], parts.written
+    monkeypatch.setattr(parts, "written", lambda df, name: rounds.append(name) or write(df, name))
+    edges = spark.createDataFrame([(k, 1) for k in range(2, 9)] + [(20, 12)], "a bigint, b bigint")
+    found = {r.node: r.label for r in parts.components(edges).collect()}
+    assert found == {k: 1 for k in range(1, 9)} | {12: 12, 20: 12} and len(rounds) == 1

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .arrow_text import column, split_words, text_slices, texts_of, word_codes
 from .minhash import mix
-from .tables import BitFilter, holds, written
+from .tables import BitFilter, discard, holds, made_tables, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
@@ -301,6 +301,13 @@ def limits_of(held: DataFrame, by: list[str]) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame):
     """(model, limits per language, limit over all) or None without trusted rows."""
+    with made_tables() as made:
+        fitted = fitted_on(docs, labels)
+    discard(*[t for t in made if fitted is None or t is not fitted[1]])
+    return fitted
+
+
+def fitted_on(docs: DataFrame, labels: DataFrame):
     texts = sample(docs, labels)
     every = None
     if not texts.isEmpty():
