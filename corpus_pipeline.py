@@ -31,7 +31,7 @@ def bounded_batches(spark: SparkSession) -> None:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose perplexity is above their language's threshold."""
     bounded_batches(spark)
-    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), whole=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -92,6 +92,49 @@ def test_classifier_on_odd_rows(spark, sf_small):
     assert kn_quality.keep_good(empty(spark), labels).columns == empty(spark).columns
 
 
+def test_whole_model_equals_plain_kneser_ney_of_all_good_rows(spark, sf_small, monkeypatch):
+    # small units and shards, and a sample that would hold next to nothing
+    from yardstick.llm import kn_spread
+
+    monkeypatch.setattr(kn_quality, "MAX_TRAIN_CHARS", 20_000)
+    monkeypatch.setattr(kn_spread, "UNIT_BYTES", 20_000)
+    monkeypatch.setattr(kn_spread, "SLICE", 10_000)
+    monkeypatch.setattr(kn_spread, "SHARD_BYTES", 30_000)
+    marks = defaultdict(lambda: [9, 0])
+    for r in rows(sf_small, "labels"):
+        marks[r["doc_id"]] = [min(marks[r["doc_id"]][0], r["quality"]), max(marks[r["doc_id"]][1], r["toxic"])]
+    good = {i for i, (q, t) in marks.items() if q == 1 and t == 0}
+    texts = {d["doc_id"]: d["text"] for d in rows(sf_small)}
+    train = [t for i, t in texts.items() if i in good and zlib.crc32(str(i).encode()) % 4 != 0]
+    assert sum(map(len, train)) > 20_000
+    score = kneser_ney(train)
+    found = queries.op7_quality_classifier(spark, sf_small).collect()
+    assert sorted(r.doc_id for r in found) == sorted(texts)
+    for r in found:
+        log10, n = score(texts[r.doc_id])
+        assert r.n_tokens == n and r.perplexity == pytest.approx(10 ** (-log10 / n), rel=1e-9)
+        assert r.kept == (r.perplexity <= r.threshold)
+
+
+def test_whole_classifier_on_odd_rows(spark, sf_small):
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    base = spark.read.parquet(f"{sf_small}/documents.parquet").drop("n_chars")
+    own = [c.split()[0] for c in CLASHING.split(", ")]
+    extra = clashing(spark)
+    shifted = extra.selectExpr("cast(doc_id - 10000000 as bigint) doc_id", "text", "lang", "source", *[c for c in extra.columns if c in own])
+    docs = base.unionByName(shifted, allowMissingColumns=True)
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0"))  # rows given twice
+    cells = lambda t: sorted((str(r.doc_id), r.n_tokens, round(r.perplexity, 6), round(r.threshold, 6), r.kept) for r in t.collect())
+    found = kn_quality.classify(docs, labels, whole=True)
+    assert cells(found) == cells(kn_quality.classify(docs, labels))  # everything fits into the sample here
+    kept = kn_quality.keep_good(docs, labels, whole=True)
+    assert kept.columns == docs.columns and kept.count() == found.where("kept").count()
+    none = labels.limit(0)
+    assert all(r.kept and r.perplexity is None for r in kn_quality.classify(odd(spark), none, whole=True).collect())
+    assert kn_quality.keep_good(clashing(spark), none, whole=True).count() == len(ODD)
+    assert kn_quality.keep_good(empty(spark), labels, whole=True).columns == empty(spark).columns
+
+
 def trusted(n, lang="en", first=0):
     return [(first + k, f"good plain words of text {k % 7} and more words {k % 11} to read", lang) for k in range(n)]
 

@@ -57,7 +57,7 @@ def op6_substring_dedup(spark, sf_dir):
 def op7_quality_classifier(spark, sf_dir):
     from .kn_quality import classify
 
-    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), whole=True)
 
 
 def op8_warc(spark, sf_dir):

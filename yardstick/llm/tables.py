@@ -60,6 +60,19 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_cleaned(spark) -> Iterator[None]:
+    """Inside, the shuffle files of a write or an action go when it ends, not when the driver's
+    garbage collector finds them: for steps that write a table each and read only such tables."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def bit_position(col: Column) -> Column:
     """The bit of a long: the upper bits of the long times a fixed odd number."""
     return F.shiftrightunsigned(F.xxhash64(col), 64 - BITS)
