@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from .arrow_text import column, split_words, text_slices, texts_of, word_codes
 from .minhash import mix
-from .tables import BitFilter, discard, holds, made_tables, shuffles_cleaned, written
+from .tables import BitFilter, discard, holds, made_tables, shuffles_cleaned, small_batches, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
@@ -350,7 +350,7 @@ def row_key():
 def whole_fit(docs: DataFrame, labels: DataFrame):
     """(scores of all rows, limits per language, limit over all) by the model of all trusted
     rows in training, or None without trusted rows.  ``docs`` has doc_id, text and lang."""
-    with shuffles_cleaned(docs.sparkSession):
+    with shuffles_cleaned(docs.sparkSession), small_batches(docs.sparkSession):
         return whole_fit_on(docs, labels)
 
 

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import column, give_back, text_slices, texts_of
-from .kn_quality import ORDER, START, chain, gram_keys, token_grid
-from .lm_scoring import numbers, pack, planes, risen_keys, rising, summed, unpack
+from .kn_quality import ORDER, START, chain, token_grid
+from .lm_scoring import numbers, pack, planes, risen, risen_keys, rising, run_lengths, summed, unpack
 from .tables import discard, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
@@ -35,7 +35,7 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 UNIT_BYTES = 8 << 20
 SHARD_BYTES = 32 << 20  # text bytes per shard
 SLICE = 1 << 20
-ROUNDS = 4
+ROUNDS = 8
 STATS = 4  # of a context: total, n-grams counted once, twice and more often
 
 ROWS = "kind string, unit bigint, shard bigint, payload binary"
@@ -76,7 +76,9 @@ def count_entries(words: np.ndarray, n: np.ndarray, keys: np.ndarray, shards: in
         if a < b or c < d:
             distinct, at = np.unique(words[:, a:b], return_inverse=True)
             at = at.reshape(len(words), b - a)
-            entry = {"words": rising(distinct), "at": [planes(x) for x in at], "n": planes(n[a:b])}
+            order = np.lexsort(at[::-1])  # which packs well
+            at = at[:, order]
+            entry = {"words": rising(distinct), "first": rising(at[0]), "at": [planes(x) for x in at[1:]], "n": planes(n[a:b][order])}
             out[s] = pack(entry | {"contexts": rising(contexts[c:d]), "stats": [planes(x[c:d]) for x in stats]})
     return out
 
@@ -131,7 +133,7 @@ def merged(order: int, shards: int):
     def work(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         parts = [unpack(x) for x in table.column("payload").to_pylist()]
-        words = np.concatenate([np.stack([w[numbers(x)] for x in p["at"]]) for p in parts for w in [risen_keys(p["words"])]], axis=1)
+        words = np.concatenate([np.stack([w[risen(p["first"])], *(w[numbers(x)] for x in p["at"])]) for p in parts for w in [risen_keys(p["words"])]], axis=1)
         n = np.concatenate([numbers(p["n"]) for p in parts])
         contexts, at = np.unique(np.concatenate([risen_keys(p["contexts"]) for p in parts]), return_inverse=True)
         add = lambda k: np.bincount(at, np.concatenate([numbers(p["stats"][k]) for p in parts]), len(contexts)).astype(np.int64)
@@ -178,6 +180,10 @@ class Spread:
             sums = summed(table.where("kind = 'model'")) or [0] * 6
             self.cut[order] = discounts(*sums[:4])
             self.first = {"total": sums[4], "classes": [sums[0], sums[1], sums[2] + sums[3]], "kinds": sums[5]}
+            if made[:-1]:  # the order above has been read
+                above = table.where("kind = 'count'")
+                above.written_to = f"{made[-2].written_to}/kind=count"
+                discard(above)
             rows = table.where("kind = 'count'").select("kind", "unit", "shard", "payload")
         # the orders may differ in their folders only
         self.rows = models[0].unionByName(models[1]).unionByName(models[2])
@@ -187,14 +193,11 @@ class Spread:
         discard(*self.made)
 
 
-def asked_keys(grid: np.ndarray) -> list[np.ndarray]:
-    """Per order the keys of a unit's n-grams, which are the contexts of the next order too,
-    but for those of a text's first token."""
-    out = []
-    for n, (keys, _) in enumerate(gram_keys(grid), 1):
-        start = key_of(np.full((n, 1), START, np.uint64))
-        out.append(np.unique(np.concatenate([keys, start]) if n < len(grid) else keys))
-    return out
+def asked_keys(grid: np.ndarray):
+    """Per order the keys of a unit's tokens, and after them that of a text's beginning: all
+    contexts of the next order are among them."""
+    key = lambda rows: key_of(np.concatenate([rows, np.full((len(rows), 1), START, np.uint64)], axis=1))
+    return (key(grid[len(grid) - n :]) for n in range(1, len(grid) + 1))
 
 
 def questions(docs: DataFrame, shards: int) -> DataFrame:
@@ -208,6 +211,7 @@ def questions(docs: DataFrame, shards: int) -> DataFrame:
             yield row_batch([("docs", number, -1 - number, pack(doc))])
             grid = grid_of(sizes, tokens)
             for order, keys in enumerate(asked_keys(grid), 1):
+                keys, _ = run_lengths(keys)
                 cuts = shard_cuts(keys, shards)
                 for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     if a < b:
@@ -262,9 +266,10 @@ def log_probabilities(sizes: np.ndarray, tokens: np.ndarray, told: list, cut: di
     mass = lambda classes, d: sum(x * k for x, k in zip(classes, d[1:]))
     p = np.full(len(tokens), 1.0 / (first["kinds"] + 1))
     context = None
-    for n, ((grams, _), asked) in enumerate(zip(gram_keys(grid), asked_keys(grid)), 1):
+    for n, keys in enumerate(asked_keys(grid), 1):
         d = np.array(cut[n])
-        at = np.searchsorted(asked, grams)
+        _, at = np.unique(keys, return_inverse=True)
+        at, beginning = at[:-1], at[-1]
         count = told[n - 1][0][at]
         share = count - d[np.minimum(count, 3)]
         if n == 1:
@@ -276,7 +281,7 @@ def log_probabilities(sizes: np.ndarray, tokens: np.ndarray, told: list, cut: di
             p = np.where(met, (share + mass(context[1:], d) * p) / np.maximum(1, total), p)
         if n < len(grid):  # this order's n-gram before a token is its context in the next one
             before = np.concatenate([[0], at[:-1]])
-            before[starts] = np.searchsorted(asked, key_of(np.full((n, 1), START, np.uint64)))[0]
+            before[starts] = beginning
             context = [x[before] for x in told[n - 1][1:]]
     return np.log10(p)
 

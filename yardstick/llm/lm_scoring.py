@@ -46,8 +46,8 @@ from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import column, split_words, text_slices, texts_of, word_codes
-from .tables import discard, written
+from .arrow_text import column, give_back, split_words, text_slices, texts_of, word_codes
+from .tables import discard, small_batches, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
@@ -55,6 +55,7 @@ CLASSES = 64
 START = CLASSES - 1
 UNIT_BYTES = 16 << 20
 SHARD_BYTES = 16 << 20  # text bytes per word shard
+SLICE = 1 << 20
 SWEEPS = 4
 BURN_IN = 2
 EXACT = 32
@@ -149,41 +150,59 @@ class Unit:
     def rows(self):
         """The packed rows of the unit: its documents, and its words per shard."""
         words = list(self.at)
-        keys = keys_of(words)
+        n_words, keys = len(words), keys_of(words)
         shard = keys % np.uint64(self.shards)
         order = np.lexsort((keys, shard))
-        rank = np.empty(len(words), np.int64)
-        rank[order] = np.arange(len(words))
+        rank = np.empty(n_words, np.int64)
+        rank[order] = np.arange(n_words)
         context_keys, context = np.unique(keys_of([self.context(w) for w in words]), return_inverse=True)
+        del words
+        self.at = None  # the unit ends with its rows
         codes = np.concatenate(self.codes)
-        pairs, tokens = np.unique(pair_codes(codes, rank, context, len(context_keys)), return_inverse=True)
+        self.codes = None
         sizes = np.concatenate(self.sizes)
         held = np.array([zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1 for i in self.ids], bool)
-        counts = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(pairs))
+        pairs = pair_codes(codes, rank, context, len(context_keys))
+        train, times = run_lengths(pairs[np.repeat(~held, sizes)])
+        pairs, _ = run_lengths(pairs)
+        counts = np.zeros(len(pairs), np.int64)
+        counts[np.searchsorted(pairs, train)] = times
+        del train, times
         # frequent words get small codes, which pack well
-        common = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+        common = np.argsort(-np.bincount(codes, minlength=n_words), kind="stable")
         common = np.concatenate([[0], common[common != 0]])  # 0 stays the end
-        place = np.empty(len(words), np.uint32)
-        place[common] = np.arange(len(words))
+        place = np.empty(n_words, np.uint32)
+        place[common] = np.arange(n_words)
         doc = {"ids": self.ids, "held": held, "sizes": sizes, "codes": planes(place[codes])}
         doc |= {"rank": planes(rank[common]), "context": planes(context[common]), "n_contexts": len(context_keys)}
+        del codes, place
         yield "docs", self.number, -1, pack(doc)
+        del doc
         shard, keys = shard[order], keys[order]
-        word_of, context_of = pairs // len(context_keys), pairs % len(context_keys)
-        per_word = np.bincount(word_of, minlength=len(words))
+        per_word = np.bincount(pairs // len(context_keys), minlength=n_words)
         pair_ends = np.cumsum(per_word)
         cuts = np.flatnonzero(np.diff(shard)) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(words)]):
+        for a, b in zip([0, *cuts], [*cuts, n_words]):
             p, q = (pair_ends[a - 1] if a else 0), pair_ends[b - 1]
-            mine, context = np.unique(context_of[p:q], return_inverse=True)
+            mine, context = np.unique(pairs[p:q] % len(context_keys), return_inverse=True)
             entry = {"words": rising(keys[a:b]), "per_word": planes(per_word[a:b]), "context_keys": rising(context_keys[mine]), "context": planes(context), "counts": planes(counts[p:q])}
             yield "words", self.number, int(shard[a]), pack(entry)
 
 
+def run_lengths(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in ascending order, how often each is there), with one sorted copy."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+    return values[first], np.diff(first, append=len(values))
+
+
 def pair_codes(codes: np.ndarray, rank: np.ndarray, context: np.ndarray, n_contexts: int) -> np.ndarray:
     """The (word, context) of every token of whole texts as one number."""
-    before = np.concatenate([[0], codes[:-1]]).astype(np.int64)
-    return rank[codes].astype(np.int64) * n_contexts + context[before]
+    pairs = rank[codes]
+    pairs *= n_contexts
+    pairs[1:] += context[codes[:-1]]
+    pairs[:1] += context[0]
+    return pairs
 
 
 def batch_of(rows) -> pa.RecordBatch:
@@ -197,14 +216,15 @@ def units(docs: DataFrame, shards: int, context) -> DataFrame:
     def work(batches):
         number = TaskContext.get().partitionId() << 24
         unit = Unit(number, shards, context)
-        for part in text_slices(batches, max_bytes=4 << 20):
+        for part in text_slices(batches, max_bytes=SLICE):
             unit.add(column(part, "doc_id").to_pylist(), texts_of(part))
             if unit.bytes >= UNIT_BYTES:
-                yield batch_of(unit.rows())
+                yield from (batch_of([row]) for row in unit.rows())
                 number += 1
                 unit = Unit(number, shards, context)
+                give_back()
         if unit.ids:
-            yield batch_of(unit.rows())
+            yield from (batch_of([row]) for row in unit.rows())
 
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(work, ROWS)
 
@@ -262,6 +282,8 @@ def merge_shard(bits: int):
         kinds = np.bincount(word[counts > 0], minlength=len(words))  # context kinds of each known word
         sums = [counts.sum(), (counts > 0).sum(), (counts == 1).sum(), (counts == 2).sum()]
         sums += [(kinds > 0).sum(), (kinds == 1).sum(), (kinds == 2).sum()]
+        del parts, word_keys, context_keys, keys, own, where, pairs, word, context, counts
+        give_back()
         return table_of(out, sums)
 
     return work
@@ -434,8 +456,11 @@ def score_unit(fixed: dict):
         count = np.concatenate([numbers(x[0]) for x in parts])
         p = np.log10(np.concatenate([numbers(x[1]) for x in parts]).astype(np.uint32).view(np.float32).astype(np.float64))
         codes, rank, context = (numbers(doc[c]) for c in ("codes", "rank", "context"))
-        _, tokens = np.unique(pair_codes(codes, rank, context, doc["n_contexts"]), return_inverse=True)
+        tokens = pair_codes(codes, rank, context, doc["n_contexts"])
+        tokens = np.searchsorted(run_lengths(tokens)[0], tokens)
         count = count[rank][codes]
+        del parts, rows, rank, context, codes
+        give_back()
         starts = np.cumsum(doc["sizes"]) - doc["sizes"]
         add = lambda values: np.add.reduceat(values, starts)
         return pa.table(
@@ -459,7 +484,8 @@ def hpy_scores(docs: DataFrame, context=ending) -> DataFrame:
     shards = max(4, -(-size // SHARD_BYTES))
     bits = max(1, (shards // 2).bit_length() - 1)  # of a context's hash: its home
     cells = ["kind", "unit", "shard", "payload"]
-    unit_rows = written(units(docs, shards, context), "lm-units", "kind")
+    with small_batches(docs.sparkSession):
+        unit_rows = written(units(docs, shards, context), "lm-units", "kind")
     words = unit_rows.where("kind = 'words'").select(cells)
     model = written(words.groupBy("shard").applyInArrow(merge_shard(bits), f"{ROWS}, sums array<bigint>"), "lm-model", "kind")
     words.written_to = f"{unit_rows.written_to}/kind=words"

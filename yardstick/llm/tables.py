@@ -24,6 +24,7 @@ from ..session import checkpoint_dir
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 BITS = 26  # at most: 8 MiB
+TEXT_ROWS = 1000
 
 _listing: list[list[DataFrame]] = []
 
@@ -61,18 +62,28 @@ def discard(*tables: DataFrame) -> None:
 
 
 @contextmanager
-def shuffles_cleaned(spark) -> Iterator[None]:
-    """Inside, the shuffle files of a write or an action go when it ends, not when the driver's
-    garbage collector finds them: for steps that write a table each and read only such tables."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+def setting(spark, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def shuffles_cleaned(spark):
+    """Inside, the shuffle files of a write or an action go when it ends, not when the driver's
+    garbage collector finds them: for steps that write a table each and read only such tables."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def small_batches(spark):
+    """Inside, whole texts reach Python by fewer rows at a time; a setting of the user's own stays."""
+    name, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    now = spark.conf.get(name, default)
+    return setting(spark, name, str(TEXT_ROWS) if now == default else now)
+
+
 def bit_position(col: Column) -> Column:
     """The bit of a long: the upper bits of the long times a fixed odd number."""
     return F.shiftrightunsigned(F.xxhash64(col), 64 - BITS)
