@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -216,3 +217,23 @@ def test_numbers_survive_their_planes():
         assert lm_scoring.numbers(lm_scoring.planes(np.array(x, np.int64))).tolist() == x
     keys = np.array([3, 2**40, 2**63 + 1, 2**64 - 1], np.uint64)
     assert lm_scoring.risen_keys(lm_scoring.rising(keys)).tolist() == keys.tolist()
+
+
+def test_the_rows_of_a_unit_take_little_memory_beside_it():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 9_000}" for _ in range(500)) for _ in range(600)]
+    unit = lm_scoring.Unit(0, 8, lm_scoring.last_word)
+    unit.add(list(range(len(texts))), pa.array(texts, pa.large_string()))
+    tokens = sum(len(c) for c in unit.codes)
+    tracemalloc.start()
+    try:
+        found = sum(len(row[3]) > 0 for row in unit.rows())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 1 + 8
+    assert peak < 40 * tokens, peak / tokens
