@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from llm_cases import CLASHING, ODD, SPACE_WORD, clashing, empty, low, odd, rows
 
@@ -116,6 +117,34 @@ def test_whole_model_equals_plain_kneser_ney_of_all_good_rows(spark, sf_small, m
         assert r.kept == (r.perplexity <= r.threshold)
 
 
+def test_whole_model_is_not_shuffled_by_the_questions(spark):
+    from yardstick.llm import kn_spread
+
+    docs = spark.createDataFrame([(i, "en", i, f"a b w{i % 7} c w{i % 3}") for i in range(60)], "doc_id long, lang string, row long, text string")
+    model = kn_spread.Spread(docs.select("text"), 4 * kn_spread.SHARD_BYTES)
+    told = kn_spread.answered(docs, model)
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # of the questions
+    assert sorted(r.kind for r in told.collect()).count("docs") == len({r.unit for r in told.collect()})
+    assert {r.shard for r in model.rows.collect()} == set(range(4))
+    listed = {t.listed for t in model.made}
+    assert listed <= {t.name for t in spark.catalog.listTables()}
+    model.done()
+    assert not listed & {t.name for t in spark.catalog.listTables()}
+
+
+def test_trigrams_lie_in_the_shard_of_their_bigram():
+    from yardstick.llm import kn_spread
+
+    words = np.random.default_rng(7).integers(1, 1 << 63, (3, 2000)).astype(np.uint64)
+    words[0, :500], words[:, 500:600] = words[0, 0], words[:, 700:800]
+    shard = lambda keys, k: np.searchsorted(kn_spread.shard_cuts(np.sort(keys), k), np.argsort(np.argsort(keys, kind="stable"), kind="stable"), side="right") - 1
+    keys = kn_spread.key_of(words)
+    for shards in (4, 7, 1000):
+        assert (shard(keys, shards) == shard(kn_spread.key_of(words[1:]), shards)).all()
+    assert len(set(keys.tolist())) == len({tuple(w) for w in words.T.tolist()})
+
+
 def test_whole_classifier_on_odd_rows(spark, sf_small):
     labels = spark.read.parquet(f"{sf_small}/labels.parquet")
     base = spark.read.parquet(f"{sf_small}/documents.parquet").drop("n_chars")

@@ -1,17 +1,19 @@
 """Kneser-Ney model of any amount of text, spread over shards (operator 7).
 
 Counting.  Blocks of texts (units of about ``UNIT_BYTES``) are turned into their distinct
-trigrams with counts, one packed row per unit and shard of the trigram's key.  A shard merges
-its rows, keeps the counts, and tells the shards of the next lower order the continuation counts
-of the shorter n-grams and, per context, its total and how many n-grams have it once, twice
-and more often; so do the bigrams.  Words travel as 64-bit hashes.  The driver sees six sums per
-order, from which the discounts come.
+trigrams with counts, one packed row per unit and shard.  A trigram lies in the shard of its last
+two words, so a shard that merges its rows has the trigrams' counts and also all continuations of
+its bigrams, without another exchange.  It tells the shards of the contexts, per context, its
+total and how many n-grams have it once, twice and more often, and the shards of the words their
+continuation counts; these are added up in a second step.  Words travel as 64-bit hashes.  The
+driver sees six sums per order, from which the discounts come.
 
 Scoring.  A unit asks the shards of its distinct n-grams of every order, as packed keys in
 ascending order, gets their counts and context numbers back, and scores its documents by array
 look-ups.  Nothing is broadcast and no text is shuffled: a document travels as the codes of its
 words.  That is done in ``ROUNDS`` parts of the documents, one after another, so only one part's
-questions are on disk at a time.
+questions are on disk at a time.  The model's tables are bucketed by shard, so the questions
+travel to them and the model itself is never shuffled.
 """
 
 from __future__ import annotations
@@ -20,23 +22,25 @@ import sys as _sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import column, give_back, text_slices, texts_of
-from .kn_quality import ORDER, START, chain, token_grid
+from .arrow_text import column, give_back, split_words, text_slices, texts_of, word_codes
+from .kn_quality import END, ORDER, START, chain
 from .lm_scoring import numbers, pack, planes, risen, risen_keys, rising, run_lengths, summed, unpack
-from .tables import discard, written
+from .tables import bucketed, discard, drop_listed, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 UNIT_BYTES = 8 << 20
 SHARD_BYTES = 32 << 20  # text bytes per shard
-SLICE = 1 << 20
+SLICE = 2 << 20
 ROUNDS = 8
 STATS = 4  # of a context: total, n-grams counted once, twice and more often
+SHARD_BITS = 20  # the upper bits of a key, which give its shard
 
 ROWS = "kind string, unit bigint, shard bigint, payload binary"
 SUMS = f"{ROWS}, sums array<bigint>"
@@ -50,49 +54,65 @@ def row_batch(rows: list) -> pa.RecordBatch:
 
 
 def key_of(words: np.ndarray) -> np.ndarray:
-    """Keys of n-grams given as one row of hashes per position."""
+    """Keys of n-grams given as one row of hashes per position.  A trigram has the upper bits,
+    and so the shard, of the bigram it ends with."""
     key = np.zeros(words.shape[1], np.uint64)
     for row in words:
         key = chain(key, row)
+    if len(words) == ORDER:
+        low = np.uint64(64 - SHARD_BITS)
+        key = (key_of(words[1:]) >> low << low) | (key >> np.uint64(SHARD_BITS))
     return key
 
 
 def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     """Where each shard's stretch of sorted keys begins, and the end."""
-    starts = [-(-(s << 64) // shards) for s in range(shards)]
+    starts = [-(-(s << SHARD_BITS) // shards) << (64 - SHARD_BITS) for s in range(shards)]
     return np.concatenate([np.searchsorted(keys, np.array(starts, np.uint64)), [len(keys)]])
 
 
 def class_sums(n: np.ndarray) -> list[int]:
-    return [(n == 1).sum(), (n == 2).sum(), (n == 3).sum(), (n > 3).sum(), n.sum(), len(n)]
+    return [int(x) for x in ((n == 1).sum(), (n == 2).sum(), (n == 3).sum(), (n > 3).sum(), n.sum(), len(n))]
 
 
-def count_entries(words: np.ndarray, n: np.ndarray, keys: np.ndarray, shards: int, contexts: np.ndarray, stats: list) -> dict[int, bytes]:
-    """Packed n-grams (sorted by key) and contexts (sorted) per shard."""
+def count_entries(words: np.ndarray, n: np.ndarray, keys: np.ndarray, shards: int) -> dict[int, bytes]:
+    """Packed n-grams (sorted by key) per shard."""
     out = {}
-    cuts, context_cuts = shard_cuts(keys, shards), shard_cuts(contexts, shards)
-    for s in range(shards):
-        (a, b), (c, d) = cuts[s : s + 2], context_cuts[s : s + 2]
-        if a < b or c < d:
+    cuts = shard_cuts(keys, shards)
+    for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
             distinct, at = np.unique(words[:, a:b], return_inverse=True)
             at = at.reshape(len(words), b - a)
             order = np.lexsort(at[::-1])  # which packs well
             at = at[:, order]
-            entry = {"words": rising(distinct), "first": rising(at[0]), "at": [planes(x) for x in at[1:]], "n": planes(n[a:b][order])}
-            out[s] = pack(entry | {"contexts": rising(contexts[c:d]), "stats": [planes(x[c:d]) for x in stats]})
+            out[s] = pack({"words": rising(distinct), "first": rising(at[0]), "at": [planes(x) for x in at[1:]], "n": planes(n[a:b][order])})
     return out
 
 
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens per text, tokens) as 64-bit hashes of the lower-cased words, ends included."""
+    import xxhash
+
+    bounds, words = split_words(pc.ascii_lower(texts))
+    codes, distinct = word_codes(words)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    sizes = np.diff(bounds) + 1
+    tokens = np.full(int(sizes.sum()), END, np.uint64)
+    word = np.ones(len(tokens), bool)
+    word[np.cumsum(sizes) - 1] = False
+    tokens[word] = hashes[codes]
+    return sizes, tokens
+
+
 def unit_tokens(batches, columns: list[str], unit_bytes: int):
     """(values of the columns, tokens per text, tokens) of blocks of texts."""
     kept, sizes, tokens, size = [[] for _ in columns], [], [], 0
     for part in text_slices(batches, max_bytes=SLICE):
         texts = texts_of(part)
-        docs, grid = token_grid(texts, ORDER)
         for values, name in zip(kept, columns):
             values += column(part, name).to_pylist()
-        sizes.append(np.bincount(docs, minlength=part.num_rows))
-        tokens.append(grid[-1].copy())
+        for store, found in zip((sizes, tokens), tokens_of(texts)):
+            store.append(found)
         size += texts.nbytes
         if size >= unit_bytes:
             yield kept, np.concatenate(sizes), np.concatenate(tokens)
@@ -118,46 +138,79 @@ def counted(texts: DataFrame, shards: int) -> DataFrame:
         for _, sizes, tokens in unit_tokens(batches, [], UNIT_BYTES):
             grid = grid_of(sizes, tokens)
             keys, first, n = np.unique(key_of(grid), return_index=True, return_counts=True)
-            entries = count_entries(grid[:, first], n, keys, shards, np.zeros(0, np.uint64), [np.zeros(0, np.int64)] * STATS)
-            for shard, data in entries.items():
+            for shard, data in count_entries(grid[:, first], n, keys, shards).items():
                 yield row_batch([("count", number, shard, data)])
             number += 1
 
     return texts.select("text").mapInArrow(work, ROWS)
 
 
-def merged(order: int, shards: int):
-    """One shard's n-grams of an order: its part of the model (kind model) with its sums, and
-    the rows for the next lower order (count)."""
+def grouped(keys: np.ndarray, columns: list) -> tuple[np.ndarray, list]:
+    """(distinct keys, sums of the columns per key)."""
+    keys, at = np.unique(keys, return_inverse=True)
+    return keys, [np.bincount(at, x, len(keys)).astype(np.int64) for x in columns]
+
+
+def context_stats(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list]:
+    return grouped(key_of(words[:-1]), [n, n == 1, n == 2, n > 2])
+
+
+def packed_at(keys: np.ndarray, columns: list, a: int, b: int) -> tuple:
+    return rising(keys[a:b]), [planes(x[a:b]) for x in columns]
+
+
+def merged(shards: int):
+    """One shard's trigrams and bigrams with their counts (kind model; with the sums of both
+    orders), and what they add to the contexts of both orders and to the words (kind count, with
+    the shard it is for as ``unit``)."""
 
     def work(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        parts = [unpack(x) for x in table.column("payload").to_pylist()]
-        words = np.concatenate([np.stack([w[risen(p["first"])], *(w[numbers(x)] for x in p["at"])]) for p in parts for w in [risen_keys(p["words"])]], axis=1)
-        n = np.concatenate([numbers(p["n"]) for p in parts])
-        contexts, at = np.unique(np.concatenate([risen_keys(p["contexts"]) for p in parts]), return_inverse=True)
-        add = lambda k: np.bincount(at, np.concatenate([numbers(p["stats"][k]) for p in parts]), len(contexts)).astype(np.int64)
-        stats = [add(k) for k in range(STATS)]
+        parts = [unpack(x) for x in table.column("payload").to_pylist() if x is not None]
+        words = [np.stack([w[risen(p["first"])], *(w[numbers(x)] for x in p["at"])]) for p in parts for w in [risen_keys(p["words"])]]
+        words = np.concatenate([np.zeros((ORDER, 0), np.uint64), *words], axis=1)
+        n = np.concatenate([np.zeros(0, np.int64), *(numbers(p["n"]) for p in parts)])
         del parts
         keys, first, at = np.unique(key_of(words), return_index=True, return_inverse=True)
         n = np.bincount(at, n, len(keys)).astype(np.int64)
         words = words[:, first]
-        model = {"grams": rising(keys), "n": planes(n), "contexts": rising(contexts), "stats": [planes(x) for x in stats]}
-        out = [("model", 0, order * shards + shard, pack(model))]
-        if order > 1:
-            contexts, at = np.unique(key_of(words[:-1]), return_inverse=True)
-            stats = [np.bincount(at, x, len(contexts)).astype(np.int64) for x in (n, n == 1, n == 2, n > 2)]
-            keys, first, times = np.unique(key_of(words[1:]), return_index=True, return_counts=True)
-            entries = count_entries(words[1:, first], times, keys, shards, contexts, stats)
-            out += [("count", shard, s, data) for s, data in entries.items()]
-        sums = [[int(x) for x in class_sums(n)]] + [None] * (len(out) - 1)
-        made = pa.Table.from_batches([row_batch(out)]).append_column("sums", pa.array(sums, pa.list_(pa.int64())))
+        del first, at
+        top, sums, told = (rising(keys), planes(n)), class_sums(n), [context_stats(words, n)]
+        keys, first, n = np.unique(key_of(words[1:]), return_index=True, return_counts=True)
+        words = words[1:, first]
+        told += [context_stats(words, n), grouped(key_of(words[1:]), [np.ones(len(n), np.int64)])]
+        out = [("model", 0, shard, pack({"grams": [(rising(keys), planes(n)), top]}))]
+        cuts = [shard_cuts(known, shards) for known, _ in told]
+        for s in range(shards):
+            if s == shard or any(c[s] < c[s + 1] for c in cuts):
+                out.append(("count", s, shard, pack([packed_at(*x, *c[s : s + 2]) for x, c in zip(told, cuts)])))
+        made = pa.Table.from_batches([row_batch(out)])
+        made = made.append_column("sums", pa.array([sums + class_sums(n)] + [None] * (len(out) - 1), pa.list_(pa.int64())))
+        del told, words
         give_back()
         return made
 
     return work
 
 
+def added_up(table: pa.Table) -> pa.Table:
+    """One shard's contexts of trigrams and of bigrams, and its words, added up over all
+    shards' rows; with the sums of the words."""
+    parts = [unpack(x) for x in table.column("payload").to_pylist()]
+    found = []
+    for same in zip(*parts):
+        columns = [np.concatenate([numbers(x) for x in xs]) for xs in zip(*(columns for _, columns in same))]
+        found.append(grouped(np.concatenate([risen_keys(keys) for keys, _ in same]), columns))
+    del parts
+    trigrams, bigrams, (words, (n,)) = found
+    contexts = [(rising(keys), [planes(x) for x in stats]) for keys, stats in (bigrams, trigrams)]
+    row = ("model", 0, table.column("unit")[0].as_py(), pack({"grams": [(rising(words), planes(n))], "contexts": contexts}))
+    made = pa.Table.from_batches([row_batch([row])]).append_column("sums", pa.array([class_sums(n)], pa.list_(pa.int64())))
+    del found, trigrams, bigrams, words, n
+    give_back()
+    return made
+
+
 def discounts(once: int, twice: int, thrice: int, more: int) -> list[float]:
     n1, n2, n3, n4 = (max(1, x) for x in (once, twice, thrice, more))
     y = n1 / (n1 + 2 * n2)
@@ -165,31 +218,32 @@ def discounts(once: int, twice: int, thrice: int, more: int) -> list[float]:
 
 
 class Spread:
-    """The model: ``rows`` has one packed row per order and shard, ``cut`` the discounts per
-    order, ``first`` the total, classes and number of the words."""
+    """The model: ``rows`` has one row per shard with its packed tables (``upper``: trigrams and
+    bigrams, ``lower``: words and contexts), ``cut`` the discounts per order, ``first`` the total,
+    classes and number of the words."""
 
     def __init__(self, texts: DataFrame, size: int):
         """Counts all ``texts``; ``size`` is the text bytes that are to be scored."""
         self.shards = max(4, -(-size // SHARD_BYTES))
-        rows, made, models = counted(texts, self.shards), [], []
-        self.cut, self.first = {}, None
-        for order in range(ORDER, 0, -1):
-            table = written(rows.groupBy("shard").applyInArrow(merged(order, self.shards), SUMS), f"kn-order{order}", "kind")
-            made.append(table)
-            models.append(table.where("kind = 'model'").select("kind", "unit", "shard", "payload"))
-            sums = summed(table.where("kind = 'model'")) or [0] * 6
-            self.cut[order] = discounts(*sums[:4])
-            self.first = {"total": sums[4], "classes": [sums[0], sums[1], sums[2] + sums[3]], "kinds": sums[5]}
-            if made[:-1]:  # the order above has been read
-                above = table.where("kind = 'count'")
-                above.written_to = f"{made[-2].written_to}/kind=count"
-                discard(above)
-            rows = table.where("kind = 'count'").select("kind", "unit", "shard", "payload")
-        # the orders may differ in their folders only
-        self.rows = models[0].unionByName(models[1]).unionByName(models[2])
-        self.made = made
+        buckets = 2 * self.shards  # shards are dealt to them by hash
+        every = texts.sparkSession.range(self.shards).selectExpr("'seed' kind", "0L unit", "id shard", "cast(null as binary) payload")
+        rows = counted(texts, self.shards).unionByName(every)  # so that no shard is without a row
+        upper = bucketed(rows.groupBy("shard").applyInArrow(merged(self.shards), SUMS), "kn-upper", buckets, "shard", "kind")
+        told = upper.where("kind = 'count'").select("unit", "payload")
+        lower = bucketed(told.groupBy("unit").applyInArrow(added_up, SUMS), "kn-lower", buckets, "shard", "kind")
+        told.written_to = f"{upper.written_to}/kind=count"
+        discard(told)
+        self.made = [upper, lower]
+        upper, lower = (x.where("kind = 'model'") for x in self.made)
+        sums = summed(upper) + summed(lower)
+        self.cut = {order: discounts(*sums[k : k + 4]) for order, k in ((3, 0), (2, 6), (1, 12))}
+        sums = sums[12:]
+        self.first = {"total": sums[4], "classes": [sums[0], sums[1], sums[2] + sums[3]], "kinds": sums[5]}
+        lower = lower.select("shard", F.col("payload").alias("lower"))
+        self.rows = upper.select("shard", F.col("payload").alias("upper")).join(lower, "shard")
 
     def done(self) -> None:
+        drop_listed(*self.made)
         discard(*self.made)
 
 
@@ -201,7 +255,7 @@ def asked_keys(grid: np.ndarray):
 
 
 def questions(docs: DataFrame, shards: int) -> DataFrame:
-    """Per unit its documents (kind docs, a group of their own) and its keys per order and shard (ask)."""
+    """Per unit its documents (kind docs, a group of their own) and its keys per shard (ask)."""
 
     def work(batches):
         number = TaskContext.get().partitionId() << 24
@@ -210,12 +264,11 @@ def questions(docs: DataFrame, shards: int) -> DataFrame:
             doc = {"ids": ids, "langs": langs, "rows": rows, "sizes": planes(sizes), "words": rising(words), "codes": planes(codes)}
             yield row_batch([("docs", number, -1 - number, pack(doc))])
             grid = grid_of(sizes, tokens)
-            for order, keys in enumerate(asked_keys(grid), 1):
-                keys, _ = run_lengths(keys)
-                cuts = shard_cuts(keys, shards)
-                for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    if a < b:
-                        yield row_batch([("ask", number, order * shards + s, pack(rising(keys[a:b])))])
+            asked = [run_lengths(keys)[0] for keys in asked_keys(grid)]
+            cuts = [shard_cuts(keys, shards) for keys in asked]
+            for s in range(shards):
+                if any(c[s] < c[s + 1] for c in cuts):
+                    yield row_batch([("ask", number, s, pack([rising(keys[c[s] : c[s + 1]]) for keys, c in zip(asked, cuts)]))])
             number += 1
 
     return docs.select("doc_id", "lang", "row", "text").mapInArrow(work, ROWS)
@@ -230,32 +283,39 @@ def found_at(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hit, at[hit]
 
 
-def answers(table: pa.Table) -> pa.Table:
-    """To every unit the counts and context numbers of its keys of one order and shard; a
+def looked_up(known: np.ndarray, columns: list, keys: np.ndarray) -> list:
+    hit, at = found_at(known, keys)
+    out = []
+    for x in columns:
+        y = np.zeros(len(keys), np.int64)
+        y[hit] = x[at]
+        out.append(planes(y))
+    return out
+
+
+def answers(table: pa.Table, model: pa.Table) -> pa.Table:
+    """To every unit the counts and context numbers of its keys of one shard, per order; a
     unit's documents go on as they are."""
-    if table.column("kind")[0].as_py() == "docs":
+    if not table.num_rows or not model.num_rows:  # documents have no shard of the model
         return table
-    shard = table.column("shard")[0].as_py()
-    model, out = None, []
-    for kind, data in zip(table.column("kind").to_pylist(), table.column("payload")):
-        if kind == "model":
-            model = unpack(data.as_py())
-    if model is None:
-        model = {"grams": rising(np.zeros(0, np.uint64)), "n": planes([]), "contexts": rising(np.zeros(0, np.uint64)), "stats": [planes([])] * STATS}
-    grams, contexts = risen_keys(model["grams"]), risen_keys(model["contexts"])
-    values = [numbers(model["n"])], [numbers(x) for x in model["stats"]]
-    for kind, unit, data in zip(table.column("kind").to_pylist(), table.column("unit").to_pylist(), table.column("payload")):
-        if kind == "ask":
-            keys, told = risen_keys(unpack(data.as_py())), []
-            for known, columns in zip((grams, contexts), values):
-                hit, at = found_at(known, keys)
-                for x in columns:
-                    y = np.zeros(len(keys), np.int64)
-                    y[hit] = x[at]
-                    told.append(planes(y))
-            out.append(("answer", unit, shard, pack(told)))
+    upper, lower = (unpack(model.column(x)[0].as_py()) for x in ("upper", "lower"))
+    grams = [(risen_keys(keys), [numbers(n)]) for keys, n in lower["grams"] + upper["grams"]]
+    contexts = [(risen_keys(keys), [numbers(x) for x in stats]) for keys, stats in lower["contexts"]]
+    del upper, lower
+    known = [[g, *contexts[k : k + 1]] for k, g in enumerate(grams)]  # the longest n-grams are no contexts
+    out = []
+    for unit, shard, data in zip(table.column("unit").to_pylist(), table.column("shard").to_pylist(), table.column("payload")):
+        asked = [risen_keys(x) for x in unpack(data.as_py())]
+        out.append(("answer", unit, shard, pack([[y for k in some for y in looked_up(*k, keys)] for some, keys in zip(known, asked)])))
+    del grams, contexts, known
     give_back()
-    return pa.Table.from_batches([row_batch(out)]) if out else table.slice(0, 0)
+    return pa.Table.from_batches([row_batch(out)])
+
+
+def answered(docs: DataFrame, model: Spread) -> DataFrame:
+    """Per unit of ``docs`` its documents and the answers of all shards.  Only the questions are shuffled."""
+    asked = questions(docs, model.shards).groupBy("shard")
+    return asked.cogroup(model.rows.groupBy("shard")).applyInArrow(answers, ROWS)
 
 
 def log_probabilities(sizes: np.ndarray, tokens: np.ndarray, told: list, cut: dict, first: dict) -> np.ndarray:
@@ -286,13 +346,15 @@ def log_probabilities(sizes: np.ndarray, tokens: np.ndarray, told: list, cut: di
     return np.log10(p)
 
 
-def score_unit(cut: dict, first: dict, shards: int):
+def score_unit(cut: dict, first: dict):
     def work(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table.column("shard").to_pylist(), table.column("payload").to_pylist()))
         doc = unpack(rows[0][1])  # a negative shard: the documents
         told = [[] for _ in range(ORDER)]
-        for shard, data in rows[1:]:
-            told[shard // shards - 1].append([numbers(x).astype(np.int32) for x in unpack(data)])
+        for _, data in rows[1:]:
+            for store, found in zip(told, unpack(data)):
+                store.append([numbers(x).astype(np.int32) for x in found])
+        del rows
         told = [[np.concatenate(x) for x in zip(*parts)] for parts in told]
         sizes = numbers(doc["sizes"])
         logs = log_probabilities(sizes, risen_keys(doc["words"])[numbers(doc["codes"])], told, cut, first)
@@ -311,7 +373,6 @@ def spread_scores(docs: DataFrame, model: Spread) -> DataFrame:
     found = None
     for k in range(ROUNDS):
         some = docs.where(F.pmod("row", F.lit(ROUNDS)) == k)
-        asked = questions(some, model.shards).unionByName(model.rows).groupBy("shard").applyInArrow(answers, ROWS)
-        scored = written(asked.groupBy("unit").applyInArrow(score_unit(model.cut, model.first, model.shards), SCORES), "kn-scores")
+        scored = written(answered(some, model).groupBy("unit").applyInArrow(score_unit(model.cut, model.first), SCORES), "kn-scores")
         found = scored if found is None else found.unionByName(scored)
     return found

@@ -41,6 +41,27 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return back
 
 
+def bucketed(df: DataFrame, name: str, buckets: int, by: str, partition_by: str) -> DataFrame:
+    """``written``, in buckets of a column: a join or grouping by it needs no exchange of this
+    side.  Buckets are only known to tables with a name; ``drop_listed`` takes that back."""
+    spark = df.sparkSession
+    table = f"{name}-{uuid.uuid4().hex}"
+    path, listed = f"{checkpoint_dir(spark).rstrip('/')}/{table}", table.replace("-", "_")
+    writer = df.write.mode("error").option("compression", "zstd").option("path", path)
+    writer.partitionBy(partition_by).bucketBy(buckets, by).saveAsTable(listed)
+    back = spark.table(listed)
+    back.written_to, back.listed = path, listed
+    for made in _listing:
+        made.append(back)
+    return back
+
+
+def drop_listed(*tables: DataFrame) -> None:
+    """Forget the names of bucketed tables; their files stay until ``discard``."""
+    for table in tables:
+        table.sparkSession.sql(f"DROP TABLE IF EXISTS {table.listed}")
+
+
 @contextmanager
 def made_tables() -> Iterator[list[DataFrame]]:
     """Lists the tables written inside, so that those of no further use can be discarded."""
