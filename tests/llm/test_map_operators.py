@@ -487,3 +487,26 @@ def test_records_round_trip_through_their_bytes(spark, sf_small):
     for headers, block in parsed:
         r = want[headers["WARC-Record-ID"]]
         assert block.decode() == r.block and headers["WARC-Refers-To"] == r.refers_to and headers["WARC-Block-Digest"] == warc.sha1(block)
+
+
+def test_a_task_leaves_no_vocabulary_in_its_worker(spark, tmp_path):
+    """What is alive when memory is given back for the last time; counted in the worker."""
+    import gc
+    from pathlib import Path
+
+    give_back, notes = bpe.give_back, str(tmp_path)
+
+    def noted():
+        held = sum(isinstance(x, bpe.Encoder) for x in gc.get_objects())
+        with open(f"{notes}/{__import__('os').getpid()}", "a") as f:
+            f.write(f"{held}\n")
+        give_back()
+
+    bpe.give_back = noted
+    try:
+        docs = spark.createDataFrame([(i, f"word{i} token") for i in range(20)], "doc_id long, text string")
+        assert bpe.bpe_encode(docs.coalesce(1), VOCABULARY).count() == 20
+    finally:
+        bpe.give_back = give_back
+    held = [x for p in Path(notes).iterdir() for x in p.read_text().split()]
+    assert held and held[-1] == "0"

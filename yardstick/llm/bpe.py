@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame
 
-from .arrow_text import column, ragged_take, split_words, text_slices, texts_of, word_codes
+from .arrow_text import column, give_back, ragged_take, split_words, text_slices, texts_of, word_codes
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
@@ -234,6 +234,8 @@ def bpe_encode(
                 ]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        del known
+        give_back()  # the vocabulary and the parts: the worker outlives its task
 
     schema = SCHEMA + (", ids array<int>, decoded string" if keep_ids else "")
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(work, schema)
