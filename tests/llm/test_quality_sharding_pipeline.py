@@ -145,6 +145,49 @@ def test_trigrams_lie_in_the_shard_of_their_bigram():
     assert len(set(keys.tolist())) == len({tuple(w) for w in words.T.tolist()})
 
 
+def test_counting_takes_little_memory_beside_its_words(monkeypatch):
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from yardstick.llm import kn_spread
+
+    rng = random.Random(5)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 9_000}" for _ in range(500)) for _ in range(1200)]
+    tokens = 501 * len(texts)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+    class Works:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(kn_spread, "TaskContext", Task)
+    work = kn_spread.counted(Works(), 1)
+    list(work(iter([batch.slice(0, 10)])))  # what is loaded once does not count
+    tracemalloc.start()
+    try:
+        packed = [b.column(3)[0].as_py() for b in work(iter([batch]))]
+        counting = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        table = pa.table({"shard": pa.array([0] * 2 * len(packed), pa.int64()), "payload": pa.array(packed * 2, pa.binary())})
+        made = kn_spread.merged(1)(table)
+        merging = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    sums = made.column("sums")[0].as_py()
+    assert sums[4] == 2 * tokens and sums[0] == sums[2] == 0  # every trigram occurs twice, four times or more often
+    assert counting < 60 * tokens, counting / tokens
+    assert merging < 62 * tokens, merging / tokens
+
+
 def test_whole_classifier_on_odd_rows(spark, sf_small):
     labels = spark.read.parquet(f"{sf_small}/labels.parquet")
     base = spark.read.parquet(f"{sf_small}/documents.parquet").drop("n_chars")

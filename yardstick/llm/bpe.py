@@ -218,23 +218,26 @@ def bpe_encode(
     trade a worker's memory for time; the result does not depend on them."""
     shared = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
 
+    def encoded(known, part):
+        ids, bounds, decoded = encode_slice(known, texts_of(part))
+        raw = ids.astype("<u4")
+        id_sums = [hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(bounds, bounds[1:])]
+        text_sums = [hashlib.sha256((x.as_py() or "").encode()).hexdigest() for x in decoded]
+        arrays = [column(part, "doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(id_sums), pa.array(text_sums)]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if keep_ids:
+            arrays += [
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32))),
+                pc.fill_null(decoded, "").cast(pa.string()),
+            ]
+            names += ["ids", "decoded"]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
     def work(batches):
         known = KnownParts(Encoder(shared.value, leaf), known_parts)
         for part in text_slices(batches, max_bytes=slice_bytes):
-            ids, bounds, decoded = encode_slice(known, texts_of(part))
-            raw = ids.astype("<u4")
-            id_sums = [hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(bounds, bounds[1:])]
-            text_sums = [hashlib.sha256((x or "").encode()).hexdigest() for x in decoded.to_pylist()]
-            arrays = [column(part, "doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(id_sums), pa.array(text_sums)]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                arrays += [
-                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32))),
-                    pc.fill_null(decoded, "").cast(pa.string()),
-                ]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-        del known
+            yield encoded(known, part)
+        part = known = None
         give_back()  # the vocabulary and the parts: the worker outlives its task
 
     schema = SCHEMA + (", ids array<int>, decoded string" if keep_ids else "")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .arrow_text import column, give_back, split_words, text_slices, texts_of, word_codes
 from .kn_quality import END, ORDER, START, chain
-from .lm_scoring import numbers, pack, planes, risen, risen_keys, rising, run_lengths, summed, unpack
+from .lm_scoring import numbers, pack, planes, risen, risen_keys, rising, summed, unpack
 from .tables import bucketed, discard, drop_listed, written
 
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
@@ -41,6 +41,7 @@ SLICE = 2 << 20
 ROUNDS = 8
 STATS = 4  # of a context: total, n-grams counted once, twice and more often
 SHARD_BITS = 20  # the upper bits of a key, which give its shard
+BLOCK = 1 << 16  # n-grams whose keys are made at a time
 
 ROWS = "kind string, unit bigint, shard bigint, payload binary"
 SUMS = f"{ROWS}, sums array<bigint>"
@@ -56,13 +57,32 @@ def row_batch(rows: list) -> pa.RecordBatch:
 def key_of(words: np.ndarray) -> np.ndarray:
     """Keys of n-grams given as one row of hashes per position.  A trigram has the upper bits,
     and so the shard, of the bigram it ends with."""
-    key = np.zeros(words.shape[1], np.uint64)
-    for row in words:
-        key = chain(key, row)
-    if len(words) == ORDER:
-        low = np.uint64(64 - SHARD_BITS)
-        key = (key_of(words[1:]) >> low << low) | (key >> np.uint64(SHARD_BITS))
-    return key
+    out = np.empty(words.shape[1], np.uint64)
+    for a in range(0, len(out), BLOCK):  # what is made on the way is as short as a block
+        some = words[:, a : a + BLOCK]
+        key = np.zeros(some.shape[1], np.uint64)
+        for row in some:
+            key = chain(key, row)
+        if len(words) == ORDER:
+            low = np.uint64(64 - SHARD_BITS)
+            key = (key_of(some[1:]) >> low << low) | (key >> np.uint64(SHARD_BITS))
+        out[a : a + BLOCK] = key
+    return out
+
+
+def coded_keys(words: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """``key_of`` of n-grams given as places of their words, of which a block is hashes at a time."""
+    blocks = (key_of(words[codes[:, a : a + BLOCK]]) for a in range(0, codes.shape[1], BLOCK))
+    return np.concatenate([np.zeros(0, np.uint64), *blocks])
+
+
+def firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, order, starts): the order that sorts the keys and where in it each distinct
+    key begins, so ``order[starts]`` are the places of the distinct keys."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return keys[starts], order, starts
 
 
 def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -75,18 +95,18 @@ def class_sums(n: np.ndarray) -> list[int]:
     return [int(x) for x in ((n == 1).sum(), (n == 2).sum(), (n == 3).sum(), (n > 3).sum(), n.sum(), len(n))]
 
 
-def count_entries(words: np.ndarray, n: np.ndarray, keys: np.ndarray, shards: int) -> dict[int, bytes]:
-    """Packed n-grams (sorted by key) per shard."""
-    out = {}
+def count_entries(words: np.ndarray, codes: np.ndarray, n: np.ndarray, keys: np.ndarray, shards: int):
+    """(shard, packed n-grams) of n-grams sorted by key; ``codes`` are the places of their
+    words in ``words``, which ascend."""
     cuts = shard_cuts(keys, shards)
     for s, (a, b) in enumerate(zip(cuts, cuts[1:])):
         if a < b:
-            distinct, at = np.unique(words[:, a:b], return_inverse=True)
-            at = at.reshape(len(words), b - a)
+            known = np.zeros(len(words), bool)
+            known[codes[:, a:b]] = True
+            at = (np.cumsum(known, dtype=np.uint32) - 1)[codes[:, a:b]]
             order = np.lexsort(at[::-1])  # which packs well
             at = at[:, order]
-            out[s] = pack({"words": rising(distinct), "first": rising(at[0]), "at": [planes(x) for x in at[1:]], "n": planes(n[a:b][order])})
-    return out
+            yield s, pack({"words": rising(words[known]), "first": rising(at[0]), "at": [planes(x) for x in at[1:]], "n": planes(n[a:b][order])})
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -114,32 +134,64 @@ def unit_tokens(batches, columns: list[str], unit_bytes: int):
         for store, found in zip((sizes, tokens), tokens_of(texts)):
             store.append(found)
         size += texts.nbytes
+        del part, texts, found
         if size >= unit_bytes:
-            yield kept, np.concatenate(sizes), np.concatenate(tokens)
-            kept, sizes, tokens, size = [[] for _ in columns], [], [], 0
+            yield kept, joined(sizes), joined(tokens)
+            kept, size = [[] for _ in columns], 0
     if sizes:
-        yield kept, np.concatenate(sizes), np.concatenate(tokens)
+        yield kept, joined(sizes), joined(tokens)
+
+
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    """One array of the list's, which is empty afterwards."""
+    whole = np.concatenate(parts, axis=-1)
+    parts.clear()
+    return whole
+
+
+def narrow(packed) -> np.ndarray:
+    """Whole numbers in four bytes each where they fit."""
+    found = numbers(packed)
+    return found.astype(np.uint32) if len(packed[1]) <= 4 else found
 
 
-def grid_of(sizes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+def grid_of(sizes: np.ndarray, tokens: np.ndarray, start=START) -> np.ndarray:
     """Every token below its predecessors in its text."""
     starts = np.cumsum(sizes) - sizes
-    rows = [tokens]
-    for _ in range(ORDER - 1):
-        before = np.concatenate([[START], rows[0][:-1]]).astype(np.uint64)
-        before[starts] = START
-        rows.insert(0, before)
-    return np.stack(rows)
+    grid = np.empty((ORDER, len(tokens)), tokens.dtype)
+    grid[-1] = tokens
+    for k in range(ORDER - 1, 0, -1):
+        grid[k - 1, 1:] = grid[k, :-1]
+        grid[k - 1, starts] = start
+    return grid
+
+
+def word_places(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, with that before a text; the place of every token among them)."""
+    words = np.unique(np.append(tokens, START))
+    return words, np.searchsorted(words, tokens).astype(np.uint32)
+
+
+def unit_grams(words: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple:
+    """(codes, counts, keys) of a unit's distinct n-grams, in ascending order of the keys."""
+    grid = grid_of(sizes, codes, np.searchsorted(words, START))
+    keys, order, starts = firsts(coded_keys(words, grid))
+    at = order[starts]
+    del order
+    return grid[:, at], np.diff(starts, append=grid.shape[1]), keys
 
 
 def counted(texts: DataFrame, shards: int) -> DataFrame:
     def work(batches):
         number = TaskContext.get().partitionId() << 24
         for _, sizes, tokens in unit_tokens(batches, [], UNIT_BYTES):
-            grid = grid_of(sizes, tokens)
-            keys, first, n = np.unique(key_of(grid), return_index=True, return_counts=True)
-            for shard, data in count_entries(grid[:, first], n, keys, shards).items():
+            words, tokens = word_places(tokens)
+            grams = unit_grams(words, sizes, tokens)
+            del sizes, tokens
+            for shard, data in count_entries(words, *grams, shards):
                 yield row_batch([("count", number, shard, data)])
+            del words, grams
+            give_back()
             number += 1
 
     return texts.select("text").mapInArrow(work, ROWS)
@@ -159,6 +211,21 @@ def packed_at(keys: np.ndarray, columns: list, a: int, b: int) -> tuple:
     return rising(keys[a:b]), [planes(x[a:b]) for x in columns]
 
 
+def entries_of(payloads: pa.ChunkedArray) -> tuple:
+    """(words, codes, counts) of the n-grams of packed rows, one row unpacked at a time."""
+    known, codes, counts = [np.zeros(0, np.uint64)], [np.zeros((ORDER, 0), np.uint32)], [np.zeros(0, np.uint32)]
+    for data in payloads:
+        if data.is_valid:
+            part = unpack(data.as_py())
+            known.append(risen_keys(part["words"]))
+            codes.append(np.stack([x.astype(np.uint32) for x in (risen(part["first"]), *map(numbers, part["at"]))]))
+            counts.append(narrow(part["n"]))
+    words = np.unique(np.concatenate(known))
+    for k, own in enumerate(known):
+        codes[k] = np.searchsorted(words, own).astype(np.uint32)[codes[k]]
+    return words, joined(codes), joined(counts)
+
+
 def merged(shards: int):
     """One shard's trigrams and bigrams with their counts (kind model; with the sums of both
     orders), and what they add to the contexts of both orders and to the words (kind count, with
@@ -166,18 +233,15 @@ def merged(shards: int):
 
     def work(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        parts = [unpack(x) for x in table.column("payload").to_pylist() if x is not None]
-        words = [np.stack([w[risen(p["first"])], *(w[numbers(x)] for x in p["at"])]) for p in parts for w in [risen_keys(p["words"])]]
-        words = np.concatenate([np.zeros((ORDER, 0), np.uint64), *words], axis=1)
-        n = np.concatenate([np.zeros(0, np.int64), *(numbers(p["n"]) for p in parts)])
-        del parts
-        keys, first, at = np.unique(key_of(words), return_index=True, return_inverse=True)
-        n = np.bincount(at, n, len(keys)).astype(np.int64)
-        words = words[:, first]
-        del first, at
+        known, codes, n = entries_of(table.column("payload"))
+        keys, order, starts = firsts(coded_keys(known, codes))
+        n = np.add.reduceat(n[order], starts, dtype=np.int64) if len(n) else n.astype(np.int64)
+        words = known[codes[:, order[starts]]]
+        del known, codes, order, starts
         top, sums, told = (rising(keys), planes(n)), class_sums(n), [context_stats(words, n)]
-        keys, first, n = np.unique(key_of(words[1:]), return_index=True, return_counts=True)
-        words = words[1:, first]
+        keys, order, starts = firsts(key_of(words[1:]))
+        words, n = words[1:, order[starts]], np.diff(starts, append=len(order))
+        del order, starts
         told += [context_stats(words, n), grouped(key_of(words[1:]), [np.ones(len(n), np.int64)])]
         out = [("model", 0, shard, pack({"grams": [(rising(keys), planes(n)), top]}))]
         cuts = [shard_cuts(known, shards) for known, _ in told]
@@ -250,10 +314,16 @@ class Spread:
 def asked_keys(grid: np.ndarray):
     """Per order the keys of a unit's tokens, and after them that of a text's beginning: all
     contexts of the next order are among them."""
-    key = lambda rows: key_of(np.concatenate([rows, np.full((len(rows), 1), START, np.uint64)], axis=1))
+    key = lambda rows: np.append(key_of(rows), key_of(np.full((len(rows), 1), START, np.uint64)))
     return (key(grid[len(grid) - n :]) for n in range(1, len(grid) + 1))
 
 
+def sorted_distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in ascending order; sorts the given ones."""
+    keys.sort()
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]]
+
+
 def questions(docs: DataFrame, shards: int) -> DataFrame:
     """Per unit its documents (kind docs, a group of their own) and its keys per shard (ask)."""
 
@@ -264,11 +334,15 @@ def questions(docs: DataFrame, shards: int) -> DataFrame:
             doc = {"ids": ids, "langs": langs, "rows": rows, "sizes": planes(sizes), "words": rising(words), "codes": planes(codes)}
             yield row_batch([("docs", number, -1 - number, pack(doc))])
             grid = grid_of(sizes, tokens)
-            asked = [run_lengths(keys)[0] for keys in asked_keys(grid)]
+            del doc, words, codes, sizes, tokens
+            asked = [sorted_distinct(keys) for keys in asked_keys(grid)]
+            del grid
             cuts = [shard_cuts(keys, shards) for keys in asked]
             for s in range(shards):
                 if any(c[s] < c[s + 1] for c in cuts):
                     yield row_batch([("ask", number, s, pack([rising(keys[c[s] : c[s + 1]]) for keys, c in zip(asked, cuts)]))])
+            del asked
+            give_back()
             number += 1
 
     return docs.select("doc_id", "lang", "row", "text").mapInArrow(work, ROWS)
@@ -299,8 +373,8 @@ def answers(table: pa.Table, model: pa.Table) -> pa.Table:
     if not table.num_rows or not model.num_rows:  # documents have no shard of the model
         return table
     upper, lower = (unpack(model.column(x)[0].as_py()) for x in ("upper", "lower"))
-    grams = [(risen_keys(keys), [numbers(n)]) for keys, n in lower["grams"] + upper["grams"]]
-    contexts = [(risen_keys(keys), [numbers(x) for x in stats]) for keys, stats in lower["contexts"]]
+    grams = [(risen_keys(keys), [narrow(n)]) for keys, n in lower["grams"] + upper["grams"]]
+    contexts = [(risen_keys(keys), [narrow(x) for x in stats]) for keys, stats in lower["contexts"]]
     del upper, lower
     known = [[g, *contexts[k : k + 1]] for k, g in enumerate(grams)]  # the longest n-grams are no contexts
     out = []
